@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chatloom.functions.kernels import CharLookup, iter_samples
 from chatloom.functions.text import col_, py_strip
@@ -68,7 +69,7 @@ def decode_column(df: DataFrame, ids_col: str, vocab, out_col: str = "decoded")
     for i, t in rows:
         itos[i] = t
     bc = broadcast_value(spark, itos)
-    schema = df.schema.add(out_col, "string")
+    schema = T.StructType(list(df.schema.fields) + [T.StructField(out_col, T.StringType())])
 
     def run(batches):
         table = bc.value

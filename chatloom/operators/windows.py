@@ -39,9 +39,9 @@ def append_eos(ids) -> F.Column:
 
 
 def _starts(n, seq_len: int, stride: int, keep_tail: bool) -> F.Column:
-    full = F.sequence(F.lit(0), n - seq_len - 1, F.lit(stride))
+    full = F.sequence(F.lit(0), F.greatest(n - seq_len - 1, F.lit(0)), F.lit(stride))
     if keep_tail:
-        last = F.element_at(full, -1)
+        last = F.try_element_at(full, F.lit(-1))
         full = F.when(last + seq_len + 1 < n, F.concat(full, F.array(n - seq_len - 1))).otherwise(full)
     return F.when(n <= seq_len + 1, F.array(F.lit(0))).otherwise(full)
 

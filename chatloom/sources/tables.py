@@ -45,6 +45,7 @@ def assemble_dialogs(
         F.lit("dialog").alias("kind"),
         dialog.alias("dialog"),
         key.alias("source"),
+        F.lit(source_name).alias("file_path"),
         F.col(id_col).cast("long").alias("ordinal"),
         F.lit("sft").alias("type"),
         F.size(F.filter("_t", lambda x: x["role"] == "assistant")).alias("turns"),
@@ -64,6 +65,7 @@ def text_samples(
         F.lit("text").alias("kind"),
         F.col(text_col).alias("text"),
         key.alias("source"),
+        F.lit(source_name).alias("file_path"),
         F.col(id_col).cast("long").alias("ordinal"),
         F.lit(sample_type).alias("type"),
         F.lit("table").alias("format"),
