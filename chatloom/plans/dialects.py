@@ -1,8 +1,8 @@
-"""JSON records in the three chat dialects, derived by Spark from the turn table.
+"""JSON items in the three chat dialects, derived by Spark from the turn table.
 
-Each builder groups ``conversations`` by dialog once and renders one JSON item per
-dialog with ``to_json``; the normalizers then parse them back.  The records frame
-has the same shape as a scanned file: ``(file_path, ordinal, value)``.
+Each builder groups ``conversations`` by dialog once and renders one item per
+dialog: ``*_items`` gives ``(ordinal, item struct)`` (for file writers),
+``*_records`` gives the records shape a scanned file has: ``(file_path, ordinal, value)``.
 """
 
 from __future__ import annotations
@@ -22,39 +22,52 @@ def _texts(role: str):
     return F.filter("t", lambda x: x["role"] == role)
 
 
-def sharegpt_records(conv: DataFrame, file_path: str = "conversations.sharegpt.jsonl") -> DataFrame:
+def _first(role: str, k: int = 1):
+    return F.try_element_at(_texts(role), F.lit(k))["text"]
+
+
+def sharegpt_items(conv: DataFrame) -> DataFrame:
     """{system?, conversations: [{from: human|gpt|system, value}]} per dialog."""
-    g = _grouped(conv)
     frm = lambda r: F.when(r == "user", "human").when(r == "assistant", "gpt").otherwise(r)
     convs = F.transform(F.filter("t", lambda x: x["role"] != "system"),
                         lambda x: F.struct(frm(x["role"]).alias("from"), x["text"].alias("value")))
-    system = F.try_element_at(_texts("system"), F.lit(1))["text"]
-    value = F.to_json(F.struct(system.alias("system"), convs.alias("conversations")))
-    return g.select(F.lit(file_path).alias("file_path"), F.col("conv_id").cast("long").alias("ordinal"),
-                    value.alias("value"))
+    return _grouped(conv).select(F.col("conv_id").cast("long").alias("ordinal"),
+                                 F.struct(F.col("conv_id").cast("long").alias("id"), _first("system").alias("system"),
+                                          convs.alias("conversations")).alias("item"))
 
 
-def moss_records(conv: DataFrame, file_path: str = "conversations.moss.jsonl") -> DataFrame:
+def moss_items(conv: DataFrame) -> DataFrame:
     """{conversation_id, category, conversation: {turn_N: {Human|MOSS|System: text}}} per dialog."""
-    g = _grouped(conv)
     speaker = lambda r: F.when(r == "user", "Human").when(r == "assistant", "MOSS").otherwise("System")
     conversation = F.map_from_entries(F.transform("t", lambda x: F.struct(
         F.concat(F.lit("turn_"), x["turn"].cast("string")).alias("key"),
         F.create_map(speaker(x["role"]), x["text"]).alias("value"))))
-    value = F.to_json(F.struct(F.col("conv_id").cast("string").alias("conversation_id"),
-                               F.lit("chat").alias("category"), conversation.alias("conversation")))
-    return g.select(F.lit(file_path).alias("file_path"), F.col("conv_id").cast("long").alias("ordinal"),
-                    value.alias("value"))
+    return _grouped(conv).select(
+        F.col("conv_id").cast("long").alias("ordinal"),
+        F.struct(F.col("conv_id").cast("string").alias("conversation_id"), F.lit("chat").alias("category"),
+                 conversation.alias("conversation")).alias("item"))
 
 
-def alpaca_records(conv: DataFrame, file_path: str = "conversations.alpaca.jsonl") -> DataFrame:
+def alpaca_items(conv: DataFrame) -> DataFrame:
     """{system, instruction: 1st user, input: 2nd user, output: 1st assistant} per dialog (nulls kept)."""
-    g = _grouped(conv)
-    value = F.to_json(F.struct(
-        F.try_element_at(_texts("system"), F.lit(1))["text"].alias("system"),
-        F.try_element_at(_texts("user"), F.lit(1))["text"].alias("instruction"),
-        F.try_element_at(_texts("user"), F.lit(2))["text"].alias("input"),
-        F.try_element_at(_texts("assistant"), F.lit(1))["text"].alias("output"),
-    ), KEEP_NULLS)
-    return g.select(F.lit(file_path).alias("file_path"), F.col("conv_id").cast("long").alias("ordinal"),
-                    value.alias("value"))
+    return _grouped(conv).select(
+        F.col("conv_id").cast("long").alias("ordinal"),
+        F.struct(_first("system").alias("system"), _first("user").alias("instruction"),
+                 _first("user", 2).alias("input"), _first("assistant").alias("output")).alias("item"))
+
+
+def _records(items: DataFrame, file_path: str, keep_nulls: bool) -> DataFrame:
+    value = F.to_json("item", KEEP_NULLS) if keep_nulls else F.to_json("item")
+    return items.select(F.lit(file_path).alias("file_path"), "ordinal", value.alias("value"))
+
+
+def sharegpt_records(conv: DataFrame, file_path: str = "conversations.sharegpt.jsonl") -> DataFrame:
+    return _records(sharegpt_items(conv), file_path, False)
+
+
+def moss_records(conv: DataFrame, file_path: str = "conversations.moss.jsonl") -> DataFrame:
+    return _records(moss_items(conv), file_path, False)
+
+
+def alpaca_records(conv: DataFrame, file_path: str = "conversations.alpaca.jsonl") -> DataFrame:
+    return _records(alpaca_items(conv), file_path, True)
