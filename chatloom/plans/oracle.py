@@ -129,8 +129,8 @@ def windows(ids: str = "ids", name: str = "win", seq_len: int = S, stride: int =
 )"""
 
 
-def with_(*ctes: str) -> str:
-    return "WITH " + ",\n".join(ctes) + "\n"
+def with_(*ctes: str, recursive: bool = False) -> str:
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(ctes) + "\n"
 
 
 PY_WS_SQL = _q(PY_WHITESPACE)
