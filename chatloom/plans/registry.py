@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from chatloom.plans import catalog
-from chatloom.plans import queries_files, queries_load, queries_train  # noqa: F401  (registers)
+from chatloom.plans import queries_files, queries_load, queries_stream, queries_train  # noqa: F401  (registers)
 
 flagship = catalog.flagship
 
