@@ -17,7 +17,7 @@ from chatloom.operators import tokenize as tok
 from chatloom.operators import windows as win
 from chatloom.operators.vocab import build_vocab, corpus_parts, vocab_from_samples
 from chatloom.plans import oracle as O
-from chatloom.sources.tables import assemble_dialogs, read_table, text_samples
+from chatloom.sources.tables import assemble_dialogs, read_table, spread_scan, text_samples
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -55,7 +55,7 @@ def kept_dialogs(spark, d):
 
 
 def doc_samples(spark, d):
-    return text_samples(read_table(spark, d, "documents"))
+    return text_samples(spread_scan(read_table(spark, d, "documents")))
 
 
 # -- B7 / B6 ----------------------------------------------------------------------------------------

@@ -12,6 +12,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Give a *scan* at least one partition per core before CPU-heavy Python stages.
+
+    Only for plans without an exchange (reading the partition count of a scan is
+    planning only).  On a cluster, scans have far more splits than cores and
+    this is a no-op.
+    """
+    sc = df.sparkSession.sparkContext
+    if df.rdd.getNumPartitions() < sc.defaultParallelism:
+        return df.repartition(sc.defaultParallelism)
+    return df
+
+
 def conform(df: DataFrame) -> DataFrame:
     """Project onto the canonical ``samples`` schema (missing columns are NULL)."""
     cols = []
@@ -31,10 +44,13 @@ def assemble_dialogs(
 ) -> DataFrame:
     """Turn-per-row table -> one ``samples`` row per dialog, turns in order.
 
-    One hash shuffle on the dialog id; partial aggregation is not possible for
-    ``collect_list`` but the state per group is one dialog.
+    One hash shuffle on the dialog id: the explicit ``repartition`` fixes the
+    partition count (``spark.sql.shuffle.partitions``) so that the Python window
+    kernel downstream gets that parallelism, and the ``groupBy`` reuses the same
+    exchange.  ``collect_list`` state per group is one dialog.
     """
-    g = turns.groupBy(id_col).agg(
+    n = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    g = turns.repartition(n, id_col).groupBy(id_col).agg(
         F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("o"), F.col(role_col).alias("role"),
                                              F.col(text_col).alias("content")))).alias("_t")
     )
