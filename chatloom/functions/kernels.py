@@ -206,3 +206,28 @@ def iter_samples(batch: pa.RecordBatch, lookup: CharLookup, escape_specials: boo
         else:
             toks = np.concatenate([lookup.encode(texts[i], escape_specials), np.array([EOS_ID], np.int32)])
         yield sid[i], kind[i], toks
+
+
+# largest slice of one string turned into code points at once (bounds memory for huge texts)
+CHAR_SLICE = 1 << 22
+
+
+def distinct_code_points(strings) -> np.ndarray:
+    """Sorted distinct code points of an iterable of strings (NULLs skipped)."""
+    seen = np.empty(0, dtype=np.uint32)
+    buf, size = [], 0
+    for s in strings:
+        if not s:
+            continue
+        for lo in range(0, len(s), CHAR_SLICE):
+            piece = s[lo:lo + CHAR_SLICE]
+            buf.append(piece)
+            size += len(piece)
+            if size >= CHAR_SLICE:
+                cp = np.frombuffer("".join(buf).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+                seen = np.union1d(seen, np.unique(cp))
+                buf, size = [], 0
+    if buf:
+        cp = np.frombuffer("".join(buf).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        seen = np.union1d(seen, np.unique(cp))
+    return seen

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chatloom.functions.kernels import CharLookup
-from chatloom.functions.text import code_points, role_marker
+from chatloom.functions.kernels import CharLookup, distinct_code_points
+from chatloom.functions.text import role_marker
+from chatloom.plans.runtime import ensure_package
 from chatloom.schema import SPECIAL_TOKENS, VOCAB
 
 # A vocabulary is a set of distinct code points: it can never exceed this.
@@ -29,18 +30,28 @@ def corpus_parts(samples: DataFrame) -> DataFrame:
     return samples.select("sample_id", F.posexplode(parts).alias("part_no", "part")).where(F.col("part").isNotNull())
 
 
-def build_vocab(parts: DataFrame) -> DataFrame:
-    """Ids 0..6 are the specials, then the corpus' distinct code points in code-point order.
+def distinct_chars(df: DataFrame, col: str) -> DataFrame:
+    """Distinct code points of a string column, one row per (task batch, character).
 
-    Partial aggregation (``array_distinct`` per part, then a hash ``distinct``)
-    bounds the shuffle by the number of distinct characters per task.  The final
-    numbering runs over at most ~1.1 M distinct code points.
+    A numpy kernel dedups inside each Arrow batch (memory bounded by a slice of
+    text, however long a single text is); Spark's hash ``distinct`` does the rest.
     """
-    spark = parts.sparkSession
-    chars = parts.select(F.explode(F.array_distinct(code_points("part"))).alias("token"))
-    # the parts are joined by "\n": it is in the corpus whenever the corpus is non-empty
-    newline = parts.limit(1).select(F.lit("\n").alias("token"))
-    distinct = chars.unionByName(newline).distinct()
+    spark = df.sparkSession
+    ensure_package(spark)
+
+    def run(batches):
+        import pyarrow as pa
+        for b in batches:
+            cps = distinct_code_points(b.column(0).to_pylist())
+            toks = [chr(c) for c in cps.tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(toks, pa.string())], names=["token"])
+
+    return df.select(F.col(col)).mapInArrow(run, "token string").distinct()
+
+
+def number_tokens(distinct: DataFrame) -> DataFrame:
+    """Specials 0..6, then the distinct characters in code-point order (≤ ~1.1 M rows to number)."""
+    spark = distinct.sparkSession
     numbered = distinct.select(
         "token",
         (F.row_number().over(Window.orderBy("token")) + len(SPECIAL_TOKENS) - 1).cast("int").alias("id"),
@@ -50,6 +61,53 @@ def build_vocab(parts: DataFrame) -> DataFrame:
     return specials.unionByName(numbered)
 
 
+def dialog_chars(turns: DataFrame, kept: DataFrame) -> DataFrame:
+    """Distinct corpus characters of the kept dialogs of a turn table ``(_id, _role, _text)``.
+
+    The kernel emits distinct (dialog, character) pairs per batch — contents plus the
+    role marker's characters — so the shuffle carries pairs, not text; a semi join
+    keeps the pairs of kept dialogs (AQE splits a skewed dialog).
+    """
+    spark = turns.sparkSession
+    ensure_package(spark)
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        from chatloom.schema import ROLE_MARKERS
+        for b in batches:
+            ids, roles, texts = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()
+            by_id: dict = {}
+            for i, r, t in zip(ids, roles, texts):
+                by_id.setdefault(i, []).extend([t, ROLE_MARKERS.get(r)])
+            out_i, out_t = [], []
+            for i, strs in by_id.items():
+                for c in distinct_code_points(strs).tolist():
+                    out_i.append(i)
+                    out_t.append(chr(c))
+            yield pa.RecordBatch.from_arrays([pa.array(out_i, pa.int64()), pa.array(out_t, pa.string())],
+                                             names=["_id", "token"])
+
+    pairs = turns.select("_id", "_role", "_text").mapInArrow(run, "_id long, token string").distinct()
+    chars = pairs.join(kept.select("_id"), "_id", "left_semi").select("token")
+    tail = kept.limit(1).select(F.explode(F.array(*[F.lit(c) for c in "<eos>\n"])).alias("token"))
+    return chars.unionByName(tail).distinct()
+
+
+def build_vocab(parts: DataFrame) -> DataFrame:
+    """Ids 0..6 are the specials, then the corpus' distinct code points in code-point order.
+
+    Per-batch dedup in a numpy kernel, then a hash ``distinct``: the shuffle is
+    bounded by the number of distinct characters per task.  The final numbering
+    runs over at most ~1.1 M distinct code points.
+    """
+    spark = parts.sparkSession
+    chars = distinct_chars(parts, "part")
+    # the parts are joined by "\n": it is in the corpus whenever the corpus is non-empty
+    newline = parts.limit(1).select(F.lit("\n").alias("token"))
+    return number_tokens(chars.unionByName(newline).distinct())
+
+
 def vocab_from_samples(samples: DataFrame) -> DataFrame:
     return build_vocab(corpus_parts(samples))
 

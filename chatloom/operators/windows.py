@@ -118,3 +118,128 @@ def mask_coverage(windows: DataFrame, by: str = "sample_id") -> DataFrame:
         F.sum(m).cast("long").alias("mask_sum"),
         (F.sum(m) / F.sum(F.size("loss_mask"))).alias("coverage"),
     )
+
+
+# -- turn tables: collect-free windows for dialogs of any size ---------------------------------------------------
+def _encode_turns_kernel(bc, escape_specials: bool):
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        from chatloom.functions.kernels import ROLE_TOKEN
+        lookup = bc.value
+        for b in batches:
+            ids, ords = b.column(0).to_pylist(), b.column(1).to_pylist()
+            roles, texts = b.column(2).to_pylist(), b.column(3).to_pylist()
+            offs, vals = [0], []
+            for role, text in zip(roles, texts):
+                t = lookup.encode(text, escape_specials)
+                m = ROLE_TOKEN.get(role)
+                if m is not None:
+                    t = np.concatenate([np.array([m], np.int32), t])
+                vals.append(t)
+                offs.append(offs[-1] + len(t))
+            flat = np.concatenate(vals) if vals else np.empty(0, np.int32)
+            arr = pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(flat, pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(ords, pa.int64()), arr],
+                                             names=["_id", "_ord", "ids"])
+    return run
+
+
+def _mask_kernel(seq_len: int):
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        from chatloom.functions.kernels import loss_mask
+        for b in batches:
+            n = b.num_rows
+            win = b.column(2)
+            block = np.asarray(win.values.to_numpy(zero_copy_only=False), dtype=np.int32)
+            block = block[win.offsets[0].as_py(): win.offsets[0].as_py() + n * (seq_len + 1)].reshape(n, seq_len + 1)
+            mask = loss_mask(block[:, :-1])
+            offsets = pa.array(np.arange(0, (n + 1) * seq_len, seq_len, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([
+                b.column(0), b.column(1),
+                pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(block[:, :-1]).ravel(), pa.int32())),
+                pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(block[:, 1:]).ravel(), pa.int32())),
+                pa.ListArray.from_arrays(offsets, pa.array(mask.ravel(), pa.int8())),
+            ], names=WINDOWS.names)
+    return run
+
+
+def windows_from_turns(turns: DataFrame, dialogs: DataFrame, lookup, source_name: str = "conversations",
+                       seq_len: int = DEFAULT_SEQ_LEN, stride: int | None = None,
+                       escape_specials: bool = False) -> DataFrame:
+    """F7 without assembling dialogs: ``turns(_id, _ord, _role, _text)`` of kept dialogs,
+    ``dialogs(_id, _last)`` with the last turn key per dialog.
+
+    Tokens per turn → exclusive prefix sums of token counts (range-partitioned, so one
+    huge dialog spans many tasks) → each turn emits the slices it contributes to each
+    overlapping window → ``groupBy(dialog, window)`` (≤ seq_len+1 tokens per group) →
+    mask kernel.  Same output as ``build_windows`` with ``mask_scope='window'``.
+    """
+    from chatloom.operators.batches import prefix_sum
+    stride = stride or seq_len // 2
+    spark = turns.sparkSession
+    ensure_package(spark)
+    bc = broadcast_value(spark, lookup)
+    enc = turns.select("_id", "_ord", "_role", "_text").mapInArrow(
+        _encode_turns_kernel(bc, escape_specials), "_id long, _ord long, ids array<int>")
+    eos = dialogs.select("_id", (F.col("_last") + 1).cast("long").alias("_ord"), F.array(F.lit(EOS_ID)).alias("ids"))
+    toks = enc.unionByName(eos).withColumn("n", F.size("ids").cast("long")).where(F.col("n") > 0)
+    pre = prefix_sum(toks, "_id", ["_ord"], "n", "g0")
+    lens = toks.groupBy("_id").agg(F.sum("n").alias("L"))
+    x = pre.join(lens, "_id")
+    S = seq_len
+    n_win = F.when(F.col("L") <= S + 1, F.lit(1)).otherwise(F.ceil((F.col("L") - S) / F.lit(stride)))
+    w_lo = F.greatest(F.lit(0), F.ceil((F.col("g0") - S) / F.lit(stride)))
+    w_hi = F.least(n_win - 1, F.floor((F.col("g0") + F.col("n") - 1) / F.lit(stride)))
+    pieces = x.select("_id", "g0", "n", "ids", w_lo.cast("long").alias("lo"), w_hi.cast("long").alias("hi")) \
+        .where(F.col("lo") <= F.col("hi")) \
+        .select("_id", "g0", "n", "ids", F.explode(F.sequence("lo", "hi")).alias("w"))
+    s_w = F.col("w") * stride
+    a = F.greatest(s_w, F.col("g0")) - F.col("g0")
+    b = F.least(s_w + S + 1, F.col("g0") + F.col("n")) - F.col("g0")
+    pieces = pieces.select("_id", "w", F.struct((F.greatest(s_w, F.col("g0")) - s_w).alias("off"),
+                                                F.slice("ids", (a + 1).cast("int"), (b - a).cast("int")).alias("p"))
+                           .alias("piece"))
+    grouped = pieces.groupBy("_id", "w").agg(F.array_sort(F.collect_list("piece")).alias("ps"))
+    tok = F.flatten(F.transform("ps", lambda p: p["p"]))
+    padded = F.when(F.size(tok) < S + 1, F.concat(tok, F.array_repeat(F.lit(PAD_ID), S + 1 - F.size(tok)))) \
+        .otherwise(tok)
+    wins = grouped.select(F.concat(F.lit(source_name + ":"), F.col("_id").cast("string")).alias("sample_id"),
+                          F.col("w").cast("int").alias("window_no"), padded.alias("window"))
+    return wins.mapInArrow(_mask_kernel(S), WINDOWS)
+
+
+def turn_table_windows(turns: DataFrame, id_col: str = "conv_id", order_col: str = "turn", role_col: str = "role",
+                       text_col: str = "text", source_name: str = "conversations", seq_len: int = DEFAULT_SEQ_LEN,
+                       stride: int | None = None, max_turns: int = 10_000, escape_specials: bool = False):
+    """B7 → B6 → E1/E2 → F7 for a turn-per-row table, safe for dialogs of any size.
+
+    Returns ``(windows, vocab)``.  Dialog sizes come from a partially aggregated
+    count; dialogs with at most ``max_turns`` turns are assembled and cut by the
+    fused kernel (one row per dialog), larger ones go through ``windows_from_turns``
+    (no per-dialog row).  The vocabulary pass shuffles only distinct
+    (dialog, character) pairs, never the text.
+    """
+    from chatloom.operators.vocab import collect_lookup, number_tokens, dialog_chars
+    from chatloom.sources.tables import assemble_dialogs
+    spark = turns.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    t = turns.select(F.col(id_col).cast("long").alias("_id"), F.col(order_col).cast("long").alias("_ord"),
+                     F.col(role_col).alias("_role"), F.col(text_col).alias("_text"))
+    dlg = t.groupBy("_id").agg(F.count("*").alias("_n"), F.count_if(F.col("_role") == "assistant").alias("_na"),
+                               F.max("_ord").alias("_last"))
+    kept = dlg.where(F.col("_na") > 0).select("_id", "_n", "_last")
+    vocab = number_tokens(dialog_chars(t, kept)).cache()
+    lookup = collect_lookup(vocab)
+    tk = t.repartition(n, "_id").join(kept, "_id")
+    small = tk.where(F.col("_n") <= max_turns).select(
+        F.col("_id").alias(id_col), F.col("_ord").alias(order_col), F.col("_role").alias(role_col),
+        F.col("_text").alias(text_col))
+    samples = assemble_dialogs(small, id_col, order_col, role_col, text_col, source_name, repartition=False)
+    w_small = build_windows(samples, lookup, seq_len, stride, escape_specials=escape_specials)
+    big = tk.where(F.col("_n") > max_turns)
+    w_big = windows_from_turns(big, kept.where(F.col("_n") > max_turns), lookup, source_name, seq_len, stride,
+                               escape_specials)
+    return w_small.unionByName(w_big), vocab

@@ -227,8 +227,7 @@ def q_next_token_pairs(spark, d):
 SELECT sample_id, window_no, string_agg(mask::VARCHAR, '' ORDER BY off) FILTER (WHERE off < {O.S}) AS loss_mask
 FROM win GROUP BY sample_id, window_no""")
 def q_loss_mask(spark, d):
-    s = kept_dialogs(spark, d).cache()
-    w = win.build_windows(s, vocab_from_samples(s))
+    w, _ = dialog_windows(spark, d)
     return w.select("sample_id", "window_no", mask_str("loss_mask").alias("loss_mask"))
 
 
@@ -237,8 +236,7 @@ SELECT sample_id, count(DISTINCT window_no)::BIGINT AS n_windows, sum(mask)::BIG
        round(sum(mask) / (count(DISTINCT window_no) * {O.S}), 6) AS coverage
 FROM win GROUP BY sample_id""")
 def q_mask_coverage(spark, d):
-    s = kept_dialogs(spark, d).cache()
-    c = win.mask_coverage(win.build_windows(s, vocab_from_samples(s)))
+    c = win.mask_coverage(dialog_windows(spark, d)[0])
     return c.select("sample_id", "n_windows", "mask_sum", F.round("coverage", 6).alias("coverage"))
 
 
@@ -249,8 +247,7 @@ SELECT sample_id, window_no,
        string_agg(mask::VARCHAR, '' ORDER BY off) FILTER (WHERE off < {O.S}) AS loss_mask
 FROM win GROUP BY sample_id, window_no""")
 def q_build_windows(spark, d):
-    s = kept_dialogs(spark, d).cache()
-    w = win.build_windows(s, vocab_from_samples(s))
+    w, _ = dialog_windows(spark, d)
     return w.select("sample_id", "window_no", ids_str("input_ids").alias("input_ids"),
                     ids_str("target_ids").alias("target_ids"), mask_str("loss_mask").alias("loss_mask"))
 
@@ -279,24 +276,28 @@ def q_window_summary(spark, d):
     return flagship(spark, d)
 
 
+def dialog_windows(spark, d):
+    """Windows + vocabulary of ``conversations`` through the skew-safe turn-table plan."""
+    return win.turn_table_windows(read_table(spark, d, "conversations"))
+
+
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """How many training windows and supervised tokens does ``conversations`` yield?"""
-    s = kept_dialogs(spark, d).cache()
-    v = vocab_from_samples(s).cache()
-    w = win.build_windows(s, v)
-    n_tok = tok.encode_samples(s, v).agg(F.sum(F.size("token_ids")).cast("long").alias("n_tokens"))
+    from chatloom.functions.text import TOKEN_PATTERN
+    turns = read_table(spark, d, "conversations")
+    w, v = win.turn_table_windows(turns)
+    # tokens per kept dialog, JVM-side: role token + regex token count per turn, one <eos>
+    per_turn = F.when(F.col("role").isin("user", "assistant"), 1).otherwise(0) + F.regexp_count("text", F.lit(TOKEN_PATTERN))
+    dl = turns.groupBy("conv_id").agg(F.count_if(F.col("role") == "assistant").alias("na"),
+                                      F.sum(per_turn).alias("tk")).where("na > 0")
+    heads = dl.agg(F.count("*").cast("long").alias("n_dialogs"), F.sum(F.col("tk") + 1).cast("long").alias("n_tokens"))
     stats = w.agg(
         F.count("*").cast("long").alias("n_windows"),
         F.sum(arr_sum("loss_mask")).cast("long").alias("mask_sum"),
         F.sum(arr_sum("input_ids") + F.element_at("target_ids", -1)).cast("long").alias("ids_sum"),
     )
     # one-row aggregates of different inputs, combined by union + max (no join needed)
-    parts = [
-        s.agg(F.count("*").cast("long").alias("n_dialogs")),
-        v.agg(F.count("*").cast("long").alias("vocab_size")),
-        n_tok,
-        stats,
-    ]
+    parts = [heads, v.agg(F.count("*").cast("long").alias("vocab_size")), stats]
     cols = ["n_dialogs", "vocab_size", "n_tokens", "n_windows", "mask_sum", "ids_sum"]
     u = None
     for p in parts:

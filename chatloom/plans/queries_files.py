@@ -9,10 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from chatloom.operators.vocab import vocab_from_samples
-from chatloom.operators.windows import build_windows
 from chatloom.plans import oracle as O
-from chatloom.plans.catalog import arr_sum, kept_dialogs, register
+from chatloom.plans.catalog import arr_sum, dialog_windows, register
 from chatloom.plans.dialects import KEEP_NULLS, alpaca_items, moss_items, sharegpt_items
 from chatloom.session import work_dir
 from chatloom.sources import files as FS
@@ -215,9 +213,8 @@ SELECT sample_id, window_no, (sum(id) FILTER (WHERE off < {O.S}))::BIGINT AS inp
        (sum(id) FILTER (WHERE off > 0))::BIGINT AS target_sum, sum(mask)::BIGINT AS n_true
 FROM win GROUP BY sample_id, window_no""")
 def q_write_windows(spark, d):
-    s = kept_dialogs(spark, d).cache()
     path = work_dir(spark, "windows") + "/windows"
-    write_windows(build_windows(s, vocab_from_samples(s)), path, max_records_per_file=500)
+    write_windows(dialog_windows(spark, d)[0], path, max_records_per_file=500)
     back = spark.read.parquet(path)
     return back.select("sample_id", "window_no", arr_sum("input_ids").alias("input_sum"),
                        arr_sum("target_ids").alias("target_sum"),

@@ -13,9 +13,8 @@ from chatloom.operators.normalize import (
 )
 from chatloom.operators.samples import accumulate_load, clear_samples, union_samples
 from chatloom.operators.vocab import load_vocab, save_vocab, vocab_from_samples
-from chatloom.operators.windows import build_windows
 from chatloom.plans import oracle as O
-from chatloom.plans.catalog import doc_samples, kept_dialogs, register
+from chatloom.plans.catalog import dialog_windows, doc_samples, kept_dialogs, register
 from chatloom.plans.dialects import alpaca_records, moss_records, sharegpt_records
 from chatloom.session import work_dir
 from chatloom.sources.tables import read_table
@@ -213,8 +212,7 @@ lens AS (SELECT sample_id, count(*) AS L FROM ids GROUP BY sample_id),
 nw AS (SELECT sum(CASE WHEN L <= {O.S + 1} THEN 1 ELSE ceil((L - {O.S}) / {O.STRIDE}) END)::BIGINT AS n FROM lens)
 SELECT n AS n_windows, ceil(n / 8)::BIGINT AS batches, (ceil(n / 8) * 12)::BIGINT AS steps FROM nw""")
 def q_training_plan(spark, d):
-    s = kept_dialogs(spark, d).cache()
-    return P.training_plan(build_windows(s, vocab_from_samples(s)), batch_size=8, epochs=12)
+    return P.training_plan(dialog_windows(spark, d)[0], batch_size=8, epochs=12)
 
 
 @register("turn_totals", O.with_(CONV_AGG, SGPT, MOSS, ALPACA) + """

@@ -14,10 +14,9 @@ from chatloom.operators import bigram as BG
 from chatloom.operators import sampling as H
 from chatloom.operators import trainlog as G
 from chatloom.operators.batches import batch_windows, dense_positions, shuffle_samples
-from chatloom.operators.vocab import vocab_from_samples
-from chatloom.operators.windows import build_windows
+from chatloom.operators.windows import turn_table_windows
 from chatloom.plans import oracle as O
-from chatloom.plans.catalog import kept_dialogs, register
+from chatloom.plans.catalog import register
 from chatloom.sources.tables import read_table
 
 SEED = 0
@@ -32,9 +31,7 @@ def _r6(c):
 
 # -- shared Spark inputs -----------------------------------------------------------------------------------
 def dialog_windows(spark, d):
-    s = kept_dialogs(spark, d).cache()
-    v = vocab_from_samples(s).cache()
-    return build_windows(s, v), v
+    return turn_table_windows(read_table(spark, d, "conversations"))
 
 
 def train_log(spark, d, epoch_len: int):

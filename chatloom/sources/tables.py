@@ -41,6 +41,7 @@ def assemble_dialogs(
     role_col: str = "role",
     text_col: str = "text",
     source_name: str = "conversations",
+    repartition: bool = True,
 ) -> DataFrame:
     """Turn-per-row table -> one ``samples`` row per dialog, turns in order.
 
@@ -50,7 +51,8 @@ def assemble_dialogs(
     exchange.  ``collect_list`` state per group is one dialog.
     """
     n = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    g = turns.repartition(n, id_col).groupBy(id_col).agg(
+    src = turns.repartition(n, id_col) if repartition else turns
+    g = src.groupBy(id_col).agg(
         F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("o"), F.col(role_col).alias("role"),
                                              F.col(text_col).alias("content")))).alias("_t")
     )

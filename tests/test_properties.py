@@ -95,3 +95,27 @@ def test_batch_loss_null_when_unsupervised(spark):
                                "run_id long, batch_id long, nll double, mask int")
     got = {r.batch_id: r.loss for r in G.masked_batch_loss(tl).collect()}
     assert got == {1: None, 2: 1.0}
+
+
+def test_hot_dialog_turn_path_equals_kernel_path(spark):
+    from chatloom.operators.windows import turn_table_windows
+    from chatloom.sources.tables import assemble_dialogs
+    rows = []
+    for t in range(3000):                                   # one dialog holds most of the rows
+        rows.append((7, t, "user" if t % 2 == 0 else "assistant", f"msg {t} <eos>" if t % 97 == 0 else f"m{t}é"))
+    for c in range(20):
+        for t in range(6):
+            rows.append((100 + c, t, ["system", "user", "assistant"][t % 3], f"c{c}t{t} 😀"))
+    rows.append((500, 0, "user", "no answer"))
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    w_turn, v = turn_table_windows(turns, max_turns=100)
+    kept = assemble_dialogs(turns).where("turns > 0")
+    w_ref = build_windows(kept, v)
+
+    def digest(df):
+        return df.select(F.count("*"), F.sum(F.crc32(F.concat_ws(
+            "|", "sample_id", F.col("window_no").cast("string"),
+            F.array_join(F.col("input_ids").cast("array<string>"), ","),
+            F.array_join(F.col("loss_mask").cast("array<string>"), ""))))).first()
+    assert digest(w_turn) == digest(w_ref)
+    assert w_turn.where("sample_id = 'conversations:500'").count() == 0
