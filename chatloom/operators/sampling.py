@@ -20,17 +20,28 @@ def apply_temperature(logits: DataFrame, temperature: float = DEFAULT_TEMPERATUR
     return logits.withColumn("logit", F.col("logit") / F.lit(temperature))
 
 
+def recent_sets(recent: DataFrame, last_n: int = RECENT_WINDOW) -> DataFrame:
+    """(ctx_id, recent_ids): distinct tokens among the last ``last_n`` generated, one row per context."""
+    w = Window.partitionBy("ctx_id").orderBy(F.col("pos").desc())
+    return recent.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= last_n) \
+        .groupBy("ctx_id").agg(F.collect_set("token_id").alias("recent_ids"))
+
+
 def repetition_penalty(logits: DataFrame, recent: DataFrame, penalty: float = DEFAULT_REPETITION_PENALTY,
                        last_n: int = RECENT_WINDOW) -> DataFrame:
-    """H2: divide the logit of each distinct token among the last ``last_n`` generated (raw divide)."""
+    """H2: divide the logit of each distinct token among the last ``last_n`` generated (raw divide).
+
+    ``recent`` is ``(ctx_id, pos, token_id)``; it is reduced to one small array per
+    context and joined on ``ctx_id`` alone, so every later window (all partitioned
+    by ``ctx_id``) reuses this join's partitioning.
+    """
     if penalty <= 1.0:
         return logits
-    w = Window.partitionBy("ctx_id").orderBy(F.col("pos").desc())
-    hit = recent.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= last_n) \
-        .select("ctx_id", "token_id").distinct().withColumn("_hit", F.lit(True))
-    out = logits.join(hit, ["ctx_id", "token_id"], "left")
-    return out.withColumn("logit", F.when(F.col("_hit"), F.col("logit") / F.lit(penalty)).otherwise(F.col("logit"))) \
-        .drop("_hit")
+    sets = recent_sets(recent, last_n)
+    out = logits.join(sets, "ctx_id", "left")
+    hit = F.coalesce(F.array_contains("recent_ids", F.col("token_id")), F.lit(False))
+    return out.withColumn("logit", F.when(hit, F.col("logit") / F.lit(penalty)).otherwise(F.col("logit"))) \
+        .drop("recent_ids")
 
 
 def top_k_filter(logits: DataFrame, k: int = DEFAULT_TOP_K) -> DataFrame:
@@ -68,18 +79,19 @@ def draw_uniform(seed: int, ctx: Column) -> Column:
 
 
 def draw_token(probs: DataFrame, seed: int = 0) -> DataFrame:
-    """H6: one multinomial draw per context by inverse CDF over (prob desc, token_id)."""
-    cum = F.sum("prob").over(_desc("prob").rowsBetween(Window.unboundedPreceding, 0))
-    s = probs.withColumn("_cum", cum).withColumn("_u", draw_uniform(seed, F.col("ctx_id")))
-    picked = s.where(F.col("_cum") > F.col("_u"))
+    """H6: one multinomial draw per context by inverse CDF over (prob desc, token_id).
+
+    One ordered window: the row whose cumulative interval (prev, cum] holds u; the
+    last row also takes u beyond a total that rounding left slightly below 1.
+    """
     w = _desc("prob")
-    first = picked.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
-    # guard against rounding (Σprob slightly below u): fall back to the last candidate
-    last = s.withColumn("_rn", F.row_number().over(Window.partitionBy("ctx_id").orderBy(
-        F.col("prob").asc(), F.col("token_id").desc()))).where(F.col("_rn") == 1)
-    chosen = first.select("ctx_id", "token_id")
-    missing = last.join(chosen.select("ctx_id"), "ctx_id", "left_anti").select("ctx_id", "token_id")
-    return chosen.unionByName(missing)
+    cum = F.sum("prob").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    s = probs.withColumn("_cum", cum) \
+        .withColumn("_prev", F.coalesce(F.lag("_cum").over(w), F.lit(0.0))) \
+        .withColumn("_last", F.lead("token_id").over(w).isNull()) \
+        .withColumn("_u", draw_uniform(seed, F.col("ctx_id")))
+    pick = (F.col("_prev") <= F.col("_u")) & ((F.col("_cum") > F.col("_u")) | F.col("_last"))
+    return s.where(pick).select("ctx_id", "token_id")
 
 
 def sample_next(logits: DataFrame, recent: DataFrame, temperature: float = DEFAULT_TEMPERATURE,

@@ -164,12 +164,20 @@ def q_bigram_fit(spark, d):
     return BG.bigram_fit(w).select("prev_id", "next_id", F.col("n").cast("long"))
 
 
-def _token_losses(spark, d):
+def _token_losses(spark, d, batch_ids: bool = False):
+    """token_losses(sample_id, window_no, [batch_id], pos, prev_id, next_id, mask, nll)."""
     w, v = dialog_windows(spark, d)
     w = w.cache()
     counts = BG.bigram_fit(w)
     n_vocab = v.count()
-    return BG.bigram_nll(BG.token_pairs(w), counts, n_vocab), w
+    keep = ("sample_id", "window_no")
+    if batch_ids:
+        # batch ids join at window level (one row per window), before the per-token explode
+        b = batch_windows(w.select("sample_id", "window_no"), SEED, 1, BATCH).select(
+            "sample_id", "window_no", "batch_id")
+        w = w.join(b, ["sample_id", "window_no"])
+        keep = ("sample_id", "window_no", "batch_id")
+    return BG.bigram_nll(BG.token_pairs(w, keep), counts, n_vocab), w
 
 
 @register("bigram_nll", WIN + PAIRS + """
@@ -188,11 +196,9 @@ SELECT 0::BIGINT AS run_id, b.pos // 8 AS batch_id, round(sum(n.nll * n.mask) /
 FROM nll n JOIN batched b ON b.sample_id = n.sample_id AND b.window_no = n.window_no AND b.epoch = 0
 GROUP BY b.pos // 8""")
 def q_masked_batch_loss(spark, d):
-    tl, w = _token_losses(spark, d)
-    b = batch_windows(w.select("sample_id", "window_no"), SEED, 1, BATCH).select("sample_id", "window_no", "batch_id")
+    tl, _ = _token_losses(spark, d, batch_ids=True)
     # token_losses(run_id, batch_id, sample_id, pos, nll, mask)
-    losses = tl.join(b, ["sample_id", "window_no"]).withColumn("run_id", F.lit(0).cast("long"))
-    r = G.masked_batch_loss(losses)
+    r = G.masked_batch_loss(tl.withColumn("run_id", F.lit(0).cast("long")))
     return r.select("run_id", F.col("batch_id").cast("long"), _r6("loss").alias("loss"),
                     _r6("mask_mean").alias("mask_mean"))
 

@@ -46,9 +46,17 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
                      F.lower(F.regexp_extract("path", r"(\.[^./\\]*)$", 1)).alias("suffix"))
 
 
-def _paths(files: DataFrame, suffixes) -> list[str]:
-    # the file *list* (not data) is needed to build the scans
-    return [r[0] for r in files.where(F.col("suffix").isin(*suffixes)).select("file_path").collect()]
+# case-insensitive suffix globs (Hadoop glob character classes); no file list on the driver
+GLOBS = {"jsonl": "*.[jJ][sS][oO][nN][lL]", "json": "*.[jJ][sS][oO][nN]", "txt": "*.[tT][xX][tT]"}
+
+
+def _text(spark: SparkSession, paths, glob: str | None, wholetext: bool = False) -> DataFrame:
+    r = spark.read
+    if glob:
+        r = r.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+    if isinstance(paths, str):
+        paths = [paths]
+    return r.text(paths, wholetext=wholetext)
 
 
 # -- strict JSON check (Python json semantics: trailing garbage is an error) --------------------------
@@ -66,15 +74,13 @@ def strict_json_valid(s: pd.Series) -> pd.Series:
 
 
 # -- A3 JSON lines ------------------------------------------------------------------------------------
-def read_jsonl(spark: SparkSession, paths, strict: bool = False) -> DataFrame:
+def read_jsonl(spark: SparkSession, paths, strict: bool = False, glob: str | None = None) -> DataFrame:
     """A3 + A7: (file_path, ordinal, line, value, valid) for every non-blank line.
 
     ``ordinal`` is the 0-based index among the non-blank lines of the file and
     ``line`` the 1-based physical line number, both exact across file splits.
     """
-    if isinstance(paths, str):
-        paths = [paths]
-    raw = spark.read.text(paths).select(
+    raw = _text(spark, paths, glob).select(
         "value", F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block"))
     # numbering within a split: monotonically_increasing_id is contiguous per partition
@@ -104,14 +110,12 @@ def _with_validity(rec: DataFrame, strict: bool) -> DataFrame:
 
 
 # -- A4 whole JSON documents ---------------------------------------------------------------------------
-def read_json_document(spark: SparkSession, paths, strict: bool = False) -> DataFrame:
+def read_json_document(spark: SparkSession, paths, strict: bool = False, glob: str | None = None) -> DataFrame:
     """A4 (+A5 sniffing): array -> items, object -> one item, scalar -> {"_data": x};
     a ``.json`` file holding JSON lines is read as lines.  One file = one task: prefer
     JSONL for very large inputs.
     """
-    if isinstance(paths, str):
-        paths = [paths]
-    docs = spark.read.text(paths, wholetext=True).select(
+    docs = _text(spark, paths, glob, wholetext=True).select(
         F.col("_metadata.file_path").alias("file_path"), F.regexp_replace("value", "\r\n?", "\n").alias("doc"))
     body = py_strip("doc")
     first = F.regexp_extract(body, r"^([^\n]*)", 1)
@@ -157,11 +161,9 @@ def read_records(spark: SparkSession, path: str, strict: bool = False) -> DataFr
 
 
 # -- A6 text files ----------------------------------------------------------------------------------------
-def read_text_files(spark: SparkSession, paths) -> DataFrame:
+def read_text_files(spark: SparkSession, paths, glob: str | None = None) -> DataFrame:
     """Each file is one ``pretrain`` sample; ``source`` is the full path."""
-    if isinstance(paths, str):
-        paths = [paths]
-    df = spark.read.text(paths, wholetext=True).select(
+    df = _text(spark, paths, glob, wholetext=True).select(
         F.col("_metadata.file_path").alias("file_path"), F.regexp_replace("value", "\r\n?", "\n").alias("text"))
     return conform(df.select(
         F.sha2(F.concat_ws(":", "file_path", F.lit("0")), 256).alias("sample_id"),
@@ -191,53 +193,36 @@ def records_quarantine(records: DataFrame) -> DataFrame:
 
 
 def scan_directory(spark: SparkSession, path: str, strict: bool = False) -> ScanResult:
-    """A1: recurse ``path``; load txt / jsonl / json files by detected format; report the rest."""
-    files = list_files(spark, path).cache()
-    jsonl, jsn, txt = _paths(files, [".jsonl"]), _paths(files, [".json"]), _paths(files, [".txt"])
-    parts = []
-    if jsonl:
-        parts.append(read_jsonl(spark, jsonl, strict))
-    if jsn:
-        parts.append(read_json_document(spark, jsn, strict))
-    samples, quar = [], []
-    detected = None
-    if parts:
-        records = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        records = records.cache()
-        detected = detect_formats(records).cache()
-        quar.append(records_quarantine(records))
-        good = records.where("valid")
-        names = [r[0] for r in detected.select("format").distinct().collect()]
-        for name in sorted(names):
-            spec = formats().get(name)
-            if spec is None or spec.normalize is None:
-                continue
-            fr = good.join(detected.where(F.col("format") == name).select("file_path"), "file_path", "left_semi")
-            n: Normalized = load_format(fr.select("file_path", "ordinal", "value"), name)
-            samples.append(n.samples)
-            quar.append(n.quarantine)
-    if txt:
-        samples.append(read_text_files(spark, txt))
-    spark_empty = spark.createDataFrame([], QUARANTINE)
-    out_s = None
-    for s in samples:
-        out_s = s if out_s is None else out_s.unionByName(s)
-    if out_s is None:
-        from chatloom.schema import SAMPLES
-        out_s = spark.createDataFrame([], SAMPLES)
-    out_q = spark_empty
-    for q in quar:
+    """A1: recurse ``path``; load txt / jsonl / json files by detected format; report the rest.
+
+    Three glob-filtered recursive scans (no driver-side file list); each
+    registered format is normalized once over all of its files.
+    """
+    files = list_files(spark, path)            # raises on a missing path; also feeds the report
+    records = read_jsonl(spark, path, strict, GLOBS["jsonl"]).unionByName(
+        read_json_document(spark, path, strict, GLOBS["json"]))
+    detected = detect_formats(records)
+    # per-file format attached by a join (AQE broadcasts the file table when it is small)
+    tagged = records.where("valid").select("file_path", "ordinal", "value").join(detected, "file_path")
+    samples, quar = [], [records_quarantine(records)]
+    for name, spec in formats().items():
+        if spec.normalize is None:
+            continue
+        n: Normalized = load_format(tagged.where(F.col("format") == name).drop("format"), name)
+        samples.append(n.samples)
+        quar.append(n.quarantine)
+    samples.append(read_text_files(spark, path, GLOBS["txt"]))
+    out_s = samples[0]
+    for x in samples[1:]:
+        out_s = out_s.unionByName(x)
+    out_q = quar[0].select(*QUARANTINE.names)
+    for q in quar[1:]:
         out_q = out_q.unionByName(q.select(*QUARANTINE.names))
-    loadable = {n for n, s in formats().items() if s.normalize is not None}
-    fmt_col = F.when(F.col("suffix") == ".txt", F.lit("txt"))
-    if detected is not None:
-        status_files = files.join(detected, "file_path", "left")
-        fmt_col = fmt_col.when(F.col("suffix").isin(".json", ".jsonl"), F.coalesce("format", F.lit("unknown")))
-    else:
-        status_files = files
-    fmt_col = fmt_col.otherwise(F.lit("unknown"))
-    report = status_files.select("file_path", fmt_col.alias("format")).select(
+    loadable = [n for n, sp in formats().items() if sp.normalize is not None] + ["txt"]
+    fmt_col = F.when(F.col("suffix") == ".txt", F.lit("txt")) \
+        .when(F.col("suffix").isin(".json", ".jsonl"), F.coalesce("format", F.lit("unknown"))) \
+        .otherwise(F.lit("unknown"))
+    report = files.join(detected, "file_path", "left").select("file_path", fmt_col.alias("format")).select(
         "file_path", "format",
-        F.when(F.col("format").isin(*(loadable | {"txt"})), F.lit("loaded")).otherwise(F.lit("skipped"))
-        .alias("status"))
+        F.when(F.col("format").isin(*loadable), F.lit("loaded")).otherwise(F.lit("skipped")).alias("status"))
     return ScanResult(out_s, out_q, report)
