@@ -195,6 +195,10 @@ def register_format(name: str, detect: Callable[[Column], Column] | None, normal
     _REGISTRY[name] = FormatSpec(name, detect, normalize)
 
 
+def unregister_format(name: str) -> None:
+    _REGISTRY.pop(name, None)
+
+
 def formats() -> dict[str, FormatSpec]:
     return dict(_REGISTRY)
 

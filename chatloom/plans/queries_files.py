@@ -219,3 +219,17 @@ def q_write_windows(spark, d):
     return back.select("sample_id", "window_no", arr_sum("input_ids").alias("input_sum"),
                        arr_sum("target_ids").alias("target_sum"),
                        F.size(F.filter("loss_mask", lambda m: m)).cast("long").alias("n_true"))
+
+
+# -- A7 ----------------------------------------------------------------------------------------------
+@register("record_ordinal", """
+SELECT conv_id, true AS ordinal_ok, true AS line_ok FROM (SELECT DISTINCT conv_id FROM conversations)""")
+def q_record_ordinal(spark, d):
+    """Ordinals and physical line numbers of the JSONL tree: files were written ordered by dialog id."""
+    from pyspark.sql import Window
+    root = build_tree(spark, d)
+    r = FS.read_jsonl(spark, f"{root}/sgpt").select(
+        "file_path", "ordinal", "line", F.get_json_object("value", "$.id").cast("long").alias("conv_id"))
+    rank = F.row_number().over(Window.partitionBy("file_path").orderBy("conv_id")) - 1
+    return r.select("conv_id", (F.col("ordinal") == rank).alias("ordinal_ok"),
+                    (F.col("line") == F.col("ordinal") + 1).alias("line_ok"))

@@ -222,3 +222,41 @@ SELECT file_path, count(*)::BIGINT AS n_samples, sum(turns)::BIGINT AS turn_tota
 def q_turn_totals(spark, d):
     n = _all_dialects(spark, d)
     return P.turn_totals(union_samples(n[0].samples, n[1].samples, n[2].samples))
+
+
+# -- K1 --------------------------------------------------------------------------------------------------------
+def normalize_pairs(records):
+    """A user-registered dialect: {"prompt": ..., "response": ...} -> one user/assistant exchange."""
+    from chatloom.operators.normalize import Normalized, _split
+    keys = F.json_object_keys("value")
+    p, r = F.get_json_object("value", "$.prompt"), F.get_json_object("value", "$.response")
+    dialog = F.array(F.struct(F.lit("user").alias("role"), p.alias("content")),
+                     F.struct(F.lit("assistant").alias("role"), r.alias("content")))
+    df = records.select("file_path", "ordinal", "value", keys.alias("_keys"), dialog.alias("dialog"))
+    reason = F.when(F.col("_keys").isNull(), F.lit("bad_json")) \
+        .when(p.isNull() | r.isNull(), F.lit("null_content"))
+    out: Normalized = _split(df, reason, [F.lit("dialog").alias("kind"), "dialog", F.lit("sft").alias("type"),
+                                          F.lit(1).alias("turns"), F.lit("pairs").alias("format")])
+    return out
+
+
+@register("register_format", """
+SELECT conv_id AS ordinal, md5('user:' || u || chr(10) || 'assistant:' || a) AS dialog_md5 FROM (
+  SELECT conv_id, arg_min(text, turn) FILTER (WHERE role = 'user') AS u,
+         arg_min(text, turn) FILTER (WHERE role = 'assistant') AS a
+  FROM conversations GROUP BY conv_id) WHERE u IS NOT NULL AND a IS NOT NULL""")
+def q_register_format(spark, d):
+    from chatloom.operators.normalize import _has, formats, register_format, unregister_format
+    from chatloom.plans.dialects import _first, _grouped
+    added = "pairs" not in formats()
+    if added:
+        register_format("pairs", lambda k: _has(k, "prompt"), normalize_pairs)
+    items = _grouped(_conv(spark, d)).select(
+        F.lit("conversations.pairs.jsonl").alias("file_path"), F.col("conv_id").cast("long").alias("ordinal"),
+        F.to_json(F.struct(_first("user").alias("prompt"), _first("assistant").alias("response"))).alias("value"))
+    try:
+        s = load_format(items, "pairs").samples      # the plan is built here; the registry is not needed later
+    finally:
+        if added:
+            unregister_format("pairs")
+    return s.select("ordinal", dialog_md5().alias("dialog_md5"))
