@@ -63,8 +63,8 @@ def batch_windows(windows: DataFrame, seed: int = 0, epochs: int = 1,
     return pos.withColumn("batch_id", (F.col("pos") / F.lit(batch_size)).cast("long"))
 
 
-def _running_sum_kernel(group_col: str, value_col: str):
-    """mapInArrow body: inclusive running sum of ``value_col`` per contiguous ``group_col`` run.
+def _running_sum_kernel(group_col: str, value_cols: list[str]):
+    """mapInArrow body: inclusive running sums of ``value_cols`` per contiguous ``group_col`` run.
 
     The partition arrives sorted by (group, order); the carry crosses batch borders.
     """
@@ -72,35 +72,42 @@ def _running_sum_kernel(group_col: str, value_col: str):
         import numpy as np
         import pandas as pd
         import pyarrow as pa
-        last_key, carry = None, 0
+        last_key, carry = None, None
         for b in batches:
-            keys = b.column(b.schema.get_field_index(group_col)).to_pandas()
-            floating = pa.types.is_floating(b.schema.field(value_col).type)
-            vals = b.column(b.schema.get_field_index(value_col)).to_numpy(zero_copy_only=False)
-            vals = np.nan_to_num(vals.astype(np.float64 if floating else np.int64))
-            if len(vals) == 0:
-                yield pa.RecordBatch.from_arrays(list(b.columns) + [pa.array(vals)],
-                                                 names=list(b.schema.names) + ["_run"])
+            n = b.num_rows
+            names = list(b.schema.names)
+            if n == 0:
+                yield pa.RecordBatch.from_arrays(
+                    list(b.columns) + [pa.array(np.empty(0)) for _ in value_cols],
+                    names=names + [f"_run_{c}" for c in value_cols])
                 continue
+            keys = b.column(names.index(group_col)).to_pandas()
             codes = pd.factorize(keys, sort=False)[0]
-            new_run = np.ones(len(vals), dtype=bool)
+            new_run = np.ones(n, dtype=bool)
             new_run[1:] = codes[1:] != codes[:-1]
-            cs = np.cumsum(vals)
             starts = np.flatnonzero(new_run)
-            base = np.repeat(cs[starts] - vals[starts], np.diff(np.append(starts, len(vals))))
-            out = cs - base
-            if keys.iloc[0] == last_key:          # continue the group of the previous batch
-                first_end = starts[1] if len(starts) > 1 else len(vals)
-                out[:first_end] += carry
-            last_key, carry = keys.iloc[-1], out[-1]
-            yield pa.RecordBatch.from_arrays(list(b.columns) + [pa.array(out)],
-                                             names=list(b.schema.names) + ["_run"])
+            lengths = np.diff(np.append(starts, n))
+            first_end = starts[1] if len(starts) > 1 else n
+            cont = keys.iloc[0] == last_key
+            outs = []
+            for j, c in enumerate(value_cols):
+                col = b.column(names.index(c))
+                floating = pa.types.is_floating(col.type)
+                vals = np.nan_to_num(col.to_numpy(zero_copy_only=False).astype(np.float64 if floating else np.int64))
+                cs = np.cumsum(vals)
+                out = cs - np.repeat(cs[starts] - vals[starts], lengths)
+                if cont:
+                    out[:first_end] += carry[j]
+                outs.append(out)
+            last_key, carry = keys.iloc[-1], [o[-1] for o in outs]
+            yield pa.RecordBatch.from_arrays(list(b.columns) + [pa.array(o) for o in outs],
+                                             names=names + [f"_run_{c}" for c in value_cols])
     return run
 
 
-def prefix_sum(df: DataFrame, group_col: str, order_cols: list[str], value_col: str, out_col: str,
+def prefix_sum(df: DataFrame, group_col: str, order_cols: list[str], value_cols, out_cols,
                partitions: int | None = None) -> DataFrame:
-    """Exclusive prefix sum of ``value_col`` within ``group_col`` in ``order_cols`` order, distributed.
+    """Exclusive prefix sums of ``value_cols`` within ``group_col`` in ``order_cols`` order, distributed.
 
     Same shape as ``dense_positions``: range partitions (a hot group spans many of
     them), a frozen checkpoint, per-(partition, group) totals turned into offsets,
@@ -109,6 +116,8 @@ def prefix_sum(df: DataFrame, group_col: str, order_cols: list[str], value_col:
     from pyspark.sql import types as T
 
     from chatloom.plans.runtime import ensure_package
+    if isinstance(value_cols, str):
+        value_cols, out_cols = [value_cols], [out_cols]
     spark = df.sparkSession
     checkpoint_dir(spark)
     ensure_package(spark)
@@ -116,14 +125,20 @@ def prefix_sum(df: DataFrame, group_col: str, order_cols: list[str], value_col:
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("_pid", F.spark_partition_id())
     frozen = ranged.checkpoint(eager=True)
-    vtype = frozen.schema[value_col].dataType
-    run_type = T.DoubleType() if isinstance(vtype, (T.DoubleType, T.FloatType)) else T.LongType()
-    ran = frozen.mapInArrow(_running_sum_kernel(group_col, value_col),
-                            T.StructType(list(frozen.schema.fields) + [T.StructField("_run", run_type)]))
-    totals = frozen.groupBy("_pid", group_col).agg(F.sum(value_col).alias("_s"))
+    fields = list(frozen.schema.fields)
+    for c in value_cols:
+        vt = frozen.schema[c].dataType
+        fields.append(T.StructField(f"_run_{c}", T.DoubleType() if isinstance(vt, (T.DoubleType, T.FloatType))
+                                    else T.LongType()))
+    ran = frozen.mapInArrow(_running_sum_kernel(group_col, list(value_cols)), T.StructType(fields))
+    totals = frozen.groupBy("_pid", group_col).agg(*[F.sum(c).alias(f"_s_{c}") for c in value_cols])
     w = Window.partitionBy(group_col).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_pid", group_col, F.coalesce(F.sum("_s").over(w), F.lit(0)).alias("_off"))
+    offsets = totals.select("_pid", group_col, *[F.coalesce(F.sum(f"_s_{c}").over(w), F.lit(0)).alias(f"_off_{c}")
+                                                 for c in value_cols])
     if offsets.count() <= BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
     out = ran.join(offsets, ["_pid", group_col])
-    return out.withColumn(out_col, F.col("_off") + F.col("_run") - F.col(value_col)).drop("_pid", "_run", "_off")
+    for c, o in zip(value_cols, out_cols):
+        out = out.withColumn(o, F.col(f"_off_{c}") + F.col(f"_run_{c}") - F.col(c))
+    drop = ["_pid"] + [f"_run_{c}" for c in value_cols] + [f"_off_{c}" for c in value_cols]
+    return out.drop(*drop)

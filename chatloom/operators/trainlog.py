@@ -1,4 +1,9 @@
-"""Training-log analytics over ``train_log`` / ``token_losses`` (windows partitioned by run/epoch)."""
+"""Training-log analytics over ``train_log`` / ``token_losses``.
+
+Per-step work never runs as one window over a whole run or epoch: rolling means
+come from distributed prefix sums, epoch starts from grouped aggregates.  Windows
+remain only over per-run *epoch* rows (a handful per run).
+"""
 
 from __future__ import annotations
 
@@ -27,13 +32,28 @@ def perplexity(train_log: DataFrame) -> DataFrame:
 
 
 def rolling_metrics(train_log: DataFrame, every: int = LOG_EVERY, window: int = ROLLING) -> DataFrame:
-    """At steps with step % every == 0, means over the last <= ``window`` steps of the same epoch."""
-    w = Window.partitionBy("run_id", "epoch").orderBy("step").rowsBetween(-(window - 1), 0)
+    """At steps with step % every == 0, means over the last <= ``window`` steps of the same epoch.
+
+    No window partitioned by (run, epoch): a hot run/epoch would be one task.  The
+    mean is a difference of distributed prefix sums (range-partitioned), and the
+    row ``window - 1`` positions back is found by an equi-join on (run/epoch, position).
+    """
+    from chatloom.operators.batches import prefix_sum
+    vals = ["loss", "grad_norm", "mask_mean", "ppl"]
     x = perplexity(train_log).select(
-        "run_id", "epoch", "step", "ts", "loss", "grad_norm", "mask_mean", "ppl",
-        F.avg("loss").over(w).alias("avg_loss"), F.avg("grad_norm").over(w).alias("avg_grad"),
-        F.avg("mask_mean").over(w).alias("avg_mask"), F.avg("ppl").over(w).alias("avg_ppl"))
-    return x.where(F.col("step") % every == 0)
+        "run_id", "epoch", "step", *vals,
+        F.concat_ws(":", F.col("run_id").cast("string"), F.col("epoch").cast("string")).alias("_g"),
+        F.lit(1).cast("long").alias("_one"))
+    p = prefix_sum(x, "_g", ["step"], vals + ["_one"], [f"_x_{v}" for v in vals] + ["_pos"])
+    logs = p.where(F.col("step") % every == 0).withColumn("_back", F.col("_pos") - (window - 1))
+    back = p.select(F.col("_g").alias("_bg"), F.col("_pos").alias("_bpos"),
+                    *[F.col(f"_x_{v}").alias(f"_b_{v}") for v in vals])
+    j = logs.join(back, (logs["_g"] == back["_bg"]) & (logs["_back"] == back["_bpos"]), "left")
+    n = F.least(F.col("_pos") + 1, F.lit(window))
+    avg = {v: (F.col(f"_x_{v}") + F.col(v) - F.coalesce(F.col(f"_b_{v}"), F.lit(0.0))) / n for v in vals}
+    return j.select("run_id", "epoch", "step", *vals,
+                    avg["loss"].alias("avg_loss"), avg["grad_norm"].alias("avg_grad"),
+                    avg["mask_mean"].alias("avg_mask"), avg["ppl"].alias("avg_ppl"))
 
 
 def epoch_loss(train_log: DataFrame) -> DataFrame:
@@ -89,16 +109,17 @@ def checkpoint_schedule(epochs: DataFrame, every: int = CHECKPOINT_EVERY, patien
 
 
 def throughput(train_log: DataFrame, every: int = LOG_EVERY) -> DataFrame:
-    """At logging steps, batches done in the epoch / seconds since the epoch's first step."""
-    we = Window.partitionBy("run_id", "epoch")
-    x = train_log.select(
-        "run_id", "epoch", "step",
-        (F.col("step") - F.min("step").over(we) + 1).alias("done"),
-        (F.unix_micros("ts") - F.min(F.unix_micros("ts")).over(we)).alias("_us"))
-    x = x.where(F.col("step") % every == 0)
-    return x.select("run_id", "epoch", "step", "done",
-                    F.when(F.col("_us") > 0, F.col("done") / (F.col("_us") / F.lit(1e6))).otherwise(F.lit(0.0))
-                    .alias("steps_per_sec"))
+    """At logging steps, batches done in the epoch / seconds since the epoch's first step.
+
+    The epoch start is a grouped aggregate joined to the logging rows (no window over the epoch).
+    """
+    first = train_log.groupBy("run_id", "epoch").agg(F.min("step").alias("_s0"),
+                                                      F.min(F.unix_micros("ts")).alias("_t0"))
+    x = train_log.where(F.col("step") % every == 0).join(first, ["run_id", "epoch"])
+    done = F.col("step") - F.col("_s0") + 1
+    us = F.unix_micros("ts") - F.col("_t0")
+    return x.select("run_id", "epoch", "step", done.alias("done"),
+                    F.when(us > 0, done / (us / F.lit(1e6))).otherwise(F.lit(0.0)).alias("steps_per_sec"))
 
 
 def l2_norm(values: DataFrame, by: list[str], col: str) -> DataFrame:

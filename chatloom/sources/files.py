@@ -123,12 +123,13 @@ def read_json_document(spark: SparkSession, paths, strict: bool = False, glob: s
     candidate = F.when((F.substring(body, 1, 1) != "[") & (F.instr(body, "\n") > 0), py_strip(first))
     docs = docs.withColumn("_lines", F.coalesce(strict_json_valid(candidate), F.lit(False)))
     # JSON lines inside a .json file: split, number non-blank lines
-    lines = docs.where("_lines").select(
-        "file_path", F.posexplode(F.split("doc", "\n")).alias("_pos", "value"))
-    lines = lines.withColumn("value", py_strip("value")).where(F.col("value") != "")
-    lw = Window.partitionBy("file_path").orderBy("_pos")
-    lines = lines.select("file_path", (F.row_number().over(lw) - 1).cast("long").alias("ordinal"),
-                         (F.col("_pos") + 1).cast("long").alias("line"), "value")
+    # blank lines are dropped inside the array, so the exploded position is the ordinal (no window)
+    numbered = F.filter(
+        F.transform(F.split("doc", "\n"), lambda x, i: F.struct((i + 1).cast("long").alias("line"),
+                                                                 py_strip(x).alias("value"))),
+        lambda r: r["value"] != "")
+    lines = docs.where("_lines").select("file_path", F.posexplode(numbered).alias("ordinal", "r")).select(
+        "file_path", F.col("ordinal").cast("long"), F.col("r.line").alias("line"), F.col("r.value").alias("value"))
     # whole documents
     whole = docs.where(~F.col("_lines")).withColumn("_v", F.try_parse_json(body))
     arr = F.try_variant_get("_v", "$", "array<variant>")
