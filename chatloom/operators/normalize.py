@@ -4,8 +4,10 @@ Input to every normalizer is a *records* frame ``(file_path, ordinal, value)``
 where ``value`` is the JSON text of one item.  Output is ``Normalized(samples,
 quarantine)``: both are plain projections/filters of the input — no shuffle.
 
-Key *presence* (the reference tests ``"k" in item``) is read with
-``json_object_keys``; ``from_json`` alone cannot tell a missing key from null.
+Each record is parsed once into a VARIANT (``_v``; scanners pass theirs along)
+and every field is extracted from it.  Key *presence* (the reference tests
+``"k" in item``) is ``variant_get(v, '$.k') IS NOT NULL``: a JSON ``null`` is a
+variant null, not SQL NULL, so missing and null stay distinct.
 """
 
 from __future__ import annotations
@@ -27,9 +29,22 @@ class Normalized(NamedTuple):
 
 
 def _has(keys: Column, k: str) -> Column:
+    """Key presence in a ``json_object_keys`` array (used by format detection)."""
     return F.coalesce(F.array_contains(keys, k), F.lit(False))
 
 
+def _variant(records: DataFrame) -> Column:
+    return F.col("_v") if "_v" in records.columns else F.try_parse_json("value")
+
+
+def _present(v: Column, k: str) -> Column:
+    return F.variant_get(v, f"$.{k}", "variant").isNotNull()
+
+
+def _str(v: Column, k: str) -> Column:
+    return F.try_variant_get(v, f"$.{k}", "string")
+
+
 def _truthy(c: Column) -> Column:
     return c.isNotNull() & (c != "")
 
@@ -60,19 +75,28 @@ def _null_content(dialog: Column) -> Column:
     return F.exists(dialog, lambda t: t["content"].isNull())
 
 
-def _base_reason(keys: Column) -> Column:
-    return F.when(keys.isNull(), F.lit("bad_json"))
+def _base_reason(v: Column) -> Column:
+    return F.when(v.isNull(), F.lit("bad_json"))
 
 
 # -- B1 MOSS ---------------------------------------------------------------------------------------------
+EMPTY_DIALOG = "array<struct<role:string,content:string>>"
+
+
+def _parsed(records: DataFrame) -> DataFrame:
+    """(file_path, ordinal, value, _v): one JSON parse per record (reused when the scanner has one)."""
+    return records.select("file_path", "ordinal", "value", _variant(records).alias("_v"))
+
+
 def normalize_moss(records: DataFrame, turn_order: str = "numeric") -> Normalized:
     """B1: ``conversation`` object; ``turn_*`` keys in order; Human -> user, MOSS -> assistant.
 
     ``turn_order='numeric'`` sorts turn_2 before turn_10; ``'lexical'`` sorts as strings
     (the reference's order).
     """
-    keys = F.json_object_keys("value")
-    conv = F.from_json(F.get_json_object("value", "$.conversation"), f"map<string,{MAP_SS}>")
+    vv = F.col("_v")
+    base = _parsed(records).withColumn("_conv", F.try_variant_get(vv, "$.conversation", f"map<string,{MAP_SS}>"))
+    conv = F.col("_conv")
     names = F.filter(F.map_keys(conv), lambda k: k.startswith("turn_"))
     if turn_order == "numeric":
         digits = lambda k: F.regexp_extract(k, r"^turn_(\d{1,18})$", 1)
@@ -83,23 +107,21 @@ def normalize_moss(records: DataFrame, turn_order: str = "numeric") -> Normalize
         keyed = F.transform(names, lambda k: F.struct(k.alias("k")))
     else:
         raise ValueError("turn_order is 'numeric' or 'lexical'")
-    empty = F.array().cast("array<struct<role:string,content:string>>")
+    empty = F.array().cast(EMPTY_DIALOG)
     dialog = F.flatten(F.transform(F.array_sort(keyed), lambda e: F.concat(
         F.when(F.map_contains_key(conv[e["k"]], "Human"), F.array(_turn("user", conv[e["k"]]["Human"]))).otherwise(empty),
         F.when(F.map_contains_key(conv[e["k"]], "MOSS"), F.array(_turn("assistant", conv[e["k"]]["MOSS"]))).otherwise(empty),
     )))
-    df = records.select("file_path", "ordinal", "value", keys.alias("_keys"), conv.alias("_conv"),
-                        dialog.alias("dialog"))
-    k = F.col("_keys")
+    df = base.withColumn("dialog", dialog)
     n_asst = F.size(F.filter("dialog", lambda t: t["role"] == "assistant"))
-    reason = _base_reason(k) \
-        .when(~_has(k, "conversation"), F.lit("missing_key")) \
-        .when(F.col("_conv").isNull(), F.lit("bad_item")) \
+    reason = _base_reason(vv) \
+        .when(~F.coalesce(_present(vv, "conversation"), F.lit(False)), F.lit("missing_key")) \
+        .when(conv.isNull(), F.lit("bad_item")) \
         .when(n_asst == 0, F.lit("no_assistant")) \
         .when(_null_content(F.col("dialog")), F.lit("null_content"))
-    cid = F.when(_has(k, "conversation_id"),
-                 F.coalesce(F.get_json_object("value", "$.conversation_id"), F.lit("None"))).otherwise("unknown")
-    cat = F.when(_has(k, "category"), F.get_json_object("value", "$.category")).otherwise("unknown")
+    cid = F.when(_present(vv, "conversation_id"),
+                 F.coalesce(_str(vv, "conversation_id"), F.lit("None"))).otherwise("unknown")
+    cat = F.when(_present(vv, "category"), _str(vv, "category")).otherwise("unknown")
     return _split(df, reason, [
         F.lit("dialog").alias("kind"), "dialog",
         F.concat(_file_name(F.col("file_path")), F.lit(":"), cid).alias("source"),
@@ -122,23 +144,22 @@ def _sgpt_role(frm: Column) -> Column:
 
 def normalize_sharegpt(records: DataFrame) -> Normalized:
     """B2: ``conversations`` list of {from, value}; truthy top-level ``system`` first; unknown speakers dropped."""
-    keys = F.json_object_keys("value")
-    convs = F.from_json(F.get_json_object("value", "$.conversations"), f"array<{MAP_SS}>")
-    system = F.get_json_object("value", "$.system")
-    msgs = F.transform(convs, lambda c: F.struct(
+    vv = F.col("_v")
+    base = _parsed(records).select(
+        "*", F.try_variant_get(vv, "$.conversations", f"array<{MAP_SS}>").alias("_convs"),
+        _str(vv, "system").alias("_system"))
+    system = F.col("_system")
+    msgs = F.transform("_convs", lambda c: F.struct(
         _sgpt_role(F.coalesce(c["from"], F.lit(""))).alias("role"),
         F.when(F.map_contains_key(c, "value"), c["value"]).otherwise(F.lit("")).alias("content")))
     msgs = F.filter(msgs, lambda t: t["role"].isNotNull())
     dialog = F.concat(
-        F.when(_truthy(system), F.array(_turn("system", system))).otherwise(
-            F.array().cast("array<struct<role:string,content:string>>")),
+        F.when(_truthy(system), F.array(_turn("system", system))).otherwise(F.array().cast(EMPTY_DIALOG)),
         msgs)
-    df = records.select("file_path", "ordinal", "value", keys.alias("_keys"), convs.alias("_convs"),
-                        dialog.alias("dialog"))
-    k = F.col("_keys")
+    df = base.withColumn("dialog", dialog)
     n_asst = F.size(F.filter("dialog", lambda t: t["role"] == "assistant"))
-    reason = _base_reason(k) \
-        .when(~_has(k, "conversations"), F.lit("missing_key")) \
+    reason = _base_reason(vv) \
+        .when(~F.coalesce(_present(vv, "conversations"), F.lit(False)), F.lit("missing_key")) \
         .when(F.col("_convs").isNull(), F.lit("bad_item")) \
         .when(n_asst == 0, F.lit("no_assistant")) \
         .when(_null_content(F.col("dialog")), F.lit("null_content"))
@@ -152,18 +173,18 @@ def normalize_sharegpt(records: DataFrame) -> Normalized:
 # -- B3 Alpaca -----------------------------------------------------------------------------------------------
 def normalize_alpaca(records: DataFrame) -> Normalized:
     """Instruction (+ newline + truthy input) -> user, output -> assistant; truthy system first."""
-    keys = F.json_object_keys("value")
-    g = lambda name: F.get_json_object("value", f"$.{name}")
-    ins, inp, out, system = g("instruction"), g("input"), g("output"), g("system")
+    vv = F.col("_v")
+    base = _parsed(records).select("*", *[_str(vv, k).alias(f"_{k}") for k in ("instruction", "input", "output",
+                                                                                "system")])
+    ins, inp, out, system = F.col("_instruction"), F.col("_input"), F.col("_output"), F.col("_system")
     user = F.when(_truthy(inp), F.concat(ins, F.lit("\n"), inp)).otherwise(ins)
     dialog = F.concat(
-        F.when(_truthy(system), F.array(_turn("system", system))).otherwise(
-            F.array().cast("array<struct<role:string,content:string>>")),
+        F.when(_truthy(system), F.array(_turn("system", system))).otherwise(F.array().cast(EMPTY_DIALOG)),
         F.array(_turn("user", user), _turn("assistant", out)))
-    df = records.select("file_path", "ordinal", "value", keys.alias("_keys"), dialog.alias("dialog"))
-    k = F.col("_keys")
-    reason = _base_reason(k) \
-        .when(~(_has(k, "instruction") & _has(k, "output")), F.lit("missing_key")) \
+    df = base.withColumn("dialog", dialog)
+    has = F.coalesce(_present(vv, "instruction") & _present(vv, "output"), F.lit(False))
+    reason = _base_reason(vv) \
+        .when(~has, F.lit("missing_key")) \
         .when(_null_content(F.col("dialog")), F.lit("null_content"))
     return _split(df, reason, [
         F.lit("dialog").alias("kind"), "dialog",

@@ -104,8 +104,9 @@ def read_jsonl(spark: SparkSession, paths, strict: bool = False, glob: str | Non
 
 
 def _with_validity(rec: DataFrame, strict: bool) -> DataFrame:
-    lenient = F.try_parse_json("value").isNotNull() | (F.trim("value") == "null")
-    valid = strict_json_valid("value") if strict else lenient
+    """Adds the record's one parse ``_v`` (VARIANT, reused by the normalizers) and ``valid``."""
+    rec = rec.withColumn("_v", F.try_parse_json("value"))
+    valid = strict_json_valid("value") if strict else F.col("_v").isNotNull()
     return rec.withColumn("valid", valid)
 
 
@@ -148,7 +149,7 @@ def read_json_document(spark: SparkSession, paths, strict: bool = False, glob: s
         body.alias("value"))
     out = lines.unionByName(items).unionByName(objs).unionByName(scal)
     out = _with_validity(out, strict)
-    return out.unionByName(bad.withColumn("valid", F.lit(False)))
+    return out.unionByName(bad.withColumn("_v", F.lit(None).cast("variant")).withColumn("valid", F.lit(False)))
 
 
 def read_records(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
@@ -175,9 +176,9 @@ def read_text_files(spark: SparkSession, paths, glob: str | None = None) -> Data
 # -- A2 detection -------------------------------------------------------------------------------------------
 def detect_formats(records: DataFrame) -> DataFrame:
     """A2: (file_path, format) from the keys of each file's first valid record (registry precedence)."""
-    keys = F.json_object_keys("value")
-    first = records.where("valid").select("file_path", "ordinal", keys.alias("_keys")) \
-        .groupBy("file_path").agg(F.min_by("_keys", "ordinal").alias("_keys"))
+    # keys are read for one record per file: the first valid one
+    first = records.where("valid").groupBy("file_path").agg(F.min_by("value", "ordinal").alias("_first")) \
+        .select("file_path", F.json_object_keys("_first").alias("_keys"))
     fmt = None
     for name, spec in formats().items():
         if spec.detect is None:
@@ -204,7 +205,7 @@ def scan_directory(spark: SparkSession, path: str, strict: bool = False) -> Scan
         read_json_document(spark, path, strict, GLOBS["json"]))
     detected = detect_formats(records)
     # per-file format attached by a join (AQE broadcasts the file table when it is small)
-    tagged = records.where("valid").select("file_path", "ordinal", "value").join(detected, "file_path")
+    tagged = records.where("valid").select("file_path", "ordinal", "value", "_v").join(detected, "file_path")
     samples, quar = [], [records_quarantine(records)]
     for name, spec in formats().items():
         if spec.normalize is None:
