@@ -22,12 +22,44 @@ def token_pairs(windows: DataFrame, keep=("sample_id", "window_no")) -> DataFram
         F.col("p.mask").cast("int").alias("mask"))
 
 
+def _pair_count_kernel(mask_only: bool):
+    """Per Arrow batch: distinct (prev, next) pairs with counts — at most V² rows, never one per token."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        for b in batches:
+            n = b.num_rows
+            if n == 0:
+                continue
+            inp, tgt, msk = (b.column(i) for i in range(3))
+            a = np.asarray(inp.values.to_numpy(zero_copy_only=False), dtype=np.int64)
+            t = np.asarray(tgt.values.to_numpy(zero_copy_only=False), dtype=np.int64)
+            a = a[inp.offsets[0].as_py(): inp.offsets[n].as_py()]
+            t = t[tgt.offsets[0].as_py(): tgt.offsets[n].as_py()]
+            if mask_only:
+                m = np.asarray(msk.values.to_numpy(zero_copy_only=False))
+                lo_m = msk.offsets[0].as_py()
+                keep = m[lo_m: msk.offsets[n].as_py()] == 1
+                a, t = a[keep], t[keep]
+            key = (a << 32) | t
+            uniq, cnt = np.unique(key, return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((uniq >> 32).astype(np.int32)), pa.array((uniq & 0xFFFFFFFF).astype(np.int32)),
+                 pa.array(cnt.astype(np.int64))], names=["prev_id", "next_id", "n"])
+    return run
+
+
 def bigram_fit(windows: DataFrame, mask_only: bool = False) -> DataFrame:
-    """Counts of (input token, target token) over all window positions (map-side partial counts)."""
-    p = token_pairs(windows)
-    if mask_only:
-        p = p.where(F.col("mask") == 1)
-    return p.groupBy("prev_id", "next_id").agg(F.count("*").alias("n"))
+    """Counts of (input token, target token) over all window positions.
+
+    Each Arrow batch of windows is reduced to its distinct pairs in numpy first, so
+    the shuffle carries at most V² rows per batch instead of one row per token.
+    """
+    from chatloom.plans.runtime import ensure_package
+    ensure_package(windows.sparkSession)
+    part = windows.select("input_ids", "target_ids", "loss_mask").mapInArrow(
+        _pair_count_kernel(mask_only), "prev_id int, next_id int, n long")
+    return part.groupBy("prev_id", "next_id").agg(F.sum("n").alias("n"))
 
 
 def _maybe_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
