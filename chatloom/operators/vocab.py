@@ -94,6 +94,15 @@ def dialog_chars(turns: DataFrame, kept: DataFrame) -> DataFrame:
     return chars.unionByName(tail).distinct()
 
 
+def turn_table_vocab(turns: DataFrame, id_col: str = "conv_id", role_col: str = "role",
+                     text_col: str = "text") -> DataFrame:
+    """E2 over a turn-per-row table without assembling dialogs (kept = has an assistant turn)."""
+    t = turns.select(F.col(id_col).cast("long").alias("_id"), F.col(role_col).alias("_role"),
+                     F.col(text_col).alias("_text"))
+    kept = t.groupBy("_id").agg(F.count_if(F.col("_role") == "assistant").alias("_na")).where("_na > 0")
+    return number_tokens(dialog_chars(t, kept))
+
+
 def build_vocab(parts: DataFrame) -> DataFrame:
     """Ids 0..6 are the specials, then the corpus' distinct code points in code-point order.
 

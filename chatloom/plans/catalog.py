@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from chatloom.operators import tokenize as tok
 from chatloom.operators import windows as win
-from chatloom.operators.vocab import build_vocab, corpus_parts, vocab_from_samples
+from chatloom.operators.vocab import corpus_parts, turn_table_vocab, vocab_from_samples
 from chatloom.plans import oracle as O
 from chatloom.sources.tables import assemble_dialogs, read_table, spread_scan, text_samples
 
@@ -94,7 +94,7 @@ def q_corpus_parts(spark, d):
 
 @register("build_vocab", O.with_(O.dialog_turns(), O.dialog_vocab()) + "SELECT token, id, is_special FROM vocab")
 def q_build_vocab(spark, d):
-    return vocab_from_samples(kept_dialogs(spark, d))
+    return turn_table_vocab(read_table(spark, d, "conversations"))
 
 
 # -- E3–E8 -----------------------------------------------------------------------------------------------
@@ -135,7 +135,7 @@ SELECT sample_id, count(*)::BIGINT AS n_tokens, (count(*) FILTER (WHERE id = 1))
        round((count(*) FILTER (WHERE id = 1)) / count(*), 6) AS unk_rate
 FROM tids GROUP BY sample_id""")
 def q_unknown_chars(spark, d):
-    v = vocab_from_samples(kept_dialogs(spark, d))
+    v = turn_table_vocab(read_table(spark, d, "conversations"))
     t = tok.encode_text_column(doc_samples(spark, d), "text", v, append_eos=False)
     u = tok.unknown_stats(t)
     return u.select("sample_id", "n_tokens", "n_unknown", F.round("unk_rate", 6).alias("unk_rate"))

@@ -12,7 +12,7 @@ from chatloom.operators.normalize import (
     normalize_sharegpt,
 )
 from chatloom.operators.samples import accumulate_load, clear_samples, union_samples
-from chatloom.operators.vocab import load_vocab, save_vocab, vocab_from_samples
+from chatloom.operators.vocab import load_vocab, save_vocab, turn_table_vocab
 from chatloom.plans import oracle as O
 from chatloom.plans.catalog import dialog_windows, doc_samples, kept_dialogs, register
 from chatloom.plans.dialects import alpaca_records, moss_records, sharegpt_records
@@ -169,7 +169,7 @@ def q_clear_samples(spark, d):
 @register("save_load_vocab", O.with_(O.dialog_turns(), O.dialog_vocab()) + "SELECT token, id, is_special FROM vocab")
 def q_save_load_vocab(spark, d):
     path = work_dir(spark, "vocab") + "/vocab"
-    save_vocab(vocab_from_samples(kept_dialogs(spark, d)), path)
+    save_vocab(turn_table_vocab(_conv(spark, d)), path)
     return load_vocab(spark, path)
 
 
