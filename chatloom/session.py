@@ -17,7 +17,6 @@ from pyspark.sql import SparkSession
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.sql.shuffle.partitions": "8",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -25,15 +24,20 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # long texts yield many windows per input row: keep Arrow batches small
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
+}
+# single-machine sizing: only applied for local masters (a cluster brings its own)
+LOCAL_CONF = {
+    "spark.sql.shuffle.partitions": "8",
     "spark.driver.memory": "16g",
 }
 
 
 def get_spark(master: str | None = None, app: str = "chatloom", conf: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
+    local = bool(master) and master.startswith("local")
     if master:
         builder = builder.master(master)
-    for k, v in {**DEFAULT_CONF, **(conf or {})}.items():
+    for k, v in {**DEFAULT_CONF, **(LOCAL_CONF if local else {}), **(conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
