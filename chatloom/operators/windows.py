@@ -20,6 +20,8 @@ from chatloom.plans.runtime import broadcast_value, ensure_package
 from chatloom.schema import DEFAULT_SEQ_LEN, EOS_ID, PAD_ID, WINDOWS
 
 _PYARROW_WINDOWS = None
+# hot-dialog id lists up to this many rows are broadcast to select their turns map-side
+HOT_BROADCAST_ROWS = 1_000_000
 
 
 def _arrow_schema():
@@ -233,13 +235,17 @@ def turn_table_windows(turns: DataFrame, id_col: str = "conv_id", order_col: str
     kept = dlg.where(F.col("_na") > 0).select("_id", "_n", "_last")
     vocab = number_tokens(dialog_chars(t, kept)).cache()
     lookup = collect_lookup(vocab)
-    tk = t.repartition(n, "_id").join(kept, "_id")
-    small = tk.where(F.col("_n") <= max_turns).select(
-        F.col("_id").alias(id_col), F.col("_ord").alias(order_col), F.col("_role").alias(role_col),
-        F.col("_text").alias(text_col))
+    hot = kept.where(F.col("_n") > max_turns).select("_id", "_last")
+    # the size table is a pruned scan (id/role/turn) + partial aggregation: cheap to count
+    n_hot = hot.count()
+    small_kept = kept.where(F.col("_n") <= max_turns).select("_id")
+    tk = t.repartition(n, "_id").join(small_kept, "_id")
+    small = tk.select(F.col("_id").alias(id_col), F.col("_ord").alias(order_col), F.col("_role").alias(role_col),
+                      F.col("_text").alias(text_col))
     samples = assemble_dialogs(small, id_col, order_col, role_col, text_col, source_name, repartition=False)
-    w_small = build_windows(samples, lookup, seq_len, stride, escape_specials=escape_specials)
-    big = tk.where(F.col("_n") > max_turns)
-    w_big = windows_from_turns(big, kept.where(F.col("_n") > max_turns), lookup, source_name, seq_len, stride,
-                               escape_specials)
-    return w_small.unionByName(w_big), vocab
+    out = build_windows(samples, lookup, seq_len, stride, escape_specials=escape_specials)
+    if n_hot:
+        hot_ids = F.broadcast(hot.select("_id")) if n_hot <= HOT_BROADCAST_ROWS else hot.select("_id")
+        big = t.join(hot_ids, "_id", "left_semi")
+        out = out.unionByName(windows_from_turns(big, hot, lookup, source_name, seq_len, stride, escape_specials))
+    return out, vocab
