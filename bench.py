@@ -37,8 +37,11 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
-    spark = get_spark(f"local[{cpus}]", "chatloom-bench",
-                      {"spark.sql.shuffle.partitions": str(max(8, int(cpus) * 2))})
+    conf = {"spark.sql.shuffle.partitions": str(max(8, int(cpus) * 2))}
+    if os.environ.get("BENCH_EVENT_LOG"):
+        # stage / task times without the UI: Spark's event log in a scratch folder
+        conf.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]})
+    spark = get_spark(f"local[{cpus}]", "chatloom-bench", conf)
     qs = registry.queries()
     # untimed warm-up: JVM code paths and Python workers (not query cost)
     small = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
