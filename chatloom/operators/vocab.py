@@ -72,7 +72,6 @@ def dialog_chars(turns: DataFrame, kept: DataFrame) -> DataFrame:
     ensure_package(spark)
 
     def run(batches):
-        import numpy as np
         import pyarrow as pa
         from chatloom.schema import ROLE_MARKERS
         for b in batches:

@@ -14,7 +14,7 @@ from chatloom.operators.normalize import (
 from chatloom.operators.samples import accumulate_load, clear_samples, union_samples
 from chatloom.operators.vocab import load_vocab, save_vocab, turn_table_vocab
 from chatloom.plans import oracle as O
-from chatloom.plans.catalog import dialog_windows, doc_samples, kept_dialogs, register
+from chatloom.plans.catalog import dialog_windows, doc_samples, register
 from chatloom.plans.dialects import alpaca_records, moss_records, sharegpt_records
 from chatloom.session import work_dir
 from chatloom.sources.tables import read_table

@@ -29,7 +29,7 @@ from chatloom.operators.normalize import Normalized, formats, load_format
 from chatloom.schema import QUARANTINE
 from chatloom.sources.tables import conform
 
-RECORD_COLS = ["file_path", "ordinal", "line", "value"]
+RECORD_COLS = ["file_path", "ordinal", "line", "value", "_v", "valid"]   # shape of a records frame
 
 
 class ScanResult(NamedTuple):
