@@ -98,14 +98,22 @@ def early_stop_epoch(epochs: DataFrame, patience: int = PATIENCE, min_delta: flo
 
 def checkpoint_schedule(epochs: DataFrame, every: int = CHECKPOINT_EVERY, patience: int = PATIENCE,
                         min_delta: float = MIN_DELTA) -> DataFrame:
-    """(run_id, epoch, kind) for kind in periodic / best / early_stop / final, epochs that ran only."""
+    """(run_id, epoch, kind) for kind in periodic / best / early_stop / final, epochs that ran only.
+
+    One pass: the run-level stop fold joins the epoch rows, every label is a flag from
+    one window over a run's epochs, and the flags are exploded (no union of branches).
+    """
     stop = early_stop_epoch(epochs, patience, min_delta)
     ran = epochs.join(stop, "run_id").where(F.col("epoch") <= F.col("last_epoch"))
-    periodic = ran.where((F.col("epoch") + 1) % every == 0).select("run_id", "epoch", F.lit("periodic").alias("kind"))
-    best = best_epochs(ran.select("run_id", "epoch", "epoch_loss")).select("run_id", "epoch", F.lit("best").alias("kind"))
-    es = ran.where(F.col("epoch") == F.col("stop_epoch")).select("run_id", "epoch", F.lit("early_stop").alias("kind"))
-    final = ran.where(F.col("epoch") == F.col("last_epoch")).select("run_id", "epoch", F.lit("final").alias("kind"))
-    return periodic.unionByName(best).unionByName(es).unionByName(final)
+    w = Window.partitionBy("run_id").orderBy("epoch").rowsBetween(Window.unboundedPreceding, -1)
+    prev = F.min("epoch_loss").over(w)
+    kinds = F.array(
+        F.when((F.col("epoch") + 1) % every == 0, F.lit("periodic")),
+        F.when(prev.isNull() | (F.col("epoch_loss") < prev), F.lit("best")),
+        F.when(F.col("epoch") == F.col("stop_epoch"), F.lit("early_stop")),
+        F.when(F.col("epoch") == F.col("last_epoch"), F.lit("final")))
+    flagged = ran.select("run_id", "epoch", F.filter(kinds, lambda k: k.isNotNull()).alias("_kinds"))
+    return flagged.select("run_id", "epoch", F.explode("_kinds").alias("kind"))
 
 
 def throughput(train_log: DataFrame, every: int = LOG_EVERY) -> DataFrame:

@@ -20,6 +20,7 @@ import json
 from typing import NamedTuple
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,6 +37,11 @@ class ScanResult(NamedTuple):
     samples: DataFrame
     quarantine: DataFrame
     files: DataFrame          # (file_path, format, status)
+    records: DataFrame | None = None   # the persisted parsed records; ``release()`` frees them
+
+    def release(self) -> None:
+        if self.records is not None:
+            self.records.unpersist()
 
 
 # -- listing -----------------------------------------------------------------------------------------
@@ -201,8 +207,10 @@ def scan_directory(spark: SparkSession, path: str, strict: bool = False) -> Scan
     registered format is normalized once over all of its files.
     """
     files = list_files(spark, path)            # raises on a missing path; also feeds the report
+    # the input is read and parsed once: detection, every format's normalizer and the quarantine
+    # all consume these persisted records (spilled to disk when large; recomputed if an executor is lost)
     records = read_jsonl(spark, path, strict, GLOBS["jsonl"]).unionByName(
-        read_json_document(spark, path, strict, GLOBS["json"]))
+        read_json_document(spark, path, strict, GLOBS["json"])).persist(StorageLevel.MEMORY_AND_DISK)
     detected = detect_formats(records)
     # per-file format attached by a join (AQE broadcasts the file table when it is small)
     tagged = records.where("valid").select("file_path", "ordinal", "value", "_v").join(detected, "file_path")
@@ -227,4 +235,4 @@ def scan_directory(spark: SparkSession, path: str, strict: bool = False) -> Scan
     report = files.join(detected, "file_path", "left").select("file_path", fmt_col.alias("format")).select(
         "file_path", "format",
         F.when(F.col("format").isin(*loadable), F.lit("loaded")).otherwise(F.lit("skipped")).alias("status"))
-    return ScanResult(out_s, out_q, report)
+    return ScanResult(out_s, out_q, report, records)
