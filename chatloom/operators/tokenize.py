@@ -63,7 +63,13 @@ def decode_column(df: DataFrame, ids_col: str, vocab, out_col: str = "decoded")
     """E5: id -> token string (unknown id -> ``<unk>``), concatenated.  Arrow kernel, broadcast table."""
     spark = df.sparkSession
     ensure_package(spark)
-    rows = vocab.select("id", "token").collect() if isinstance(vocab, DataFrame) else vocab
+    if isinstance(vocab, DataFrame):
+        from chatloom.operators.vocab import MAX_VOCAB_ROWS
+        rows = vocab.select("id", "token").limit(MAX_VOCAB_ROWS + 1).collect()
+        if len(rows) > MAX_VOCAB_ROWS:
+            raise ValueError("vocabulary larger than the number of Unicode code points: not a char vocabulary")
+    else:
+        rows = vocab
     size = max((r[0] for r in rows), default=-1) + 1
     itos = np.array(["<unk>"] * max(size, 1), dtype=object)
     for i, t in rows:
