@@ -116,16 +116,17 @@ def loss_mask(inputs: np.ndarray, init_state: np.ndarray | None = None) -> np.nd
     return ((state == 1) & (inputs != ASSISTANT_ID)).astype(np.int8)
 
 
-def _carry_state(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Mask state just before each window start when the state runs over the whole sample."""
+def _carry_state(tokens: np.ndarray, starts: np.ndarray, init: int = 0) -> np.ndarray:
+    """Mask state just before each start (offsets into ``tokens``) when the state runs over the
+    whole sample; ``init`` is the state before ``tokens[0]``."""
     ctl = np.full(len(tokens), -1, dtype=np.int8)
     ctl[tokens == ASSISTANT_ID] = 1
     ctl[(tokens == USER_ID) | (tokens == EOS_ID)] = 0
     pos = np.where(ctl >= 0, np.arange(len(tokens)), -1)
-    last = np.maximum.accumulate(pos)
-    out = np.zeros(len(starts), dtype=np.int8)
+    last = np.maximum.accumulate(pos) if len(tokens) else pos
+    out = np.full(len(starts), init, dtype=np.int8)
     ok = starts > 0
-    prev = last[np.maximum(starts - 1, 0)]
+    prev = last[np.maximum(starts - 1, 0)] if len(tokens) else np.full(len(starts), -1)
     has = ok & (prev >= 0)
     out[has] = ctl[prev[has]] == 1
     return out
@@ -145,28 +146,72 @@ class WindowBuilder:
         self.n = 0
 
     def add(self, sample_id: str, tokens: np.ndarray, is_text: bool) -> Iterator[pa.RecordBatch]:
+        yield from self.add_chunks(sample_id, [tokens], is_text)
+
+    def _emit(self, sample_id, buf, base, starts, first_no, is_text, L, init):
+        """Append windows at global ``starts`` (all inside ``buf``, which begins at ``base``)."""
         S = self.S
-        L = len(tokens)
-        starts = window_starts(L, S, self.stride, self.keep_tail)
-        if L < S + 1:
-            tokens = np.concatenate([tokens, np.full(S + 1 - L, PAD_ID, dtype=np.int32)])
-        for lo in range(0, len(starts), MAX_WINDOWS_PER_BATCH):
-            st = starts[lo:lo + MAX_WINDOWS_PER_BATCH]
-            block = np.lib.stride_tricks.sliding_window_view(tokens, S + 1)[st]
-            inputs = block[:, :-1]
-            if is_text and self.text_mask == "all":
-                # every real next-token prediction is supervised
-                mask = (np.arange(S)[None, :] + st[:, None] < L - 1).astype(np.int8)
-            elif self.mask_scope == "sample":
-                mask = loss_mask(inputs, _carry_state(tokens, st))
-            else:
-                mask = loss_mask(inputs)
-            self.rows.append((block, mask))
-            self.ids.extend([sample_id] * len(st))
-            self.nos.append(np.arange(lo, lo + len(st), dtype=np.int32))
-            self.n += len(st)
-            if self.n >= MAX_WINDOWS_PER_BATCH:
-                yield self.flush()
+        rel = starts - base
+        block = np.lib.stride_tricks.sliding_window_view(buf, S + 1)[rel]
+        inputs = block[:, :-1]
+        if is_text and self.text_mask == "all":
+            # every real next-token prediction is supervised (L is known for the padded window only)
+            mask = (np.arange(S)[None, :] + starts[:, None] < (L - 1 if L is not None else 1 << 62)).astype(np.int8)
+        elif self.mask_scope == "sample":
+            mask = loss_mask(inputs, _carry_state(buf, rel, init))
+        else:
+            mask = loss_mask(inputs)
+        self.rows.append((block, mask))
+        self.ids.extend([sample_id] * len(starts))
+        self.nos.append(np.arange(first_no, first_no + len(starts), dtype=np.int32))
+        self.n += len(starts)
+
+    def add_chunks(self, sample_id: str, chunks, is_text: bool) -> Iterator[pa.RecordBatch]:
+        """Windows of one sample whose tokens arrive in chunks (memory: one chunk + S + 1 tokens).
+
+        A window starting at s is complete once s + S + 1 tokens are known, which is exactly
+        the reference condition s < L − S; the total length L is only needed at the end
+        (padding of a short sample, ``keep_tail``).
+        """
+        S, st = self.S, self.stride
+        buf = np.empty(0, dtype=np.int32)
+        base = 0            # global position of buf[0]
+        next_start = 0
+        n_out = 0
+        last_start = -1
+        init = 0            # mask state before buf[0] (mask_scope='sample')
+        for ch in chunks:
+            if len(ch) == 0:
+                continue
+            buf = np.concatenate([buf, ch]) if len(buf) else np.asarray(ch, dtype=np.int32)
+            end = base + len(buf)
+            if next_start + S + 1 <= end:
+                starts = np.arange(next_start, end - S, st, dtype=np.int64)
+                for lo in range(0, len(starts), MAX_WINDOWS_PER_BATCH):
+                    part = starts[lo:lo + MAX_WINDOWS_PER_BATCH]
+                    self._emit(sample_id, buf, base, part, n_out, is_text, None, init)
+                    n_out += len(part)
+                    if self.n >= MAX_WINDOWS_PER_BATCH:
+                        yield self.flush()
+                last_start = int(starts[-1])
+                next_start = last_start + st
+            # keep what later windows (and keep_tail) can still need: from min(next_start, end-S-1)
+            keep_from = min(next_start, end - (S + 1))
+            drop = keep_from - base
+            if drop > 0:
+                if self.mask_scope == "sample":
+                    init = int(_carry_state(buf, np.array([drop]), init)[0])
+                buf = buf[drop:]
+                base = keep_from
+        L = base + len(buf)
+        if n_out == 0:
+            # L <= S: one window padded with <pad> (L == S + 1 was emitted above)
+            padded = np.concatenate([buf, np.full(S + 1 - L, PAD_ID, dtype=np.int32)])
+            self._emit(sample_id, padded, 0, np.zeros(1, dtype=np.int64), 0, is_text, L, 0)
+        elif self.keep_tail and last_start + S + 1 < L:
+            self._emit(sample_id, buf, base, np.array([L - S - 1], dtype=np.int64), n_out, is_text, L, init)
+        if self.n >= MAX_WINDOWS_PER_BATCH:
+            yield self.flush()
 
     def flush(self) -> pa.RecordBatch:
         S = self.S
@@ -185,6 +230,68 @@ class WindowBuilder:
         return batch
 
 
+SPECIAL_MAX = max(len(t) for t in SPECIAL_TOKENS)
+
+
+def text_slices(s: str, size: int = 1 << 20):
+    """Cut a long string into slices; never inside a special token (they start with '<')."""
+    size = max(size, 2 * SPECIAL_MAX)
+    n, i = len(s), 0
+    while i < n:
+        j = min(n, i + size)
+        if j < n:
+            k = s.rfind("<", max(i + 1, j - SPECIAL_MAX + 1), j)
+            if k > i:
+                j = k
+        yield s[i:j]
+        i = j
+
+
+def _encode_chunks(lookup: CharLookup, s, escape_specials: bool):
+    if not s:
+        return
+    if len(s) <= (1 << 20):
+        yield lookup.encode(s, escape_specials)
+        return
+    for piece in text_slices(s):
+        yield lookup.encode(piece, escape_specials)
+
+
+def iter_sample_chunks(batch: pa.RecordBatch, lookup: CharLookup, escape_specials: bool):
+    """Yield (sample_id, kind, iterator of token chunks) — the streaming form of ``iter_samples``."""
+    cols = batch.schema.names
+    sid = batch.column(cols.index("sample_id")).to_pylist()
+    kind = batch.column(cols.index("kind")).to_pylist()
+    texts = batch.column(cols.index("text")).to_pylist() if "text" in cols else [None] * len(sid)
+    if "dialog" in cols:
+        dcol = batch.column(cols.index("dialog"))
+        offsets = dcol.offsets.to_numpy()
+        valid = dcol.is_valid().to_numpy(zero_copy_only=False)
+        roles = dcol.values.field("role").to_pylist()
+        contents = dcol.values.field("content").to_pylist()
+    else:
+        offsets, valid = None, None
+    eos = np.array([EOS_ID], dtype=np.int32)
+
+    def dialog_chunks(lo, hi):
+        for role, content in zip(roles[lo:hi], contents[lo:hi]):
+            marker = ROLE_TOKEN.get(role)
+            if marker is not None:
+                yield np.array([marker], dtype=np.int32)
+            yield from _encode_chunks(lookup, content, escape_specials)
+        yield eos
+
+    def text_chunks(t):
+        yield from _encode_chunks(lookup, t, escape_specials)
+        yield eos
+
+    for i in range(len(sid)):
+        if offsets is not None and valid[i] and kind[i] == "dialog":
+            yield sid[i], kind[i], dialog_chunks(offsets[i], offsets[i + 1])
+        else:
+            yield sid[i], kind[i], text_chunks(texts[i])
+
+
 def iter_samples(batch: pa.RecordBatch, lookup: CharLookup, escape_specials: bool):
     """Yield (sample_id, kind, token array) for a batch of samples (text or dialog)."""
     cols = batch.schema.names

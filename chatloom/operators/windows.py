@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.functions.kernels import WindowBuilder, iter_samples
+from chatloom.functions.kernels import WindowBuilder, iter_sample_chunks
 from chatloom.operators.tokenize import _lookup
 from chatloom.plans.runtime import broadcast_value, ensure_package
 from chatloom.schema import DEFAULT_SEQ_LEN, EOS_ID, PAD_ID, WINDOWS
@@ -104,8 +104,8 @@ def build_windows(samples: DataFrame, vocab, seq_len: int = DEFAULT_SEQ_LEN, str
         lookup = bc.value
         builder = WindowBuilder(seq_len, stride, keep_tail, text_mask, mask_scope, _arrow_schema())
         for b in batches:
-            for sid, kind, toks in iter_samples(b, lookup, escape_specials):
-                yield from builder.add(sid, toks, kind != "dialog")
+            for sid, kind, chunks in iter_sample_chunks(b, lookup, escape_specials):
+                yield from builder.add_chunks(sid, chunks, kind != "dialog")
         if builder.n:
             yield builder.flush()
 

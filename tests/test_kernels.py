@@ -80,3 +80,49 @@ def test_mask_scope_sample_carries_state():
 def test_keep_tail():
     assert window_starts(300, 256, 128).tolist() == [0]
     assert window_starts(300, 256, 128, keep_tail=True).tolist() == [0, 43]
+
+
+def _rows(wb):
+    b = wb.flush()
+    return list(zip(b.column("sample_id").to_pylist(), b.column("window_no").to_pylist(),
+                    b.column("input_ids").to_pylist(), b.column("target_ids").to_pylist(),
+                    b.column("loss_mask").to_pylist()))
+
+
+def test_chunked_windows_equal_whole_array():
+    rng = np.random.default_rng(0)
+    schema = _arrow_schema()
+    for L in [1, 5, 16, 17, 18, 40, 41, 97, 300]:
+        toks = rng.choice([3, 4, 5, 7, 8, 9, 10], size=L).astype(np.int32)
+        for stride in (3, 8, 16):
+            for keep_tail in (False, True):
+                for scope in ("window", "sample"):
+                    for text_mask in ("none", "all"):
+                        ref = WindowBuilder(16, stride, keep_tail, text_mask, scope, schema)
+                        # reference: whole array in one chunk
+                        list(ref.add_chunks("s", [toks], True))
+                        cuts = sorted(rng.choice(np.arange(1, L), size=min(5, L - 1), replace=False)) if L > 1 else []
+                        pieces = np.split(toks, cuts)
+                        got = WindowBuilder(16, stride, keep_tail, text_mask, scope, schema)
+                        list(got.add_chunks("s", iter(pieces), True))
+                        assert _rows(got) == _rows(ref), (L, stride, keep_tail, scope, text_mask)
+
+
+def test_window_counts_match_reference_formula_when_chunked():
+    schema = _arrow_schema()
+    for L in (256, 257, 258, 384, 385, 513, 1000):
+        wb = WindowBuilder(256, 128, False, "none", "window", schema)
+        toks = np.full(L, 7, dtype=np.int32)
+        list(wb.add_chunks("s", iter(np.array_split(toks, 7)), True))
+        assert wb.n == len(window_starts(L, 256, 128))
+
+
+def test_text_slices_never_split_specials():
+    from chatloom.functions.kernels import text_slices
+    lk = lookup("ab<>useraistnpdkbocq")
+    s = ("ab<assistant>" * 50 + "<user>x<eos>" * 30 + "<<sep>>" * 20) * 3
+    for size in (1, 5, 11, 12, 13, 22, 23, 37, 100):
+        pieces = list(text_slices(s, size))
+        assert "".join(pieces) == s
+        enc = np.concatenate([lk.encode(p) for p in pieces])
+        assert enc.tolist() == lk.encode(s).tolist(), size

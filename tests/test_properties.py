@@ -119,3 +119,24 @@ def test_hot_dialog_turn_path_equals_kernel_path(spark):
             F.array_join(F.col("loss_mask").cast("array<string>"), ""))))).first()
     assert digest(w_turn) == digest(w_ref)
     assert w_turn.where("sample_id = 'conversations:500'").count() == 0
+
+
+def test_long_text_sliced_path(spark):
+    from chatloom.functions.kernels import CharLookup, window_starts
+    from chatloom.operators.vocab import collect_lookup
+    from chatloom.sources.tables import text_samples
+    unit = "abc <user>de<assistant>fg\nhé😀 "
+    text = unit * (2_200_000 // len(unit))
+    docs = spark.createDataFrame([(1, text), (2, "short one")], "doc_id long, text string")
+    s = text_samples(docs)
+    v = vocab_from_samples(s)
+    lk: CharLookup = collect_lookup(v)
+    w = build_windows(s, lk).where("sample_id = 'documents:1'")
+    toks = lk.encode(text).tolist() + [3]
+    starts = window_starts(len(toks), 256, 128)
+    assert w.count() == len(starts)
+    r = w.where(F.col("window_no") == len(starts) - 1).first()
+    st = int(starts[-1])
+    assert r.input_ids == toks[st:st + 256] and r.target_ids == toks[st + 1:st + 257]
+    total = w.select(F.sum(F.aggregate("input_ids", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0]
+    assert total == sum(sum(toks[int(a):int(a) + 256]) for a in starts)
