@@ -37,3 +37,18 @@ def role_marker(role: Column) -> Column:
 def sql_str(s: str) -> str:
     """SQL string literal (single quotes doubled)."""
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def token_count(c) -> Column:
+    """Tokens of a string under the special-token scan, without a per-character regex.
+
+    Specials never overlap (each starts with '<' and contains no other '<'), so each
+    occurrence of a special of length n replaces n code points by one token:
+    tokens = code points − Σ occurrences × (n − 1).
+    """
+    c = col_(c)
+    n = F.char_length(c)
+    for t in SPECIAL_TOKENS:
+        occ = (F.char_length(c) - F.char_length(F.replace(c, F.lit(t), F.lit("")))) / F.lit(len(t))
+        n = n - occ.cast("long") * (len(t) - 1)
+    return F.coalesce(n, F.lit(0)).cast("long")

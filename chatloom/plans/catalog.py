@@ -283,11 +283,11 @@ def dialog_windows(spark, d):
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """How many training windows and supervised tokens does ``conversations`` yield?"""
-    from chatloom.functions.text import TOKEN_PATTERN
+    from chatloom.functions.text import token_count
     turns = read_table(spark, d, "conversations")
     w, v = win.turn_table_windows(turns)
-    # tokens per kept dialog, JVM-side: role token + regex token count per turn, one <eos>
-    per_turn = F.when(F.col("role").isin("user", "assistant"), 1).otherwise(0) + F.regexp_count("text", F.lit(TOKEN_PATTERN))
+    # tokens per kept dialog, JVM-side: role token + tokens of the content per turn, one <eos>
+    per_turn = F.when(F.col("role").isin("user", "assistant"), 1).otherwise(0) + token_count("text")
     dl = turns.groupBy("conv_id").agg(F.count_if(F.col("role") == "assistant").alias("na"),
                                       F.sum(per_turn).alias("tk")).where("na > 0")
     heads = dl.agg(F.count("*").cast("long").alias("n_dialogs"), F.sum(F.col("tk") + 1).cast("long").alias("n_tokens"))

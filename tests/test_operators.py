@@ -93,3 +93,13 @@ def test_preview_and_lifecycle(spark, tmpdir_fresh):
     rep = [(r.load_no, r.added, r.total) for r in accumulate_load(s2, path, 2).orderBy("load_no").collect()]
     assert rep == [(1, 2, 2), (2, 1, 3)]
     assert clear_samples(spark, path).count() == 0
+
+
+def test_token_count_matches_scan(spark):
+    from chatloom.functions.kernels import CharLookup
+    from chatloom.functions.text import token_count
+    lk = CharLookup(list("ab<>"), [7, 8, 9, 10])
+    rows = ["", "ab", "<user>", "a<assistant>b<eos><eos>", "<<user>>", "<use<user>r>", "😀<sep>中<pad"]
+    df = spark.createDataFrame([(r,) for r in rows] + [(None,)], "t string")
+    got = [r.n for r in df.select(token_count("t").alias("n")).collect()]
+    assert got == [len(lk.encode(r)) for r in rows] + [0]
