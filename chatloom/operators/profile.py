@@ -49,6 +49,14 @@ def corpus_composition(samples: DataFrame) -> DataFrame:
                        F.count_if(F.col("kind") == "text").alias("n_texts"))
 
 
+def require_content(samples: DataFrame) -> tuple[int, int]:
+    """D5's error: raise when there is neither a dialog nor a text; returns (dialogs, texts)."""
+    r = corpus_composition(samples).first()
+    if r is None or (r.n_dialogs or 0) + (r.n_texts or 0) == 0:
+        raise ValueError("no valid text content found in data")
+    return r.n_dialogs, r.n_texts
+
+
 def training_plan(windows: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE, epochs: int = DEFAULT_EPOCHS,
                   resumed: int = 0) -> DataFrame:
     """Windows, batches = ceil(n / batch), steps = batches * (epochs - resumed)."""

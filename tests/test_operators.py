@@ -103,3 +103,12 @@ def test_token_count_matches_scan(spark):
     df = spark.createDataFrame([(r,) for r in rows] + [(None,)], "t string")
     got = [r.n for r in df.select(token_count("t").alias("n")).collect()]
     assert got == [len(lk.encode(r)) for r in rows] + [0]
+
+
+def test_require_content(spark):
+    import pytest
+    from chatloom.schema import SAMPLES
+    with pytest.raises(ValueError):
+        P.require_content(spark.createDataFrame([], SAMPLES))
+    docs = text_samples(spark.createDataFrame([(1, "x")], "doc_id long, text string"))
+    assert P.require_content(docs) == (0, 1)
