@@ -21,10 +21,15 @@ def apply_temperature(logits: DataFrame, temperature: float = DEFAULT_TEMPERATUR
 
 
 def recent_sets(recent: DataFrame, last_n: int = RECENT_WINDOW) -> DataFrame:
-    """(ctx_id, recent_ids): distinct tokens among the last ``last_n`` generated, one row per context."""
-    w = Window.partitionBy("ctx_id").orderBy(F.col("pos").desc())
-    return recent.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= last_n) \
-        .groupBy("ctx_id").agg(F.collect_set("token_id").alias("recent_ids"))
+    """(ctx_id, recent_ids): distinct tokens among the last ``last_n`` generated, one row per context.
+
+    ``pos`` is the token position in the generated sequence (dense), so the last ``last_n``
+    are the positions above max − last_n: a partial aggregate and a join, no window over
+    a context's whole history (a long history is not one task).
+    """
+    mx = recent.groupBy("ctx_id").agg(F.max("pos").alias("_m"))
+    last = recent.join(mx, "ctx_id").where(F.col("pos") > F.col("_m") - last_n)
+    return last.groupBy("ctx_id").agg(F.collect_set("token_id").alias("recent_ids"))
 
 
 def repetition_penalty(logits: DataFrame, recent: DataFrame, penalty: float = DEFAULT_REPETITION_PENALTY,

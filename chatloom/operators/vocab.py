@@ -102,6 +102,49 @@ def turn_table_vocab(turns: DataFrame, id_col: str = "conv_id", role_col: str =
     return number_tokens(dialog_chars(t, kept))
 
 
+def dialog_profile(turns: DataFrame) -> DataFrame:
+    """One scan of a turn table ``(_id, _ord, _role, _text)`` → per-batch rows of two kinds:
+
+    * ``(_id, token)`` — distinct corpus characters of the dialog in that batch (content and
+      role-marker characters);
+    * ``(_id, token=NULL, _n, _na, _last, _chars)`` — partial dialog stats (turns, assistant
+      turns, last turn key, characters).
+
+    Callers aggregate the stats by dialog and dedup the pairs; the text is read once for both.
+    """
+    spark = turns.sparkSession
+    ensure_package(spark)
+
+    def run(batches):
+        import pyarrow as pa
+        from chatloom.schema import ROLE_MARKERS
+        for b in batches:
+            ids, ords = b.column(0).to_pylist(), b.column(1).to_pylist()
+            roles, texts = b.column(2).to_pylist(), b.column(3).to_pylist()
+            strs: dict = {}
+            st: dict = {}
+            for i, o, r, t in zip(ids, ords, roles, texts):
+                strs.setdefault(i, []).extend([t, ROLE_MARKERS.get(r)])
+                n, na, last, chars = st.get(i, (0, 0, None, 0))
+                st[i] = (n + 1, na + (r == "assistant"), o if last is None or (o is not None and o > last) else last,
+                         chars + (len(t) if t else 0))
+            out_i, out_t, out_n, out_na, out_last, out_c = [], [], [], [], [], []
+            for i, ss in strs.items():
+                for c in distinct_code_points(ss).tolist():
+                    out_i.append(i); out_t.append(chr(c))
+                    out_n.append(None); out_na.append(None); out_last.append(None); out_c.append(None)
+                n, na, last, chars = st[i]
+                out_i.append(i); out_t.append(None)
+                out_n.append(n); out_na.append(na); out_last.append(last); out_c.append(chars)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out_i, pa.int64()), pa.array(out_t, pa.string()), pa.array(out_n, pa.int64()),
+                 pa.array(out_na, pa.int64()), pa.array(out_last, pa.int64()), pa.array(out_c, pa.int64())],
+                names=["_id", "token", "_n", "_na", "_last", "_chars"])
+
+    return turns.select("_id", "_ord", "_role", "_text").mapInArrow(
+        run, "_id long, token string, _n long, _na long, _last long, _chars long")
+
+
 def build_vocab(parts: DataFrame) -> DataFrame:
     """Ids 0..6 are the specials, then the corpus' distinct code points in code-point order.
 

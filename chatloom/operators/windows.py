@@ -215,31 +215,39 @@ def windows_from_turns(turns: DataFrame, dialogs: DataFrame, lookup, source_name
 
 def turn_table_windows(turns: DataFrame, id_col: str = "conv_id", order_col: str = "turn", role_col: str = "role",
                        text_col: str = "text", source_name: str = "conversations", seq_len: int = DEFAULT_SEQ_LEN,
-                       stride: int | None = None, max_turns: int = 10_000, escape_specials: bool = False):
+                       stride: int | None = None, max_turns: int = 10_000, max_chars: int = 64 << 20,
+                       escape_specials: bool = False):
     """B7 → B6 → E1/E2 → F7 for a turn-per-row table, safe for dialogs of any size.
 
-    Returns ``(windows, vocab)``.  Dialog sizes come from a partially aggregated
-    count; dialogs with at most ``max_turns`` turns are assembled and cut by the
-    fused kernel (one row per dialog), larger ones go through ``windows_from_turns``
-    (no per-dialog row).  The vocabulary pass shuffles only distinct
-    (dialog, character) pairs, never the text.
+    Returns ``(windows, vocab)``.  One scan of the text yields both the vocabulary's
+    (dialog, character) pairs and per-dialog stats (turns, assistant turns, characters);
+    the small stats table is persisted.  Dialogs within ``max_turns`` and ``max_chars``
+    are assembled and cut by the fused kernel (one row per dialog); larger ones go
+    through ``windows_from_turns`` (no per-dialog row).
     """
-    from chatloom.operators.vocab import collect_lookup, number_tokens, dialog_chars
+    from pyspark import StorageLevel
+
+    from chatloom.operators.vocab import collect_lookup, dialog_profile, number_tokens
     from chatloom.sources.tables import assemble_dialogs
     spark = turns.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     t = turns.select(F.col(id_col).cast("long").alias("_id"), F.col(order_col).cast("long").alias("_ord"),
                      F.col(role_col).alias("_role"), F.col(text_col).alias("_text"))
-    dlg = t.groupBy("_id").agg(F.count("*").alias("_n"), F.count_if(F.col("_role") == "assistant").alias("_na"),
-                               F.max("_ord").alias("_last"))
-    kept = dlg.where(F.col("_na") > 0).select("_id", "_n", "_last")
-    vocab = number_tokens(dialog_chars(t, kept)).cache()
+    prof = dialog_profile(t).persist(StorageLevel.MEMORY_AND_DISK)
+    dlg = prof.where(F.col("token").isNull()).groupBy("_id").agg(
+        F.sum("_n").alias("_n"), F.sum("_na").alias("_na"), F.max("_last").alias("_last"),
+        F.sum("_chars").alias("_chars")).persist(StorageLevel.MEMORY_AND_DISK)
+    kept = dlg.where(F.col("_na") > 0)
+    pairs = prof.where(F.col("token").isNotNull()).select("_id", "token").distinct()
+    chars = pairs.join(kept.select("_id"), "_id", "left_semi").select("token")
+    tail = kept.limit(1).select(F.explode(F.array(*[F.lit(c) for c in "<eos>\n"])).alias("token"))
+    vocab = number_tokens(chars.unionByName(tail).distinct()).cache()
     lookup = collect_lookup(vocab)
-    hot = kept.where(F.col("_n") > max_turns).select("_id", "_last")
-    # the size table is a pruned scan (id/role/turn) + partial aggregation: cheap to count
+    prof.unpersist()
+    is_hot = (F.col("_n") > max_turns) | (F.col("_chars") > max_chars)
+    hot = kept.where(is_hot).select("_id", "_last")
     n_hot = hot.count()
-    small_kept = kept.where(F.col("_n") <= max_turns).select("_id")
-    tk = t.repartition(n, "_id").join(small_kept, "_id")
+    tk = t.repartition(n, "_id").join(kept.where(~is_hot).select("_id"), "_id")
     small = tk.select(F.col("_id").alias(id_col), F.col("_ord").alias(order_col), F.col("_role").alias(role_col),
                       F.col("_text").alias(text_col))
     samples = assemble_dialogs(small, id_col, order_col, role_col, text_col, source_name, repartition=False)

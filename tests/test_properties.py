@@ -140,3 +140,17 @@ def test_long_text_sliced_path(spark):
     assert r.input_ids == toks[st:st + 256] and r.target_ids == toks[st + 1:st + 257]
     total = w.select(F.sum(F.aggregate("input_ids", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0]
     assert total == sum(sum(toks[int(a):int(a) + 256]) for a in starts)
+
+
+def test_hot_dialog_by_size_few_long_turns(spark):
+    from chatloom.operators.windows import turn_table_windows
+    from chatloom.sources.tables import assemble_dialogs
+    rows = [(1, 0, "user", "q" * 9000), (1, 1, "assistant", "a<user>b" * 1500), (1, 2, "user", "z" * 700),
+            (2, 0, "user", "hi"), (2, 1, "assistant", "yo")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    w_turn, v = turn_table_windows(turns, max_chars=5000)
+    w_ref = build_windows(assemble_dialogs(turns).where("turns > 0"), v)
+
+    def digest(df):
+        return sorted((r.sample_id, r.window_no, tuple(r.input_ids), tuple(r.loss_mask)) for r in df.collect())
+    assert digest(w_turn) == digest(w_ref)
