@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chatloom.functions.text import py_strip
-from chatloom.operators.normalize import _has, formats, load_format
+from chatloom.operators.normalize import formats, load_format
 from chatloom.schema import QUARANTINE
 
 
@@ -89,4 +89,4 @@ def read_stats(spark: SparkSession, output_dir: str) -> DataFrame:
     return s.withColumn("total", F.sum("added").over(Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, 0)))
 
 
-__all__ = ["incremental_load", "process_batch", "read_samples", "read_stats", "_has"]
+__all__ = ["incremental_load", "process_batch", "read_samples", "read_stats"]
