@@ -38,13 +38,14 @@ def process_batch(batch: DataFrame, batch_id: int, output_dir: str) -> None:
     """Normalize one micro-batch and write samples / quarantine / stats for it (idempotent)."""
     recs = batch.select("file_path", py_strip("value").alias("value")).where(F.col("value") != "")
     # stand-in ordinal so that ids differ per line: the hash of the line (NULLed after)
-    recs = _detect_each(recs.withColumn("ordinal", F.xxhash64("value"))).cache()
+    recs = _detect_each(recs.withColumn("ordinal", F.xxhash64("value"))) \
+        .withColumn("_v", F.try_parse_json("value")).cache()          # one parse, reused by the normalizers
     parts, quar = [], []
     for name in formats():
         spec = formats()[name]
         if spec.normalize is None:
             continue
-        n = load_format(recs.where(F.col("format") == name).select("file_path", "ordinal", "value"), name)
+        n = load_format(recs.where(F.col("format") == name).select("file_path", "ordinal", "value", "_v"), name)
         parts.append(n.samples.withColumn("ordinal", F.lit(None).cast("long")))
         quar.append(n.quarantine.withColumn("ordinal", F.lit(None).cast("long")))
     other = recs.where(F.col("format") == "json").select(
