@@ -170,7 +170,7 @@ def _mask_kernel(seq_len: int):
 
 def windows_from_turns(turns: DataFrame, dialogs: DataFrame, lookup, source_name: str = "conversations",
                        seq_len: int = DEFAULT_SEQ_LEN, stride: int | None = None,
-                       escape_specials: bool = False) -> DataFrame:
+                       escape_specials: bool = False, keep_tail: bool = False) -> DataFrame:
     """F7 without assembling dialogs: ``turns(_id, _ord, _role, _text)`` of kept dialogs,
     ``dialogs(_id, _last)`` with the last turn key per dialog.
 
@@ -198,7 +198,15 @@ def windows_from_turns(turns: DataFrame, dialogs: DataFrame, lookup, source_name
     pieces = x.select("_id", "g0", "n", "ids", w_lo.cast("long").alias("lo"), w_hi.cast("long").alias("hi")) \
         .where(F.col("lo") <= F.col("hi")) \
         .select("_id", "g0", "n", "ids", F.explode(F.sequence("lo", "hi")).alias("w"))
-    s_w = F.col("w") * stride
+    pieces = pieces.withColumn("_s", (F.col("w") * stride).cast("long"))
+    if keep_tail:
+        # one more window at L − S − 1 when the regular windows leave tokens after their end
+        last_end = (n_win - 1) * stride + S + 1
+        tail_start = F.col("L") - S - 1
+        tail = x.where((F.col("L") > S + 1) & (last_end < F.col("L")) & (F.col("g0") + F.col("n") > tail_start)) \
+            .select("_id", "g0", "n", "ids", n_win.cast("long").alias("w"), tail_start.cast("long").alias("_s"))
+        pieces = pieces.unionByName(tail)
+    s_w = F.col("_s")
     a = F.greatest(s_w, F.col("g0")) - F.col("g0")
     b = F.least(s_w + S + 1, F.col("g0") + F.col("n")) - F.col("g0")
     pieces = pieces.select("_id", "w", F.struct((F.greatest(s_w, F.col("g0")) - s_w).alias("off"),
@@ -216,14 +224,16 @@ def windows_from_turns(turns: DataFrame, dialogs: DataFrame, lookup, source_name
 def turn_table_windows(turns: DataFrame, id_col: str = "conv_id", order_col: str = "turn", role_col: str = "role",
                        text_col: str = "text", source_name: str = "conversations", seq_len: int = DEFAULT_SEQ_LEN,
                        stride: int | None = None, max_turns: int = 10_000, max_chars: int = 64 << 20,
-                       escape_specials: bool = False):
+                       escape_specials: bool = False, keep_tail: bool = False, text_mask: str = "none",
+                       mask_scope: str = "window"):
     """B7 → B6 → E1/E2 → F7 for a turn-per-row table, safe for dialogs of any size.
 
     Returns ``(windows, vocab)``.  One scan of the text yields both the vocabulary's
     (dialog, character) pairs and per-dialog stats (turns, assistant turns, characters);
     the small stats table is persisted.  Dialogs within ``max_turns`` and ``max_chars``
     are assembled and cut by the fused kernel (one row per dialog); larger ones go
-    through ``windows_from_turns`` (no per-dialog row).
+    through ``windows_from_turns`` (no per-dialog row); that plan supports ``keep_tail``
+    and the reference's window-scoped mask (``mask_scope='sample'`` with hot dialogs raises).
     """
     from pyspark import StorageLevel
 
@@ -251,9 +261,13 @@ def turn_table_windows(turns: DataFrame, id_col: str = "conv_id", order_col: str
     small = tk.select(F.col("_id").alias(id_col), F.col("_ord").alias(order_col), F.col("_role").alias(role_col),
                       F.col("_text").alias(text_col))
     samples = assemble_dialogs(small, id_col, order_col, role_col, text_col, source_name, repartition=False)
-    out = build_windows(samples, lookup, seq_len, stride, escape_specials=escape_specials)
+    out = build_windows(samples, lookup, seq_len, stride, keep_tail=keep_tail, text_mask=text_mask,
+                        mask_scope=mask_scope, escape_specials=escape_specials)
     if n_hot:
+        if mask_scope != "window":
+            raise NotImplementedError("mask_scope='sample' is not available for dialogs above max_turns/max_chars")
         hot_ids = F.broadcast(hot.select("_id")) if n_hot <= HOT_BROADCAST_ROWS else hot.select("_id")
         big = t.join(hot_ids, "_id", "left_semi")
-        out = out.unionByName(windows_from_turns(big, hot, lookup, source_name, seq_len, stride, escape_specials))
+        out = out.unionByName(windows_from_turns(big, hot, lookup, source_name, seq_len, stride, escape_specials,
+                                                 keep_tail))
     return out, vocab

@@ -154,3 +154,18 @@ def test_hot_dialog_by_size_few_long_turns(spark):
     def digest(df):
         return sorted((r.sample_id, r.window_no, tuple(r.input_ids), tuple(r.loss_mask)) for r in df.collect())
     assert digest(w_turn) == digest(w_ref)
+
+
+def test_turn_path_keep_tail(spark):
+    from chatloom.operators.windows import turn_table_windows
+    from chatloom.sources.tables import assemble_dialogs
+    rows = [(1, t, "user" if t % 2 == 0 else "assistant", "x" * (37 + t)) for t in range(40)]
+    rows += [(2, 0, "user", "q"), (2, 1, "assistant", "y" * 300)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    w_turn, v = turn_table_windows(turns, max_turns=10, keep_tail=True)
+    w_ref = build_windows(assemble_dialogs(turns).where("turns > 0"), v, keep_tail=True)
+
+    def digest(df):
+        return sorted((r.sample_id, r.window_no, tuple(r.input_ids), tuple(r.target_ids), tuple(r.loss_mask))
+                      for r in df.collect())
+    assert digest(w_turn) == digest(w_ref)
