@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from chatloom.functions.kernels import WindowBuilder, iter_sample_chunks
 from chatloom.operators.tokenize import _lookup
 from chatloom.plans.runtime import broadcast_value, ensure_package
-from chatloom.schema import DEFAULT_SEQ_LEN, EOS_ID, PAD_ID, WINDOWS
+from chatloom.schema import ASSISTANT_ID, DEFAULT_SEQ_LEN, EOS_ID, PAD_ID, USER_ID, WINDOWS
 
 _PYARROW_WINDOWS = None
 # hot-dialog id lists up to this many rows are broadcast to select their turns map-side
@@ -157,7 +157,9 @@ def _mask_kernel(seq_len: int):
             win = b.column(2)
             block = np.asarray(win.values.to_numpy(zero_copy_only=False), dtype=np.int32)
             block = block[win.offsets[0].as_py(): win.offsets[0].as_py() + n * (seq_len + 1)].reshape(n, seq_len + 1)
-            mask = loss_mask(block[:, :-1])
+            init = (np.asarray(b.column(3).to_numpy(zero_copy_only=False), dtype=np.int8)
+                    if b.num_columns > 3 else None)
+            mask = loss_mask(block[:, :-1], init)
             offsets = pa.array(np.arange(0, (n + 1) * seq_len, seq_len, dtype=np.int32))
             yield pa.RecordBatch.from_arrays([
                 b.column(0), b.column(1),
@@ -168,16 +170,60 @@ def _mask_kernel(seq_len: int):
     return run
 
 
+def _init_state_kernel(seq_len: int, stride: int, keep_tail: bool):
+    """Per turn: mask state just before every window start that falls inside the turn (O(turn))."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        S = seq_len
+        for b in batches:
+            cols = {name: b.column(i) for i, name in enumerate(b.schema.names)}
+            ids_col = cols["ids"]
+            offs = ids_col.offsets.to_numpy()
+            vals = np.asarray(ids_col.values.to_numpy(zero_copy_only=False), dtype=np.int32)
+            dlg, g0s, ns, Ls, sbs = (cols[c].to_pylist() for c in ("_id", "g0", "n", "L", "_sb"))
+            out_id, out_w, out_s = [], [], []
+            for r in range(b.num_rows):
+                g0, n, L = g0s[r], ns[r], Ls[r]
+                W = 1 if L <= S + 1 else -(-(L - S) // stride)
+                cand = []
+                w_a, w_b = max(1, -(-(g0 + 1) // stride)), min(W - 1, (g0 + n) // stride)
+                cand.extend((w, w * stride) for w in range(w_a, w_b + 1))
+                if keep_tail and L > S + 1 and (W - 1) * stride + S + 1 < L and g0 + 1 <= L - S - 1 <= g0 + n:
+                    cand.append((W, L - S - 1))
+                if not cand:
+                    continue
+                toks = vals[offs[r]:offs[r + 1]]
+                ctl = np.full(len(toks), -1, dtype=np.int8)
+                ctl[toks == ASSISTANT_ID] = 1
+                ctl[(toks == USER_ID) | (toks == EOS_ID)] = 0
+                last = np.maximum.accumulate(np.where(ctl >= 0, np.arange(len(toks)), -1))
+                for w, start in cand:
+                    lp = last[start - g0 - 1]
+                    out_id.append(dlg[r])
+                    out_w.append(w)
+                    out_s.append(int(ctl[lp] == 1) if lp >= 0 else int(sbs[r]))
+            yield pa.RecordBatch.from_arrays([pa.array(out_id, pa.int64()), pa.array(out_w, pa.int64()),
+                                              pa.array(out_s, pa.int8())], names=["_id", "w", "_init"])
+    return run
+
+
 def windows_from_turns(turns: DataFrame, dialogs: DataFrame, lookup, source_name: str = "conversations",
                        seq_len: int = DEFAULT_SEQ_LEN, stride: int | None = None,
-                       escape_specials: bool = False, keep_tail: bool = False) -> DataFrame:
+                       escape_specials: bool = False, keep_tail: bool = False,
+                       mask_scope: str = "window") -> DataFrame:
     """F7 without assembling dialogs: ``turns(_id, _ord, _role, _text)`` of kept dialogs,
     ``dialogs(_id, _last)`` with the last turn key per dialog.
 
     Tokens per turn → exclusive prefix sums of token counts (range-partitioned, so one
     huge dialog spans many tasks) → each turn emits the slices it contributes to each
     overlapping window → ``groupBy(dialog, window)`` (≤ seq_len+1 tokens per group) →
-    mask kernel.  Same output as ``build_windows`` with ``mask_scope='window'``.
+    mask kernel.  Same output as ``build_windows`` (``keep_tail`` and both mask scopes).
+
+    ``mask_scope='sample'``: each turn's last control-token state (a fold over its ids);
+    the most recent earlier turn holding one is found through the same prefix sums
+    (count of such turns) and an equi-join; a small kernel then gives the state just
+    before every window start inside the turn.
     """
     from chatloom.operators.batches import prefix_sum
     stride = stride or seq_len // 2
@@ -188,7 +234,14 @@ def windows_from_turns(turns: DataFrame, dialogs: DataFrame, lookup, source_name
         _encode_turns_kernel(bc, escape_specials), "_id long, _ord long, ids array<int>")
     eos = dialogs.select("_id", (F.col("_last") + 1).cast("long").alias("_ord"), F.array(F.lit(EOS_ID)).alias("ids"))
     toks = enc.unionByName(eos).withColumn("n", F.size("ids").cast("long")).where(F.col("n") > 0)
-    pre = prefix_sum(toks, "_id", ["_ord"], "n", "g0")
+    sample_scope = mask_scope == "sample"
+    if sample_scope:
+        fold = F.aggregate("ids", F.lit(-1), lambda acc, t: F.when(t == ASSISTANT_ID, F.lit(1))
+                           .when(t.isin(USER_ID, EOS_ID), F.lit(0)).otherwise(acc))
+        toks = toks.withColumn("_ls", fold).withColumn("_has", (F.col("_ls") >= 0).cast("long"))
+        pre = prefix_sum(toks, "_id", ["_ord"], ["n", "_has"], ["g0", "_c"])
+    else:
+        pre = prefix_sum(toks, "_id", ["_ord"], "n", "g0")
     lens = toks.groupBy("_id").agg(F.sum("n").alias("L"))
     x = pre.join(lens, "_id")
     S = seq_len
@@ -216,9 +269,19 @@ def windows_from_turns(turns: DataFrame, dialogs: DataFrame, lookup, source_name
     tok = F.flatten(F.transform("ps", lambda p: p["p"]))
     padded = F.when(F.size(tok) < S + 1, F.concat(tok, F.array_repeat(F.lit(PAD_ID), S + 1 - F.size(tok)))) \
         .otherwise(tok)
-    wins = grouped.select(F.concat(F.lit(source_name + ":"), F.col("_id").cast("string")).alias("sample_id"),
-                          F.col("w").cast("int").alias("window_no"), padded.alias("window"))
-    return wins.mapInArrow(_mask_kernel(S), WINDOWS)
+    if sample_scope:
+        ctl_turns = x.where(F.col("_has") == 1).select(
+            F.col("_id").alias("_pid_"), F.col("_c").alias("_cidx"), F.col("_ls").alias("_pls"))
+        xs = x.join(ctl_turns, (x["_id"] == ctl_turns["_pid_"]) & (ctl_turns["_cidx"] == x["_c"] - 1), "left") \
+            .select("_id", "g0", "n", "ids", "L", F.coalesce(F.col("_pls"), F.lit(0)).alias("_sb"))
+        inits = xs.mapInArrow(_init_state_kernel(S, stride, keep_tail), "_id long, w long, _init tinyint")
+        grouped = grouped.join(inits, ["_id", "w"], "left").withColumn(
+            "_init", F.coalesce(F.col("_init"), F.lit(0).cast("tinyint")))
+    cols = [F.concat(F.lit(source_name + ":"), F.col("_id").cast("string")).alias("sample_id"),
+            F.col("w").cast("int").alias("window_no"), padded.alias("window")]
+    if sample_scope:
+        cols.append("_init")
+    return grouped.select(*cols).mapInArrow(_mask_kernel(S), WINDOWS)
 
 
 def turn_table_windows(turns: DataFrame, id_col: str = "conv_id", order_col: str = "turn", role_col: str = "role",
@@ -232,8 +295,7 @@ def turn_table_windows(turns: DataFrame, id_col: str = "conv_id", order_col: str
     (dialog, character) pairs and per-dialog stats (turns, assistant turns, characters);
     the small stats table is persisted.  Dialogs within ``max_turns`` and ``max_chars``
     are assembled and cut by the fused kernel (one row per dialog); larger ones go
-    through ``windows_from_turns`` (no per-dialog row); that plan supports ``keep_tail``
-    and the reference's window-scoped mask (``mask_scope='sample'`` with hot dialogs raises).
+    through ``windows_from_turns`` (no per-dialog row); both routes support every option.
     """
     from pyspark import StorageLevel
 
@@ -264,10 +326,8 @@ def turn_table_windows(turns: DataFrame, id_col: str = "conv_id", order_col: str
     out = build_windows(samples, lookup, seq_len, stride, keep_tail=keep_tail, text_mask=text_mask,
                         mask_scope=mask_scope, escape_specials=escape_specials)
     if n_hot:
-        if mask_scope != "window":
-            raise NotImplementedError("mask_scope='sample' is not available for dialogs above max_turns/max_chars")
         hot_ids = F.broadcast(hot.select("_id")) if n_hot <= HOT_BROADCAST_ROWS else hot.select("_id")
         big = t.join(hot_ids, "_id", "left_semi")
         out = out.unionByName(windows_from_turns(big, hot, lookup, source_name, seq_len, stride, escape_specials,
-                                                 keep_tail))
+                                                 keep_tail, mask_scope))
     return out, vocab

@@ -169,3 +169,21 @@ def test_turn_path_keep_tail(spark):
         return sorted((r.sample_id, r.window_no, tuple(r.input_ids), tuple(r.target_ids), tuple(r.loss_mask))
                       for r in df.collect())
     assert digest(w_turn) == digest(w_ref)
+
+
+def test_turn_path_sample_scope_masks(spark):
+    from chatloom.operators.windows import turn_table_windows
+    from chatloom.sources.tables import assemble_dialogs
+    rows = []
+    for t in range(60):                  # long assistant answers that span windows, a system turn, specials
+        role = ["user", "assistant", "assistant", "system"][t % 4]
+        rows.append((1, t, role, ("ans " * (20 + t)) if role == "assistant" else ("sys<eos>" if role == "system" else "q?")))
+    rows += [(2, 0, "user", "hi"), (2, 1, "assistant", "z" * 700)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for keep_tail in (False, True):
+        w_turn, v = turn_table_windows(turns, max_turns=10, keep_tail=keep_tail, mask_scope="sample")
+        w_ref = build_windows(assemble_dialogs(turns).where("turns > 0"), v, keep_tail=keep_tail, mask_scope="sample")
+
+        def digest(df):
+            return sorted((r.sample_id, r.window_no, tuple(r.input_ids), tuple(r.loss_mask)) for r in df.collect())
+        assert digest(w_turn) == digest(w_ref)
