@@ -37,12 +37,27 @@ def _variant(records: DataFrame) -> Column:
     return F.col("_v") if "_v" in records.columns else F.try_parse_json("value")
 
 
+# A VARIANT holds at most ~128 MB; a larger record is still valid JSON.  For such rows
+# (``_v`` NULL while the text is an object) fields come from ``from_json`` over the text,
+# with Jackson's string-length guard lifted.  CASE evaluates the fallback only for them.
+BIG_JSON = {"maxStringLen": str(2**31 - 1)}
+
+
+def _big(k: str, typ: str) -> Column:
+    return F.from_json(F.col("value"), f"struct<`{k}`:{typ}>", BIG_JSON)[k]
+
+
 def _present(v: Column, k: str) -> Column:
-    return F.variant_get(v, f"$.{k}", "variant").isNotNull()
+    return F.when(v.isNotNull(), F.variant_get(v, f"$.{k}", "variant").isNotNull()) \
+        .otherwise(F.array_contains(F.json_object_keys("value"), k))
 
 
 def _str(v: Column, k: str) -> Column:
-    return F.try_variant_get(v, f"$.{k}", "string")
+    return F.when(v.isNotNull(), F.try_variant_get(v, f"$.{k}", "string")).otherwise(_big(k, "string"))
+
+
+def _get(v: Column, k: str, typ: str) -> Column:
+    return F.when(v.isNotNull(), F.try_variant_get(v, f"$.{k}", typ)).otherwise(_big(k, typ))
 
 
 def _truthy(c: Column) -> Column:
@@ -76,7 +91,7 @@ def _null_content(dialog: Column) -> Column:
 
 
 def _base_reason(v: Column) -> Column:
-    return F.when(v.isNull(), F.lit("bad_json"))
+    return F.when(v.isNull() & F.json_object_keys("value").isNull(), F.lit("bad_json"))
 
 
 # -- B1 MOSS ---------------------------------------------------------------------------------------------
@@ -95,7 +110,7 @@ def normalize_moss(records: DataFrame, turn_order: str = "numeric") -> Normalize
     (the reference's order).
     """
     vv = F.col("_v")
-    base = _parsed(records).withColumn("_conv", F.try_variant_get(vv, "$.conversation", f"map<string,{MAP_SS}>"))
+    base = _parsed(records).withColumn("_conv", _get(vv, "conversation", f"map<string,{MAP_SS}>"))
     conv = F.col("_conv")
     names = F.filter(F.map_keys(conv), lambda k: k.startswith("turn_"))
     if turn_order == "numeric":
@@ -146,7 +161,7 @@ def normalize_sharegpt(records: DataFrame) -> Normalized:
     """B2: ``conversations`` list of {from, value}; truthy top-level ``system`` first; unknown speakers dropped."""
     vv = F.col("_v")
     base = _parsed(records).select(
-        "*", F.try_variant_get(vv, "$.conversations", f"array<{MAP_SS}>").alias("_convs"),
+        "*", _get(vv, "conversations", f"array<{MAP_SS}>").alias("_convs"),
         _str(vv, "system").alias("_system"))
     system = F.col("_system")
     msgs = F.transform("_convs", lambda c: F.struct(
