@@ -107,6 +107,31 @@ def q_encode_dialog(spark, d):
     return t.select("sample_id", F.size("token_ids").cast("long").alias("n_tokens"), ids_str("token_ids").alias("token_ids"))
 
 
+_EOS_ORD = "CASE WHEN ord = 9223372036854775807 THEN NULL ELSE ord END::BIGINT AS turn"
+
+
+@register("encode_turns", O.with_(O.dialog_turns(), O.dialog_vocab(), O.dialog_ids(with_ord=True)) + f"""
+SELECT sample_id, {_EOS_ORD}, min(pos)::BIGINT AS pos0, count(*)::BIGINT AS n_tokens,
+       string_agg(id::VARCHAR, ',' ORDER BY pos) AS token_ids
+FROM ids GROUP BY sample_id, ord""")
+def q_encode_turns(spark, d):
+    c = read_table(spark, d, "conversations")
+    t = tok.encode_turns(c, turn_table_vocab(c))
+    return t.select("sample_id", "turn", "pos0", "n_tokens", ids_str("token_ids").alias("token_ids"))
+
+
+@register("decode_turns", O.with_(O.dialog_turns(), O.dialog_vocab(), O.dialog_ids(with_ord=True)) + f"""
+SELECT i.sample_id, {_EOS_ORD.replace("ord", "i.ord")}, md5(string_agg(v.token, '' ORDER BY i.pos)) AS decoded_md5,
+       sum(length(v.token))::BIGINT AS n_chars
+FROM ids i JOIN vocab v ON v.id = i.id GROUP BY i.sample_id, i.ord""")
+def q_decode_turns(spark, d):
+    c = read_table(spark, d, "conversations")
+    v = turn_table_vocab(c).cache()
+    t = tok.decode_column(tok.encode_turns(c, v), "token_ids", v, out_col="decoded")
+    return t.select("sample_id", "turn", F.md5("decoded").alias("decoded_md5"),
+                    F.char_length("decoded").cast("long").alias("n_chars"))
+
+
 @register("encode_text", O.with_(O.doc_texts(), O.text_vocab(), O.text_ids(eos=False)) + """
 SELECT sample_id, count(*)::BIGINT AS n_tokens, md5(string_agg(id::VARCHAR, ',' ORDER BY pos)) AS ids_md5,
        sum(id)::BIGINT AS ids_sum

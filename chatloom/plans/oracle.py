@@ -66,8 +66,10 @@ def text_vocab(name: str = "dvocab", src: str = "doc_texts") -> str:
 
 
 # -- encoding ------------------------------------------------------------------------------------
-def dialog_ids(vocab: str = "vocab", name: str = "ids") -> str:
-    """(sample_id, pos, id): role token + content tokens per turn, one <eos> at the end."""
+def dialog_ids(vocab: str = "vocab", name: str = "ids", with_ord: bool = False) -> str:
+    """(sample_id, pos, id): role token + content tokens per turn, one <eos> at the end
+    (``with_ord``: plus the turn key ``ord``, the largest BIGINT for the <eos>)."""
+    ord_col = "t.ord, " if with_ord else ""
     return f"""{name}_pieces AS (
   SELECT sample_id, turn AS ord,
          (CASE role WHEN 'user' THEN ['<user>'] WHEN 'assistant' THEN ['<assistant>'] ELSE []::VARCHAR[] END)
@@ -80,7 +82,7 @@ def dialog_ids(vocab: str = "vocab", name: str = "ids") -> str:
   SELECT sample_id, ord, generate_subscripts(lst, 1) AS k, unnest(lst) AS tk FROM {name}_pieces
 ),
 {name} AS (
-  SELECT t.sample_id, row_number() OVER (PARTITION BY t.sample_id ORDER BY t.ord, t.k) - 1 AS pos,
+  SELECT {ord_col}t.sample_id, row_number() OVER (PARTITION BY t.sample_id ORDER BY t.ord, t.k) - 1 AS pos,
          coalesce(v.id, 1) AS id
   FROM {name}_tok t LEFT JOIN {vocab} v ON v.token = t.tk
 )"""

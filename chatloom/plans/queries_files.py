@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from chatloom.operators.batches import dense_positions
 from chatloom.plans import oracle as O
 from chatloom.plans.catalog import arr_sum, dialog_windows, register
 from chatloom.plans.dialects import KEEP_NULLS, alpaca_items, moss_items, sharegpt_items
@@ -113,13 +114,13 @@ def q_read_jsonl(spark, d):
     root = build_tree(spark, d)
     r = FS.read_jsonl(spark, f"{root}/sgpt")
     item = F.from_json("value", "struct<id:long, system:string, conversations:array<struct<from:string,value:string>>>")
-    r = r.select("file_path", "ordinal", item.alias("i"))
+    r = r.select("file_path", "ordinal", item["id"].alias("conv_id"),
+                 F.size(item["conversations"]).cast("long").alias("n_turns"),
+                 item["system"].isNotNull().alias("has_system"))
     # each file was written ordered by dialog id: the ordinal must equal the id's rank in its file
-    from pyspark.sql import Window
-    w = Window.partitionBy("file_path").orderBy("i.id")
-    return r.select(F.col("i.id").alias("conv_id"), F.size("i.conversations").cast("long").alias("n_turns"),
-                    F.col("i.system").isNotNull().alias("has_system"),
-                    (F.col("ordinal") == F.row_number().over(w) - 1).alias("ordinal_ok"))
+    # (a distributed rank: one file may hold a large share of all records)
+    r = dense_positions(r, ["file_path"], ["conv_id"], out_col="rank")
+    return r.select("conv_id", "n_turns", "has_system", (F.col("ordinal") == F.col("rank")).alias("ordinal_ok"))
 
 
 # -- A4 / A5 -----------------------------------------------------------------------------------------
@@ -226,10 +227,9 @@ def q_write_windows(spark, d):
 SELECT conv_id, true AS ordinal_ok, true AS line_ok FROM (SELECT DISTINCT conv_id FROM conversations)""")
 def q_record_ordinal(spark, d):
     """Ordinals and physical line numbers of the JSONL tree: files were written ordered by dialog id."""
-    from pyspark.sql import Window
     root = build_tree(spark, d)
     r = FS.read_jsonl(spark, f"{root}/sgpt").select(
         "file_path", "ordinal", "line", F.get_json_object("value", "$.id").cast("long").alias("conv_id"))
-    rank = F.row_number().over(Window.partitionBy("file_path").orderBy("conv_id")) - 1
-    return r.select("conv_id", (F.col("ordinal") == rank).alias("ordinal_ok"),
+    r = dense_positions(r, ["file_path"], ["conv_id"], out_col="rank")
+    return r.select("conv_id", (F.col("ordinal") == F.col("rank")).alias("ordinal_ok"),
                     (F.col("line") == F.col("ordinal") + 1).alias("line_ok"))

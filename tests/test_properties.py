@@ -187,3 +187,31 @@ def test_turn_path_sample_scope_masks(spark):
         def digest(df):
             return sorted((r.sample_id, r.window_no, tuple(r.input_ids), tuple(r.loss_mask)) for r in df.collect())
         assert digest(w_turn) == digest(w_ref)
+
+
+def test_encode_turns_equals_assembled_encoding(spark):
+    """E4 per turn (no dialog row) concatenates, in pos0 order, to the assembled dialog's ids."""
+    from chatloom.operators.vocab import turn_table_vocab
+    from chatloom.sources.tables import assemble_dialogs
+    rows = []
+    for t in range(3000):                                   # one dialog holds most of the rows
+        rows.append((7, t, "user" if t % 2 == 0 else "assistant", f"m{t} <eos>" if t % 97 == 0 else f"m{t}é"))
+    for c in range(20):
+        for t in range(6):
+            rows.append((100 + c, t, ["system", "user", "assistant"][t % 3], "" if t == 0 else f"c{c}t{t} 😀"))
+    rows.append((500, 0, "user", "no answer"))
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    v = turn_table_vocab(turns).cache()
+    per_turn = tok.encode_turns(turns, v).cache()
+    # positions are contiguous: each row starts where the previous one of its dialog ended
+    nxt = per_turn.groupBy("sample_id").agg(F.sum("n_tokens").alias("L"), F.max(F.col("pos0") + F.col("n_tokens")).alias("E"),
+                                            F.min("pos0").alias("P"))
+    assert nxt.where("L != E OR P != 0").count() == 0
+    glued = per_turn.groupBy("sample_id").agg(F.array_sort(F.collect_list(F.struct("pos0", "token_ids"))).alias("p")) \
+        .select("sample_id", F.flatten(F.transform("p", lambda x: x["token_ids"])).alias("a"))
+    ref = tok.encode_samples(assemble_dialogs(turns).where("turns > 0"), v).select("sample_id", F.col("token_ids").alias("b"))
+    j = glued.join(ref, "sample_id", "full")
+    assert j.count() == 21
+    assert j.where(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
+    # the <eos> row has no turn and sits at the end
+    assert per_turn.where("turn IS NULL AND n_tokens = 1").count() == 21
