@@ -124,8 +124,13 @@ def read_json_document(spark: SparkSession, paths, strict: bool = False, glob: s
     a ``.json`` file holding JSON lines is read as lines.  One file = one task: prefer
     JSONL for very large inputs.
     """
-    docs = _text(spark, paths, glob, wholetext=True).select(
-        F.col("_metadata.file_path").alias("file_path"), F.regexp_replace("value", "\r\n?", "\n").alias("doc"))
+    docs = _text(spark, paths, glob, wholetext=True).select(F.col("_metadata.file_path").alias("file_path"), "value")
+    return json_documents(docs, strict)
+
+
+def json_documents(docs: DataFrame, strict: bool = False) -> DataFrame:
+    """A4 records of whole files ``(file_path, value)`` (one row per file; also a stream's micro-batch)."""
+    docs = docs.select("file_path", F.regexp_replace("value", "\r\n?", "\n").alias("doc"))
     body = py_strip("doc")
     first = F.regexp_extract(body, r"^([^\n]*)", 1)
     # JSON lines in a .json file: not an array, several lines, and the first line is a whole JSON value

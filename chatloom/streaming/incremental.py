@@ -1,19 +1,31 @@
 """Incremental loading with Structured Streaming.
 
-Newly arrived JSON-lines files under ``input_dir`` are normalized and appended to a
-samples table, with the number of added samples per trigger.  The stream is
-stateless (per-record dialect detection by keys, in registry precedence) and
-uses ``foreachBatch``: every micro-batch is written to ``…/batch_id=<n>`` with
-overwrite, so a re-run of a batch after a failure replaces rather than
-duplicates its output (exactly-once together with the checkpoint).
-
-Differences from the batch loader: a record's ``sample_id`` hashes its file path
-and line content and ``ordinal`` is NULL (per-file ranks need the whole file);
-two identical lines of one file therefore share an id, both rows are kept.
+Newly arrived files under ``input_dir`` are normalized and appended to a samples
+table, with the number of added samples per trigger.  Two stateless streams share
+one normalization (per-record dialect detection by keys, in registry precedence):
+
+* ``lines`` — every file except ``*.json``, read line by line (splittable);
+* ``documents`` — ``*.json`` files read whole (``wholetext``), then sniffed like the
+  batch reader: an array gives its items, an object one record, JSON lines in a
+  ``.json`` file their lines.  A file arrives whole in one micro-batch, so the
+  batch loader's rules apply unchanged — dialect detected per file from its first
+  valid record, exact ordinals and ids (one file = one task, as in batch); records
+  of a file with no detected dialect are quarantined as ``unknown_format``.
+
+Each stream uses ``foreachBatch``: every micro-batch is written to
+``…/stream=<name>/batch_id=<n>`` with overwrite, so a re-run of a batch after a
+failure replaces rather than duplicates its output (exactly-once together with
+the checkpoint).
+
+Difference from the batch loader for ``lines``: a record's ``sample_id`` hashes
+its file path and line content and ``ordinal`` is NULL (per-file ranks need the
+whole file); two identical lines of one file therefore share an id, both rows are
+kept.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -34,22 +46,18 @@ def _detect_each(records: DataFrame) -> DataFrame:
     return records.withColumn("format", fmt.otherwise(F.lit("json")) if fmt is not None else F.lit("json"))
 
 
-def process_batch(batch: DataFrame, batch_id: int, output_dir: str) -> None:
-    """Normalize one micro-batch and write samples / quarantine / stats for it (idempotent)."""
-    recs = batch.select("file_path", py_strip("value").alias("value")).where(F.col("value") != "")
-    # stand-in ordinal so that ids differ per line: the hash of the line (NULLed after)
-    recs = _detect_each(recs.withColumn("ordinal", F.xxhash64("value"))) \
-        .withColumn("_v", F.try_parse_json("value")).cache()          # one parse, reused by the normalizers
+def _normalize(tagged: DataFrame, exact_ordinals: bool):
+    """(samples, quarantine) of records ``(file_path, ordinal, value, _v, format)``."""
+    keep = (lambda c: c) if exact_ordinals else (lambda c: F.lit(None).cast("long"))
     parts, quar = [], []
-    for name in formats():
-        spec = formats()[name]
+    for name, spec in formats().items():
         if spec.normalize is None:
             continue
-        n = load_format(recs.where(F.col("format") == name).select("file_path", "ordinal", "value", "_v"), name)
-        parts.append(n.samples.withColumn("ordinal", F.lit(None).cast("long")))
-        quar.append(n.quarantine.withColumn("ordinal", F.lit(None).cast("long")))
-    other = recs.where(F.col("format") == "json").select(
-        "file_path", F.lit(None).cast("long").alias("ordinal"), F.col("value").alias("raw"),
+        n = load_format(tagged.where(F.col("format") == name).select("file_path", "ordinal", "value", "_v"), name)
+        parts.append(n.samples.withColumn("ordinal", keep(F.col("ordinal"))))
+        quar.append(n.quarantine.withColumn("ordinal", keep(F.col("ordinal"))))
+    other = tagged.where(F.col("format") == "json").select(
+        "file_path", keep(F.col("ordinal")).alias("ordinal"), F.col("value").alias("raw"),
         F.when(F.json_object_keys("value").isNull(), F.lit("bad_json")).otherwise(F.lit("unknown_format"))
         .alias("reason"))
     samples = parts[0]
@@ -58,25 +66,71 @@ def process_batch(batch: DataFrame, batch_id: int, output_dir: str) -> None:
     q = other.select(*QUARANTINE.names)
     for x in quar:
         q = q.unionByName(x.select(*QUARANTINE.names))
-    samples.write.mode("overwrite").parquet(f"{output_dir}/samples/batch_id={batch_id}")
-    q.write.mode("overwrite").parquet(f"{output_dir}/quarantine/batch_id={batch_id}")
-    added = batch.sparkSession.read.parquet(f"{output_dir}/samples/batch_id={batch_id}").count()
+    return samples, q
+
+
+def process_batch(batch: DataFrame, batch_id: int, output_dir: str, stream: str = "lines") -> None:
+    """Normalize one micro-batch and write samples / quarantine / stats for it (idempotent)."""
+    if stream == "documents":
+        # whole files: the batch loader's rules (per-file detection from the first valid record)
+        from chatloom.sources.files import detect_formats, json_documents, records_quarantine
+        recs = json_documents(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        tagged = recs.where("valid").select("file_path", "ordinal", "value", "_v") \
+            .join(detect_formats(recs), "file_path")
+        samples, q = _normalize(tagged, exact_ordinals=True)
+        q = records_quarantine(recs).select(*QUARANTINE.names).unionByName(q)
+    else:
+        lines = batch.select("file_path", py_strip("value").alias("value")).where(F.col("value") != "")
+        # stand-in ordinal so that ids differ per line: the hash of the line (NULLed after)
+        recs = _detect_each(lines.withColumn("ordinal", F.xxhash64("value"))) \
+            .withColumn("_v", F.try_parse_json("value")).persist(StorageLevel.MEMORY_AND_DISK)   # one parse
+        samples, q = _normalize(recs, exact_ordinals=False)
+    part = f"stream={stream}/batch_id={batch_id}"
+    samples.write.mode("overwrite").parquet(f"{output_dir}/samples/{part}")
+    q.write.mode("overwrite").parquet(f"{output_dir}/quarantine/{part}")
+    added = batch.sparkSession.read.parquet(f"{output_dir}/samples/{part}").count()
     batch.sparkSession.createDataFrame([(batch_id, added)], "batch long, added long") \
-        .write.mode("overwrite").parquet(f"{output_dir}/stats/batch_id={batch_id}")
+        .write.mode("overwrite").parquet(f"{output_dir}/stats/{part}")
     recs.unpersist()
 
 
+class IncrementalLoad:
+    """The running streams of one ``incremental_load`` call (``lines`` and ``documents``)."""
+
+    def __init__(self, queries: list[StreamingQuery]):
+        self.queries = queries
+
+    def awaitTermination(self) -> None:
+        for q in self.queries:
+            q.awaitTermination()
+
+    def stop(self) -> None:
+        for q in self.queries:
+            q.stop()
+
+
 def incremental_load(spark: SparkSession, input_dir: str, output_dir: str, checkpoint_location: str,
-                     available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the stream; with ``available_now`` it processes what has arrived and stops."""
-    reader = spark.readStream.format("text")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    src = reader.load(input_dir).select(F.col("_metadata.file_path").alias("file_path"), "value")
-    w = src.writeStream.foreachBatch(lambda df, bid: process_batch(df, bid, output_dir)) \
-        .option("checkpointLocation", checkpoint_location)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
-    return w.start()
+                     available_now: bool = True, max_files_per_trigger: int | None = None) -> IncrementalLoad:
+    """Start both streams; with ``available_now`` they process what has arrived and stop."""
+    from chatloom.sources.files import GLOBS
+
+    def start(stream: str, reader, ckpt: str) -> StreamingQuery:
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        src = reader.load(input_dir).select(F.col("_metadata.file_path").alias("file_path"), "value")
+        if stream == "lines":
+            # ``*.json`` belongs to the documents stream (file-level metadata filter)
+            src = src.where(~F.lower("file_path").endswith(".json"))
+        w = src.writeStream.foreachBatch(lambda df, bid: process_batch(df, bid, output_dir, stream)) \
+            .option("checkpointLocation", ckpt)
+        w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
+        return w.start()
+
+    ck = checkpoint_location.rstrip("/")
+    lines = start("lines", spark.readStream.format("text"), ck)
+    docs = start("documents", spark.readStream.format("text").option("wholetext", "true")
+                 .option("pathGlobFilter", GLOBS["json"]), f"{ck}-documents")
+    return IncrementalLoad([lines, docs])
 
 
 def read_samples(spark: SparkSession, output_dir: str) -> DataFrame:
@@ -84,10 +138,11 @@ def read_samples(spark: SparkSession, output_dir: str) -> DataFrame:
 
 
 def read_stats(spark: SparkSession, output_dir: str) -> DataFrame:
-    """(batch, added, total) — added per trigger and the running total."""
+    """(stream, batch, added, total) — added per trigger and the running total (a few rows per trigger)."""
     from pyspark.sql import Window
-    s = spark.read.parquet(f"{output_dir}/stats").select("batch", "added")
-    return s.withColumn("total", F.sum("added").over(Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, 0)))
+    s = spark.read.parquet(f"{output_dir}/stats").select("stream", "batch", "added")
+    w = Window.orderBy("batch", "stream").rowsBetween(Window.unboundedPreceding, 0)
+    return s.withColumn("total", F.sum("added").over(w))
 
 
-__all__ = ["incremental_load", "process_batch", "read_samples", "read_stats"]
+__all__ = ["IncrementalLoad", "incremental_load", "process_batch", "read_samples", "read_stats"]

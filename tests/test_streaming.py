@@ -46,3 +46,40 @@ def test_stream_equals_batch_except_ids(spark, tmpdir_fresh):
     stream = read_samples(spark, out).drop("batch_id")
     assert norm(stream) == norm(batch)
     assert stream.where(F.col("ordinal").isNotNull()).count() == 0
+
+
+def test_stream_json_documents_equal_batch(spark, tmpdir_fresh):
+    """Whole ``.json`` files (array, pretty object, JSON lines) stream exactly like the batch reader, ids too."""
+    from pyspark.sql import functions as F
+    from chatloom.sources.files import scan_directory
+    inp, out, ck = f"{tmpdir_fresh}/in", f"{tmpdir_fresh}/out", f"{tmpdir_fresh}/ck"
+    os.makedirs(inp)
+    arr = [{"instruction": f"i{i}", "input": "", "output": f"o{i}"} for i in range(3)] + [7]
+    with open(f"{inp}/arr.json", "w") as f:
+        json.dump(arr, f, indent=2)
+    with open(f"{inp}/one.JSON", "w") as f:
+        json.dump({"conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a"}]}, f, indent=2)
+    with open(f"{inp}/lines.json", "w") as f:
+        f.write(json.dumps({"instruction": "x", "output": "y"}) + "\r\n\n" + json.dumps({"instruction": "z", "output": "w"}) + "\n")
+    with open(f"{inp}/c.jsonl", "w") as f:
+        f.write(json.dumps({"instruction": "l", "output": "m"}) + "\n")
+    incremental_load(spark, inp, out, ck).awaitTermination()
+    cols = ["sample_id", "ordinal", "kind", "text", "dialog", "file_path", "type", "turns", "format"]
+
+    def norm(df):
+        return sorted(tuple(str(r[c]) for c in cols) for r in df.select(*cols).collect())
+    docs = F.lower("file_path").endswith(".json")
+    res = scan_directory(spark, inp)
+    batch = res.samples.where(docs)
+    stream = read_samples(spark, out)
+    assert stream.where(docs & (F.col("stream") != "documents")).count() == 0
+    assert norm(stream.where(docs)) == norm(batch)
+    assert batch.count() == 6
+    assert stream.where(~docs).count() == 1
+
+    def quar(df):
+        return sorted((r.file_path, r.ordinal, r.reason) for r in df.where(docs).collect())
+    q = spark.read.parquet(f"{out}/quarantine")
+    assert quar(q) == quar(res.quarantine) and len(quar(q)) == 1       # the scalar item 7
+    incremental_load(spark, inp, out, ck).awaitTermination()           # nothing new
+    assert read_samples(spark, out).count() == 7
