@@ -53,7 +53,10 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 # case-insensitive suffix globs (Hadoop glob character classes); no file list on the driver
-GLOBS = {"jsonl": "*.[jJ][sS][oO][nN][lL]", "json": "*.[jJ][sS][oO][nN]", "txt": "*.[tT][xX][tT]"}
+GLOBS = {"jsonl": "*.[jJ][sS][oO][nN][lL]", "json": "*.[jJ][sS][oO][nN]", "txt": "*.[tT][xX][tT]",
+         # every name that does not end in ".json" (any case): a different last character, or a
+         # different character before "n", "on", "son", "json"; or shorter than ".json"
+         "not_json": "{*[^nN],*[^oO][nN],*[^sS][oO][nN],*[^jJ][sS][oO][nN],*[^.][jJ][sS][oO][nN],?,??,???,????}"}
 
 
 def _text(spark: SparkSession, paths, glob: str | None, wholetext: bool = False) -> DataFrame:

@@ -118,16 +118,14 @@ def incremental_load(spark: SparkSession, input_dir: str, output_dir: str, check
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
         src = reader.load(input_dir).select(F.col("_metadata.file_path").alias("file_path"), "value")
-        if stream == "lines":
-            # ``*.json`` belongs to the documents stream (file-level metadata filter)
-            src = src.where(~F.lower("file_path").endswith(".json"))
         w = src.writeStream.foreachBatch(lambda df, bid: process_batch(df, bid, output_dir, stream)) \
             .option("checkpointLocation", ckpt)
         w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
         return w.start()
 
     ck = checkpoint_location.rstrip("/")
-    lines = start("lines", spark.readStream.format("text"), ck)
+    # ``*.json`` files belong to the documents stream: excluded when listing files, never read twice
+    lines = start("lines", spark.readStream.format("text").option("pathGlobFilter", GLOBS["not_json"]), ck)
     docs = start("documents", spark.readStream.format("text").option("wholetext", "true")
                  .option("pathGlobFilter", GLOBS["json"]), f"{ck}-documents")
     return IncrementalLoad([lines, docs])
