@@ -1,9 +1,10 @@
-"""Every registered query against its DuckDB oracle at sf0.001 (order-insensitive)."""
+"""Every query of the chat catalog against its DuckDB oracle at sf0.001 (order-insensitive)."""
 
 import duckdb
 import pytest
 
 import __spark_entry__ as E
+from chatloom.plans import registry
 from conftest import SF001
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
@@ -22,7 +23,7 @@ def _norm(v):
     return round(v, 6) if isinstance(v, float) else v
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF001)
     cols = sorted(df.columns)
