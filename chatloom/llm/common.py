@@ -21,6 +21,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """The frame with its columns renamed c0, c1, ...: no column can clash with an operator's own."""
+    return df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)])
+
+
 def _signature(edges: DataFrame) -> tuple:
     row = edges.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"),
                     F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("s")).first()

@@ -54,34 +54,34 @@ def _byte_tables():
 def word_hashes(data):
     """64-bit hashes of the words of UTF-8 bytes (a numpy array), in order.
 
-    A word's hash is the difference of two running sums of byte value * power, brought back to its start; a
-    word that is longer than a piece is the sum of its parts.
+    A word's hash is the difference of two running sums of byte value * power, brought back to its start.
+    Pieces end behind a separator; only a word that is longer than a piece is hashed by parts.
     """
     import numpy as np
     value, powers, inverse = _byte_tables()
-    out, carry = [], None
-    for pos in range(0, len(data), PIECE):
+    out, carry, pos = [], None, 0
+    while pos < len(data):
         v = value[data[pos:pos + PIECE]]
+        more = pos + len(v) < len(data)
+        if more and v[-1]:
+            blanks = np.flatnonzero(v == 0)
+            v = v[:blanks[-1] + 1] if len(blanks) else v
+        pos += len(v)
         inside = np.zeros(len(v) + 2, dtype=np.int8)
         inside[1:-1] = v != 0
         edge = np.flatnonzero(inside[1:] != inside[:-1])
         starts, ends = edge[::2], edge[1::2]
-        if not len(starts):
-            if carry is not None:
-                out.append(carry)
-                carry = None
-            continue
         with np.errstate(over="ignore"):
             total = np.zeros(len(v) + 1, dtype=np.uint64)
             np.cumsum(v * powers[:len(v)], out=total[1:])
             h = _mix((total[ends] - total[starts]) * inverse[starts] + np.uint64(1))
             if carry is not None:
-                if starts[0] == 0:
+                if len(starts) and starts[0] == 0:
                     h[0] = _mix(h[0] + carry[0] * np.uint64(0xD6E8FEB86659FD93))
                 else:
                     out.append(carry)
                 carry = None
-        if ends[-1] == len(v) and pos + PIECE < len(data):
+        if more and v[-1]:
             carry, h = h[-1:], h[:-1]
         out.append(h)
     if carry is not None:
@@ -336,4 +336,4 @@ def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
 def keep_clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The input rows that hold no item, all columns unchanged; rows without an id are judged together."""
     held = find_items(docs, items, id_col=id_col, **options).select(F.col("doc_id").alias("_held")).distinct()
-    return docs.join(held, docs[id_col].cast("long").eqNullSafe(F.col("_held")), "left_anti")
+    return docs.join(held, docs[id_col].cast("long").eqNullSafe(held["_held"]), "left_anti")

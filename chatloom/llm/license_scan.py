@@ -15,7 +15,7 @@ from chatloom.llm.license_texts import LICENSES, NOTICES
 SPELLINGS = [("licence", "license"), ("acknowledgement", "acknowledgment"), ("authoris", "authoriz"), ("organis", "organiz"),
              ("recognis", "recogniz"), ("favour", "favor"), ("behaviour", "behavior"), ("judgement", "judgment"),
              ("whilst", "while"), ("non-infringement", "noninfringement"), ("per cent", "percent")]
-COPYRIGHT_LINE = r"^[^0-9a-z©]*(copyright [^a-z]*[0-9]|copyright ©|©|\(c\)|all rights reserved)"
+COPYRIGHT_LINE = r"^[^0-9a-z©]*(copyright (\(c\)|[^a-z])*[0-9]|copyright ©|©|\(c\)|all rights reserved)"
 MAX_KNOWN = 100_000  # known digests that are broadcast
 _COPYRIGHT = re.compile(COPYRIGHT_LINE)
 _MARKS = (b"copyright", b"\xc2\xa9", b"(c)", b"all rights")

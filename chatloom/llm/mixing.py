@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import cut
+from chatloom.llm.common import cut, numbered
 
 SPACE = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACE}]+"
@@ -106,19 +106,22 @@ def materialise(docs: DataFrame, **options) -> DataFrame:
     taken = mix(docs, **options).groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"),
                                          F.col("size").alias("_size")) \
         .agg(F.ceil(F.sum("taken") / F.count(F.lit(1))).cast("long").alias("_taken")).where("_taken > 0")
-    kept = [c for c in docs.columns if c not in ("mix_copy", "mix_words")]
-    sized = docs.select(*kept, word_count(docs[text_col]).alias("_words"))
-    joined = sized.join(taken.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("_id"))
-                        & F.col(source_col).cast("string").eqNullSafe(F.col("_source"))
+    at = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    text = F.col(at[text_col])
+    sized = numbered(docs).withColumn("_words", word_count(text))
+    joined = sized.join(taken.hint("shuffle_hash"), F.col(at[id_col]).eqNullSafe(F.col("_id"))
+                        & F.col(at[source_col]).cast("string").eqNullSafe(F.col("_source"))
                         & (F.col("_words") == F.col("_size")))
     copies = joined.withColumn("mix_copy", F.explode(F.sequence(
         F.lit(1), F.ceil(F.col("_taken") / F.col("_size")).cast("int")))) \
         .withColumn("mix_words", F.least(F.col("_size"), F.col("_taken") - (F.col("mix_copy") - 1) * F.col("_size")))
-    head = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(f"[{SPACE}]*{WORD}"), F.lit(0)),
+    head = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(f"[{SPACE}]*{WORD}"), F.lit(0)),
                                 F.lit(1), F.col("mix_words").cast("int")), "")
     cut_short = F.col("mix_words") < F.col("_size")
-    out = copies.withColumn(text_col, F.when(cut_short, head).otherwise(F.col(text_col)))
-    if "n_chars" in kept:
-        out = out.withColumn("n_chars", F.when(cut_short, F.char_length(text_col).cast(docs.schema["n_chars"].dataType))
-                             .otherwise(F.col("n_chars")))
-    return out.select(*kept, "mix_copy", "mix_words")
+    out = copies.withColumn("_text", F.when(cut_short, head).otherwise(text))
+    named = {c: F.col(k).alias(c) for c, k in at.items() if c not in ("mix_copy", "mix_words")}
+    named[text_col] = F.col("_text").alias(text_col)
+    if "n_chars" in named:
+        kind = docs.schema["n_chars"].dataType
+        named["n_chars"] = F.when(cut_short, F.char_length("_text").cast(kind)).otherwise(F.col(at["n_chars"])).alias("n_chars")
+    return out.select(*named.values(), "mix_copy", "mix_words")

@@ -154,7 +154,7 @@ def keep_first(docs: DataFrame, **options) -> DataFrame:
     once = kept.where("count = 1").select("_kept_id")
     more = kept.where("count > 1").select("_kept_id")
     key = docs[id_col].cast("long")
-    out = docs.join(once, key == F.col("_kept_id"), "left_semi")
+    out = docs.join(once, key == once["_kept_id"], "left_semi")
     if not more.isEmpty():
-        out = out.unionByName(docs.join(more, key == F.col("_kept_id"), "left_semi").dropDuplicates([id_col]))
+        out = out.unionByName(docs.join(more, key == more["_kept_id"], "left_semi").dropDuplicates([id_col]))
     return out.unionByName(docs.where(docs[id_col].isNull()))

@@ -115,18 +115,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     An empty table gives no rows.
     """
     counts = ("n_sentences", "n_removed")
-    cols = [c for c in (docs.columns if keep is None else keep) if c not in (*counts, text_col)]
+    cols = [c for c in (docs.columns if keep is None else keep) if c not in counts]
     found = repeated_spans(docs, id_col, text_col, span, min_words, long_words)
     key = F.coalesce(docs[id_col].cast("long"), F.lit(LAST))
+    rest = [c for c in cols if c != text_col]
     # the narrow side is hashed, so the texts are shuffled once and not sorted
-    joined = docs.join(found.hint("shuffle_hash"), key == F.col("doc"), "left") \
-        .select(*[docs[c] for c in cols], docs[text_col].alias("_text"), F.col("repeats").alias("_repeats"))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields[:-2])
-    made = joined.mapInArrow(_clean_kernel(len(cols), span, min_words, long_words),
-                             (kept + ", " if kept else "") + "_clean string, _sentences long, _removed long")
-    order = [F.col("_clean").alias(text_col) if c == text_col else F.col(c)
-             for c in (docs.columns if keep is None else [*keep, *([] if text_col in keep else [text_col])]) if c not in counts]
-    return made.select(*order, F.col("_sentences").alias("n_sentences"), F.col("_removed").alias("n_removed"))
+    joined = docs.join(found.hint("shuffle_hash"), key == found["doc"], "left").select(
+        *[docs[c].alias(f"c{i}") for i, c in enumerate(rest)], docs[text_col].alias("text"), found["repeats"].alias("repeats"))
+    kept = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in joined.schema.fields[:-2])
+    made = joined.mapInArrow(_clean_kernel(len(rest), span, min_words, long_words), kept + "_clean string, _sentences long, _removed long")
+    named = {text_col: F.col("_clean").alias(text_col)} | {c: F.col(f"c{i}").alias(c) for i, c in enumerate(rest)}
+    return made.select(*[named[c] for c in cols], *([] if text_col in cols else [named[text_col]]),
+                       F.col("_sentences").alias("n_sentences"), F.col("_removed").alias("n_removed"))
 
 
 def clean_corpus(docs: DataFrame, **options) -> DataFrame:
