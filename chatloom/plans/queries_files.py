@@ -21,6 +21,7 @@ from chatloom.sources.sinks import (
     export_splits_jsonl,
     read_split_export,
     select_known_fields,
+    write_manifest,
     write_windows,
 )
 from chatloom.sources.tables import read_table, resolve_text_column
@@ -31,7 +32,7 @@ _TREES: dict = {}
 
 def build_tree(spark, d: str) -> str:
     """sgpt/*.jsonl, moss/*.json (JSON lines), alpaca/chunk=*/…json (arrays), docs/chunk=*/…txt, misc/*.csv."""
-    key = (id(spark.sparkContext), d)
+    key = (spark.sparkContext.applicationId, d)
     if key in _TREES:
         return _TREES[key]
     root = work_dir(spark, "tree")
@@ -125,20 +126,19 @@ def q_read_jsonl(spark, d):
 
 # -- A4 / A5 -----------------------------------------------------------------------------------------
 @register("read_json_document", """
-SELECT conv_id::BIGINT AS conv_id, (row_number() OVER (PARTITION BY conv_id // 64 ORDER BY conv_id) - 1)::BIGINT AS ordinal
-FROM (SELECT DISTINCT conv_id FROM conversations)""")
+SELECT conv_id // 64 AS chunk, (row_number() OVER (PARTITION BY conv_id // 64 ORDER BY conv_id) - 1)::BIGINT AS ordinal,
+       md5(coalesce(s[1], '-')) AS system_md5, md5(coalesce(u[1], '-')) AS instruction_md5,
+       md5(coalesce(u[2], '-')) AS input_md5, md5(coalesce(a[1], '-')) AS output_md5
+FROM (SELECT conv_id, list(text ORDER BY turn) FILTER (WHERE role = 'system') AS s,
+             list(text ORDER BY turn) FILTER (WHERE role = 'user') AS u,
+             list(text ORDER BY turn) FILTER (WHERE role = 'assistant') AS a FROM conversations GROUP BY conv_id)""")
 def q_read_json_document(spark, d):
     root = build_tree(spark, d)
     r = FS.read_json_document(spark, f"{root}/alpaca")
-    # array items carry no id: recover it from the chunk (directory) and the ordinal
     chunk = F.regexp_extract("file_path", r"chunk=(\d+)", 1).cast("long")
-    ids = read_table(spark, d, "conversations").select("conv_id").distinct()
-    from pyspark.sql import Window
-    w = Window.partitionBy((F.col("conv_id") / CHUNK).cast("long")).orderBy("conv_id")
-    expect = ids.select("conv_id", (F.col("conv_id") / CHUNK).cast("long").alias("chunk"),
-                        (F.row_number().over(w) - 1).cast("long").alias("ordinal"))
-    got = r.where("valid").select(chunk.alias("chunk"), "ordinal")
-    return got.join(expect, ["chunk", "ordinal"]).select(F.col("conv_id").cast("long"), "ordinal")
+    part = lambda k: F.md5(F.coalesce(F.get_json_object("value", f"$.{k}"), F.lit("-"))).alias(f"{k}_md5")
+    return r.where("valid").select(chunk.alias("chunk"), "ordinal", part("system"), part("instruction"), part("input"),
+                                   part("output"))
 
 
 @register("read_records", """
@@ -195,11 +195,17 @@ def q_export_splits(spark, d):
 
 
 @register("export_manifest", """
-SELECT 'documents' AS dataset, string_agg(DISTINCT lang, ',' ORDER BY lang) AS splits,
-       count(*)::BIGINT AS total_samples, count(DISTINCT lang)::BIGINT AS files FROM documents""")
+SELECT 'documents' AS dataset, string_agg(lang, ',' ORDER BY lang) AS splits,
+       string_agg(lang || ':' || n, ',' ORDER BY lang) AS split_counts, sum(n)::BIGINT AS total_samples, count(*)::BIGINT AS files
+FROM (SELECT lang, count(*) AS n FROM documents GROUP BY lang)""")
 def q_export_manifest(spark, d):
     m = export_manifest(read_table(spark, d, "documents").withColumnRenamed("lang", "split"), "documents")
-    return m.select("dataset", F.array_join("splits", ",").alias("splits"), "total_samples", "files")
+    path = work_dir(spark, "manifest")
+    write_manifest(m, path)
+    back = spark.read.schema(m.schema).json(path)
+    counts = F.transform("split_counts", lambda x: F.concat(x["split"], F.lit(":"), x["n"].cast("string")))
+    return back.select("dataset", F.array_join("splits", ",").alias("splits"), F.array_join(counts, ",").alias("split_counts"),
+                       "total_samples", "files")
 
 
 @register("select_known_fields", "SELECT md5(text) AS text_md5 FROM documents")

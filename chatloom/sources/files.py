@@ -6,8 +6,8 @@ Plan shape (no driver-side loops over data, no global sort):
 * ``.jsonl``: line-mode ``text`` scan (splittable); record ordinals come from
   per-(file, split) counts, a prefix sum over the few splits of each file and a
   join back (AQE broadcasts the small split table when it is small);
-* ``.json``: whole-file scan, sniffed by content — a JSON array (items exploded
-  from a VARIANT), one object, or JSON lines inside a ``.json`` file;
+* ``.json``: whole-file scan, sniffed by content — a JSON array (its items are cut out
+  of the text), one object, or JSON lines inside a ``.json`` file;
 * ``.txt``: whole-file scan, one ``pretrain`` sample per file, ``\\r\\n`` → ``\\n``;
 * format detection groups records by file and reads the keys of each file's
   first record; every format is normalized once over all its files (one
@@ -17,6 +17,7 @@ Plan shape (no driver-side loops over data, no global sort):
 from __future__ import annotations
 
 import json
+import re
 from typing import NamedTuple
 
 import pandas as pd
@@ -27,6 +28,7 @@ from pyspark.sql import types as T
 
 from chatloom.functions.text import py_strip
 from chatloom.operators.normalize import Normalized, formats, load_format
+from chatloom.plans.runtime import ensure_package
 from chatloom.schema import QUARANTINE
 from chatloom.sources.tables import conform
 
@@ -53,10 +55,7 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 # case-insensitive suffix globs (Hadoop glob character classes); no file list on the driver
-GLOBS = {"jsonl": "*.[jJ][sS][oO][nN][lL]", "json": "*.[jJ][sS][oO][nN]", "txt": "*.[tT][xX][tT]",
-         # every name that does not end in ".json" (any case): a different last character, or a
-         # different character before "n", "on", "son", "json"; or shorter than ".json"
-         "not_json": "{*[^nN],*[^oO][nN],*[^sS][oO][nN],*[^jJ][sS][oO][nN],*[^.][jJ][sS][oO][nN],?,??,???,????}"}
+GLOBS = {"jsonl": "*.[jJ][sS][oO][nN][lL]", "json": "*.[jJ][sS][oO][nN]", "txt": "*.[tT][xX][tT]"}
 
 
 def _text(spark: SparkSession, paths, glob: str | None, wholetext: bool = False) -> DataFrame:
@@ -131,41 +130,92 @@ def read_json_document(spark: SparkSession, paths, strict: bool = False, glob: s
     return json_documents(docs, strict)
 
 
+def _array_items(body: str):
+    """(start, end) of each item of a JSON array's text, or None if it is not one whole array."""
+    decode, skip = json.JSONDecoder().raw_decode, re.compile(r"[ \t\n\r]*").match
+    out, at = [], skip(body, 1).end()
+    try:
+        if body[at] == "]":
+            return out if at == len(body) - 1 else None
+        while True:
+            _, end = decode(body, at)
+            out.append((at, end))
+            at = skip(body, end).end()
+            if body[at] == "]":
+                return out if at == len(body) - 1 else None
+            if body[at] != ",":
+                return None
+            at = skip(body, at + 1).end()
+    except (ValueError, IndexError, RecursionError):
+        return None
+
+
+def _whole(text: str) -> bool:
+    try:
+        json.loads(text)
+        return True
+    except (ValueError, RecursionError):
+        return False
+
+
+def document_records(text: str):
+    """Yield ``(ordinal, line, value)`` of a ``.json`` file's text; each item is a slice of the text.
+
+    One whole value: an array's items, an object, or a scalar as ``{"_data": x}``.  Otherwise JSON lines, if any
+    line is a value by itself (bad lines come out too and fail on their own); else the file as one bad record.
+    """
+    text = text.replace("\r\n", "\n").replace("\r", "\n")
+    body = text.strip()
+    if not body:
+        yield 0, None, body
+        return
+    if body[0] == "[":
+        items = _array_items(body)
+        if items is not None:
+            for i, (a, b) in enumerate(items):
+                yield i, None, body[a:b]
+            return
+    elif _whole(body):
+        yield 0, None, body if body[0] == "{" else f'{{"_data":{body}}}'
+        return
+    lines = [(n, v) for n, x in enumerate(text.split("\n"), 1) if (v := x.strip())]
+    if len(lines) > 1 and any(_whole(v) for _, v in lines):
+        for i, (n, v) in enumerate(lines):
+            yield i, n, v
+    else:
+        yield 0, None, body
+
+
+def _document_kernel(batches):
+    import pyarrow as pa
+    names = ["file_path", "ordinal", "line", "value"]
+    for b in batches:
+        for path, text in zip(b.column(0), b.column(1)):
+            held, size = [], 0
+            for rec in document_records(text.as_py() or ""):
+                held.append(rec)
+                size += len(rec[2])
+                if size > 8 << 20:  # a large array leaves in bounded batches
+                    yield _document_batch(pa, path, held, names)
+                    held, size = [], 0
+            if held:
+                yield _document_batch(pa, path, held, names)
+
+
+def _document_batch(pa, path, rows, names):
+    o, ln, v = zip(*rows)
+    return pa.RecordBatch.from_arrays([pa.array([path.as_py()] * len(rows), pa.string()), pa.array(o, pa.int64()),
+                                       pa.array(ln, pa.int64()), pa.array(v, pa.string())], names=names)
+
+
 def json_documents(docs: DataFrame, strict: bool = False) -> DataFrame:
-    """A4 records of whole files ``(file_path, value)`` (one row per file; also a stream's micro-batch)."""
-    docs = docs.select("file_path", F.regexp_replace("value", "\r\n?", "\n").alias("doc"))
-    body = py_strip("doc")
-    first = F.regexp_extract(body, r"^([^\n]*)", 1)
-    # JSON lines in a .json file: not an array, several lines, and the first line is a whole JSON value
-    candidate = F.when((F.substring(body, 1, 1) != "[") & (F.instr(body, "\n") > 0), py_strip(first))
-    docs = docs.withColumn("_lines", F.coalesce(strict_json_valid(candidate), F.lit(False)))
-    # JSON lines inside a .json file: split, number non-blank lines
-    # blank lines are dropped inside the array, so the exploded position is the ordinal (no window)
-    numbered = F.filter(
-        F.transform(F.split("doc", "\n"), lambda x, i: F.struct((i + 1).cast("long").alias("line"),
-                                                                 py_strip(x).alias("value"))),
-        lambda r: r["value"] != "")
-    lines = docs.where("_lines").select("file_path", F.posexplode(numbered).alias("ordinal", "r")).select(
-        "file_path", F.col("ordinal").cast("long"), F.col("r.line").alias("line"), F.col("r.value").alias("value"))
-    # whole documents
-    whole = docs.where(~F.col("_lines")).withColumn("_v", F.try_parse_json(body))
-    arr = F.try_variant_get("_v", "$", "array<variant>")
-    items = whole.where(arr.isNotNull()).select(
-        "file_path", F.posexplode(arr).alias("ordinal", "_item")).select(
-        "file_path", F.col("ordinal").cast("long"), F.lit(None).cast("long").alias("line"),
-        F.to_json("_item").alias("value"))
-    is_obj = F.col("_v").isNotNull() & arr.isNull() & F.startswith(body, F.lit("{"))
-    objs = whole.where(is_obj).select("file_path", F.lit(0).cast("long").alias("ordinal"),
-                                      F.lit(None).cast("long").alias("line"), body.alias("value"))
-    scal = whole.where(F.col("_v").isNotNull() & arr.isNull() & ~F.startswith(body, F.lit("{"))).select(
-        "file_path", F.lit(0).cast("long").alias("ordinal"), F.lit(None).cast("long").alias("line"),
-        F.concat(F.lit('{"_data":'), body, F.lit("}")).alias("value"))
-    bad = whole.where(F.col("_v").isNull()).select(
-        "file_path", F.lit(0).cast("long").alias("ordinal"), F.lit(None).cast("long").alias("line"),
-        body.alias("value"))
-    out = lines.unionByName(items).unionByName(objs).unionByName(scal)
-    out = _with_validity(out, strict)
-    return out.unionByName(bad.withColumn("_v", F.lit(None).cast("variant")).withColumn("valid", F.lit(False)))
+    """A4 records of whole files ``(file_path, value)`` (one row per file; also a stream's micro-batch).
+
+    The file's text is read once and its items are cut out of it, so only a single record meets the VARIANT limit.
+    """
+    ensure_package(docs.sparkSession)
+    rec = docs.select("file_path", "value").mapInArrow(_document_kernel, "file_path string, ordinal long, line long, value string")
+    return _with_validity(rec, strict)
 
 
 def read_records(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
@@ -181,8 +231,13 @@ def read_records(spark: SparkSession, path: str, strict: bool = False) -> DataFr
 # -- A6 text files ----------------------------------------------------------------------------------------
 def read_text_files(spark: SparkSession, paths, glob: str | None = None) -> DataFrame:
     """Each file is one ``pretrain`` sample; ``source`` is the full path."""
-    df = _text(spark, paths, glob, wholetext=True).select(
-        F.col("_metadata.file_path").alias("file_path"), F.regexp_replace("value", "\r\n?", "\n").alias("text"))
+    return text_file_samples(_text(spark, paths, glob, wholetext=True).select(
+        F.col("_metadata.file_path").alias("file_path"), "value"))
+
+
+def text_file_samples(files: DataFrame) -> DataFrame:
+    """A6 samples of whole files ``(file_path, value)`` (also a stream's micro-batch)."""
+    df = files.select("file_path", F.regexp_replace("value", "\r\n?", "\n").alias("text"))
     return conform(df.select(
         F.sha2(F.concat_ws(":", "file_path", F.lit("0")), 256).alias("sample_id"),
         F.lit("text").alias("kind"), "text", F.col("file_path").alias("source"), "file_path",

@@ -23,17 +23,23 @@ def export_splits_jsonl(df: DataFrame, path: str, split_col: str = "split", colu
 
 
 def export_manifest(df: DataFrame, dataset: str, split_col: str = "split", split: str | None = None) -> DataFrame:
-    """A10: one-row manifest (dataset, splits, total_samples, files) from per-split counts."""
+    """A10: one-row manifest (dataset, splits, split_counts, total_samples, files) from per-split counts."""
     src = df if split is None else df.where(F.col(split_col) == split)
     per = src.groupBy(F.col(split_col).cast("string").alias("split")).agg(F.count("*").alias("n"))
     return per.agg(
         F.lit(dataset).alias("dataset"),
         F.array_sort(F.collect_list("split")).alias("splits"),
+        F.array_sort(F.collect_list(F.struct("split", "n"))).alias("split_counts"),
         F.sum("n").cast("long").alias("total_samples"),
         F.count("*").cast("long").alias("files"),
     )
 
 
+def write_manifest(manifest: DataFrame, path: str) -> None:
+    """A10: the manifest as one JSON file below ``path`` (it is a single row)."""
+    manifest.coalesce(1).write.mode("overwrite").json(path)
+
+
 def read_split_export(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.json(path)
 

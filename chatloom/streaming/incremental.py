@@ -1,21 +1,25 @@
 """Incremental loading with Structured Streaming.
 
 Newly arrived files under ``input_dir`` are normalized and appended to a samples
-table, with the number of added samples per trigger.  Two stateless streams share
-one normalization (per-record dialect detection by keys, in registry precedence):
+table, with the number of added samples per trigger.  Files are routed by suffix, like
+the batch loader does; stateless streams share one normalization (per-record dialect
+detection by keys, in registry precedence):
 
-* ``lines`` — every file except ``*.json``, read line by line (splittable);
+* ``lines`` — ``*.jsonl`` files, read line by line (splittable);
 * ``documents`` — ``*.json`` files read whole (``wholetext``), then sniffed like the
   batch reader: an array gives its items, an object one record, JSON lines in a
   ``.json`` file their lines.  A file arrives whole in one micro-batch, so the
   batch loader's rules apply unchanged — dialect detected per file from its first
   valid record, exact ordinals and ids (one file = one task, as in batch); records
-  of a file with no detected dialect are quarantined as ``unknown_format``.
+  of a file with no detected dialect are quarantined as ``unknown_format``;
+* ``texts`` — ``*.txt`` files read whole, one ``pretrain`` sample each.
+
+Files with any other suffix are not loaded; ``skipped_files`` lists them.
 
 Each stream uses ``foreachBatch``: every micro-batch is written to
 ``…/stream=<name>/batch_id=<n>`` with overwrite, so a re-run of a batch after a
 failure replaces rather than duplicates its output (exactly-once together with
-the checkpoint).
+the checkpoint).  The number of added samples is observed while they are written.
 
 Difference from the batch loader for ``lines``: a record's ``sample_id`` hashes
 its file path and line content and ``ordinal`` is NULL (per-file ranks need the
@@ -26,7 +30,7 @@ kept.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -71,6 +75,7 @@ def _normalize(tagged: DataFrame, exact_ordinals: bool):
 
 def process_batch(batch: DataFrame, batch_id: int, output_dir: str, stream: str = "lines") -> None:
     """Normalize one micro-batch and write samples / quarantine / stats for it (idempotent)."""
+    spark, recs = batch.sparkSession, None
     if stream == "documents":
         # whole files: the batch loader's rules (per-file detection from the first valid record)
         from chatloom.sources.files import detect_formats, json_documents, records_quarantine
@@ -79,6 +84,9 @@ def process_batch(batch: DataFrame, batch_id: int, output_dir: str, stream: str
             .join(detect_formats(recs), "file_path")
         samples, q = _normalize(tagged, exact_ordinals=True)
         q = records_quarantine(recs).select(*QUARANTINE.names).unionByName(q)
+    elif stream == "texts":
+        from chatloom.sources.files import text_file_samples
+        samples, q = text_file_samples(batch), None
     else:
         lines = batch.select("file_path", py_strip("value").alias("value")).where(F.col("value") != "")
         # stand-in ordinal so that ids differ per line: the hash of the line (NULLed after)
@@ -86,16 +94,18 @@ def process_batch(batch: DataFrame, batch_id: int, output_dir: str, stream: str
             .withColumn("_v", F.try_parse_json("value")).persist(StorageLevel.MEMORY_AND_DISK)   # one parse
         samples, q = _normalize(recs, exact_ordinals=False)
     part = f"stream={stream}/batch_id={batch_id}"
-    samples.write.mode("overwrite").parquet(f"{output_dir}/samples/{part}")
-    q.write.mode("overwrite").parquet(f"{output_dir}/quarantine/{part}")
-    added = batch.sparkSession.read.parquet(f"{output_dir}/samples/{part}").count()
-    batch.sparkSession.createDataFrame([(batch_id, added)], "batch long, added long") \
+    seen = Observation()
+    samples.observe(seen, F.count(F.lit(1)).alias("added")).write.mode("overwrite").parquet(f"{output_dir}/samples/{part}")
+    if q is not None:
+        q.write.mode("overwrite").parquet(f"{output_dir}/quarantine/{part}")
+    spark.createDataFrame([(batch_id, seen.get["added"])], "batch long, added long") \
         .write.mode("overwrite").parquet(f"{output_dir}/stats/{part}")
-    recs.unpersist()
+    if recs is not None:
+        recs.unpersist()
 
 
 class IncrementalLoad:
-    """The running streams of one ``incremental_load`` call (``lines`` and ``documents``)."""
+    """The running streams of one ``incremental_load`` call (``lines``, ``documents`` and ``texts``)."""
 
     def __init__(self, queries: list[StreamingQuery]):
         self.queries = queries
@@ -111,10 +121,13 @@ class IncrementalLoad:
 
 def incremental_load(spark: SparkSession, input_dir: str, output_dir: str, checkpoint_location: str,
                      available_now: bool = True, max_files_per_trigger: int | None = None) -> IncrementalLoad:
-    """Start both streams; with ``available_now`` they process what has arrived and stop."""
+    """Start the streams over ``input_dir`` (recursive); with ``available_now`` they process what has arrived and stop."""
     from chatloom.sources.files import GLOBS
 
-    def start(stream: str, reader, ckpt: str) -> StreamingQuery:
+    def start(stream: str, glob: str, whole: bool, ckpt: str) -> StreamingQuery:
+        reader = spark.readStream.format("text").option("recursiveFileLookup", "true").option("pathGlobFilter", GLOBS[glob])
+        if whole:
+            reader = reader.option("wholetext", "true")
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
         src = reader.load(input_dir).select(F.col("_metadata.file_path").alias("file_path"), "value")
@@ -124,11 +137,14 @@ def incremental_load(spark: SparkSession, input_dir: str, output_dir: str, check
         return w.start()
 
     ck = checkpoint_location.rstrip("/")
-    # ``*.json`` files belong to the documents stream: excluded when listing files, never read twice
-    lines = start("lines", spark.readStream.format("text").option("pathGlobFilter", GLOBS["not_json"]), ck)
-    docs = start("documents", spark.readStream.format("text").option("wholetext", "true")
-                 .option("pathGlobFilter", GLOBS["json"]), f"{ck}-documents")
-    return IncrementalLoad([lines, docs])
+    return IncrementalLoad([start("lines", "jsonl", False, ck), start("documents", "json", True, f"{ck}-documents"),
+                            start("texts", "txt", True, f"{ck}-texts")])
+
+
+def skipped_files(spark: SparkSession, input_dir: str) -> DataFrame:
+    """(file_path, suffix) of the files below ``input_dir`` that no stream loads."""
+    from chatloom.sources.files import list_files
+    return list_files(spark, input_dir).where(~F.col("suffix").isin(".jsonl", ".json", ".txt"))
 
 
 def read_samples(spark: SparkSession, output_dir: str) -> DataFrame:
@@ -143,4 +159,4 @@ def read_stats(spark: SparkSession, output_dir: str) -> DataFrame:
     return s.withColumn("total", F.sum("added").over(w))
 
 
-__all__ = ["IncrementalLoad", "incremental_load", "process_batch", "read_samples", "read_stats"]
+__all__ = ["IncrementalLoad", "incremental_load", "process_batch", "read_samples", "read_stats", "skipped_files"]
