@@ -19,8 +19,11 @@ def union_samples(*frames: DataFrame) -> DataFrame:
 
 
 def accumulate_load(samples: DataFrame, table_path: str, load_no: int) -> DataFrame:
-    """Append one load to a samples table; returns (load_no, added, total) read back from storage."""
-    conform(samples).withColumn("load_no", F.lit(load_no)).write.mode("append").parquet(table_path)
+    """Add one load to a samples table; returns (load_no, added, total) read back from storage.
+
+    A load is a partition of its own and is overwritten, so a load that is run again doesn't count twice.
+    """
+    conform(samples).write.mode("overwrite").parquet(f"{table_path}/load_no={load_no}")
     return load_report(samples.sparkSession, table_path)
 
 
@@ -35,5 +38,6 @@ def load_report(spark: SparkSession, table_path: str) -> DataFrame:
 
 def clear_samples(spark: SparkSession, table_path: str) -> DataFrame:
     """Replace the table with an empty one and return it."""
-    spark.createDataFrame([], SAMPLES).withColumn("load_no", F.lit(0)).write.mode("overwrite").parquet(table_path)
+    spark.createDataFrame([], SAMPLES).write.mode("overwrite").parquet(table_path)
+    spark.createDataFrame([], SAMPLES).write.mode("overwrite").parquet(f"{table_path}/load_no=0")
     return spark.read.parquet(table_path)

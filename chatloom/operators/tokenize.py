@@ -113,18 +113,19 @@ def encode_turns(turns: DataFrame, vocab, id_col: str = "conv_id", order_col: st
     so a dialog holding most rows is spread over many tasks.
     """
     from chatloom.operators.batches import prefix_sum
-    from chatloom.operators.windows import _encode_turns_kernel
+    from chatloom.operators.windows import _encode_turns_kernel, _kind
+    from chatloom.sources.tables import dialog_key
     from chatloom.schema import EOS_ID
     spark = turns.sparkSession
     ensure_package(spark)
     bc = broadcast_value(spark, _lookup(vocab))
-    t = turns.select(F.col(id_col).cast("long").alias("_id"), F.col(order_col).cast("long").alias("_ord"),
+    t = turns.select(dialog_key(turns, id_col).alias("_id"), F.col(order_col).cast("long").alias("_ord"),
                      F.col(role_col).alias("_role"), F.col(text_col).alias("_text"))
     # B6 per dialog by a partial aggregate (map-side combine, one small row per dialog)
     dlg = t.groupBy("_id").agg(F.count_if(F.col("_role") == "assistant").alias("_na"),
                                F.max("_ord").alias("_last")).where("_na > 0")
     kept = t.join(dlg.select("_id"), "_id", "left_semi")
-    enc = kept.mapInArrow(_encode_turns_kernel(bc, escape_specials), "_id long, _ord long, ids array<int>")
+    enc = kept.mapInArrow(_encode_turns_kernel(bc, escape_specials), f"_id {_kind(kept, '_id')}, _ord long, ids array<int>")
     eos = dlg.select("_id", (F.col("_last") + 1).alias("_ord"), F.array(F.lit(EOS_ID)).alias("ids"),
                      F.lit(True).alias("_eos"))
     toks = enc.withColumn("_eos", F.lit(False)).unionByName(eos).withColumn("n", F.size("ids").cast("long")) \

@@ -84,10 +84,11 @@ def dialog_chars(turns: DataFrame, kept: DataFrame) -> DataFrame:
                 for c in distinct_code_points(strs).tolist():
                     out_i.append(i)
                     out_t.append(chr(c))
-            yield pa.RecordBatch.from_arrays([pa.array(out_i, pa.int64()), pa.array(out_t, pa.string())],
+            yield pa.RecordBatch.from_arrays([pa.array(out_i, b.column(0).type), pa.array(out_t, pa.string())],
                                              names=["_id", "token"])
 
-    pairs = turns.select("_id", "_role", "_text").mapInArrow(run, "_id long, token string").distinct()
+    kind = turns.schema["_id"].dataType.simpleString()
+    pairs = turns.select("_id", "_role", "_text").mapInArrow(run, f"_id {kind}, token string").distinct()
     chars = pairs.join(kept.select("_id"), "_id", "left_semi").select("token")
     tail = kept.limit(1).select(F.explode(F.array(*[F.lit(c) for c in "<eos>\n"])).alias("token"))
     return chars.unionByName(tail).distinct()
@@ -96,7 +97,8 @@ def dialog_chars(turns: DataFrame, kept: DataFrame) -> DataFrame:
 def turn_table_vocab(turns: DataFrame, id_col: str = "conv_id", role_col: str = "role",
                      text_col: str = "text") -> DataFrame:
     """E2 over a turn-per-row table without assembling dialogs (kept = has an assistant turn)."""
-    t = turns.select(F.col(id_col).cast("long").alias("_id"), F.col(role_col).alias("_role"),
+    from chatloom.sources.tables import dialog_key
+    t = turns.select(dialog_key(turns, id_col).alias("_id"), F.col(role_col).alias("_role"),
                      F.col(text_col).alias("_text"))
     kept = t.groupBy("_id").agg(F.count_if(F.col("_role") == "assistant").alias("_na")).where("_na > 0")
     return number_tokens(dialog_chars(t, kept))
@@ -137,12 +139,13 @@ def dialog_profile(turns: DataFrame) -> DataFrame:
                 out_i.append(i); out_t.append(None)
                 out_n.append(n); out_na.append(na); out_last.append(last); out_c.append(chars)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out_i, pa.int64()), pa.array(out_t, pa.string()), pa.array(out_n, pa.int64()),
+                [pa.array(out_i, b.column(0).type), pa.array(out_t, pa.string()), pa.array(out_n, pa.int64()),
                  pa.array(out_na, pa.int64()), pa.array(out_last, pa.int64()), pa.array(out_c, pa.int64())],
                 names=["_id", "token", "_n", "_na", "_last", "_chars"])
 
+    kind = turns.schema["_id"].dataType.simpleString()
     return turns.select("_id", "_ord", "_role", "_text").mapInArrow(
-        run, "_id long, token string, _n long, _na long, _last long, _chars long")
+        run, f"_id {kind}, token string, _n long, _na long, _last long, _chars long")
 
 
 def build_vocab(parts: DataFrame) -> DataFrame:

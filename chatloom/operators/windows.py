@@ -11,7 +11,7 @@ Two plans:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.functions.kernels import WindowBuilder, iter_sample_chunks
@@ -35,12 +35,12 @@ def _arrow_schema():
     return _PYARROW_WINDOWS
 
 
-def append_eos(ids) -> F.Column:
+def append_eos(ids) -> Column:
     """texts end with ``<eos>``."""
     return F.concat(F.col(ids) if isinstance(ids, str) else ids, F.array(F.lit(EOS_ID)))
 
 
-def _starts(n, seq_len: int, stride: int, keep_tail: bool) -> F.Column:
+def _starts(n, seq_len: int, stride: int, keep_tail: bool) -> Column:
     full = F.sequence(F.lit(0), F.greatest(n - seq_len - 1, F.lit(0)), F.lit(stride))
     if keep_tail:
         last = F.try_element_at(full, F.lit(-1))
@@ -48,6 +48,21 @@ def _starts(n, seq_len: int, stride: int, keep_tail: bool) -> F.Column:
     return F.when(n <= seq_len + 1, F.array(F.lit(0))).otherwise(full)
 
 
+def window_count(n_tokens: Column, seq_len: int = DEFAULT_SEQ_LEN, stride: int | None = None) -> Column:
+    """Number of windows of a sequence of ``n_tokens`` tokens (no tail window)."""
+    stride = stride or seq_len // 2
+    return F.when(n_tokens <= seq_len + 1, F.lit(1)).otherwise(F.ceil((n_tokens - seq_len) / F.lit(stride))).cast("long")
+
+
+def window_numbers(lengths: DataFrame, seq_len: int = DEFAULT_SEQ_LEN, stride: int | None = None) -> DataFrame:
+    """F3's numbers and starts from ``(sample_id, n_tokens)``: no token is read."""
+    stride = stride or seq_len // 2
+    n = window_count(F.col("n_tokens"), seq_len, stride)
+    return lengths.select("sample_id", F.col("n_tokens").cast("long").alias("n_tokens"),
+                          F.explode(F.sequence(F.lit(0), (n - 1).cast("int"))).alias("window_no")) \
+        .withColumn("start", F.col("window_no").cast("long") * stride)
+
+
 def window_spans(tokens: DataFrame, seq_len: int = DEFAULT_SEQ_LEN, stride: int | None = None,
                  keep_tail: bool = False, ids_col: str = "token_ids") -> DataFrame:
     """F3 positions: (sample_id, n_tokens, window_no, start, n_pad).
@@ -64,14 +79,14 @@ def window_spans(tokens: DataFrame, seq_len: int = DEFAULT_SEQ_LEN, stride: int
 
 
 def cut_windows(tokens: DataFrame, seq_len: int = DEFAULT_SEQ_LEN, stride: int | None = None,
-                keep_tail: bool = False, ids_col: str = "token_ids") -> DataFrame:
-    """F2 + F3 with higher-order functions: (sample_id, window_no, window array<int> of S+1)."""
+                keep_tail: bool = False, ids_col: str = "token_ids", keep=()) -> DataFrame:
+    """F2 + F3 with higher-order functions: (sample_id, *keep, window_no, window array<int> of S+1)."""
     stride = stride or seq_len // 2
     tok = F.col(ids_col)
     n = F.size(tok)
     padded = F.when(n < seq_len + 1, F.concat(tok, F.array_repeat(F.lit(PAD_ID), seq_len + 1 - n))).otherwise(tok)
     wins = F.transform(_starts(n, seq_len, stride, keep_tail), lambda s: F.slice(padded, s + 1, seq_len + 1))
-    return tokens.select("sample_id", F.posexplode(wins).alias("window_no", "window"))
+    return tokens.select("sample_id", *keep, F.posexplode(wins).alias("window_no", "window"))
 
 
 def next_token_pairs(windows: DataFrame, window_col: str = "window") -> DataFrame:
@@ -122,6 +137,10 @@ def mask_coverage(windows: DataFrame, by: str = "sample_id") -> DataFrame:
     )
 
 
+def _kind(df: DataFrame, col: str) -> str:
+    return df.schema[col].dataType.simpleString()
+
+
 # -- turn tables: collect-free windows for dialogs of any size ---------------------------------------------------
 def _encode_turns_kernel(bc, escape_specials: bool):
     def run(batches):
@@ -130,7 +149,6 @@ def _encode_turns_kernel(bc, escape_specials: bool):
         from chatloom.functions.kernels import ROLE_TOKEN
         lookup = bc.value
         for b in batches:
-            ids, ords = b.column(0).to_pylist(), b.column(1).to_pylist()
             roles, texts = b.column(2).to_pylist(), b.column(3).to_pylist()
             offs, vals = [0], []
             for role, text in zip(roles, texts):
@@ -142,8 +160,7 @@ def _encode_turns_kernel(bc, escape_specials: bool):
                 offs.append(offs[-1] + len(t))
             flat = np.concatenate(vals) if vals else np.empty(0, np.int32)
             arr = pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(flat, pa.int32()))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(ords, pa.int64()), arr],
-                                             names=["_id", "_ord", "ids"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), arr], names=["_id", "_ord", "ids"])
     return run
 
 
@@ -203,7 +220,7 @@ def _init_state_kernel(seq_len: int, stride: int, keep_tail: bool):
                     out_id.append(dlg[r])
                     out_w.append(w)
                     out_s.append(int(ctl[lp] == 1) if lp >= 0 else int(sbs[r]))
-            yield pa.RecordBatch.from_arrays([pa.array(out_id, pa.int64()), pa.array(out_w, pa.int64()),
+            yield pa.RecordBatch.from_arrays([pa.array(out_id, cols["_id"].type), pa.array(out_w, pa.int64()),
                                               pa.array(out_s, pa.int8())], names=["_id", "w", "_init"])
     return run
 
@@ -231,7 +248,7 @@ def windows_from_turns(turns: DataFrame, dialogs: DataFrame, lookup, source_name
     ensure_package(spark)
     bc = broadcast_value(spark, lookup)
     enc = turns.select("_id", "_ord", "_role", "_text").mapInArrow(
-        _encode_turns_kernel(bc, escape_specials), "_id long, _ord long, ids array<int>")
+        _encode_turns_kernel(bc, escape_specials), f"_id {_kind(turns, '_id')}, _ord long, ids array<int>")
     eos = dialogs.select("_id", (F.col("_last") + 1).cast("long").alias("_ord"), F.array(F.lit(EOS_ID)).alias("ids"))
     toks = enc.unionByName(eos).withColumn("n", F.size("ids").cast("long")).where(F.col("n") > 0)
     sample_scope = mask_scope == "sample"
@@ -274,7 +291,7 @@ def windows_from_turns(turns: DataFrame, dialogs: DataFrame, lookup, source_name
             F.col("_id").alias("_pid_"), F.col("_c").alias("_cidx"), F.col("_ls").alias("_pls"))
         xs = x.join(ctl_turns, (x["_id"] == ctl_turns["_pid_"]) & (ctl_turns["_cidx"] == x["_c"] - 1), "left") \
             .select("_id", "g0", "n", "ids", "L", F.coalesce(F.col("_pls"), F.lit(0)).alias("_sb"))
-        inits = xs.mapInArrow(_init_state_kernel(S, stride, keep_tail), "_id long, w long, _init tinyint")
+        inits = xs.mapInArrow(_init_state_kernel(S, stride, keep_tail), f"_id {_kind(xs, '_id')}, w long, _init tinyint")
         grouped = grouped.join(inits, ["_id", "w"], "left").withColumn(
             "_init", F.coalesce(F.col("_init"), F.lit(0).cast("tinyint")))
     cols = [F.concat(F.lit(source_name + ":"), F.col("_id").cast("string")).alias("sample_id"),
@@ -295,15 +312,18 @@ def turn_table_windows(turns: DataFrame, id_col: str = "conv_id", order_col: str
     (dialog, character) pairs and per-dialog stats (turns, assistant turns, characters);
     the small stats table is persisted.  Dialogs within ``max_turns`` and ``max_chars``
     are assembled and cut by the fused kernel (one row per dialog); larger ones go
-    through ``windows_from_turns`` (no per-dialog row); both routes support every option.
+    through ``windows_from_turns`` (no per-dialog row); both routes support every option and
+    order turns that share a key by role and text.  Hot dialogs leave by a map-side anti-join
+    before the exchange that gathers the others.  Ids may have any type.
     """
     from pyspark import StorageLevel
 
     from chatloom.operators.vocab import collect_lookup, dialog_profile, number_tokens
-    from chatloom.sources.tables import assemble_dialogs
+    from chatloom.operators.batches import dense_positions
+    from chatloom.sources.tables import assemble_dialogs, dialog_key
     spark = turns.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    t = turns.select(F.col(id_col).cast("long").alias("_id"), F.col(order_col).cast("long").alias("_ord"),
+    t = turns.select(dialog_key(turns, id_col).alias("_id"), F.col(order_col).cast("long").alias("_ord"),
                      F.col(role_col).alias("_role"), F.col(text_col).alias("_text"))
     prof = dialog_profile(t).persist(StorageLevel.MEMORY_AND_DISK)
     dlg = prof.where(F.col("token").isNull()).groupBy("_id").agg(
@@ -317,17 +337,19 @@ def turn_table_windows(turns: DataFrame, id_col: str = "conv_id", order_col: str
     lookup = collect_lookup(vocab)
     prof.unpersist()
     is_hot = (F.col("_n") > max_turns) | (F.col("_chars") > max_chars)
-    hot = kept.where(is_hot).select("_id", "_last")
+    hot = kept.where(is_hot).select("_id", F.col("_n").alias("_last"))
     n_hot = hot.count()
-    tk = t.repartition(n, "_id").join(kept.where(~is_hot).select("_id"), "_id")
+    hot_ids = F.broadcast(hot.select("_id")) if n_hot <= HOT_BROADCAST_ROWS else hot.select("_id")
+    cool = t.join(hot_ids, "_id", "left_anti") if n_hot else t
+    tk = cool.repartition(n, "_id").join(kept.where(~is_hot).select("_id"), "_id")
     small = tk.select(F.col("_id").alias(id_col), F.col("_ord").alias(order_col), F.col("_role").alias(role_col),
                       F.col("_text").alias(text_col))
     samples = assemble_dialogs(small, id_col, order_col, role_col, text_col, source_name, repartition=False)
     out = build_windows(samples, lookup, seq_len, stride, keep_tail=keep_tail, text_mask=text_mask,
                         mask_scope=mask_scope, escape_specials=escape_specials)
     if n_hot:
-        hot_ids = F.broadcast(hot.select("_id")) if n_hot <= HOT_BROADCAST_ROWS else hot.select("_id")
-        big = t.join(hot_ids, "_id", "left_semi")
+        big = dense_positions(t.join(hot_ids, "_id", "left_semi"), ["_id"], ["_ord", "_role", "_text"], "_pos") \
+            .select("_id", F.col("_pos").alias("_ord"), "_role", "_text")
         out = out.unionByName(windows_from_turns(big, hot, lookup, source_name, seq_len, stride, escape_specials,
                                                  keep_tail, mask_scope))
     return out, vocab

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chatloom.schema import SAMPLE_COLUMNS, SAMPLES
@@ -12,6 +12,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def dialog_key(df: DataFrame, id_col: str):
+    """A dialog id as kernels carry it: integers as long, anything else as string."""
+    kind = df.schema[id_col].dataType.simpleString()
+    return F.col(id_col).cast("long" if kind in ("tinyint", "smallint", "int", "bigint") else "string")
+
+
 def spread_scan(df: DataFrame) -> DataFrame:
     """Give a *scan* at least one partition per core before CPU-heavy Python stages.
 
@@ -64,7 +70,7 @@ def assemble_dialogs(
         dialog.alias("dialog"),
         key.alias("source"),
         F.lit(source_name).alias("file_path"),
-        F.col(id_col).cast("long").alias("ordinal"),
+        F.col(id_col).try_cast("long").alias("ordinal"),
         F.lit("sft").alias("type"),
         F.size(F.filter("_t", lambda x: x["role"] == "assistant")).alias("turns"),
         F.lit("table").alias("format"),
@@ -99,8 +105,11 @@ def resolve_text_column(df: DataFrame, text_column: str = "text", source_name: s
     """Pick the text column at schema time, else per row the first string longer than 50.
 
     Rows whose chosen value is NULL or empty are dropped; every other column goes
-    to ``metadata`` as JSON.  Type is 'sft'.  The row number inside ``source`` is
-    not computed (it would need a global order); ``sample_id`` hashes the row instead.
+    to ``metadata`` as JSON, NULL fields included.  Type is 'sft'.  Kept rows are numbered
+    in scan order: the number is ``ordinal`` and ends ``source``, so ids are unique even
+    for rows that repeat.  Numbers come from per-partition counts and offsets (no global
+    sort); the frame must give the same partitions when it is read again, as a file scan
+    does — checkpoint anything else first.
     """
     names = df.columns
     chosen = text_column if text_column in names else next((c for c in TEXT_COLUMN_CANDIDATES if c in names), None)
@@ -111,14 +120,21 @@ def resolve_text_column(df: DataFrame, text_column: str = "text", source_name: s
         string_cols = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
         text = F.coalesce(*[F.when(F.char_length(c) > 50, F.col(c)) for c in string_cols]) if string_cols else F.lit(None)
         rest = names
-    meta = F.to_json(F.struct(*[F.col(c) for c in rest])) if rest else F.lit(None)
-    out = df.select(text.alias("text"), meta.alias("metadata")).where(F.col("text").isNotNull() & (F.col("text") != ""))
+    meta = F.to_json(F.struct(*[F.col(c) for c in rest]), {"ignoreNullFields": "false"}) if rest else F.lit(None)
+    kept = df.select(text.alias("text"), meta.alias("metadata")).where(F.col("text").isNotNull() & (F.col("text") != "")) \
+        .withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
+    parts = kept.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)   # one row per partition
+    parts = parts.select(F.col("_pid").alias("_p"), "_m0", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    out = kept.join(parts, F.col("_pid") == F.col("_p")) \
+        .withColumn("ordinal", F.col("_off") + F.col("_mid") - F.col("_m0")) \
+        .withColumn("source", F.concat(F.lit(f"hf://{source_name}/{split}:"), F.col("ordinal").cast("string")))
     out = out.select(
-        F.sha2(F.concat_ws("\u0001", F.lit(source_name), F.col("text"), F.coalesce(F.col("metadata"), F.lit(""))), 256)
-        .alias("sample_id"),
+        F.sha2("source", 256).alias("sample_id"),
         F.lit("text").alias("kind"),
         "text",
-        F.lit(f"hf://{source_name}/{split}").alias("source"),
+        "source",
+        "ordinal",
         F.lit("sft").alias("type"),
         "metadata",
         F.lit("table").alias("format"),
