@@ -78,9 +78,66 @@ def bigram_nll(pairs: DataFrame, counts: DataFrame, vocab_size: int, alpha: floa
     return j.withColumn("nll", nll).drop("c_pn", "c_p")
 
 
-def sample_perplexity(token_losses: DataFrame, by: str = "sample_id") -> DataFrame:
+def _loss_kernel(bc, n_keep: int):
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        keys, pair_n, prevs, prev_n, vocab_size, alpha = bc.value
+        for b in batches:
+            n = b.num_rows
+            if n == 0:
+                continue
+            flat = []
+            for i in range(n_keep, n_keep + 3):
+                col = b.column(i)
+                offs = col.offsets.to_numpy()
+                flat.append(col.values.to_numpy(zero_copy_only=False)[offs[0]:offs[-1]].astype(np.int64))
+            starts = offs[:-1] - offs[0]
+            prev, nxt, mask = flat
+            key = (prev << 32) | nxt
+            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            c_pn = np.where(keys[at] == key, pair_n[at], 0)
+            at = np.minimum(np.searchsorted(prevs, prev), len(prevs) - 1)
+            c_p = np.where(prevs[at] == prev, prev_n[at], 0)
+            nll = -np.log((c_pn + alpha) / (c_p + alpha * vocab_size))
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns[:n_keep], pa.array(np.add.reduceat(nll * mask, starts)),
+                 pa.array(np.add.reduceat(mask, starts)), pa.array(np.diff(offs).astype(np.int64))],
+                names=[*b.schema.names[:n_keep], "nll_sum", "n_masked", "n_pos"])
+    return run
+
+
+def window_losses(windows: DataFrame, counts: DataFrame, vocab_size: int, alpha: float = 1.0,
+                  keep=("sample_id", "window_no")) -> DataFrame:
+    """I2 per window: ``(*keep, nll_sum, n_masked, n_pos)``, Σ nll·mask and Σ mask over its positions.
+
+    Counts of up to ``BROADCAST_ROWS`` pairs (16 bytes each) are broadcast to an Arrow kernel; beyond that the
+    pairs are joined by shuffle and summed.
+    """
+    from chatloom.plans.runtime import ensure_package
+    spark = windows.sparkSession
+    counts = counts.select("prev_id", "next_id", "n")
+    head = counts.limit(BROADCAST_ROWS + 1).toArrow()
+    if head.num_rows > BROADCAST_ROWS or head.num_rows == 0:
+        tl = bigram_nll(token_pairs(windows, keep), counts, vocab_size, alpha)
+        return tl.groupBy(*keep).agg(F.sum(F.col("nll") * F.col("mask")).alias("nll_sum"),
+                                     F.sum("mask").cast("long").alias("n_masked"), F.count(F.lit(1)).alias("n_pos"))
+    import numpy as np
+    ensure_package(spark)
+    prev, nxt, n = (head.column(c).to_numpy().astype(np.int64) for c in ("prev_id", "next_id", "n"))
+    key = (prev << 32) | nxt
+    order = np.argsort(key)
+    prevs, where = np.unique(prev, return_inverse=True)
+    totals = np.bincount(where, weights=n).astype(np.int64)
+    bc = spark.sparkContext.broadcast((key[order], n[order], prevs, totals, vocab_size, alpha))
+    src = windows.select(*keep, "input_ids", "target_ids", "loss_mask")
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in src.schema.fields[:len(keep)])
+    return src.mapInArrow(_loss_kernel(bc, len(keep)), f"{kept}, nll_sum double, n_masked long, n_pos long")
+
+
+def sample_perplexity(window_losses: DataFrame, by: str = "sample_id") -> DataFrame:
     """I2 tail: masked mean nll and perplexity per sample (NULL when nothing is supervised)."""
-    return token_losses.groupBy(by).agg(
-        F.sum("mask").cast("long").alias("n_masked"),
-        F.try_divide(F.sum(F.col("nll") * F.col("mask")), F.sum("mask")).alias("mean_nll"),
+    return window_losses.groupBy(by).agg(
+        F.sum("n_masked").cast("long").alias("n_masked"),
+        F.try_divide(F.sum("nll_sum"), F.sum("n_masked")).alias("mean_nll"),
     ).withColumn("ppl", F.exp("mean_nll"))

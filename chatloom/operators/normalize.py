@@ -216,6 +216,12 @@ def keep_answered_dialogs(samples: DataFrame) -> DataFrame:
         .withColumn("turns", F.when(F.col("kind") == "dialog", n).otherwise(F.col("turns")))
 
 
+def answered_dialogs(turns: DataFrame, id_col: str = "conv_id", role_col: str = "role") -> DataFrame:
+    """B6 over a turn table: ``(id, n_msgs, turns)`` of dialogs with an assistant turn; reads two columns, no text."""
+    return turns.groupBy(id_col).agg(F.count(F.lit(1)).alias("n_msgs"),
+                                     F.count_if(F.col(role_col) == "assistant").alias("turns")).where("turns > 0")
+
+
 # -- B4 / K1 registry ----------------------------------------------------------------------------------------------
 class FormatSpec(NamedTuple):
     name: str

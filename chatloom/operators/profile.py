@@ -66,6 +66,16 @@ def training_plan(windows: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE, epoc
                        (batches * F.lit(epochs - resumed)).alias("steps"))
 
 
+def plan_of_lengths(lengths: DataFrame, seq_len: int, stride: int, batch_size: int = DEFAULT_BATCH_SIZE,
+                    epochs: int = DEFAULT_EPOCHS, resumed: int = 0) -> DataFrame:
+    """D6 from ``(sample_id, n_tokens)``: the number of windows is arithmetic, nothing is tokenized."""
+    from chatloom.operators.windows import window_count
+    n = F.coalesce(F.sum(window_count(F.col("n_tokens"), seq_len, stride)), F.lit(0))
+    batches = F.ceil(n / F.lit(batch_size)).cast("long")
+    return lengths.agg(n.cast("long").alias("n_windows"), batches.alias("batches"),
+                       (batches * F.lit(epochs - resumed)).alias("steps"))
+
+
 def turn_totals(samples: DataFrame) -> DataFrame:
     """Per file, samples and assistant turns (formats without turns count items)."""
     return samples.groupBy("file_path").agg(

@@ -23,13 +23,12 @@ def apply_temperature(logits: DataFrame, temperature: float = DEFAULT_TEMPERATUR
 def recent_sets(recent: DataFrame, last_n: int = RECENT_WINDOW) -> DataFrame:
     """(ctx_id, recent_ids): distinct tokens among the last ``last_n`` generated, one row per context.
 
-    ``pos`` is the token position in the generated sequence (dense), so the last ``last_n``
-    are the positions above max − last_n: a partial aggregate and a join, no window over
-    a context's whole history (a long history is not one task).
+    ``pos`` orders the generated tokens and may have gaps.  A bounded top-n aggregate per context: each task
+    keeps ``last_n`` rows of a context, so a long history is neither one task nor sorted.
     """
-    mx = recent.groupBy("ctx_id").agg(F.max("pos").alias("_m"))
-    last = recent.join(mx, "ctx_id").where(F.col("pos") > F.col("_m") - last_n)
-    return last.groupBy("ctx_id").agg(F.collect_set("token_id").alias("recent_ids"))
+    head = Window.partitionBy("ctx_id").orderBy(F.col("pos").desc())
+    return recent.withColumn("_rk", F.row_number().over(head)).where(F.col("_rk") <= last_n) \
+        .groupBy("ctx_id").agg(F.collect_set("token_id").alias("recent_ids"))
 
 
 def repetition_penalty(logits: DataFrame, recent: DataFrame, penalty: float = DEFAULT_REPETITION_PENALTY,
@@ -111,9 +110,12 @@ def sample_next(logits: DataFrame, recent: DataFrame, temperature: float = DEFAU
 
 
 def cross_entropy(logits: DataFrame, targets: DataFrame) -> DataFrame:
-    """H7: −log softmax at the target token = logsumexp − logit[target] per context."""
-    wc = Window.partitionBy("ctx_id")
-    lse = logits.withColumn("_m", F.max("logit").over(wc)).groupBy("ctx_id").agg(
-        (F.first("_m") + F.log(F.sum(F.exp(F.col("logit") - F.col("_m"))))).alias("_lse"))
-    t = targets.join(logits, ["ctx_id", "token_id"], "left").join(lse, "ctx_id", "left")
-    return t.select("ctx_id", "token_id", (F.col("_lse") - F.col("logit")).alias("ce"))
+    """H7: −log softmax at the target token = logsumexp − logit[target] per context (NULL without that logit).
+
+    The target rides along the logits: one shuffle on ``ctx_id`` serves the maximum and the sum.
+    """
+    j = targets.withColumnRenamed("token_id", "_target").join(logits, "ctx_id", "left") \
+        .withColumn("_m", F.max("logit").over(Window.partitionBy("ctx_id")))
+    lse = F.first("_m") + F.log(F.sum(F.exp(F.col("logit") - F.col("_m"))))
+    at = F.max(F.when(F.col("token_id") == F.col("_target"), F.col("logit")))
+    return j.groupBy("ctx_id", F.col("_target").alias("token_id")).agg((lse - at).alias("ce"))

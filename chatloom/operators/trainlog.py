@@ -1,8 +1,8 @@
 """Training-log analytics over ``train_log`` / ``token_losses``.
 
 Per-step work never runs as one window over a whole run or epoch: rolling means
-come from distributed prefix sums, epoch starts from grouped aggregates.  Windows
-remain only over per-run *epoch* rows (a handful per run).
+slide over overlapping buckets of rows, epoch starts come from grouped aggregates.
+Windows remain only over per-run *epoch* rows (a handful per run).
 """
 
 from __future__ import annotations
@@ -26,34 +26,41 @@ def masked_batch_loss(token_losses: DataFrame, by=("run_id", "batch_id")) -> Dat
         F.avg("mask").alias("mask_mean"))
 
 
+def batch_loss_of_windows(window_losses: DataFrame, by=("run_id", "batch_id")) -> DataFrame:
+    """G1 from per-window sums ``(nll_sum, n_masked, n_pos)``."""
+    return window_losses.groupBy(*by).agg(
+        F.try_divide(F.sum("nll_sum"), F.sum("n_masked")).alias("loss"),
+        F.try_divide(F.sum("n_masked").cast("double"), F.sum("n_pos")).alias("mask_mean"))
+
+
 def perplexity(train_log: DataFrame) -> DataFrame:
     """ppl = exp(loss) per step; per-epoch means are means of the exps."""
     return train_log.withColumn("ppl", F.exp("loss"))
 
 
-def rolling_metrics(train_log: DataFrame, every: int = LOG_EVERY, window: int = ROLLING) -> DataFrame:
-    """At steps with step % every == 0, means over the last <= ``window`` steps of the same epoch.
+def rolling_metrics(train_log: DataFrame, every: int = LOG_EVERY, window: int = ROLLING,
+                    bucket: int = 4096) -> DataFrame:
+    """At steps with step % every == 0, means over the last <= ``window`` rows of the same epoch.
 
-    No window partitioned by (run, epoch): a hot run/epoch would be one task.  The
-    mean is a difference of distributed prefix sums (range-partitioned), and the
-    row ``window - 1`` positions back is found by an equi-join on (run/epoch, position).
+    The plain sliding frame, but no task holds a whole (run, epoch): rows are numbered by distributed
+    positions and cut into buckets of ``bucket`` rows; each bucket also gets the last ``window - 1`` rows of
+    the one before it and returns its own rows only.  NaN, infinite and NULL values act within their frame
+    and are forgotten after it (NULLs count neither in the sum nor in the number).
     """
-    from chatloom.operators.batches import prefix_sum
+    from chatloom.operators.batches import dense_positions
+    bucket = max(bucket, window)
     vals = ["loss", "grad_norm", "mask_mean", "ppl"]
-    x = perplexity(train_log).select(
-        "run_id", "epoch", "step", *vals,
-        F.concat_ws(":", F.col("run_id").cast("string"), F.col("epoch").cast("string")).alias("_g"),
-        F.lit(1).cast("long").alias("_one"))
-    p = prefix_sum(x, "_g", ["step"], vals + ["_one"], [f"_x_{v}" for v in vals] + ["_pos"])
-    logs = p.where(F.col("step") % every == 0).withColumn("_back", F.col("_pos") - (window - 1))
-    back = p.select(F.col("_g").alias("_bg"), F.col("_pos").alias("_bpos"),
-                    *[F.col(f"_x_{v}").alias(f"_b_{v}") for v in vals])
-    j = logs.join(back, (logs["_g"] == back["_bg"]) & (logs["_back"] == back["_bpos"]), "left")
-    n = F.least(F.col("_pos") + 1, F.lit(window))
-    avg = {v: (F.col(f"_x_{v}") + F.col(v) - F.coalesce(F.col(f"_b_{v}"), F.lit(0.0))) / n for v in vals}
-    return j.select("run_id", "epoch", "step", *vals,
-                    avg["loss"].alias("avg_loss"), avg["grad_norm"].alias("avg_grad"),
-                    avg["mask_mean"].alias("avg_mask"), avg["ppl"].alias("avg_ppl"))
+    x = dense_positions(perplexity(train_log).select("run_id", "epoch", "step", *vals), ["run_id", "epoch"], ["step"], "_pos")
+    own = F.floor(F.col("_pos") / bucket)
+    late = F.col("_pos") % bucket >= bucket - (window - 1)
+    places = F.when(late, F.array(own, own + 1)).otherwise(F.array(own))
+    y = x.withColumn("_own", own).withColumn("_b", F.explode(places))
+    w = Window.partitionBy("run_id", "epoch", "_b").orderBy("_pos").rowsBetween(-(window - 1), 0)
+    avg = [F.avg(v).over(w).alias(f"_avg_{v}") for v in vals]
+    z = y.select("*", *avg).where((F.col("_b") == F.col("_own")) & (F.col("step") % every == 0))
+    return z.select("run_id", "epoch", "step", *vals, F.col("_avg_loss").alias("avg_loss"),
+                    F.col("_avg_grad_norm").alias("avg_grad"), F.col("_avg_mask_mean").alias("avg_mask"),
+                    F.col("_avg_ppl").alias("avg_ppl"))
 
 
 def epoch_loss(train_log: DataFrame) -> DataFrame:

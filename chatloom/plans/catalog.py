@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from chatloom.operators import tokenize as tok
 from chatloom.operators import windows as win
+from chatloom.operators.normalize import answered_dialogs
 from chatloom.operators.vocab import corpus_parts, turn_table_vocab, vocab_from_samples
 from chatloom.plans import oracle as O
 from chatloom.sources.tables import assemble_dialogs, read_table, spread_scan, text_samples
@@ -54,6 +55,22 @@ def kept_dialogs(spark, d):
     return keep_answered_dialogs(all_dialogs(spark, d))
 
 
+def dialog_lengths(spark, d):
+    """(sample_id, n_tokens) of the kept dialogs: role token + content tokens per turn, one <eos>; no tokenization."""
+    from chatloom.functions.text import token_count
+    per_turn = F.when(F.col("role").isin("user", "assistant"), 1).otherwise(0) + token_count("text")
+    g = read_table(spark, d, "conversations").groupBy("conv_id").agg(
+        F.count_if(F.col("role") == "assistant").alias("na"), (F.sum(per_turn) + 1).alias("n_tokens"))
+    return g.where("na > 0").select(F.concat(F.lit("conversations:"), F.col("conv_id").cast("string")).alias("sample_id"), "n_tokens")
+
+
+def doc_lengths(spark, d):
+    """(sample_id, n_tokens) of document texts, <eos> included; no tokenization."""
+    from chatloom.functions.text import token_count
+    return read_table(spark, d, "documents").where("text is not null").select(
+        F.concat(F.lit("documents:"), F.col("doc_id").cast("string")).alias("sample_id"), (token_count("text") + 1).alias("n_tokens"))
+
+
 def doc_samples(spark, d):
     return text_samples(spread_scan(read_table(spark, d, "documents")))
 
@@ -74,8 +91,8 @@ def q_assemble_dialogs(spark, d):
 SELECT sample_id, count(*)::BIGINT AS n_msgs, (count(*) FILTER (WHERE role = 'assistant'))::BIGINT AS turns
 FROM dlg_turns GROUP BY sample_id""")
 def q_keep_answered(spark, d):
-    return kept_dialogs(spark, d).select("sample_id", F.size("dialog").cast("long").alias("n_msgs"),
-                                         F.col("turns").cast("long"))
+    return answered_dialogs(read_table(spark, d, "conversations")).select(
+        F.concat(F.lit("conversations:"), F.col("conv_id").cast("string")).alias("sample_id"), "n_msgs", "turns")
 
 
 # -- E1 / E2 ------------------------------------------------------------------------------------------
@@ -223,8 +240,9 @@ SELECT sample_id, any_value(L)::BIGINT AS n_tokens, ({O.S + 1} - any_value(L))::
 FROM win WHERE L <= {O.S + 1} GROUP BY sample_id""")
 def q_pad_windows(spark, d):
     t = _doc_tokens(spark, d).where(F.size("token_ids") <= O.S + 1)
-    w = win.cut_windows(t, O.S, O.STRIDE).join(win.window_spans(t, O.S, O.STRIDE), ["sample_id", "window_no"])
-    return w.select("sample_id", "n_tokens", "n_pad", ids_str("window").alias("window"))
+    n = F.size("token_ids").cast("long")
+    w = win.cut_windows(t.select("sample_id", n.alias("n_tokens"), "token_ids"), O.S, O.STRIDE, keep=["n_tokens"])
+    return w.select("sample_id", "n_tokens", (O.S + 1 - F.col("n_tokens")).alias("n_pad"), ids_str("window").alias("window"))
 
 
 @register("sliding_windows", O.with_(O.doc_texts(), O.text_vocab(), O.text_ids()) + f""",
@@ -233,7 +251,7 @@ SELECT sample_id, L::BIGINT AS n_tokens, (s // {O.STRIDE})::INTEGER AS window_no
 FROM (SELECT sample_id, L, unnest(CASE WHEN L <= {O.S + 1} THEN [0] ELSE range(0, L - {O.S}, {O.STRIDE}) END) AS s
       FROM lens)""")
 def q_sliding_windows(spark, d):
-    return win.window_spans(_doc_tokens(spark, d), O.S, O.STRIDE).select(
+    return win.window_numbers(doc_lengths(spark, d), O.S, O.STRIDE).select(
         "sample_id", "n_tokens", "window_no", "start")
 
 

@@ -14,7 +14,7 @@ from chatloom.operators.normalize import (
 from chatloom.operators.samples import accumulate_load, clear_samples, union_samples
 from chatloom.operators.vocab import load_vocab, save_vocab, turn_table_vocab
 from chatloom.plans import oracle as O
-from chatloom.plans.catalog import dialog_windows, doc_samples, register
+from chatloom.plans.catalog import dialog_lengths, doc_samples, register
 from chatloom.plans.dialects import alpaca_records, moss_records, sharegpt_records
 from chatloom.session import work_dir
 from chatloom.sources.tables import read_table
@@ -158,11 +158,16 @@ def q_accumulate_load(spark, d):
     return rep.select(F.col("load_no").cast("int"), F.col("added").cast("long"), F.col("total").cast("long"))
 
 
-@register("clear_samples")
+@register("clear_samples", O.with_(SGPT) + """
+SELECT 'before' AS state, count(*)::BIGINT AS n_samples, count(DISTINCT dialog_md5)::BIGINT AS n_texts FROM sgpt
+UNION ALL SELECT 'after', count(*)::BIGINT, count(DISTINCT dialog_md5)::BIGINT FROM sgpt WHERE false""")
 def q_clear_samples(spark, d):
     path = work_dir(spark, "samples") + "/samples"
     accumulate_load(normalize_sharegpt(sharegpt_records(_conv(spark, d))).samples, path, 1)
-    return clear_samples(spark, path).select("sample_id", "format")
+    count = lambda df, state: df.agg(F.count(F.lit(1)).alias("n_samples"), F.countDistinct(dialog_md5()).alias("n_texts")) \
+        .select(F.lit(state).alias("state"), "n_samples", "n_texts")
+    before = count(spark.read.parquet(path), "before").checkpoint()      # counted before the table goes
+    return before.unionByName(count(clear_samples(spark, path), "after"))
 
 
 # -- A13 -------------------------------------------------------------------------------------------------------
@@ -212,7 +217,7 @@ lens AS (SELECT sample_id, count(*) AS L FROM ids GROUP BY sample_id),
 nw AS (SELECT sum(CASE WHEN L <= {O.S + 1} THEN 1 ELSE ceil((L - {O.S}) / {O.STRIDE}) END)::BIGINT AS n FROM lens)
 SELECT n AS n_windows, ceil(n / 8)::BIGINT AS batches, (ceil(n / 8) * 12)::BIGINT AS steps FROM nw""")
 def q_training_plan(spark, d):
-    return P.training_plan(dialog_windows(spark, d)[0], batch_size=8, epochs=12)
+    return P.plan_of_lengths(dialog_lengths(spark, d), O.S, O.STRIDE, batch_size=8, epochs=12)
 
 
 @register("turn_totals", O.with_(CONV_AGG, SGPT, MOSS, ALPACA) + """

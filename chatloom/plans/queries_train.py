@@ -2,7 +2,7 @@
 and training-log analytics (G1–G9).
 
 Inputs: windows of ``conversations`` (the flagship chain) and ``events`` read as a
-training log: run_id = user_id % 5, step = rank by (ts, event_id) within the run,
+training log: run_id = user_id % 5 (user_id for epoch queries), step = rank by (ts, event_id) within the run,
 loss = value / 100, grad_norm = value / 10, mask_mean = props.k / 100.
 """
 
@@ -14,15 +14,14 @@ from chatloom.operators import bigram as BG
 from chatloom.operators import sampling as H
 from chatloom.operators import trainlog as G
 from chatloom.operators.batches import batch_windows, dense_positions, shuffle_samples
-from chatloom.operators.windows import turn_table_windows
+from chatloom.operators.windows import turn_table_windows, window_numbers
 from chatloom.plans import oracle as O
-from chatloom.plans.catalog import register
+from chatloom.plans.catalog import dialog_lengths, register
 from chatloom.sources.tables import read_table
 
 SEED = 0
 EPOCHS = 2
 BATCH = 8
-CTX_STRIDE = 4096      # ctx_id = dialog id * 4096 + window number
 
 
 def _r6(c):
@@ -34,9 +33,15 @@ def dialog_windows(spark, d):
     return turn_table_windows(read_table(spark, d, "conversations"))
 
 
-def train_log(spark, d, epoch_len: int):
+def _window_ids(spark, d):
+    """(sample_id, window_no) from token counts; nothing is tokenized."""
+    return window_numbers(dialog_lengths(spark, d), O.S, O.STRIDE).select("sample_id", "window_no")
+
+
+def train_log(spark, d, epoch_len: int, runs: int | None = 5):
+    """``runs``: users are dealt to so many runs; None makes each user a run of its own."""
     e = read_table(spark, d, "events").select(
-        (F.col("user_id") % 5).alias("run_id"), F.col("ts").cast("timestamp").alias("ts"), "event_id",
+        (F.col("user_id") % runs if runs else F.col("user_id")).alias("run_id"), F.col("ts").cast("timestamp").alias("ts"), "event_id",
         (F.col("value") / 100).alias("loss"), (F.col("value") / 10).alias("grad_norm"),
         (F.get_json_object("props", "$.k").cast("double") / 100).alias("mask_mean"))
     # step numbering without a per-run single task: range-partitioned dense ranks
@@ -74,15 +79,16 @@ nll AS (
   FROM tp JOIN counts c USING (prev_id, next_id) JOIN prevc p USING (prev_id)
 )"""
 
+# a context is a window, named by its sample and number
 CTX = f""",
 ctx AS (
-  SELECT split_part(sample_id, ':', 2)::BIGINT * {CTX_STRIDE} + window_no AS ctx_id,
+  SELECT sample_id || ':' || window_no AS ctx_id,
          max(id) FILTER (WHERE off = {O.S - 1}) AS last_id, max(id) FILTER (WHERE off = {O.S}) AS target_id
   FROM win GROUP BY sample_id, window_no
 ),
 logits AS (SELECT ctx_id, next_id AS token_id, ln(n) AS logit FROM ctx JOIN counts c ON c.prev_id = ctx.last_id),
 recent AS (
-  SELECT DISTINCT split_part(sample_id, ':', 2)::BIGINT * {CTX_STRIDE} + window_no AS ctx_id, id AS token_id
+  SELECT DISTINCT sample_id || ':' || window_no AS ctx_id, id AS token_id
   FROM win WHERE off >= {O.S - 10} AND off < {O.S}
 ),
 h1 AS (SELECT ctx_id, token_id, logit / 0.75 AS logit FROM logits),
@@ -105,7 +111,7 @@ h6 AS (
     SELECT *, row_number() OVER (PARTITION BY ctx_id ORDER BY prob DESC, token_id) AS rn FROM (
       SELECT *, sum(prob) OVER (PARTITION BY ctx_id ORDER BY prob DESC, token_id
                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
-             ('0x' || substr(md5(concat_ws(':', '0', ctx_id::VARCHAR)), 1, 8))::BIGINT / 4294967296.0 AS u
+             ('0x' || substr(md5(concat_ws(':', '0', ctx_id)), 1, 8))::BIGINT / 4294967296.0 AS u
       FROM h5) WHERE cum > u) WHERE rn = 1
 )"""
 
@@ -116,8 +122,11 @@ TL = """tl AS (
   FROM events
 )"""
 
+# epochs of each user's own run: their number per run is bounded by the user's events
+TLU = TL.replace("user_id % 5", "user_id")
+
 EL = """,
-el AS (SELECT run_id, step // 50 AS epoch, avg(loss) AS l, count(*) AS n FROM tl GROUP BY run_id, step // 50),
+el AS (SELECT run_id, step // 5 AS epoch, avg(loss) AS l, count(*) AS n FROM tl GROUP BY run_id, step // 5),
 rec AS (
   SELECT run_id, epoch, l AS best, 0 AS wait, NULL::BIGINT AS stop FROM el WHERE epoch = 0
   UNION ALL
@@ -144,16 +153,14 @@ roll AS (
 # -- F8 / F9 ------------------------------------------------------------------------------------------------
 @register("shuffle_samples", WIN + KEYED + "SELECT sample_id, window_no, epoch, shuffle_key FROM keyed")
 def q_shuffle_samples(spark, d):
-    w, _ = dialog_windows(spark, d)
-    return shuffle_samples(w.select("sample_id", "window_no"), SEED, EPOCHS).select(
+    return shuffle_samples(_window_ids(spark, d), SEED, EPOCHS).select(
         "sample_id", "window_no", F.col("epoch").cast("int"), "shuffle_key")
 
 
 @register("batch_windows", WIN + KEYED + """
 SELECT epoch, sample_id, window_no, pos::BIGINT AS pos, (pos // 8)::BIGINT AS batch_id FROM batched""")
 def q_batch_windows(spark, d):
-    w, _ = dialog_windows(spark, d)
-    b = batch_windows(w.select("sample_id", "window_no"), SEED, EPOCHS, BATCH)
+    b = batch_windows(_window_ids(spark, d), SEED, EPOCHS, BATCH)
     return b.select(F.col("epoch").cast("int"), "sample_id", "window_no", "pos", "batch_id")
 
 
@@ -164,20 +171,10 @@ def q_bigram_fit(spark, d):
     return BG.bigram_fit(w).select("prev_id", "next_id", F.col("n").cast("long"))
 
 
-def _token_losses(spark, d, batch_ids: bool = False):
-    """token_losses(sample_id, window_no, [batch_id], pos, prev_id, next_id, mask, nll)."""
+def _window_losses(spark, d):
+    """(sample_id, window_no, nll_sum, n_masked, n_pos): one row per window, never one per token."""
     w, v = dialog_windows(spark, d)
-    w = w.cache()
-    counts = BG.bigram_fit(w)
-    n_vocab = v.count()
-    keep = ("sample_id", "window_no")
-    if batch_ids:
-        # batch ids join at window level (one row per window), before the per-token explode
-        b = batch_windows(w.select("sample_id", "window_no"), SEED, 1, BATCH).select(
-            "sample_id", "window_no", "batch_id")
-        w = w.join(b, ["sample_id", "window_no"])
-        keep = ("sample_id", "window_no", "batch_id")
-    return BG.bigram_nll(BG.token_pairs(w, keep), counts, n_vocab), w
+    return BG.window_losses(w, BG.bigram_fit(w), v.count())
 
 
 @register("bigram_nll", WIN + PAIRS + """
@@ -185,8 +182,7 @@ SELECT sample_id, sum(mask)::BIGINT AS n_masked, round(sum(nll * mask) / sum(mas
        round(exp(sum(nll * mask) / sum(mask)), 6) AS ppl
 FROM nll GROUP BY sample_id""")
 def q_bigram_nll(spark, d):
-    tl, _ = _token_losses(spark, d)
-    p = BG.sample_perplexity(tl)
+    p = BG.sample_perplexity(_window_losses(spark, d))
     return p.select("sample_id", "n_masked", _r6("mean_nll").alias("mean_nll"), _r6("ppl").alias("ppl"))
 
 
@@ -196,9 +192,10 @@ SELECT 0::BIGINT AS run_id, b.pos // 8 AS batch_id, round(sum(n.nll * n.mask) /
 FROM nll n JOIN batched b ON b.sample_id = n.sample_id AND b.window_no = n.window_no AND b.epoch = 0
 GROUP BY b.pos // 8""")
 def q_masked_batch_loss(spark, d):
-    tl, _ = _token_losses(spark, d, batch_ids=True)
-    # token_losses(run_id, batch_id, sample_id, pos, nll, mask)
-    r = G.masked_batch_loss(tl.withColumn("run_id", F.lit(0).cast("long")))
+    # batch ids join at window level
+    b = batch_windows(_window_ids(spark, d), SEED, 1, BATCH).select("sample_id", "window_no", "batch_id")
+    x = _window_losses(spark, d).join(b, ["sample_id", "window_no"]).withColumn("run_id", F.lit(0).cast("long"))
+    r = G.batch_loss_of_windows(x)
     return r.select("run_id", F.col("batch_id").cast("long"), _r6("loss").alias("loss"),
                     _r6("mask_mean").alias("mask_mean"))
 
@@ -207,9 +204,8 @@ def q_masked_batch_loss(spark, d):
 def _contexts(spark, d):
     """logits(ctx_id, token_id, logit=ln count), recent(ctx_id, pos, token_id), targets(ctx_id, token_id)."""
     w, _ = dialog_windows(spark, d)
-    w = w.cache()
     counts = BG.bigram_fit(w).cache()
-    ctx_id = F.substring_index("sample_id", ":", -1).cast("long") * CTX_STRIDE + F.col("window_no")
+    ctx_id = F.concat_ws(":", "sample_id", F.col("window_no").cast("string"))
     ctx = w.select(ctx_id.alias("ctx_id"), F.element_at("input_ids", -1).alias("last_id"),
                    F.element_at("target_ids", -1).alias("target_id"))
     succ = BG._maybe_broadcast(counts.select(F.col("prev_id").alias("last_id"), F.col("next_id").alias("token_id"),
@@ -293,33 +289,33 @@ def q_rolling_metrics(spark, d):
     return r.select("run_id", "step", *[_r6(c).alias(c) for c in ("avg_loss", "avg_grad", "avg_mask", "avg_ppl")])
 
 
-@register("epoch_loss", O.with_(TL) + EL + """
+@register("epoch_loss", O.with_(TLU) + EL + """
 SELECT run_id, epoch::BIGINT AS epoch, round(l, 6) AS epoch_loss, n::BIGINT AS n_steps FROM el""")
 def q_epoch_loss(spark, d):
-    e = G.epoch_loss(train_log(spark, d, 50))
+    e = G.epoch_loss(train_log(spark, d, 5, None))
     return e.select("run_id", F.col("epoch").cast("long"), _r6("epoch_loss").alias("epoch_loss"),
                     F.col("n_steps").cast("long"))
 
 
-@register("best_epoch", O.with_(TL) + EL + """
+@register("best_epoch", O.with_(TLU) + EL + """
 SELECT run_id, epoch::BIGINT AS epoch, round(l, 6) AS epoch_loss, l = min(l) OVER (PARTITION BY run_id) AS is_best
 FROM (SELECT *, min(l) OVER (PARTITION BY run_id ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev
       FROM el) WHERE prev IS NULL OR l < prev""")
 def q_best_epoch(spark, d):
-    b = G.best_epochs(G.epoch_loss(train_log(spark, d, 50)))
+    b = G.best_epochs(G.epoch_loss(train_log(spark, d, 5, None)))
     return b.select("run_id", F.col("epoch").cast("long"), _r6("epoch_loss").alias("epoch_loss"), "is_best")
 
 
-@register("early_stop_epoch", O.with_(TL, recursive=True) + EL + """
+@register("early_stop_epoch", O.with_(TLU, recursive=True) + EL + """
 SELECT run_id, stop_epoch::BIGINT AS stop_epoch, round(best_loss, 6) AS best_loss, last_epoch::BIGINT AS last_epoch
 FROM stops""")
 def q_early_stop_epoch(spark, d):
-    s = G.early_stop_epoch(G.epoch_loss(train_log(spark, d, 50)))
+    s = G.early_stop_epoch(G.epoch_loss(train_log(spark, d, 5, None)))
     return s.select("run_id", F.col("stop_epoch").cast("long"), _r6("best_loss").alias("best_loss"),
                     F.col("last_epoch").cast("long"))
 
 
-@register("checkpoint_schedule", O.with_(TL, recursive=True) + EL + """,
+@register("checkpoint_schedule", O.with_(TLU, recursive=True) + EL + """,
 ran AS (SELECT el.*, s.stop_epoch, s.last_epoch FROM el JOIN stops s USING (run_id) WHERE el.epoch <= s.last_epoch),
 bests AS (SELECT run_id, epoch FROM (
   SELECT *, min(l) OVER (PARTITION BY run_id ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev
@@ -329,7 +325,7 @@ UNION ALL SELECT run_id, epoch::BIGINT, 'best' FROM bests
 UNION ALL SELECT run_id, epoch::BIGINT, 'early_stop' FROM ran WHERE epoch = stop_epoch
 UNION ALL SELECT run_id, epoch::BIGINT, 'final' FROM ran WHERE epoch = last_epoch""")
 def q_checkpoint_schedule(spark, d):
-    c = G.checkpoint_schedule(G.epoch_loss(train_log(spark, d, 50)))
+    c = G.checkpoint_schedule(G.epoch_loss(train_log(spark, d, 5, None)))
     return c.select("run_id", F.col("epoch").cast("long"), "kind")
 
 
