@@ -9,8 +9,8 @@ Plan shape (no driver-side loops over data, no global sort):
 * ``.json``: whole-file scan, sniffed by content — a JSON array (its items are cut out
   of the text), one object, or JSON lines inside a ``.json`` file;
 * ``.txt``: whole-file scan, one ``pretrain`` sample per file, ``\\r\\n`` → ``\\n``;
-* format detection groups records by file and reads the keys of each file's
-  first record; every format is normalized once over all its files (one
+* format detection takes the smallest ordinal per file and reads the keys of that
+  record only; every format is normalized once over all its files (one
   DataFrame per format, not per file) and the results are unioned.
 """
 
@@ -91,18 +91,21 @@ def read_jsonl(spark: SparkSession, paths, strict: bool = False, glob: str | Non
     raw = _text(spark, paths, glob).select(
         "value", F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block"))
-    # numbering within a split: monotonically_increasing_id is contiguous per partition
-    # and a split is read in order by one task
-    raw = raw.withColumn("_all", F.monotonically_increasing_id())
-    nb = raw.withColumn("value", py_strip("value")).where(F.col("value") != "") \
-        .withColumn("_nb", F.monotonically_increasing_id())
-    blocks = raw.groupBy("file_path", "block").agg(F.min("_all").alias("all0"), F.count("*").alias("n_all"))
-    nbb = nb.groupBy("file_path", "block").agg(F.min("_nb").alias("nb0"), F.count("*").alias("n_nb"))
-    w = Window.partitionBy("file_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offs = blocks.join(nbb, ["file_path", "block"], "left").select(
-        "file_path", "block", "all0", "nb0",
-        F.coalesce(F.sum("n_all").over(w), F.lit(0)).alias("all_before"),
-        F.coalesce(F.sum(F.coalesce("n_nb", F.lit(0))).over(w), F.lit(0)).alias("nb_before"))
+    # numbering within a split: monotonically_increasing_id is contiguous per partition and a split is read in
+    # order by one task; both passes see the same splits, as they scan the same files under the same settings
+    raw = raw.withColumn("value", py_strip("value")).withColumn("_all", F.monotonically_increasing_id())
+    nb = raw.where(F.col("value") != "").withColumn("_nb", F.monotonically_increasing_id())
+    splits = raw.groupBy("file_path", "block").agg(
+        F.min("_all").alias("all0"), F.count(F.lit(1)).alias("n_all"), F.count_if(F.col("value") != "").alias("n_nb"))
+    before = (Window.unboundedPreceding, -1)
+    in_file = Window.partitionBy("file_path").orderBy("block").rowsBetween(*before)
+    in_task = Window.partitionBy(F.shiftright("all0", 33)).orderBy("all0").rowsBetween(*before)
+    zero = F.lit(0)
+    offs = splits.select(
+        "file_path", "block", "all0",
+        (F.shiftleft(F.shiftright("all0", 33), 33) + F.coalesce(F.sum("n_nb").over(in_task), zero)).alias("nb0"),
+        F.coalesce(F.sum("n_all").over(in_file), zero).alias("all_before"),
+        F.coalesce(F.sum("n_nb").over(in_file), zero).alias("nb_before"))
     rec = nb.join(offs, ["file_path", "block"]).select(
         "file_path",
         (F.col("_nb") - F.col("nb0") + F.col("nb_before")).alias("ordinal"),
@@ -247,9 +250,10 @@ def text_file_samples(files: DataFrame) -> DataFrame:
 # -- A2 detection -------------------------------------------------------------------------------------------
 def detect_formats(records: DataFrame) -> DataFrame:
     """A2: (file_path, format) from the keys of each file's first valid record (registry precedence)."""
-    # keys are read for one record per file: the first valid one
-    first = records.where("valid").groupBy("file_path").agg(F.min_by("value", "ordinal").alias("_first")) \
-        .select("file_path", F.json_object_keys("_first").alias("_keys"))
+    # the first valid record by a hash aggregate on ordinals; only that record's text is fetched
+    at = records.where("valid").groupBy("file_path").agg(F.min("ordinal").alias("ordinal"))
+    first = records.where("valid").select("file_path", "ordinal", "value").join(at, ["file_path", "ordinal"]) \
+        .select("file_path", F.json_object_keys("value").alias("_keys"))
     fmt = None
     for name, spec in formats().items():
         if spec.detect is None:
