@@ -1,7 +1,7 @@
 """JSON items in the three chat dialects, derived by Spark from the turn table.
 
 Each builder groups ``conversations`` by dialog once and renders one item per
-dialog: ``*_items`` gives ``(ordinal, item struct)`` (for file writers),
+dialog (Alpaca: per exchange): ``*_items`` gives ``(ordinal, item struct)`` (for file writers),
 ``*_records`` gives the records shape a scanned file has: ``(file_path, ordinal, value)``.
 """
 
@@ -48,17 +48,31 @@ def moss_items(conv: DataFrame) -> DataFrame:
                  conversation.alias("conversation")).alias("item"))
 
 
+def exchanges(conv: DataFrame) -> DataFrame:
+    """(conv_id, e, system, user, before, assistant): the e-th user and assistant turns of each dialog, side by side.
+
+    ``before`` is the user turn before an even one.  A dialog without either still gives one row.
+    """
+    n = F.greatest(F.size(_texts("user")), F.size(_texts("assistant")), F.lit(1))
+    at = lambda role, k: F.try_element_at(_texts(role), k)["text"]
+    e = F.col("e")
+    return _grouped(conv).withColumn("e", F.explode(F.sequence(F.lit(1), n))).select(
+        "conv_id", "e", _first("system").alias("system"), at("user", e).alias("user"),
+        F.when(e % 2 == 0, at("user", F.greatest(e - 1, F.lit(1)))).alias("before"), at("assistant", e).alias("assistant"))
+
+
 def alpaca_items(conv: DataFrame) -> DataFrame:
-    """{system, instruction: 1st user, input: 2nd user, output: 1st assistant} per dialog (nulls kept)."""
-    return _grouped(conv).select(
-        F.col("conv_id").cast("long").alias("ordinal"),
-        F.struct(_first("system").alias("system"), _first("user").alias("instruction"),
-                 _first("user", 2).alias("input"), _first("assistant").alias("output")).alias("item"))
+    """{system, instruction, input, output} per exchange (nulls kept): ``(ordinal, e, item)``."""
+    return exchanges(conv).select(
+        F.col("conv_id").cast("long").alias("ordinal"), "e",
+        F.struct("system", F.col("user").alias("instruction"), F.col("before").alias("input"),
+                 F.col("assistant").alias("output")).alias("item"))
 
 
-def _records(items: DataFrame, file_path: str, keep_nulls: bool) -> DataFrame:
+def _records(items: DataFrame, file_path, keep_nulls: bool) -> DataFrame:
     value = F.to_json("item", KEEP_NULLS) if keep_nulls else F.to_json("item")
-    return items.select(F.lit(file_path).alias("file_path"), "ordinal", value.alias("value"))
+    path = F.lit(file_path) if isinstance(file_path, str) else file_path
+    return items.select(path.alias("file_path"), "ordinal", value.alias("value"))
 
 
 def sharegpt_records(conv: DataFrame, file_path: str = "conversations.sharegpt.jsonl") -> DataFrame:
@@ -69,5 +83,6 @@ def moss_records(conv: DataFrame, file_path: str = "conversations.moss.jsonl") -
     return _records(moss_items(conv), file_path, False)
 
 
-def alpaca_records(conv: DataFrame, file_path: str = "conversations.alpaca.jsonl") -> DataFrame:
-    return _records(alpaca_items(conv), file_path, True)
+def alpaca_records(conv: DataFrame, name: str = "conversations.alpaca") -> DataFrame:
+    """The e-th exchanges of all dialogs form file ``<name>.<e>.jsonl``; the ordinal is the dialog's id."""
+    return _records(alpaca_items(conv), F.concat(F.lit(name + "."), F.col("e").cast("string"), F.lit(".jsonl")), True)

@@ -44,9 +44,9 @@ def build_tree(spark, d: str) -> str:
     rename_suffix(spark, f"{root}/sgpt", ".txt", ".jsonl")
     # JSON writer: .json files whose content is JSON lines
     moss_items(conv).select("item.*").write.mode("overwrite").json(f"{root}/moss")
-    # one JSON array of <= CHUNK items per file
+    # one JSON array per file: the exchanges of CHUNK dialogs
     arrays = alpaca_items(conv).groupBy((F.col("ordinal") / CHUNK).cast("long").alias("chunk")).agg(
-        F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "item"))), lambda x: x["item"]),
+        F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "e", "item"))), lambda x: x["item"]),
                   KEEP_NULLS).alias("value"))
     arrays.repartition("chunk").write.mode("overwrite").partitionBy("chunk").text(f"{root}/alpaca")
     rename_suffix(spark, f"{root}/alpaca", ".txt", ".json")
@@ -81,9 +81,9 @@ UNION ALL
 SELECT 'moss', count(*)::BIGINT, sum(ua_chars)::BIGINT FROM k WHERE n_asst > 0
 UNION ALL
 SELECT 'alpaca', count(*)::BIGINT,
-       sum(coalesce(length(s[1]), 0) + length(u[1]) + CASE WHEN coalesce(u[2], '') <> '' THEN 1 + length(u[2]) ELSE 0 END
-           + length(a[1]))::BIGINT
-FROM k WHERE u[1] IS NOT NULL AND a[1] IS NOT NULL
+       sum(coalesce(length(s[1]), 0) + length(u[e]) + length(a[e])
+           + CASE WHEN e % 2 = 0 AND coalesce(u[e - 1], '') <> '' THEN 1 + length(u[e - 1]) ELSE 0 END)::BIGINT
+FROM (SELECT *, unnest(range(1, coalesce(len(u), 0) + 1)) AS e FROM k) WHERE u[e] IS NOT NULL AND a[e] IS NOT NULL
 UNION ALL
 SELECT 'txt', count(DISTINCT doc_id // 64)::BIGINT, sum(length(text) + 1)::BIGINT FROM documents""")
 def q_scan_directory(spark, d):
@@ -126,12 +126,13 @@ def q_read_jsonl(spark, d):
 
 # -- A4 / A5 -----------------------------------------------------------------------------------------
 @register("read_json_document", """
-SELECT conv_id // 64 AS chunk, (row_number() OVER (PARTITION BY conv_id // 64 ORDER BY conv_id) - 1)::BIGINT AS ordinal,
-       md5(coalesce(s[1], '-')) AS system_md5, md5(coalesce(u[1], '-')) AS instruction_md5,
-       md5(coalesce(u[2], '-')) AS input_md5, md5(coalesce(a[1], '-')) AS output_md5
-FROM (SELECT conv_id, list(text ORDER BY turn) FILTER (WHERE role = 'system') AS s,
-             list(text ORDER BY turn) FILTER (WHERE role = 'user') AS u,
-             list(text ORDER BY turn) FILTER (WHERE role = 'assistant') AS a FROM conversations GROUP BY conv_id)""")
+SELECT conv_id // 64 AS chunk, (row_number() OVER (PARTITION BY conv_id // 64 ORDER BY conv_id, e) - 1)::BIGINT AS ordinal,
+       md5(coalesce(s[1], '-')) AS system_md5, md5(coalesce(u[e], '-')) AS instruction_md5,
+       md5(coalesce(CASE WHEN e % 2 = 0 THEN u[e - 1] END, '-')) AS input_md5, md5(coalesce(a[e], '-')) AS output_md5
+FROM (SELECT *, unnest(range(1, greatest(coalesce(len(u), 0), coalesce(len(a), 0), 1) + 1)) AS e FROM (
+  SELECT conv_id, list(text ORDER BY turn) FILTER (WHERE role = 'system') AS s,
+         list(text ORDER BY turn) FILTER (WHERE role = 'user') AS u,
+         list(text ORDER BY turn) FILTER (WHERE role = 'assistant') AS a FROM conversations GROUP BY conv_id))""")
 def q_read_json_document(spark, d):
     root = build_tree(spark, d)
     r = FS.read_json_document(spark, f"{root}/alpaca")

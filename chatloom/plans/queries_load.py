@@ -57,17 +57,21 @@ MOSS = """moss AS (
   FROM conversations GROUP BY conv_id HAVING count(*) FILTER (WHERE role = 'assistant') > 0
 )"""
 
-ALPACA = """alp_src AS (
-  SELECT conv_id, sys_l[1] AS sys, usr_l[1] AS ins, usr_l[2] AS inp, ast_l[1] AS out FROM conv_agg
-),
+# the e-th user and assistant turns side by side; even exchanges carry the user turn before as input
+EXCHANGES = """exch AS (
+  SELECT conv_id, sys_l[1] AS sys, usr_l[e] AS ins, CASE WHEN e % 2 = 0 THEN usr_l[e - 1] END AS inp, ast_l[e] AS out, e
+  FROM (SELECT *, unnest(range(1, greatest(coalesce(len(usr_l), 0), coalesce(len(ast_l), 0), 1) + 1)) AS e FROM conv_agg)
+)"""
+
+ALPACA = EXCHANGES + """,
 alpaca AS (
-  SELECT 'conversations.alpaca.jsonl' AS file_path, conv_id AS ordinal, 'alpaca' AS format,
-         'conversations.alpaca.jsonl:' || conv_id AS source,
+  SELECT 'conversations.alpaca.' || e || '.jsonl' AS file_path, conv_id AS ordinal, 'alpaca' AS format,
+         'conversations.alpaca.' || e || '.jsonl:' || conv_id AS source,
          (CASE WHEN coalesce(sys, '') <> '' THEN 3 ELSE 2 END)::BIGINT AS n_msgs,
          md5(concat_ws(chr(10), CASE WHEN coalesce(sys, '') <> '' THEN 'system:' || sys END,
                        'user:' || CASE WHEN coalesce(inp, '') <> '' THEN ins || chr(10) || inp ELSE ins END,
                        'assistant:' || out)) AS dialog_md5
-  FROM alp_src WHERE ins IS NOT NULL AND out IS NOT NULL
+  FROM exch WHERE ins IS NOT NULL AND out IS NOT NULL
 )"""
 
 QUAR = """quar AS (
@@ -76,8 +80,8 @@ QUAR = """quar AS (
   UNION ALL
   SELECT 'conversations.moss.jsonl', conv_id, 'no_assistant' FROM conv_agg WHERE n_asst = 0
   UNION ALL
-  SELECT 'conversations.alpaca.jsonl', conv_id, 'null_content' FROM conv_agg
-  WHERE usr_l[1] IS NULL OR ast_l[1] IS NULL
+  SELECT 'conversations.alpaca.' || e || '.jsonl', conv_id, 'null_content' FROM exch
+  WHERE ins IS NULL OR out IS NULL
 )"""
 
 
@@ -117,7 +121,7 @@ def q_load_format(spark, d):
     return union_samples(*parts).select("format", "source")
 
 
-@register("quarantine", O.with_(CONV_AGG, QUAR) + "SELECT file_path, ordinal, reason FROM quar")
+@register("quarantine", O.with_(CONV_AGG, EXCHANGES, QUAR) + "SELECT file_path, ordinal, reason FROM quar")
 def q_quarantine(spark, d):
     qs = [n.quarantine for n in _all_dialects(spark, d)]
     out = qs[0].unionByName(qs[1]).unionByName(qs[2])
@@ -245,23 +249,23 @@ def normalize_pairs(records):
     return out
 
 
-@register("register_format", """
-SELECT conv_id AS ordinal, md5('user:' || u || chr(10) || 'assistant:' || a) AS dialog_md5 FROM (
-  SELECT conv_id, arg_min(text, turn) FILTER (WHERE role = 'user') AS u,
-         arg_min(text, turn) FILTER (WHERE role = 'assistant') AS a
-  FROM conversations GROUP BY conv_id) WHERE u IS NOT NULL AND a IS NOT NULL""")
+@register("register_format", O.with_(CONV_AGG, EXCHANGES) + """
+SELECT conv_id AS ordinal, e::INTEGER AS exchange, md5('user:' || ins || chr(10) || 'assistant:' || out) AS dialog_md5
+FROM exch WHERE ins IS NOT NULL AND out IS NOT NULL""")
 def q_register_format(spark, d):
     from chatloom.operators.normalize import _has, formats, register_format, unregister_format
-    from chatloom.plans.dialects import _first, _grouped
+    from chatloom.plans.dialects import exchanges
     added = "pairs" not in formats()
     if added:
         register_format("pairs", lambda k: _has(k, "prompt"), normalize_pairs)
-    items = _grouped(_conv(spark, d)).select(
-        F.lit("conversations.pairs.jsonl").alias("file_path"), F.col("conv_id").cast("long").alias("ordinal"),
-        F.to_json(F.struct(_first("user").alias("prompt"), _first("assistant").alias("response"))).alias("value"))
+    items = exchanges(_conv(spark, d)).select(
+        F.concat(F.lit("conversations.pairs."), F.col("e").cast("string"), F.lit(".jsonl")).alias("file_path"),
+        F.col("conv_id").cast("long").alias("ordinal"),
+        F.to_json(F.struct(F.col("user").alias("prompt"), F.col("assistant").alias("response"))).alias("value"))
     try:
         s = load_format(items, "pairs").samples      # the plan is built here; the registry is not needed later
     finally:
         if added:
             unregister_format("pairs")
-    return s.select("ordinal", dialog_md5().alias("dialog_md5"))
+    e = F.regexp_extract("file_path", r"pairs\.(\d+)\.jsonl", 1).cast("int")
+    return s.select("ordinal", e.alias("exchange"), dialog_md5().alias("dialog_md5"))
