@@ -25,3 +25,9 @@ def rename_suffix(spark: SparkSession, root: str, old: str, new: str) -> int:
             fs.rename(src, jvm.org.apache.hadoop.fs.Path(src.getParent(), name[: -len(old)] + new))
             n += 1
     return n
+
+
+def remove_tree(spark: SparkSession, path: str) -> None:
+    """Delete a derived table or file tree of our own."""
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)
