@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from chatloom.llm.charlm import CharModel, count_ngrams, letter_symbols
 from chatloom.llm.common import cut, prepare
 
+PART = 1 << 21  # symbols that are held at a time
 FOLDS = 5  # one fold of ids is never learnt from
 
 
@@ -24,7 +25,16 @@ class LanguageModels:
     def entropies(self, texts):
         """(cross-entropies in nats a symbol, documents x languages; symbols)."""
         import numpy as np
-        sums, sizes = self.model.score([letter_symbols(t) for t in texts])
+        out, held, size = [], [], 0
+        for i, t in enumerate(texts):  # a bounded part of a batch is spelt out at a time
+            held.append(letter_symbols(t))
+            size += len(held[-1])
+            if size >= PART or i == len(texts) - 1:
+                out.append(self.model.score(held))
+                held, size = [], 0
+        if not out:
+            return np.zeros((0, len(self.model.labels))), np.zeros(0, dtype=np.int64)
+        sums, sizes = (np.concatenate(x) for x in zip(*out))
         return -sums / np.maximum(sizes, 1)[:, None], sizes
 
     def calibrate(self, rows) -> None:

@@ -5,6 +5,8 @@ start segment from which *every* chain of l consecutive segments differs in at m
 ``l * max_bits / segments`` bits.  The leading segments whose budget is below one bit must be equal,
 which gives the join key; the longer chains prune the candidates before the full Hamming check.
 With 5 segments and 2 bits the key has 25-26 bits and each distinct fingerprint is sent 5 times.
+A key that very many fingerprints share is split by its other segments: there are more of those than
+differing bits, so one of them is equal as well, and no pair is lost.
 """
 
 from __future__ import annotations
@@ -91,10 +93,11 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def ring_links(classes: DataFrame, max_bits: int = 2, segments: int = 5) -> DataFrame:
+def ring_links(classes: DataFrame, max_bits: int = 2, segments: int = 5, split_over: int = 4096) -> DataFrame:
     """``(a, b)`` class pairs whose fingerprints differ in at most ``max_bits`` bits.
 
-    ``classes``: ``(rep, fp)``, one row per distinct fingerprint.  Needs ``segments > max_bits``.
+    ``classes``: ``(rep, fp)``, one row per distinct fingerprint.  Needs ``segments > max_bits``.  Keys of more than
+    ``split_over`` fingerprints are split; every size gives the same pairs.
     """
     masks, run = ring_plan(segments, max_bits)
     if not run:
@@ -106,9 +109,21 @@ def ring_links(classes: DataFrame, max_bits: int = 2, segments: int = 5) -> Data
             m |= masks[(start + j) % segments]
         return _signed(m)
 
-    keys = F.array(*[F.struct(F.lit(i).alias("start"), F.col("fp").bitwiseAND(F.lit(chain(i, run))).alias("key"))
-                     for i in range(segments)])
+    def parts(start: int):
+        return F.array(*[F.struct(F.lit(j).alias("part"), F.col("fp").bitwiseAND(F.lit(_signed(masks[(start + j) % segments])))
+                                  .alias("value")) for j in range(run, segments)])
+
+    keys = F.array(*[F.struct(F.lit(i).alias("start"), F.col("fp").bitwiseAND(F.lit(chain(i, run))).alias("key"),
+                              parts(i).alias("parts")) for i in range(segments)])
     sent = classes.select("rep", "fp", F.inline(keys))
+    whole = F.array(F.struct(F.lit(-1).alias("part"), F.lit(0).cast("long").alias("value")))
+    if segments - run > max_bits:
+        hot = sent.groupBy(F.col("start").alias("hs"), F.col("key").alias("hk")).count().where(F.col("count") > split_over) \
+            .select("hs", "hk", F.lit(True).alias("hot"))
+        sent = sent.join(hot, (F.col("start") == F.col("hs")) & (F.col("key") == F.col("hk")), "left") \
+            .select("rep", "fp", "start", "key", F.inline(F.when(F.col("hot"), F.col("parts")).otherwise(whole)))
+    else:
+        sent = sent.select("rep", "fp", "start", "key", F.inline(whole))
     x, y = sent.alias("x"), sent.alias("y")
     diff = F.col("x.fp").bitwiseXOR(F.col("y.fp"))
     passes = F.bit_count(diff) <= max_bits
@@ -117,8 +132,8 @@ def ring_links(classes: DataFrame, max_bits: int = 2, segments: int = 5) -> Data
         for i in range(1, segments):
             mask = F.when(F.col("x.start") == i, F.lit(chain(i, length))).otherwise(mask)
         passes = (F.bit_count(diff.bitwiseAND(mask)) <= length * max_bits // segments) & passes
-    on = (F.col("x.start") == F.col("y.start")) & (F.col("x.key") == F.col("y.key")) \
-        & (F.col("x.rep") < F.col("y.rep")) & passes
+    same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("start", "key", "part", "value")]
+    on = same[0] & same[1] & same[2] & same[3] & (F.col("x.rep") < F.col("y.rep")) & passes
     return x.join(y, on).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
 
 

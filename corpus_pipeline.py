@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chatloom.llm import decontaminate, lang_id, mixing, simhash, span_dedup
 from chatloom.session import work_dir
+from chatloom.sources.fs import remove_tree
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,8 +43,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = work_dir(spark, "pipeline")
+    folder, before = work_dir(spark, "pipeline"), None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.mode("overwrite").parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:  # what the next stage no longer reads
+            remove_tree(spark, before)
+        before = f"{folder}/{name}"
     return docs

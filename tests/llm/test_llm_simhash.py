@@ -41,6 +41,8 @@ def test_every_pair_within_two_bits_is_linked(spark):
     got = {(r.a, r.b) for r in op.ring_links(spark.createDataFrame(rows, "rep long, fp long")).collect()}
     want = {(i, j) for i, a in enumerate(fps) for j, b in enumerate(fps) if i < j and (a ^ b).bit_count() <= 2}
     assert got == want
+    split = {(r.a, r.b) for r in op.ring_links(spark.createDataFrame(rows, "rep long, fp long"), split_over=3).collect()}
+    assert split == want
     got = {(r.a, r.b) for r in op.ring_links(spark.createDataFrame(rows[:200], "rep long, fp long"), 3, 9).collect()}
     assert got == {(i, j) for i in range(200) for j in range(i + 1, 200) if (fps[i] ^ fps[j]).bit_count() <= 3}
 
