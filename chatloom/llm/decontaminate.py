@@ -271,40 +271,62 @@ class Block:
                     hit[group[i]] = True
 
 
-def _kernel(shared):
+def _held(block: Block, texts):
+    """Yield ``(row, item, place)`` for the texts of an Arrow column, some words at a time."""
+    import numpy as np
+    part, size = [], 0
+    for row, t in enumerate(texts):
+        if t.is_valid:
+            w = word_hashes(np.frombuffer(t.as_buffer(), dtype=np.uint8))
+            if len(w):
+                part.append((row, w))
+                size += len(w)
+        if part and (size >= 1 << 18 or row == len(texts) - 1):
+            docs = np.cumsum([0] + [len(w) for _, w in part])
+            for (d, i), place in block.matches(np.concatenate([w for _, w in part]), docs).items():
+                yield part[d][0], i, place
+            part, size = [], 0
+
+
+def _find_kernel(shared):
     def run(batches):
-        import numpy as np
         import pyarrow as pa
         block = shared.value
         for b in batches:
-            found, part, size = [], [], 0
-
-            def flush():
-                nonlocal part, size
-                if part:
-                    words = np.concatenate([w for _, w in part])
-                    docs = np.cumsum([0] + [len(w) for _, w in part])
-                    got = block.matches(words, docs)
-                    found.extend((part[d][0], block.items[i][0], *place) for (d, i), place in got.items())
-                part, size = [], 0
-
-            for doc, t in zip(b.column(0).to_pylist(), b.column(1)):
-                if not t.is_valid:
-                    continue
-                w = word_hashes(np.frombuffer(t.as_buffer(), dtype=np.uint8))
-                if len(w):
-                    part.append((doc, w))
-                    size += len(w)
-                if size >= 1 << 18:
-                    flush()
-            flush()
+            ids = b.column(0).to_pylist()
+            found = [(ids[row], block.items[i][0], *place) for row, i, place in _held(block, b.column(1))]
             if found:
-                cols = list(zip(*found))
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)],
                                                  names=["doc_id", "item_id", "n_edits", "first_word", "item_words"])
     return run
 
 
+def _keep_kernel(shared, at: int):
+    def run(batches):
+        import pyarrow as pa
+        for b in batches:
+            keep = [True] * b.num_rows
+            for row, _, _ in _held(shared.value, b.column(at)):
+                keep[row] = False
+            yield b.filter(pa.array(keep, pa.bool_()))
+    return run
+
+
+def _blocks(items: DataFrame, item_col: str, item_text_col: str, similarity: float, recall: float):
+    """Yield broadcast blocks of the items, of at most about ``BLOCK_CHARS`` bytes each."""
+    import numpy as np
+    spark = items.sparkSession
+    query = items.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text")).where("text is not null")
+    chars = query.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = -(-int(chars) // BLOCK_CHARS)
+    for i in range(n):
+        rows = query.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i).distinct().collect()
+        words = [(r["item_id"], word_hashes(np.frombuffer(r["text"].encode("utf-8"), dtype=np.uint8))) for r in rows]
+        block = Block(words, similarity, recall)
+        if block.items:
+            yield spark.sparkContext.broadcast(block)
+
+
 def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
                item_text_col: str = "text", similarity: float = 0.8, recall: float = 0.99) -> DataFrame:
     """``(doc_id, item_id, n_edits, first_word, item_words)``: each item that a text holds, at its best place.
@@ -317,23 +339,18 @@ def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     spark = docs.sparkSession
     prepare(spark)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    query = items.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text")).where("text is not null")
-    chars = query.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = -(-int(chars) // BLOCK_CHARS)
-    out = None
-    for i in range(blocks):
-        import numpy as np
-        rows = query.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == i).distinct().collect()
-        block = Block([(r["item_id"], word_hashes(np.frombuffer(r["text"].encode("utf-8"), dtype=np.uint8))) for r in rows],
-                      similarity, recall)
-        found = src.mapInArrow(_kernel(spark.sparkContext.broadcast(block)),
-                               "doc_id long, item_id long, n_edits long, first_word long, item_words long")
-        out = found if out is None else out.unionByName(found)
-    return out if out is not None else spark.createDataFrame(
-        [], "doc_id long, item_id long, n_edits long, first_word long, item_words long")
-
-
-def keep_clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The input rows that hold no item, all columns unchanged; rows without an id are judged together."""
-    held = find_items(docs, items, id_col=id_col, **options).select(F.col("doc_id").alias("_held")).distinct()
-    return docs.join(held, docs[id_col].cast("long").eqNullSafe(held["_held"]), "left_anti")
+    schema = "doc_id long, item_id long, n_edits long, first_word long, item_words long"
+    out = spark.createDataFrame([], schema)
+    for block in _blocks(items, item_col, item_text_col, similarity, recall):
+        out = out.unionByName(src.mapInArrow(_find_kernel(block), schema))
+    return out
+
+
+def keep_clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+               similarity: float = 0.8, recall: float = 0.99) -> DataFrame:
+    """The input rows whose text holds no item, all columns unchanged: rows are judged where they are read."""
+    prepare(docs.sparkSession)
+    out = docs
+    for block in _blocks(items, item_col, item_text_col, similarity, recall):
+        out = out.mapInArrow(_keep_kernel(block, docs.columns.index(text_col)), docs.schema)
+    return out
