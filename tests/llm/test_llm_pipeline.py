@@ -67,7 +67,7 @@ def test_queries_against_their_oracles(spark, con, name):
     rows = [tuple(r) for r in df.select(*cols).collect()]
     table = {"op1": "pages", "op3": "conversations", "op10": "embeddings"}.get(name.split("_")[0], "documents")
     if name != "op6_decontaminate":
-        assert len(rows) == con.sql(f"SELECT count(*) FROM {table}").fetchone()[0]
+        assert len(rows) == con.sql(f"SELECT count(*) FROM {table}").fetchall()[0][0]
     sql = E.oracle_sql().get(name)
     if sql:
         rel = con.sql(sql)
