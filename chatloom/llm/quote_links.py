@@ -8,6 +8,7 @@ and minima; a thread that holds a third of all messages is ranked by the distrib
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -85,16 +86,22 @@ def _kernel(batches):
 
 
 def _roots(edges: DataFrame) -> DataFrame:
-    """``(uid, root, depth)`` for ``(uid, parent)`` edges of a forest, by pointer doubling."""
-    cur = cut(edges.select("uid", F.col("parent").alias("root"), F.lit(1).cast("long").alias("depth")))
+    """``(uid, root, depth)`` for ``(uid, parent)`` edges of a forest, by pointer doubling.
+
+    A row is done once its root has no parent; only the others are looked up again, so the rounds beyond
+    the usual depth read the few long chains alone.
+    """
+    cur, done = cut(edges.select("uid", F.col("parent").alias("root"), F.lit(1).cast("long").alias("depth"))), []
     while True:
-        up = cur.select(F.col("uid").alias("_u"), F.col("root").alias("_r"), F.col("depth").alias("_d"))
+        known = reduce(DataFrame.unionByName, done, cur)
+        up = known.select(F.col("uid").alias("_u"), F.col("root").alias("_r"), F.col("depth").alias("_d"))
         nxt = cut(cur.join(up, F.col("root") == F.col("_u"), "left").select(
             "uid", F.coalesce("_r", "root").alias("root"), (F.col("depth") + F.coalesce("_d", F.lit(0))).alias("depth"),
             F.col("_u").isNotNull().alias("moved")))
-        cur = nxt.drop("moved")
-        if nxt.where("moved").isEmpty():
-            return cur
+        done.append(nxt.where("not moved").drop("moved"))
+        cur = nxt.where("moved").drop("moved")
+        if cur.isEmpty():
+            return reduce(DataFrame.unionByName, done)
 
 
 def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
