@@ -8,6 +8,7 @@ loss = value / 100, grad_norm = value / 10, mask_mean = props.k / 100.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from chatloom.operators import bigram as BG
@@ -174,6 +175,7 @@ def q_bigram_fit(spark, d):
 def _window_losses(spark, d):
     """(sample_id, window_no, nll_sum, n_masked, n_pos): one row per window, never one per token."""
     w, v = dialog_windows(spark, d)
+    w = w.persist(StorageLevel.DISK_ONLY)     # two passes over the windows, encoded once
     return BG.window_losses(w, BG.bigram_fit(w), v.count())
 
 
