@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.llm.common import prepare
-from chatloom.llm.license_texts import LICENSES, NOTICES
+from chatloom.llm.license_texts import DIGESTS, LICENSES, NOTICES, TITLES
 
 # fixed values: spellings that licence matching treats as equal
 SPELLINGS = [("licence", "license"), ("acknowledgement", "acknowledgment"), ("authoris", "authoriz"), ("organis", "organiz"),
@@ -52,6 +52,19 @@ def known_digests(licenses: dict[str, str] = LICENSES, notices: dict[str, list[s
     return sorted(r for r in rows if r[0])
 
 
+def variants(license_id: str, text: str) -> list[str]:
+    """The text with and without a usual title, also with bullets for numbers, and with the other scheme of its address."""
+    bodies = {text, re.sub(r"(?m)^\d\. ", "* ", text)}
+    bodies |= {b.replace("http:", "https:") for b in bodies}
+    return sorted(f"{title}\n\n{b}" for b in bodies for title in ["", *TITLES.get(license_id, [])])
+
+
+def default_digests() -> list[tuple[str, str]]:
+    """``(digest, license_id)`` known by default: texts in their usual forms, notices and texts known by digest alone."""
+    forms = {(digest(v), k) for k, t in LICENSES.items() for v in variants(k, t)}
+    return sorted(forms | set(known_digests()) | {(d, k) for k, ds in DIGESTS.items() for d in ds})
+
+
 def _kernel(batches):
     import pyarrow as pa
     for b in batches:
@@ -67,21 +80,26 @@ def _kernel(batches):
                                          names=["doc", "whole", "digest"])
 
 
-def scan(docs: DataFrame, known: list[tuple[str, str]] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan(docs: DataFrame, known: list[tuple[str, str]] | None = None, id_col: str = "doc_id", text_col: str = "text",
+         further: DataFrame | None = None) -> DataFrame:
     """One row per input row: ``(doc_id, license_text, license_notices)``.
 
     ``license_text``: the licence whose entire text the whole document is, copyright lines aside (the first by name
     if several ids share a digest).  ``license_notices``: the distinct licences that a whole line of it states, sorted
     and joined by commas.  Both null without a match, so for null and empty texts.  Rows that repeat an id get the
     findings of all of them; rows without an id find nothing.  ``known``: at most ``MAX_KNOWN`` ``(digest, license_id)``
-    pairs, which is what makes the table safe to broadcast.  Extra columns are not read; an empty table gives no rows.
+    pairs (by default ``default_digests()``), which is what makes the table safe to broadcast.  ``further``: a table of
+    more ``(digest, license_id)`` rows, of any size, whose digests ``digest`` makes of whole texts or lines.  Extra columns are not read; an empty table gives no rows.
     """
     spark = docs.sparkSession
     prepare(spark)
-    known = known_digests() if known is None else known
+    known = default_digests() if known is None else known
     if len(known) > MAX_KNOWN:
         raise ValueError(f"at most {MAX_KNOWN} known digests")
     table = F.broadcast(spark.createDataFrame(known, "digest string, license_id string"))
+    if further is not None:  # without a hint: broadcast if it is small, shuffled if not
+        more = further.select(F.col("digest").cast("string").alias("digest"), F.col("license_id").cast("string").alias("license_id"))
+        table = spark.createDataFrame(known, "digest string, license_id string").unionByName(more).distinct()
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     found = src.where("doc_id is not null").mapInArrow(_kernel, "doc long, whole boolean, digest string") \
         .join(table, "digest") \
@@ -113,5 +131,5 @@ def oracle_sql() -> str:
     spelled = "x"
     for a, b in SPELLINGS:
         spelled = f"replace({spelled}, '{a}', '{b}')"
-    known = ", ".join(f"('{d}', '{i}')" for d, i in known_digests())
+    known = ", ".join(f"('{d}', '{i}')" for d, i in default_digests())
     return ORACLE_SQL.format(known=known, spelled=spelled, copyright=COPYRIGHT_LINE)

@@ -44,6 +44,93 @@ required.
 software.
 
 3. This notice may not be removed or altered from any source distribution.""",
+    "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided
+that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
+WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF
+THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided
+that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+derived from this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
+WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF
+THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "BSL-1.0": """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software
+and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute,
+and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the
+Software is furnished to do so, all subject to the following:
+
+The copyright notices in the Software and this entire statement, including the above license grant, this restriction
+and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative
+works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code
+generated by a source language processor.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE
+COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT,
+TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.""",
+    "Unlicense": """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or
+distribute this software, either in source code form or as a compiled
+binary, for any purpose, commercial or non-commercial, and by any
+means.
+
+In jurisdictions that recognize copyright laws, the author or authors
+of this software dedicate any and all copyright interest in the
+software to the public domain. We make this dedication for the benefit
+of the public at large and to the detriment of our heirs and
+successors. We intend this dedication to be an overt act of
+relinquishment in perpetuity of all present and future rights to this
+software under copyright law.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND,
+EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.
+IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR
+OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE,
+ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR
+OTHER DEALINGS IN THE SOFTWARE.
+
+For more information, please refer to <http://unlicense.org/>""",
+}
+# the usual first lines of licence files
+TITLES = {
+    "MIT": ["MIT License", "The MIT License (MIT)", "The MIT License", "MIT License (MIT)"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)"],
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD", "0BSD License", "BSD Zero Clause License (0BSD)"],
+    "Zlib": ["zlib License", "The zlib License", "The zlib/libpng License", "zlib/libpng License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", "The 2-Clause BSD License", 'BSD 2-Clause "Simplified" License',
+                     "Simplified BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", "The 3-Clause BSD License",
+                     'BSD 3-Clause "New" or "Revised" License', "New BSD License"],
+    "BSL-1.0": ["Boost Software License - Version 1.0 - August 17th, 2003", "Boost Software License 1.0"],
+    "Unlicense": ["The Unlicense", "Unlicense"],
 }
 NOTICES = {
     "MIT": ["Released under the MIT License.", "Licensed under the MIT License."],
@@ -53,3 +140,51 @@ NOTICES = {
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0."],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0."],
 }
+# digests of entire texts too long to stand here: as published, and without what follows their terms
+DIGESTS = {
+    "Apache-2.0": [
+        "2eb4ec0e61dd898a98b2bf7eed426c37",
+        "05fc1eedfd6f30bd5fc05937947f0064",
+        "27659ec5818c8f3ad2616507f59cece1",
+        "0859e9b90b0e0fc060f311478b0bfe83",
+        "dda365c639ab2723294be708b558ac44",
+        "c356b639d57258a01ba9d9ac97344c26",
+        "c423529a1bffe64131469f4691c3143b"],
+    "Artistic-1.0-Perl": [
+        "01297679267ad921516667ccd889865e"],
+    "BSD-3-Clause": [
+        "a2a671f577cbf1292faaee2c8edc149f",
+        "ddcd765ed0a3236bf96e15f76c36983a"],
+    "CC0-1.0": [
+        "93a180096f6cfcf2c0dd24f75c2eec48"],
+    "GFDL-1.2": [
+        "825e11f34977725154037cf01e338194"],
+    "GFDL-1.3": [
+        "8dba02e3ac2f33750bde5feed2df730b"],
+    "GPL-1.0": [
+        "738cc3b112640d95d4cd79a58967ecea",
+        "21fa8693acc5194a648fe02e11f65a72",
+        "dbf3c47f5a8f127e58d08cabc1ebb916"],
+    "GPL-2.0": [
+        "7c627f5cbb4a709bc64cbf95da3bcdce",
+        "f2c06efe640b4a281cbe5337cdde80ab",
+        "68380dbeadb093b94ecf563db7312db7"],
+    "GPL-3.0": [
+        "3768ad71d0b65aa51cd6eb5ef1f2e7b7",
+        "17e434cc6db7003444b088cb4cc81e91",
+        "444f95dc767ede978b60cfb20fbd0bca"],
+    "LGPL-2.0": [
+        "6608c762a898a5214a0bdfe43ebccdf0",
+        "97832943be1e344d51af5aee1b658e4f",
+        "c396ba2f94537628797123bc12cd2d6e"],
+    "LGPL-2.1": [
+        "61babd02f0832750d51cef545886b23e",
+        "eaf6afb73fc860a002bfbccbe6f07ce7",
+        "3054b3781b1af43f906dc753acad15ee"],
+    "LGPL-3.0": [
+        "b31b7335bc37919e8cdd79154e04d88d"],
+    "MPL-1.1": [
+        "0cfa0216ba5b85fd867e3535679d8c15"],
+    "MPL-2.0": [
+        "35fb4d2625087f7fd780039aa7b4ebb2"],
+}

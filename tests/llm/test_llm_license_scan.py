@@ -38,3 +38,24 @@ def test_long_text_repeats_null_ids_and_empty_table(spark):
     assert got == [("1", "CC-BY-NC-4.0"), ("2", "MIT"), ("2", "MIT"), ("None", None)]
     assert op.scan(rows.where("false")).collect() == []
     assert {r.license_notices for r in op.scan(rows, known=[]).collect()} == {None}
+
+
+def test_usual_files_of_known_licenses(spark):
+    c = "Copyright (c) 2021 Some One. All rights reserved.\n\n"
+    texts = ["MIT License\n\n" + c + LICENSES["MIT"], "The MIT License (MIT)\n" + c + LICENSES["MIT"], c + LICENSES["BSD-2-Clause"],
+             "ISC License\n\n" + c + LICENSES["ISC"], "zlib License\n\n" + c + LICENSES["Zlib"],
+             "BSD 3-Clause License\n\n" + c + LICENSES["BSD-3-Clause"].replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "- "),
+             "Boost Software License - Version 1.0 - August 17th, 2003\n\n" + LICENSES["BSL-1.0"],
+             LICENSES["Unlicense"].replace("http:", "https:"), "The Unlicense\n" + LICENSES["Unlicense"], "MIT License"]
+    got = {r.doc_id: r.license_text for r in op.scan(documents(spark, texts)).collect()}
+    assert got == dict(enumerate(["MIT", "MIT", "BSD-2-Clause", "ISC", "Zlib", "BSD-3-Clause", "BSL-1.0", "Unlicense", "Unlicense", None]))
+
+
+def test_long_texts_and_further_digests(spark):
+    rows = op.default_digests()
+    assert len({d for d, _ in rows}) == len(rows) and {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-3.0", "MPL-2.0", "CC0-1.0"} <= {i for _, i in rows}
+    own = "Do what you like with it,\nbut never on Sundays."
+    further = spark.createDataFrame([(op.digest(own), "Sunday-1.0"), (op.digest("Sunday licence applies."), "Sunday-1.0")], "digest string, license_id string")
+    got = {r.doc_id: (r.license_text, r.license_notices)
+           for r in op.scan(documents(spark, [own.upper(), "x\nSunday License applies", LICENSES["MIT"]]), further=further).collect()}
+    assert got == {0: ("Sunday-1.0", None), 1: (None, "Sunday-1.0"), 2: ("MIT", None)}
