@@ -1,6 +1,6 @@
 """Chat formatting by quotation linking.
 
-Nested ``>`` quotes are parsed, quoted passages are normalised and hashed and joined to the messages that
+Nested ``>`` quotes are parsed, quoted passages and their parts are normalised and hashed and joined to the messages that
 said them first, and conversations are rebuilt in reply order without the quotes.  Everything is keyed joins
 and minima; a thread that holds a third of all messages is ranked by the distributed positions helper.
 """
@@ -19,6 +19,8 @@ from chatloom.operators.batches import dense_positions
 _MARK = re.compile(r"[ \t]*((?:>[ \t]?)+)")
 _SAYS = re.compile(r"\S.*\b(?:wrote|writes|said)[ \t]*:[ \t]*$", re.I)
 _WORD = re.compile(r"[^\W_]+")
+_STOP = re.compile(r"[.!?]+[\"')\]]*\s+|[。！？]\s*")
+LINE_WORDS = 8  # a single line counts as a part from so many words; shorter ones do as sentences and in twos
 
 
 def passage_hash(text: str) -> int | None:
@@ -48,12 +50,26 @@ def _passages(lines: list[str]) -> list[int]:
     return list(dict.fromkeys(h for h in found if h is not None))
 
 
+def _parts(paragraph: str) -> list[tuple[int, int]]:
+    """``(words, hash)`` of what a trimmed quote may keep of a paragraph: its sentences, long lines and pairs of lines."""
+    lines = paragraph.split("\n")
+    pieces = _STOP.split(paragraph) + [x for x in lines if len(_WORD.findall(x)) >= LINE_WORDS]
+    pieces += [f"{a}\n{b}" for a, b in zip(lines, lines[1:])]
+    found = ((len(_WORD.findall(x.casefold())), passage_hash(x)) for x in pieces)
+    return list(dict.fromkeys((n, h) for n, h in found if h is not None))
+
+
 def parse(text: str | None) -> tuple[str, list[int], list[dict]]:
     """``(body without quotes, its passage hashes, quoted passages [{level, no, hash}])`` of a message.
 
     A line's level is its number of leading ``>`` marks.  Consecutive lines of one level are a block; a line
     such as "... wrote:" right above a deeper block leaves with it.
     """
+    return parse_parts(text)[:3]
+
+
+def parse_parts(text: str | None) -> tuple[str, list[int], list[dict], list[int], list[dict]]:
+    """What ``parse`` gives, the hashes of the body's parts, and ``{level, no, words, hash}`` of each quoted passage and its parts."""
     blocks: list[tuple[int, list[str]]] = []
     for line in (text or "").split("\n"):
         m = _MARK.match(line)
@@ -71,18 +87,35 @@ def parse(text: str | None) -> tuple[str, list[int], list[dict]]:
         body = text or ""
     else:
         body = "\n".join(own).strip("\n")
-    quotes = [(level, h) for level, lines in blocks if level for h in _passages(lines)]
-    return body, _passages(own), [{"level": lv, "no": i, "hash": h} for i, (lv, h) in enumerate(quotes)]
+    quotes, asked = [], []
+    for level, lines in blocks:
+        if level:
+            hashes, paras = _passages(lines), _paragraphs(lines)
+            parts = {h: [] for h in hashes}
+            whole = {passage_hash("\n".join(paras)): len(_WORD.findall("\n".join(paras).casefold()))}
+            for x in paras:
+                h = passage_hash(x)
+                if h is not None:
+                    whole.setdefault(h, len(_WORD.findall(x.casefold())))
+                    parts[h] = _parts(x)
+            for h in hashes:
+                no = len(quotes)
+                quotes.append({"level": level, "no": no, "hash": h})
+                asked += [{"level": level, "no": no, "words": n, "hash": x} for n, x in dict.fromkeys([(whole[h], h), *parts[h]])]
+    own_parts = list(dict.fromkeys(h for x in _paragraphs(own) for _, h in _parts(x)))
+    return body, _passages(own), quotes, own_parts, asked
 
 
 def _kernel(batches):
     import pyarrow as pa
     kinds = (pa.string(), pa.list_(pa.int64()),
-             pa.list_(pa.struct([("level", pa.int32()), ("no", pa.int32()), ("hash", pa.int64())])))
+             pa.int64(), pa.list_(pa.int64()),
+             pa.list_(pa.struct([("level", pa.int32()), ("no", pa.int32()), ("words", pa.int32()), ("hash", pa.int64())])))
     for b in batches:
-        cols = list(zip(*[parse(t.as_py()) for t in b.column(3)])) or [(), (), ()]
+        made = [parse_parts(t.as_py()) for t in b.column(3)]
+        cols = list(zip(*[(body, said, len(quotes), parts, asked) for body, said, quotes, parts, asked in made])) or [()] * 5
         yield pa.RecordBatch.from_arrays([*b.columns[:3], *[pa.array(c, k) for c, k in zip(cols, kinds)]],
-                                         names=["conv_id", "turn", "role", "body", "said", "quotes"])
+                                         names=["conv_id", "turn", "role", "body", "said", "n_quotes", "parts", "asked"])
 
 
 def _roots(edges: DataFrame) -> DataFrame:
@@ -110,7 +143,8 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
 
     ``content`` is the message without quotes.  A quoted passage (paragraph or whole block) links to the first
     message of its own conversation, else of all, that says the same words at level 0, if that one stands before the
-    quoting one by (conv_id, turn).  The parent is the target of the shallowest linked quote, else the turn before;
+    quoting one by (conv_id, turn).  A trimmed passage links by the longest of its own words that some message says, which
+    may be sentences, lines of ``LINE_WORDS`` words or pairs of lines on both sides.  The parent is the target of the shallowest linked quote, else the turn before;
     a message without either is a root and its conv_id names the thread.  ``position`` runs over a thread by
     (depth, conv_id, turn), so every message follows what it answers.  ``n_quotes``: quoted passages; ``n_linked``:
     those that found a message.  Messages without conv_id or turn are never targets and stand by themselves (thread
@@ -121,19 +155,26 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
     prepare(spark)
     parsed = messages.select(F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).cast("long").alias("turn"),
                              F.col(role_col).cast("string").alias("role"), F.col(text_col).alias("text")) \
-        .mapInArrow(_kernel, "conv_id long, turn long, role string, body string, said array<long>, "
-                             "quotes array<struct<level:int,no:int,hash:long>>")
+        .mapInArrow(_kernel, "conv_id long, turn long, role string, body string, said array<long>, n_quotes long, parts array<long>, "
+                             "asked array<struct<level:int,no:int,words:int,hash:long>>")
     # ids are taken on the frozen partitions
     frozen = cut(parsed)
     rows = frozen.withColumn("uid", F.monotonically_increasing_id())
     named = rows.where("conv_id is not null and turn is not null")
-    said = named.select(F.explode("said").alias("hash"), F.struct("conv_id", "turn", "uid").alias("at"))
-    anywhere = said.groupBy("hash").agg(F.min("at").alias("any_at"))
-    same = said.groupBy("hash", F.col("at.conv_id").alias("conv_id")).agg(F.min("at").alias("same_at"))
-    quoted = named.select("uid", "conv_id", F.struct("conv_id", "turn", "uid").alias("own"), F.inline("quotes"))
-    target = F.when(F.col("same_at") < F.col("own"), F.col("same_at")).when(F.col("any_at") < F.col("own"), F.col("any_at"))
-    links = quoted.join(same, ["hash", "conv_id"], "left").join(anywhere, "hash", "left") \
-        .select("uid", "level", "no", target.alias("at"))
+    place = F.struct("conv_id", "turn", "uid").alias("at")
+    said = named.select(F.explode("said").alias("hash"), place, F.lit(True).alias("whole")) \
+        .union(named.select(F.explode("parts").alias("hash"), place, F.lit(False).alias("whole")))
+    same = said.groupBy("hash", F.col("at.conv_id").alias("conv_id")).agg(
+        F.min(F.when(F.col("whole"), F.col("at"))).alias("same_at"), F.min("at").alias("same_part"))
+    anywhere = same.groupBy("hash").agg(F.min("same_at").alias("any_at"), F.min("same_part").alias("any_part"))
+    asked = named.select("uid", "conv_id", F.struct("conv_id", "turn", "uid").alias("own"), F.inline("asked"))
+    target = reduce(lambda so_far, c: so_far.when(F.col(c) < F.col("own"), F.col(c)), ("same_part", "any_at", "any_part"),
+                    F.when(F.col("same_at") < F.col("own"), F.col("same_at")))
+    hits = asked.join(same, ["hash", "conv_id"], "left").join(anywhere, "hash", "left") \
+        .select("uid", "level", "no", "words", (F.col("conv_id") != target["conv_id"]).alias("far"), target.alias("at"))
+    # the longest words of a passage that link
+    links = hits.where("at is not null").groupBy("uid", "level", "no") \
+        .agg(F.min(F.struct((-F.col("words")).alias("less"), "far", "at")).alias("best")).select("uid", "level", "no", "best.at")
     found = links.groupBy("uid").agg(
         F.count("at").alias("n_linked"),
         F.min(F.when(F.col("at").isNotNull(), F.struct("level", "no", "at"))).alias("first"))
@@ -157,5 +198,5 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
     return rows.join(order, F.col("uid") == F.col("_u"), "left").join(facts, F.col("uid") == F.col("_p"), "left").select(
         "thread_id", F.coalesce("position", F.lit(0)).alias("position"), F.coalesce("depth", F.lit(0)).alias("depth"),
         "conv_id", "turn", "role", F.col("body").alias("content"), F.col("parent.conv_id").alias("parent_conv_id"),
-        F.col("parent.turn").alias("parent_turn"), F.size("quotes").cast("long").alias("n_quotes"),
+        F.col("parent.turn").alias("parent_turn"), "n_quotes",
         F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"))

@@ -97,3 +97,17 @@ def test_nulls_repeats_long_texts_and_empty_table(spark):
     assert sorted(r.position for r in got if r.thread_id == 1) == [0, 1, 2, 3]
     assert [(r.content, r.position) for r in got if r.thread_id is None and r.content] == [("x", 0)]
     assert op.link_quotes(rows.where("false")).collect() == []
+
+
+def test_trimmed_quotes_find_their_message(spark):
+    long = "We met in the old hall. The committee will vote on the new bridge next Monday!\nBring a pen. Thanks."
+    wrapped = "the first line of a paragraph that was wrapped in\nthe second line which goes on without any stop and\nends here"
+    verse = "roses are red\nviolets are blue\nsugar is sweet\nand so are you"
+    rows = [(1, 0, "user", long), (1, 1, "user", "Thanks.\n\nNoted"), (1, 2, "user", "> The committee will vote\n> on the new bridge next monday\nNo!"),
+            (1, 3, "user", "> Bring a pen. [...]\nWhy?"), (2, 0, "user", wrapped), (2, 1, "user", verse), (2, 2, "user", "between"),
+            (2, 3, "user", "> the second line which goes on without any stop and\nreally"), (2, 4, "user", "> violets are blue\n> sugar is sweet\nah"),
+            (3, 0, "user", "hello"), (3, 1, "user", "> We met in the old hall.\nWhen?"), (3, 2, "user", "> never said by anyone\nhm")]
+    got = {(r.conv_id, r.turn): (r.parent_conv_id, r.parent_turn, r.n_quotes, r.n_linked)
+           for r in op.link_quotes(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got[1, 2] == (1, 0, 1, 1) and got[1, 3] == (1, 0, 1, 1) and got[2, 3] == (2, 0, 1, 1) and got[2, 4] == (2, 1, 1, 1)
+    assert got[3, 1] == (1, 0, 1, 1) and got[3, 2] == (3, 1, 1, 0) and got[1, 1] == (1, 0, 0, 0)
