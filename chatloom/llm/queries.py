@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chatloom.llm import (decontaminate, lang_id, license_scan, mixing, quote_links, simhash, span_dedup, token_count,
-                          url_filter, vector_dedup)
+from chatloom.llm import (decontaminate, filter_audit, lang_id, lexical_search, license_scan, mixing, quote_links, simhash,
+                          span_dedup, token_count, url_filter, vector_dedup, warc)
+from chatloom.session import work_dir
 
 URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"),
              ("net/fr/", "block")]
@@ -62,8 +63,21 @@ def op10_vector_dedup(spark, d):
     return vector_dedup.near_duplicates(table(spark, d, "embeddings"))
 
 
+def op11_lexical_search(spark, d):
+    return lexical_search.search(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+def op12_warc_archives(spark, d):
+    return warc.write_archives(table(spark, d, "pages"), work_dir(spark, "warc")).drop("url")
+
+
+def op13_filter_audit(spark, d):
+    return filter_audit.audit(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (op1_url_filter, op2_token_count, op3_quote_links, op4_lang_id, op5_license_scan,
-                                   op6_decontaminate, op7_mix_sources, op8_span_dedup, op9_simhash, op10_vector_dedup)}
+                                   op6_decontaminate, op7_mix_sources, op8_span_dedup, op9_simhash, op10_vector_dedup,
+                                   op11_lexical_search, op12_warc_archives, op13_filter_audit)}
 
 OP7_SQL = r"""
 WITH s AS (
@@ -123,4 +137,65 @@ SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(o.text, '') EN
 FROM documents d LEFT JOIN done o ON d.doc_id = o.doc_id
 """
 
-ORACLES = {"op5_license_scan": license_scan.oracle_sql(), "op7_mix_sources": OP7_SQL, "op8_span_dedup": OP8_SQL}
+_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+OP11_SQL = f"""
+WITH dt AS (SELECT doc_id, {_TERMS} AS ts FROM documents),
+docs AS (SELECT doc_id, len(ts) AS n, ts FROM dt WHERE len(ts) > 0),
+total AS (SELECT count(*) AS N, CAST(sum(n) AS BIGINT) AS L FROM docs),
+it AS (SELECT item_id, unnest({_TERMS}) AS t FROM benchmark),
+qt AS (SELECT item_id, t, count(*) AS times FROM it GROUP BY item_id, t),
+words AS (SELECT doc_id, n, unnest(ts) AS t FROM docs),
+tf AS (SELECT doc_id, n, t, count(*) AS tf FROM words WHERE t IN (SELECT t FROM qt) GROUP BY doc_id, n, t),
+w AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * any_value(total.N) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+      FROM tf, total GROUP BY t),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(times * w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * (100 - 75 + ((75 * tf.n * total.N) // total.L))))) AS BIGINT) AS score
+  FROM qt JOIN tf USING (t) JOIN w USING (t), total GROUP BY item_id, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+OP12_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+h AS (SELECT page_id, html, octet_length(encode(html)) AS n, sha1(html) AS x, min(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+  list_aggregate(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + CAST((CAST('0x' || substr(x, 1 + 10 * (k // 8), 10) AS BIGINT) >> CAST(35 - 5 * (k % 8) AS INTEGER)) & 31 AS INTEGER), 1)), 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM h
+"""
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT doc_id, part, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws, min(doc_id) OVER (PARTITION BY text) AS first FROM d),
+j AS (
+  SELECT w.doc_id, part, coalesce(l.quality = 1, false) AS good, coalesce(l.toxic = 1, false) AS toxic,
+    [len(ws) < 200, 100 * len(list_distinct(ws)) < 50 * len(ws), 100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text),
+     regexp_matches(text, '[#$%&*|]'), w.doc_id > first] AS fails
+  FROM w LEFT JOIN labels l ON w.doc_id = l.doc_id),
+cells AS (SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM j GROUP BY part, fails),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.f <> b.f AND a.f <> c.f AND a.f <> d.f AND a.f <> e.f AND b.f <> c.f AND b.f <> d.f AND b.f <> e.f AND c.f <> d.f AND c.f <> e.f AND d.f <> e.f),
+steps AS (SELECT filter_order, CAST(unnest(range(1, 6)) AS INTEGER) AS step FROM orders),
+seen AS (
+  SELECT part, filter_order, step, n, good, toxic, substr(filter_order, step, 1) AS f, fails[ascii(substr(filter_order, step, 1)) - 64] AS hit,
+    len(list_filter(range(1, step), lambda k: fails[ascii(substr(filter_order, CAST(k AS INTEGER), 1)) - 64])) AS before, len(list_filter(fails, lambda x: x)) AS all_fails
+  FROM cells, steps),
+sums AS (
+  SELECT part, filter_order, step, any_value(f) AS f, CAST(coalesce(sum(n) FILTER (WHERE before = 0 AND NOT hit), 0) AS BIGINT) AS kept,
+    CAST(coalesce(sum(n) FILTER (WHERE before = 0 AND hit), 0) AS BIGINT) AS removed,
+    CAST(coalesce(sum(n) FILTER (WHERE before > 0 AND hit), 0) AS BIGINT) AS redundant,
+    CAST(coalesce(sum(n) FILTER (WHERE hit AND all_fails = 1), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(good) FILTER (WHERE before = 0 AND hit), 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(sum(toxic) FILTER (WHERE before = 0 AND hit), 0) AS BIGINT) AS toxic_lost
+  FROM seen GROUP BY part, filter_order, step)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley FROM sums
+"""
+
+ORACLES = {"op5_license_scan": license_scan.oracle_sql(), "op7_mix_sources": OP7_SQL, "op8_span_dedup": OP8_SQL,
+           "op11_lexical_search": OP11_SQL, "op12_warc_archives": OP12_SQL, "op13_filter_audit": OP13_SQL}
