@@ -157,19 +157,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _row_kernel(words: int, seed: int):
+    def run(batches):
+        import pyarrow as pa
+        for b in batches:
+            fps = [fingerprint(t.as_py(), words, seed) for t in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(fps, pa.int64())], names=["row", "id", "fp"])
+    return run
+
+
 def keep_first(docs: DataFrame, **options) -> DataFrame:
     """The input rows that stay: the smallest ``doc_id`` of each component, all columns unchanged.
 
-    Of rows that repeat a kept ``doc_id`` one stays.  Rows with a null ``doc_id`` can't be told apart
-    and always stay.
+    Where rows repeat an id, a row stays by its own text: the one in whose component the id is the smallest.  Of such
+    rows with one fingerprint the one with the least digest of its text, then of its columns, stays.  Rows with a null
+    ``doc_id`` can't be told apart and always stay.
     """
-    id_col = options.get("id_col", "doc_id")
+    id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
     found = cut(near_duplicates(docs, **options))
-    kept = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_kept_id")).count()
-    once = kept.where("count = 1").select("_kept_id")
-    more = kept.where("count > 1").select("_kept_id")
+    kept = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_kept_id"), F.col("fingerprint").alias("_print")).count()
+    rows = found.where("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).count()
+    once = kept.join(rows.where("count = 1"), F.col("_kept_id") == F.col("_id"), "left_semi").select("_kept_id")
+    more = rows.where("count > 1").select("_id")
     key = docs[id_col].cast("long")
     out = docs.join(once, key == once["_kept_id"], "left_semi")
     if not more.isEmpty():
-        out = out.unionByName(docs.join(more, key == more["_kept_id"], "left_semi").dropDuplicates([id_col]))
+        held = docs.join(more, key == more["_id"], "left_semi")
+        held = held.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"),
+                           F.col(id_col).cast("long").alias("id"))
+        kind = held.schema["row"].dataType.simpleString()
+        held = held.mapInArrow(_row_kernel(options.get("words", 3), options.get("seed", 42)), f"row {kind}, id long, fp long")
+        order = F.concat_ws(":", F.sha2(F.coalesce(F.col("row")[text_col], F.lit("")), 256), F.to_json("row"))
+        one = held.groupBy("id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("print")).agg(F.min_by("row", order).alias("row"))
+        stay = one.join(kept, (F.col("id") == F.col("_kept_id")) & (F.col("print") == F.col("_print")), "left_semi")
+        out = out.unionByName(stay.select(*[F.col("row")[c].alias(c) for c in docs.columns]))
     return out.unionByName(docs.where(docs[id_col].isNull()))

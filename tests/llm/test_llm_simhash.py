@@ -73,6 +73,15 @@ def test_empty_table_null_ids_and_repeats(spark):
     assert kept == [("5", "x"), ("7", "z"), ("None", "x"), ("None", "y")]
 
 
+def test_rows_that_share_an_id_stay_by_their_own_text(spark):
+    a, b, c = "one text of some words here", "quite another text with its words", "and a third one, unlike the others"
+    schema = "doc_id long, text string, note string"
+    rows = [(2, b, "x"), (5, a, "y"), (5, b, "z"), (7, c, "q"), (7, c, "p"), (7, a, "r"), (8, None, "n"), (8, "", "m")]
+    for order in (rows, rows[::-1]):
+        got = sorted(map(tuple, op.keep_first(spark.createDataFrame(order, schema).repartition(3)).collect()), key=repr)
+        assert got == [(2, b, "x"), (5, a, "y"), (7, c, "p"), (8, None, "n")]
+
+
 def test_components_of_a_chain_a_star_and_a_cycle(spark):
     n = 200
     edges = [(i, i + 1) for i in range(n)] + [(1000, 1000 + i) for i in range(1, 50)] + [(3000, 2999), (2999, 2998), (2998, 3000)]
