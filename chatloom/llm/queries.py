@@ -108,33 +108,44 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
 FROM placed
 """
 
-OP8_SQL = r"""
+_ALONE = "".join(f"\\x{{{ord(r[0]):X}}}-\\x{{{ord(r[2]):X}}}" for r in span_dedup.ALONE)
+_STOPS = "".join(span_dedup.STOPS)
+
+OP8_SQL = rf"""
 WITH cutup AS (
-  SELECT doc_id, text, regexp_extract_all(text, '[^\n]*?[.!?][\x20\x09-\x0D]+|[^\n]*\n[\x20\x09-\x0D]*|[^\n]+') AS ps FROM documents),
+  SELECT doc_id, text, regexp_extract(text, '^[\x20\x09-\x0D]*') AS lead,
+    regexp_extract_all(text, '(?:[{_ALONE}]|[^\x20\x09-\x0D{_ALONE}]+)[\x20\x09-\x0D]*') AS ps FROM documents),
 pieces AS (
-  SELECT doc_id, i, ps[i] AS piece, trim(regexp_replace(translate(ps[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS s
+  SELECT doc_id, i, ps[i] AS piece, translate(regexp_replace(ps[i], '[\x20\x09-\x0D]+$', ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w
   FROM (SELECT doc_id, ps, unnest(range(1, len(ps) + 1)) AS i FROM cutup)),
 sent AS (
-  SELECT doc_id, i, s, len(string_split(s, ' ')) AS n FROM pieces WHERE s <> ''),
-runs AS (
-  SELECT doc_id, i, s, n, lead(s) OVER w AS s2, lead(n) OVER w AS n2, lead(i) OVER w AS i2,
-    lead(s, 2) OVER w AS s3, lead(n, 2) OVER w AS n3, lead(i, 2) OVER w AS i3
-  FROM sent WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+  SELECT *, coalesce(sum(CASE WHEN regexp_matches(w, '[{_STOPS}]$') OR contains(piece, chr(10)) THEN 1 ELSE 0 END)
+    OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS sno,
+    CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) AS h FROM pieces),
+marked AS (
+  SELECT *, CASE WHEN count(*) OVER (PARTITION BY doc_id, sno) > 12
+      AND h < coalesce(min(h) OVER (PARTITION BY doc_id, sno ORDER BY i ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), 4294967296)
+      AND h <= coalesce(min(h) OVER (PARTITION BY doc_id, sno ORDER BY i ROWS BETWEEN 1 FOLLOWING AND 3 FOLLOWING), 4294967296) THEN 1 ELSE 0 END AS cut FROM sent),
+parts AS (SELECT *, coalesce(sum(cut) OVER (PARTITION BY doc_id, sno ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS part FROM marked),
+placed AS (SELECT *, row_number() OVER (PARTITION BY doc_id, sno, part ORDER BY i) - 1 AS pos FROM parts),
+numbered AS (SELECT *, sum(CASE WHEN pos % 12 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS u FROM placed),
+units AS (SELECT doc_id, u, min(i) AS s, max(i) AS e FROM numbered GROUP BY doc_id, u),
+reached AS (
+  SELECT a.doc_id, a.u, a.s, greatest(a.u + 2, n.u) AS k FROM units a JOIN numbered n ON n.doc_id = a.doc_id AND n.i = a.s + 29),
+words AS (SELECT doc_id, list(w ORDER BY i) AS ws FROM numbered GROUP BY doc_id),
 spans AS (
-  SELECT doc_id, i, i AS k, s AS span FROM runs WHERE n >= 50
-  UNION ALL SELECT doc_id, i, i2, s || chr(10) || s2 FROM runs WHERE n + n2 >= 50
-  UNION ALL SELECT doc_id, i, i3, s || chr(10) || s2 || chr(10) || s3 FROM runs WHERE n + n2 + n3 >= 10),
+  SELECT r.doc_id, r.u, r.k, array_to_string(list_slice(ws, r.s, z.e), ' ') AS span
+  FROM reached r JOIN units z ON z.doc_id = r.doc_id AND z.u = r.k JOIN words w ON w.doc_id = r.doc_id),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY span ORDER BY doc_id, i) AS no FROM spans),
-lost AS (SELECT DISTINCT doc_id, unnest(range(i, k + 1)) AS i FROM ranked WHERE no > 1),
+  SELECT *, row_number() OVER (PARTITION BY span ORDER BY doc_id, u) AS no FROM spans),
+lost AS (SELECT DISTINCT doc_id, unnest(range(CAST(u AS BIGINT), CAST(k + 1 AS BIGINT))) AS u FROM ranked WHERE no > 1),
 done AS (
-  SELECT p.doc_id, string_agg(p.piece, '' ORDER BY p.i) FILTER (WHERE l.i IS NULL) AS text,
-    count(*) FILTER (WHERE p.s <> '') AS n_sentences, count(*) FILTER (WHERE p.s <> '' AND l.i IS NOT NULL) AS n_removed
-  FROM pieces p LEFT JOIN lost l ON p.doc_id = l.doc_id AND p.i = l.i GROUP BY p.doc_id)
-SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(o.text, '') END AS text,
+  SELECT n.doc_id, string_agg(n.piece, '' ORDER BY n.i) FILTER (WHERE l.u IS NULL) AS text,
+    count(DISTINCT n.u) AS n_sentences, count(DISTINCT l.u) AS n_removed
+  FROM numbered n LEFT JOIN lost l ON n.doc_id = l.doc_id AND n.u = l.u GROUP BY n.doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE d.lead || coalesce(o.text, '') END AS text,
   coalesce(o.n_sentences, 0) AS n_sentences, coalesce(o.n_removed, 0) AS n_removed
-FROM documents d LEFT JOIN done o ON d.doc_id = o.doc_id
+FROM cutup d LEFT JOIN done o ON d.doc_id = o.doc_id
 """
 
 _TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"

@@ -1,114 +1,192 @@
 """Substring dedup: sliding sentence spans, joined globally; non-first repeats leave the texts.
 
-A span is every run of ``span`` consecutive sentences with at least ``min_words`` words, and every shorter
-run that has ``long_words`` words already.  Repeats inside a document are seen where it is read; across
-documents only ``(span hash, doc_id)`` is shuffled, reduced before the shuffle to the smallest id and a count.
+A span is the shortest run of at least ``span`` consecutive sentences with at least ``min_words`` words, from each
+sentence on.  Sentences of more than ``long_sentence`` words are divided where their own words say so, so that a
+passage pasted in mid-sentence is divided alike in every document that has it.  Repeats inside a document are seen
+where it is read; across documents only ``(span hash, doc_id)`` is shuffled, reduced to the smallest id.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.llm.common import prepare
+from chatloom.session import work_dir
 
 WS = r"\x20\x09-\x0D"
-# a sentence ends at . ! ? before white space, or at a line's end; the pieces joined are the text
-SENTENCE = rf"[^\n]*?[.!?][{WS}]+|[^\n]*\n[{WS}]*|[^\n]+"
-_SENTENCE = re.compile(SENTENCE)
+# fixed values: characters of scripts written without blanks are words of their own; full stops of several scripts
+ALONE = ("\u0E00-\u0EFF", "\u1000-\u109F", "\u1780-\u17FF", "\u3040-\u30FF", "\u3400-\u4DBF", "\u4E00-\u9FFF", "\uF900-\uFAFF",
+         "\U00020000-\U0003FFFF")
+STOPS = (".", "!", "?", "。", "！", "？", "।")
+_ALONE = re.compile(f"[{''.join(ALONE)}]")
+_WORDS = re.compile(f"(?:[{''.join(ALONE)}]|[^{WS}{''.join(ALONE)}]+)[{WS}]*")
+_LEAD = re.compile(f"[{WS}]*")
+_STOPS = tuple(s.encode("utf-8") for s in STOPS)
 LAST = (1 << 63) - 1  # where rows without an id stand
-
-
-def sentence_spans(text: str, span: int, min_words: int, long_words: int):
-    """``(pieces, spans)``: the text's pieces and ``(hash, first piece, last piece)`` of each span, in order.
-
-    Hashes read the sentences lower-cased (A-Z) with white space collapsed; pieces without a word are no sentence.
+CODES = 1 << 18  # words whose codes a worker remembers
+_codes: dict[bytes, int] = {}
+
+
+def _code(word: bytes) -> int:
+    got = _codes.get(word)
+    if got is None:
+        if len(_codes) >= CODES:
+            _codes.clear()
+        got = _codes[word] = int.from_bytes(hashlib.md5(word).digest()[:4], "big")
+    return got
+
+
+def text_words(text: bytes):
+    """``(words, starts, line_ends)``: lower-cased (A-Z) words, the byte where each starts, whether a line ends behind it."""
+    import numpy as np
+    decoded = text.decode("utf-8")
+    if _ALONE.search(decoded):
+        pieces = [p.encode("utf-8") for p in _WORDS.findall(decoded)]
+        lead = len(_LEAD.match(decoded).group())  # ASCII: one byte each
+        starts = lead + np.cumsum([0] + [len(p) for p in pieces])[:-1]
+        return [p.rstrip(b" \t\n\x0b\x0c\r").lower() for p in pieces], starts, np.array([b"\n" in p for p in pieces], dtype=bool)
+    words = text.lower().split()  # bytes: A-Z only, ASCII white space only
+    data = np.frombuffer(text, dtype=np.uint8)
+    blank = (data == 32) | ((data >= 9) & (data <= 13))
+    starts = np.flatnonzero(~blank & np.concatenate([[True], blank[:-1]])) if len(data) else np.zeros(0, dtype=np.int64)
+    lines = np.concatenate([np.cumsum(data == 10), [0]])
+    if len(data):
+        lines[-1] = lines[-2]
+    ends = np.append(starts[1:], len(data) - 1 if len(data) else 0)
+    return words, starts, lines[ends] > lines[starts]
+
+
+def sentence_starts(words: list[bytes], line_ends, long_sentence: int, reach: int):
+    """Numbers of the words at which a sentence, or a part of a long one, starts.
+
+    A sentence ends behind a word that ends in a full stop, and where the line ends.  One of more than
+    ``long_sentence`` words is divided behind each word whose md5 is below that of the ``reach`` words before it and
+    not above that of the ``reach`` words behind it, all within the sentence, and after every ``long_sentence`` words
+    without such a place.
+    """
+    import numpy as np
+    n = len(words)
+    if not n:
+        return np.zeros(0, dtype=np.int64)
+    stop = line_ends | np.fromiter((w.endswith(_STOPS) for w in words), dtype=bool, count=n)
+    first = np.concatenate([[True], stop[:-1]])
+    no = np.cumsum(first) - 1
+    size = np.bincount(no)
+    inside = np.flatnonzero((size > long_sentence)[no])
+    start = first.copy()
+    if len(inside):
+        top = np.int64(1) << 32
+        at = inside + reach * (no[inside] + 1)  # sentences stand ``reach`` places apart
+        code = np.full(n + reach * (no[-1] + 2), top)
+        code[at] = np.fromiter((_code(words[i]) for i in inside.tolist()), dtype=np.int64, count=len(inside))
+        here = code[at]
+        low = np.ones(len(at), dtype=bool)
+        for k in range(1, reach + 1):
+            low &= (here < code[at - k]) & (here <= code[at + k])
+        behind = inside[low] + 1
+        start[behind[behind < n]] = True
+        part = np.maximum.accumulate(np.where(start, np.arange(n), 0))
+        start[inside[(inside - part[inside]) % long_sentence == 0]] = True
+    return np.flatnonzero(start)
+
+
+def sentence_spans(text: bytes, span: int, min_words: int, long_sentence: int, reach: int):
+    """``(bounds, spans)``: the byte where each sentence starts, and the text's end; ``(hash, first, last)`` of each span.
+
+    Hashes read the words lower-cased (A-Z), joined by single blanks.
     """
+    import numpy as np
     import xxhash
-    pieces = _SENTENCE.findall(text)
-    at, words, size = [], [], []
-    for i, p in enumerate(pieces):
-        w = p.encode("utf-8").lower().split()
-        if w:
-            at.append(i)
-            words.append(b" ".join(w))
-            size.append(len(w))
-    out = []
-    for i in range(len(at)):
-        n = 0
-        for k in range(i, min(i + span, len(at))):
-            n += size[k]
-            full = k - i + 1 == span
-            if (full and n >= min_words) or (not full and n >= long_words):
-                h = xxhash.xxh64_intdigest(b"\n".join(words[i:k + 1]), 3)
-                out.append((h - (1 << 64) if h >> 63 else h, at[i], at[k]))
-    return pieces, out
-
-
-def _span_kernel(span: int, min_words: int, long_words: int):
+    words, starts, line_ends = text_words(text)
+    at = sentence_starts(words, line_ends, long_sentence, reach)
+    ends = np.append(at[1:], len(words))[:len(at)]
+    last = np.maximum(np.arange(len(at)) + span - 1, np.searchsorted(ends, at + min_words))
+    first = np.flatnonzero(last < len(at))
+    last = last[first]
+    plain = b" ".join(words)
+    place = np.concatenate([[0], np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1)])
+    h64 = xxhash.xxh64_intdigest
+    hashes = np.array([h64(plain[a:z], 3) for a, z in zip(place[at[first]].tolist(), (place[ends[last]] - 1).tolist())], dtype=np.uint64)
+    return np.append(starts[at], len(text)), list(zip(hashes.view(np.int64).tolist(), first.tolist(), last.tolist()))
+
+
+def _span_kernel(*rule):
     def run(batches):
-        import numpy as np
         import pyarrow as pa
         for b in batches:
-            for doc, t in zip(b.column(0), b.column(1)):
-                hashes = {s[0] for s in sentence_spans(t.as_py() or "", span, min_words, long_words)[1]}
+            ids, lists = [], []
+            for i, t in enumerate(b.column(1)):
+                hashes = {s[0] for s in sentence_spans(t.as_buffer().to_pybytes() if t.is_valid else b"", *rule)[1]}
                 if hashes:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(hashes), doc.as_py())), pa.array(list(hashes), pa.int64())], names=["doc", "span"])
+                    ids.append(i)
+                    lists.append(sorted(hashes))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(ids, pa.int32())), pa.array(lists, pa.list_(pa.int64()))],
+                                             names=["doc", "spans"])
     return run
 
 
-def clean_text(text: str | None, repeats, span: int, min_words: int, long_words: int):
-    """``(text without the sentences of repeated spans, sentences, sentences removed)``.
+def clean_text(text: bytes, repeats, *rule):
+    """``(text without the sentences of repeated spans, or None if all stay, sentences, sentences removed)``.
 
     ``repeats``: hashes of spans that an earlier document has.  A span that this text has already had is a repeat, too.
     """
-    if text is None:
-        return None, 0, 0
     repeats = set(repeats or ())
-    pieces, spans = sentence_spans(text, span, min_words, long_words)
+    bounds, spans = sentence_spans(text, *rule)
     seen, lost = set(), set()
     for h, i, k in spans:
         if h in repeats or h in seen:
             lost.update(range(i, k + 1))
         seen.add(h)
-    real = [bool(p.encode("utf-8").split()) for p in pieces]
-    gone = sum(real[i] for i in lost)
-    return ("".join(p for i, p in enumerate(pieces) if i not in lost) if lost else text), sum(real), gone
+    n = len(bounds) - 1
+    if not lost:
+        return None, n, 0
+    return text[:bounds[0]] + b"".join(text[bounds[i]:bounds[i + 1]] for i in range(n) if i not in lost), n, len(lost)
 
 
-def _clean_kernel(n_keep: int, span: int, min_words: int, long_words: int):
+def _clean_kernel(n_keep: int, *rule):
     def run(batches):
         import pyarrow as pa
         for b in batches:
-            got = [clean_text(t.as_py(), r.as_py(), span, min_words, long_words)
-                   for t, r in zip(b.column(n_keep), b.column(n_keep + 1))]
-            cols = list(zip(*got)) or [(), (), ()]
+            texts, sizes, gone = [], [], []
+            for t, r in zip(b.column(n_keep), b.column(n_keep + 1)):
+                text, n, lost = clean_text(t.as_buffer().to_pybytes(), r.as_py(), *rule) if t.is_valid else (None, 0, 0)
+                texts.append(t.as_py() if text is None else text.decode("utf-8"))
+                sizes.append(n)
+                gone.append(lost)
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:n_keep], pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64())],
+                [*b.columns[:n_keep], pa.array(texts, pa.string()), pa.array(sizes, pa.int64()), pa.array(gone, pa.int64())],
                 names=[*b.schema.names[:n_keep], "_clean", "_sentences", "_removed"])
     return run
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 3,
-                   min_words: int = 10, long_words: int = 50) -> DataFrame:
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 3, min_words: int = 30,
+                   long_sentence: int = 12, reach: int = 3) -> DataFrame:
     """``(doc, repeats)``: for each id the hashes of its spans that a smaller id has as well."""
-    prepare(docs.sparkSession)
-    spans = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), F.col(text_col).alias("text")) \
-        .mapInArrow(_span_kernel(span, min_words, long_words), "doc long, span long")
+    spark = docs.sparkSession
+    prepare(spark)
+    folder = work_dir(spark, "spans")
+    # read twice below: written once, with the ids run-length coded
+    docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), F.col(text_col).alias("text")) \
+        .mapInArrow(_span_kernel(span, min_words, long_sentence, reach), "doc long, spans array<long>") \
+        .write.mode("overwrite").parquet(folder)
+    spans = spark.read.schema("doc long, spans array<long>").parquet(folder).select("doc", F.explode("spans").alias("span"))
     firsts = spans.groupBy("span").agg(F.min("doc").alias("first"), F.max("doc").alias("last")) \
         .where("first < last").select("span", "first")
     return spans.join(firsts, "span").where("doc > first") \
         .groupBy("doc").agg(F.collect_set("span").alias("repeats"))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 3,
-                   min_words: int = 10, long_words: int = 50, keep: list[str] | None = None) -> DataFrame:
-    """The input rows with cleaned texts, and ``n_sentences`` and ``n_removed``.
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 3, min_words: int = 30,
+                   long_sentence: int = 12, reach: int = 3, keep: list[str] | None = None) -> DataFrame:
+    """The input rows with cleaned texts, and ``n_sentences`` and ``n_removed`` (parts of divided sentences count).
 
     Of a span that repeats, the sentences stay in the document with the smallest id, at their first place in it.
+    Words are runs of characters other than ASCII white space, A-Z read as a-z; in scripts written without blanks each
+    character is one.  White space goes with the word before it.  ``sentence_starts`` has the rule of sentences.
     ``keep``: the input columns to return besides the text (all by default); same-named ones give way to the counts.
     Null and empty texts stay as they are with counts 0.  Rows that repeat an id count as one document and are
     cleaned alike; rows without an id stand together after all others.  Ties need no rule, as ids and places differ.
@@ -116,14 +194,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     counts = ("n_sentences", "n_removed")
     cols = [c for c in (docs.columns if keep is None else keep) if c not in counts]
-    found = repeated_spans(docs, id_col, text_col, span, min_words, long_words)
+    found = repeated_spans(docs, id_col, text_col, span, min_words, long_sentence, reach)
     key = F.coalesce(docs[id_col].cast("long"), F.lit(LAST))
     rest = [c for c in cols if c != text_col]
     # the narrow side is hashed, so the texts are shuffled once and not sorted
     joined = docs.join(found.hint("shuffle_hash"), key == found["doc"], "left").select(
         *[docs[c].alias(f"c{i}") for i, c in enumerate(rest)], docs[text_col].alias("text"), found["repeats"].alias("repeats"))
     kept = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in joined.schema.fields[:-2])
-    made = joined.mapInArrow(_clean_kernel(len(rest), span, min_words, long_words), kept + "_clean string, _sentences long, _removed long")
+    made = joined.mapInArrow(_clean_kernel(len(rest), span, min_words, long_sentence, reach), kept + "_clean string, _sentences long, _removed long")
     named = {text_col: F.col("_clean").alias(text_col)} | {c: F.col(f"c{i}").alias(c) for i, c in enumerate(rest)}
     return made.select(*[named[c] for c in cols], *([] if text_col in cols else [named[text_col]]),
                        F.col("_sentences").alias("n_sentences"), F.col("_removed").alias("n_removed"))

@@ -57,26 +57,72 @@ def simhash_groups(rows, max_bits=2):
     return components([i for i, _ in rows], links)
 
 
-def span_clean(rows, span=3, min_words=10, long_words=50):
+ALONE = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF)]
+
+
+def blank_words(text):
+    """``(word, white space behind it)`` pairs of a text, without its leading white space."""
+    out = []
+    for run, gap in re.findall(r"([^\x20\x09-\x0D]+)([\x20\x09-\x0D]*)", text):
+        word = ""
+        for ch in run:
+            if any(a <= ord(ch) <= z for a, z in ALONE):
+                out += [(word, "")] if word else []
+                out.append((ch, ""))
+                word = ""
+            else:
+                word += ch
+        out += [(word, "")] if word else []
+        out[-1] = (out[-1][0], gap)
+    return out
+
+
+def divided(words, long_sentence=12, reach=3):
+    """Sentences as lists of word numbers, long ones divided."""
+    import hashlib
+    sents, now = [], []
+    for n, (w, gap) in enumerate(words):
+        now.append(n)
+        if w[-1] in ".!?。！？।" or "\n" in gap:
+            sents.append(now)
+            now = []
+    if now:
+        sents.append(now)
+    out = []
+    for s in sents:
+        if len(s) <= long_sentence:
+            out.append(s)
+            continue
+        code = [int(hashlib.md5(words[n][0].encode().lower()).hexdigest()[:8], 16) for n in s]
+        part = []
+        for k, n in enumerate(s):
+            part.append(n)
+            low = all(code[k] < c for c in code[max(0, k - reach):k]) and all(code[k] <= c for c in code[k + 1:k + 1 + reach])
+            if low or k == len(s) - 1:
+                out += [part[i:i + long_sentence] for i in range(0, len(part), long_sentence)]
+                part = []
+    return out
+
+
+def span_clean(rows, span=3, min_words=30):
     """{doc_id: (text, sentences, removed)} of (doc_id, text) rows with distinct ids."""
-    pieces, sents = {}, {}
-    for i, t in rows:
-        ps = re.findall(r"[^\n]*?[.!?][\x20\x09-\x0D]+|[^\n]*\n[\x20\x09-\x0D]*|[^\n]+", t or "")
-        pieces[i] = ps
-        sents[i] = [(n, tuple(w)) for n, p in enumerate(ps) if (w := p.encode().lower().split())]
-    seen, lost = set(), defaultdict(set)
-    for i in sorted(pieces):
-        s = sents[i]
-        for a in range(len(s)):
-            for k in range(a, min(a + span, len(s))):
-                n = sum(len(w) for _, w in s[a:k + 1])
-                if n >= (min_words if k - a + 1 == span else long_words):
-                    key = tuple(w for _, w in s[a:k + 1])
+    seen, out = set(), {}
+    for i, t in sorted(rows):
+        words = blank_words(t or "")
+        sents, lost = divided(words), set()
+        for a in range(len(sents)):
+            for k in range(a, len(sents)):
+                run = [n for s in sents[a:k + 1] for n in s]
+                if k - a + 1 >= span and len(run) >= min_words:
+                    key = tuple(words[n][0].encode().lower() for n in run)
                     if key in seen:
-                        lost[i].update(m for m, _ in s[a:k + 1])
+                        lost.update(range(a, k + 1))
                     seen.add(key)
-    return {i: (None if t is None else "".join(p for n, p in enumerate(pieces[i]) if n not in lost[i]), len(sents[i]), len(lost[i]))
-            for i, t in rows}
+                    break
+        lead = re.match(r"[\x20\x09-\x0D]*", t or "").group()
+        kept = lead + "".join("".join(words[n]) for m, s in enumerate(sents) if m not in lost for n in s)
+        out[i] = (None if t is None else kept, len(sents), len(lost))
+    return out
 
 
 def plain_words(text):
