@@ -31,36 +31,47 @@ CODES = 1 << 18  # words whose codes a worker remembers
 _codes: dict[bytes, int] = {}
 
 
-def _code(word: bytes) -> int:
-    got = _codes.get(word)
-    if got is None:
-        if len(_codes) >= CODES:
+def word_codes(words: list[bytes]):
+    """The first 32 bits of each word's md5, remembered for frequent words."""
+    import numpy as np
+    got = list(map(_codes.get, words))
+    if None in got:
+        if len(_codes) + len(words) > CODES:
             _codes.clear()
-        got = _codes[word] = int.from_bytes(hashlib.md5(word).digest()[:4], "big")
-    return got
+        for i, (w, c) in enumerate(zip(words, got)):
+            if c is None:
+                got[i] = _codes[w] = int.from_bytes(hashlib.md5(w).digest()[:4], "big")
+    return np.array(got, dtype=np.int64)
 
 
 def text_words(text: bytes):
-    """``(words, starts, line_ends)``: lower-cased (A-Z) words, the byte where each starts, whether a line ends behind it."""
+    """``(words, starts, stops)``: lower-cased (A-Z) words, the byte where each starts, whether a sentence ends behind it."""
     import numpy as np
     decoded = text.decode("utf-8")
     if _ALONE.search(decoded):
         pieces = [p.encode("utf-8") for p in _WORDS.findall(decoded)]
         lead = len(_LEAD.match(decoded).group())  # ASCII: one byte each
         starts = lead + np.cumsum([0] + [len(p) for p in pieces])[:-1]
-        return [p.rstrip(b" \t\n\x0b\x0c\r").lower() for p in pieces], starts, np.array([b"\n" in p for p in pieces], dtype=bool)
+        words = [p.rstrip(b" \t\n\x0b\x0c\r").lower() for p in pieces]
+        return words, starts, np.array([b"\n" in p or w.endswith(_STOPS) for p, w in zip(pieces, words)], dtype=bool)
     words = text.lower().split()  # bytes: A-Z only, ASCII white space only
+    if not words:
+        return words, np.zeros(0, dtype=np.int64), np.zeros(0, dtype=bool)
     data = np.frombuffer(text, dtype=np.uint8)
     blank = (data == 32) | ((data >= 9) & (data <= 13))
-    starts = np.flatnonzero(~blank & np.concatenate([[True], blank[:-1]])) if len(data) else np.zeros(0, dtype=np.int64)
-    lines = np.concatenate([np.cumsum(data == 10), [0]])
-    if len(data):
-        lines[-1] = lines[-2]
-    ends = np.append(starts[1:], len(data) - 1 if len(data) else 0)
-    return words, starts, lines[ends] > lines[starts]
-
-
-def sentence_starts(words: list[bytes], line_ends, long_sentence: int, reach: int):
+    starts = np.flatnonzero(~blank & np.concatenate([[True], blank[:-1]]))
+    behind = starts + np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    last = data[behind - 1]
+    stops = (last == 46) | (last == 33) | (last == 63)
+    if any(s in text for s in _STOPS[3:]):  # those beyond ASCII
+        stops |= np.array([w.endswith(_STOPS) for w in words], dtype=bool)
+    lines = np.flatnonzero(data == 10)
+    if len(lines):
+        stops |= np.searchsorted(lines, np.append(starts[1:], len(data))) > np.searchsorted(lines, behind)
+    return words, starts, stops
+
+
+def sentence_starts(words: list[bytes], stops, long_sentence: int, reach: int):
     """Numbers of the words at which a sentence, or a part of a long one, starts.
 
     A sentence ends behind a word that ends in a full stop, and where the line ends.  One of more than
@@ -72,8 +83,7 @@ def sentence_starts(words: list[bytes], line_ends, long_sentence: int, reach: in
     n = len(words)
     if not n:
         return np.zeros(0, dtype=np.int64)
-    stop = line_ends | np.fromiter((w.endswith(_STOPS) for w in words), dtype=bool, count=n)
-    first = np.concatenate([[True], stop[:-1]])
+    first = np.concatenate([[True], stops[:-1]])
     no = np.cumsum(first) - 1
     size = np.bincount(no)
     inside = np.flatnonzero((size > long_sentence)[no])
@@ -82,7 +92,7 @@ def sentence_starts(words: list[bytes], line_ends, long_sentence: int, reach: in
         top = np.int64(1) << 32
         at = inside + reach * (no[inside] + 1)  # sentences stand ``reach`` places apart
         code = np.full(n + reach * (no[-1] + 2), top)
-        code[at] = np.fromiter((_code(words[i]) for i in inside.tolist()), dtype=np.int64, count=len(inside))
+        code[at] = word_codes([words[i] for i in inside.tolist()] if len(inside) < n else words)
         here = code[at]
         low = np.ones(len(at), dtype=bool)
         for k in range(1, reach + 1):
@@ -101,8 +111,8 @@ def sentence_spans(text: bytes, span: int, min_words: int, long_sentence: int, r
     """
     import numpy as np
     import xxhash
-    words, starts, line_ends = text_words(text)
-    at = sentence_starts(words, line_ends, long_sentence, reach)
+    words, starts, stops = text_words(text)
+    at = sentence_starts(words, stops, long_sentence, reach)
     ends = np.append(at[1:], len(words))[:len(at)]
     last = np.maximum(np.arange(len(at)) + span - 1, np.searchsorted(ends, at + min_words))
     first = np.flatnonzero(last < len(at))
