@@ -6,8 +6,8 @@ Plan shape (no driver-side loops over data, no global sort):
 * ``.jsonl``: line-mode ``text`` scan (splittable); record ordinals come from
   per-(file, split) counts, a prefix sum over the few splits of each file and a
   join back (AQE broadcasts the small split table when it is small);
-* ``.json``: whole-file scan, sniffed by content — a JSON array (its items are cut out
-  of the text), one object, or JSON lines inside a ``.json`` file;
+* ``.json``: scan in splits cut at commas, sniffed by content — a JSON array, one object, or
+  JSON lines inside a ``.json`` file (``json_split``);
 * ``.txt``: whole-file scan, one ``pretrain`` sample per file, ``\\r\\n`` → ``\\n``;
 * format detection takes the smallest ordinal per file and reads the keys of that
   record only; every format is normalized once over all its files (one
@@ -17,7 +17,6 @@ Plan shape (no driver-side loops over data, no global sort):
 from __future__ import annotations
 
 import json
-import re
 from typing import NamedTuple
 
 import pandas as pd
@@ -30,6 +29,7 @@ from chatloom.functions.text import py_strip
 from chatloom.operators.normalize import Normalized, formats, load_format
 from chatloom.plans.runtime import ensure_package
 from chatloom.schema import QUARANTINE
+from chatloom.sources import json_split
 from chatloom.sources.tables import conform
 
 RECORD_COLS = ["file_path", "ordinal", "line", "value", "_v", "valid"]   # shape of a records frame
@@ -123,70 +123,14 @@ def _with_validity(rec: DataFrame, strict: bool) -> DataFrame:
     return rec.withColumn("valid", valid)
 
 
-# -- A4 whole JSON documents ---------------------------------------------------------------------------
+# -- A4 JSON documents ---------------------------------------------------------------------------
 def read_json_document(spark: SparkSession, paths, strict: bool = False, glob: str | None = None) -> DataFrame:
-    """A4 (+A5 sniffing): array -> items, object -> one item, scalar -> {"_data": x};
-    a ``.json`` file holding JSON lines is read as lines.  One file = one task: prefer
-    JSONL for very large inputs.
-    """
-    docs = _text(spark, paths, glob, wholetext=True).select(F.col("_metadata.file_path").alias("file_path"), "value")
-    return json_documents(docs, strict)
-
-
-def _array_items(body: str):
-    """(start, end) of each item of a JSON array's text, or None if it is not one whole array."""
-    decode, skip = json.JSONDecoder().raw_decode, re.compile(r"[ \t\n\r]*").match
-    out, at = [], skip(body, 1).end()
-    try:
-        if body[at] == "]":
-            return out if at == len(body) - 1 else None
-        while True:
-            _, end = decode(body, at)
-            out.append((at, end))
-            at = skip(body, end).end()
-            if body[at] == "]":
-                return out if at == len(body) - 1 else None
-            if body[at] != ",":
-                return None
-            at = skip(body, at + 1).end()
-    except (ValueError, IndexError, RecursionError):
-        return None
-
-
-def _whole(text: str) -> bool:
-    try:
-        json.loads(text)
-        return True
-    except (ValueError, RecursionError):
-        return False
-
-
-def document_records(text: str):
-    """Yield ``(ordinal, line, value)`` of a ``.json`` file's text; each item is a slice of the text.
-
-    One whole value: an array's items, an object, or a scalar as ``{"_data": x}``.  Otherwise JSON lines, if any
-    line is a value by itself (bad lines come out too and fail on their own); else the file as one bad record.
+    """A4 (+A5 sniffing): array -> items, object -> one item, scalar -> {"_data": x}; anything else is read as JSON lines.
+
+    Documents are read in splits (``json_split``), so an array or a file of lines may have any size; a single record
+    has to fit in memory.
     """
-    text = text.replace("\r\n", "\n").replace("\r", "\n")
-    body = text.strip()
-    if not body:
-        yield 0, None, body
-        return
-    if body[0] == "[":
-        items = _array_items(body)
-        if items is not None:
-            for i, (a, b) in enumerate(items):
-                yield i, None, body[a:b]
-            return
-    elif _whole(body):
-        yield 0, None, body if body[0] == "{" else f'{{"_data":{body}}}'
-        return
-    lines = [(n, v) for n, x in enumerate(text.split("\n"), 1) if (v := x.strip())]
-    if len(lines) > 1 and any(_whole(v) for _, v in lines):
-        for i, (n, v) in enumerate(lines):
-            yield i, n, v
-    else:
-        yield 0, None, body
+    return _with_validity(json_split.document_items(json_split.scan_pieces(spark, paths, glob)), strict)
 
 
 def _document_kernel(batches):
@@ -195,7 +139,7 @@ def _document_kernel(batches):
     for b in batches:
         for path, text in zip(b.column(0), b.column(1)):
             held, size = [], 0
-            for rec in document_records(text.as_py() or ""):
+            for rec in json_split.text_records(text.as_py() or ""):
                 held.append(rec)
                 size += len(rec[2])
                 if size > 8 << 20:  # a large array leaves in bounded batches
@@ -212,10 +156,7 @@ def _document_batch(pa, path, rows, names):
 
 
 def json_documents(docs: DataFrame, strict: bool = False) -> DataFrame:
-    """A4 records of whole files ``(file_path, value)`` (one row per file; also a stream's micro-batch).
-
-    The file's text is read once and its items are cut out of it, so only a single record meets the VARIANT limit.
-    """
+    """A4 records of whole files ``(file_path, value)``, one row per file (a stream's micro-batch), by the same rules."""
     ensure_package(docs.sparkSession)
     rec = docs.select("file_path", "value").mapInArrow(_document_kernel, "file_path string, ordinal long, line long, value string")
     return _with_validity(rec, strict)

@@ -108,18 +108,10 @@ def test_large_json_array_and_bad_first_line(spark, tmpdir_fresh):
     got = {os.path.basename(r.f): r.n for r in res.samples.groupBy(F.col("file_path").alias("f")).agg(F.count("*").alias("n")).collect()}
     assert got == {"big.json": 20, "bad.json": 2}
     q = sorted((os.path.basename(r.file_path), r.ordinal, r.reason) for r in res.quarantine.collect())
-    assert q == [("bad.json", 0, "bad_json"), ("junk.json", 0, "bad_json")]
+    assert q == [("bad.json", 0, "bad_json"), ("junk.json", 0, "bad_json"), ("junk.json", 1, "bad_json")]
     res.release()
 
 
-def test_document_records():
-    f = lambda t: list(FS.document_records(t))
-    assert f('[1, {"a": [2]} ,"x"]') == [(0, None, "1"), (1, None, '{"a": [2]}'), (2, None, '"x"')] and f(" [ ] ") == []
-    assert f("[1, 2") == [(0, None, "[1, 2")] and f("") == [(0, None, "")] and f("[1,]") == [(0, None, "[1,]")]
-    assert f('{"a":\r\n 1}') == [(0, None, '{"a":\n 1}')] and f("7") == [(0, None, '{"_data":7}')]
-    assert f('{"a":1}\n\n{"b":2}\nx') == [(0, 1, '{"a":1}'), (1, 3, '{"b":2}'), (2, 4, "x")]
-
-
 def test_stream_routes_by_suffix_like_batch(spark, tmpdir_fresh):
     inp, out, ck = f"{tmpdir_fresh}/in", f"{tmpdir_fresh}/out", f"{tmpdir_fresh}/ck"
     os.makedirs(f"{inp}/sub")
