@@ -43,6 +43,30 @@ def sample_preview(samples: DataFrame, limit: int = 100) -> DataFrame:
                       .otherwise(p).alias("preview"))
 
 
+def profile(samples: DataFrame, limit: int = 100) -> DataFrame:
+    """D1–D5 in one scan: ``(by, key, n_samples, n_dialogs, n_texts, kinds, preview)``.
+
+    ``by``: ``format``, ``source``, ``type`` or ``total`` (one row, with the preview of the first sample by file and
+    ordinal).  Grouping sets over the three keys: rows are expanded inside the scan's stage, without their texts, and
+    pre-aggregated before the shuffle (the set of kinds makes that a hash aggregate, which a least string alone is not).
+    """
+    first = F.struct(F.coalesce("file_path", F.lit("")).alias("f"), F.coalesce("ordinal", F.lit(-1)).alias("o"))
+    text = preview_text()
+    short = F.when(F.char_length(text) > limit, F.concat(F.left(text, F.lit(limit)), F.lit("..."))).otherwise(text)
+    keyed = samples.select(
+        F.coalesce("format", F.lit("unknown")).alias("format"),
+        F.substring_index(F.coalesce("source", F.lit("unknown")), ":", 1).alias("source"),
+        F.coalesce("type", F.lit("unknown")).alias("type"), (F.col("kind") == "dialog").alias("_d"), (F.col("kind") == "text").alias("_t"), "kind",
+        F.struct(first.alias("at"), short.alias("preview")).alias("_p"))
+    keys = [F.col(c) for c in ("format", "source", "type")]
+    out = keyed.groupingSets([[k] for k in keys] + [[]], *keys).agg(
+        F.grouping_id().alias("_g"), F.count(F.lit(1)).alias("n_samples"), F.count_if("_d").alias("n_dialogs"), F.count_if("_t").alias("n_texts"),
+        F.sort_array(F.collect_set("kind")).alias("kinds"), F.min("_p").alias("_p"))
+    by = F.when(F.col("_g") == 3, "format").when(F.col("_g") == 5, "source").when(F.col("_g") == 6, "type").otherwise("total")
+    return out.select(by.alias("by"), F.coalesce("format", "source", "type").alias("key"), "n_samples", "n_dialogs", "n_texts", "kinds",
+                      F.when(F.col("_g") == 7, F.col("_p")["preview"]).alias("preview"))
+
+
 def corpus_composition(samples: DataFrame) -> DataFrame:
     """Dialogs vs texts (callers raise on an empty corpus)."""
     return samples.agg(F.count_if(F.col("kind") == "dialog").alias("n_dialogs"),

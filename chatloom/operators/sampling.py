@@ -1,8 +1,12 @@
-"""H1–H7: candidate truncation and sampling over a ``logits(ctx_id, token_id, logit)`` table.
+"""H1–H7: candidate truncation and sampling.
 
-Every step is a projection or a window partitioned by ``ctx_id`` (a context has at
-most vocabulary-size rows), so any number of contexts scales out.  Order of the
-steps: temperature → repetition penalty → top-k → nucleus → softmax → draw.
+Over a ``logits(ctx_id, token_id, logit)`` table every step is a projection or a window partitioned by ``ctx_id`` (a
+context has at most vocabulary-size rows), so any number of contexts scales out.  Order of the steps: temperature →
+repetition penalty → top-k → nucleus → softmax → draw.
+
+Where logits depend on the last token alone (a bigram model), ``sample_windows`` makes *every* position of every window
+a context without a row per context and token: one candidate table per last token, corrected per context for its few
+recent tokens.
 """
 
 from __future__ import annotations
@@ -119,3 +123,144 @@ def cross_entropy(logits: DataFrame, targets: DataFrame) -> DataFrame:
     lse = F.first("_m") + F.log(F.sum(F.exp(F.col("logit") - F.col("_m"))))
     at = F.max(F.when(F.col("token_id") == F.col("_target"), F.col("logit")))
     return j.groupBy("ctx_id", F.col("_target").alias("token_id")).agg((lse - at).alias("ce"))
+
+
+# -- every position of the windows, factorised by the last token --------------------------------------------------
+MAX_CANDIDATES = 4_000_000   # rows (16 bytes each) of a candidate table that is broadcast
+
+
+def candidate_table(logits: DataFrame, temperature: float = DEFAULT_TEMPERATURE, k: int = DEFAULT_TOP_K,
+                    last_n: int = RECENT_WINDOW) -> DataFrame:
+    """H1 per last token: ``(prev_id, token_id, logit)``, the logits / T that can reach a context's top ``k``.
+
+    ``logits``: ``(prev_id, token_id, logit)``.  A penalty lowers at most ``last_n`` positive logits, so the first
+    ``k + last_n`` with ties suffice.  Negative logits rise when divided, so they are all kept, as are all where k is 0.
+    """
+    scaled = logits.select("prev_id", "token_id", (F.col("logit") / F.lit(temperature)).alias("logit"))
+    if k <= 0:
+        return scaled
+    rank = F.rank().over(Window.partitionBy("prev_id").orderBy(F.col("logit").desc()))
+    return scaled.withColumn("_rk", rank).where((F.col("_rk") <= k + last_n) | (F.col("logit") < 0)).drop("_rk")
+
+
+def _uniforms(seed: int, name: str, n: int):
+    """``draw_uniform`` of the contexts ``name:0`` ... ``name:n-1``."""
+    from hashlib import md5
+
+    import numpy as np
+    head = f"{seed}:{name}:".encode("utf-8")
+    return np.frombuffer(b"".join([md5(b"%s%d" % (head, i)).digest()[:4] for i in range(n)]), dtype=">u4") / 4294967296.0
+
+
+def sample_contexts(tokens, logits, recent, target, u, penalty: float, k: int, p: float) -> dict:
+    """H2–H6 of contexts that share their last token: figures per context.
+
+    ``tokens`` (ascending) and ``logits`` are the last token's candidates; ``recent``: (n, r) token ids, repeats allowed.
+    """
+    import numpy as np
+    n, m = len(recent), len(tokens)
+    at = np.minimum(np.searchsorted(tokens, recent), m - 1)
+    row, col = np.nonzero(tokens[at] == recent)
+    hit = np.zeros((n, m), dtype=bool)
+    if penalty > 1:
+        hit[row, at[row, col]] = True
+    low = np.where(hit, logits / penalty, logits)
+    order = np.argsort(-low, axis=1, kind="stable")  # equal logits by token
+    low = np.take_along_axis(low, order, axis=1)
+    ids = tokens[order]
+    top = low >= low[:, k - 1:k] if 0 < k <= m else np.ones((n, m), dtype=bool)
+    e = np.exp(low - low[:, :1]) * top
+    mass = e / e.sum(axis=1, keepdims=True)
+    kept = top.copy()
+    if p < 1:
+        before = np.cumsum(mass, axis=1)
+        kept[:, 1:] &= before[:, :-1] <= p
+    e *= kept
+    prob = e / e.sum(axis=1, keepdims=True)
+    above = np.cumsum(prob, axis=1) > u[:, None]
+    # the kept are the first of the order; the last of them also takes a draw beyond a total just below 1
+    pick = np.where(above.any(axis=1), above.argmax(axis=1), m)
+    pick = np.minimum(pick, kept.sum(axis=1) - 1)
+    return {"hits": hit.sum(axis=1), "cut": (hit * (logits - logits / penalty)).sum(axis=1), "top_kept": top.sum(axis=1),
+            "top_sum": (low * top).sum(axis=1), "nucleus_kept": kept.sum(axis=1), "nucleus_sum": (low * kept).sum(axis=1),
+            "target_prob": (prob * (ids == target[:, None])).sum(axis=1), "best_prob": prob[:, 0], "drawn": ids[np.arange(n), pick]}
+
+
+COUNTS = ("hits", "top_kept", "nucleus_kept")
+SUMS = ("cut", "top_sum", "nucleus_sum", "target_prob", "best_prob")
+CELLS = 1 << 20  # contexts x candidates looked at together
+
+
+def _sample_kernel(table, n_keep: int, penalty: float, k: int, p: float, last_n: int, seed: int):
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        prevs, starts, tokens, logits = table.value
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
+                inp, tgt = part.column(n_keep), part.column(n_keep + 1)
+                ends = inp.offsets.to_numpy()
+                size = np.diff(ends)
+                ids = inp.values.to_numpy(zero_copy_only=False)[ends[0]:ends[-1]].astype(np.int64)
+                t = tgt.offsets.to_numpy()
+                target = tgt.values.to_numpy(zero_copy_only=False)[t[0]:t[-1]].astype(np.int64)
+                first = np.repeat(ends[:-1] - ends[0], size)
+                pos = np.arange(len(ids)) - first
+                back = np.arange(last_n)
+                recent = np.where(pos[:, None] >= back, ids[np.maximum(np.arange(len(ids))[:, None] - back, 0)], -1)
+                names = [":".join(str(v.as_py()) for v in row) for row in zip(*(part.column(i) for i in range(n_keep)))]
+                u = np.concatenate([_uniforms(seed, name, n) for name, n in zip(names, size.tolist())] or [np.empty(0)])
+                got = {c: np.zeros(len(ids), dtype=np.int64) for c in (*COUNTS, "drawn")} | {c: np.zeros(len(ids)) for c in SUMS}
+                got["drawn"][:] = -1
+                by = np.argsort(ids, kind="stable")
+                for group in np.split(by, np.flatnonzero(np.diff(ids[by])) + 1):
+                    if not len(group):
+                        continue
+                    no = np.searchsorted(prevs, ids[group[0]])
+                    if no == len(prevs) or prevs[no] != ids[group[0]]:
+                        continue  # a last token without candidates: nothing to draw
+                    mine = slice(starts[no], starts[no + 1])
+                    step = max(1, CELLS // max(1, starts[no + 1] - starts[no]))
+                    for a in range(0, len(group), step):
+                        g = group[a:a + step]
+                        for c, v in sample_contexts(tokens[mine], logits[mine], recent[g], target[g], u[g], penalty, k, p).items():
+                            got[c][g] = v
+                cuts = np.concatenate([[0], np.cumsum(size)])
+                total = lambda v: np.concatenate([[0], np.cumsum(v)])[cuts[1:]] - np.concatenate([[0], np.cumsum(v)])[cuts[:-1]]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:n_keep], *[pa.array(total(got[c])) for c in COUNTS],
+                     *[pa.array([got[c][x:y].sum() for x, y in zip(cuts[:-1], cuts[1:])], pa.float64()) for c in SUMS],
+                     pa.ListArray.from_arrays(cuts.astype(np.int32), pa.array(got["drawn"], pa.int32(), mask=got["drawn"] < 0))],
+                    names=[*b.schema.names[:n_keep], *COUNTS, *SUMS, "drawn"])
+    return run
+
+
+def sample_windows(windows: DataFrame, logits: DataFrame, temperature: float = DEFAULT_TEMPERATURE,
+                   penalty: float = DEFAULT_REPETITION_PENALTY, k: int = DEFAULT_TOP_K, p: float = DEFAULT_TOP_P, seed: int = 0,
+                   last_n: int = RECENT_WINDOW, keep=("sample_id", "window_no")) -> DataFrame:
+    """H1–H6 at every position of every window: ``(*keep, hits, top_kept, nucleus_kept, ..., drawn)``, one row a window.
+
+    A context is a position: its last token is the input there, its recent tokens the last ``last_n`` inputs of the
+    window.  ``logits``: ``(prev_id, token_id, logit)`` by last token.  Sums over the window's contexts: ``hits`` and ``cut``
+    (candidates that the penalty touched, and by how much), ``top_kept``/``top_sum`` and ``nucleus_kept``/``nucleus_sum``
+    (tokens that stay, and their logits), ``target_prob``, ``best_prob``; ``drawn``: the token drawn at each position, null
+    where the last token has no candidates.  The candidate table is broadcast up to ``MAX_CANDIDATES`` rows.
+    """
+    import numpy as np
+
+    from chatloom.plans.runtime import ensure_package
+    spark = windows.sparkSession
+    ensure_package(spark)
+    table = candidate_table(logits, temperature, k, last_n).limit(MAX_CANDIDATES + 1).toArrow()
+    if table.num_rows > MAX_CANDIDATES:
+        raise ValueError(f"over {MAX_CANDIDATES} candidates: lower k, or use the steps over a logits table")
+    prev, token, logit = (table.column(c).to_numpy() for c in ("prev_id", "token_id", "logit"))
+    order = np.lexsort((token, prev))
+    prevs, starts = np.unique(prev[order], return_index=True)
+    shared = spark.sparkContext.broadcast((prevs.astype(np.int64), np.append(starts, len(order)), token[order].astype(np.int64),
+                                           logit[order].astype(np.float64)))
+    src = windows.select(*keep, "input_ids", "target_ids")
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in src.schema.fields[:len(keep)])
+    return src.mapInArrow(_sample_kernel(shared, len(keep), penalty, k, p, last_n, seed), kept
+                          + "".join(f", {c} long" for c in COUNTS) + "".join(f", {c} double" for c in SUMS) + ", drawn array<int>")

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from chatloom.session import checkpoint_dir
+
 # fixed values: the trainer's logging and stopping rules
 LOG_EVERY = 25            # status every 25th step
 ROLLING = 100             # mean over the last <= 100 steps of the epoch
@@ -70,12 +72,23 @@ def epoch_loss(train_log: DataFrame) -> DataFrame:
 
 
 def best_epochs(epochs: DataFrame) -> DataFrame:
-    """Epochs that strictly lower the running best, flagged ``is_best`` for the overall minimum."""
-    w = Window.partitionBy("run_id").orderBy("epoch").rowsBetween(Window.unboundedPreceding, -1)
-    prev_best = F.min("epoch_loss").over(w)
-    wb = Window.partitionBy("run_id")
-    x = epochs.withColumn("_prev", prev_best).where(F.col("_prev").isNull() | (F.col("epoch_loss") < F.col("_prev")))
-    return x.withColumn("is_best", F.col("epoch_loss") == F.min("epoch_loss").over(wb)).drop("_prev")
+    """Epochs that strictly lower the running best, flagged ``is_best`` for the overall minimum.
+
+    A running minimum composes: key ranges of (run, epoch) are frozen, the minima of a run's ranges give each range the
+    best before it, and only rows of one range meet in a window, however many epochs a run has.
+    """
+    spark = epochs.sparkSession
+    checkpoint_dir(spark)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = epochs.repartitionByRange(n, "run_id", "epoch").withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+    before = Window.partitionBy("run_id").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    lows = ranged.groupBy("run_id", "_pid").agg(F.min("epoch_loss").alias("_low")) \
+        .select("run_id", "_pid", F.min("_low").over(before).alias("_before"), F.min("_low").over(Window.partitionBy("run_id")).alias("_least"))
+    own = Window.partitionBy("run_id", "_pid").orderBy("epoch").rowsBetween(Window.unboundedPreceding, -1)
+    x = ranged.withColumn("_own", F.min("epoch_loss").over(own)).join(lows, ["run_id", "_pid"]) \
+        .withColumn("_prev", F.least("_before", "_own"))  # nulls are skipped
+    x = x.where(F.col("_prev").isNull() | (F.col("epoch_loss") < F.col("_prev")))
+    return x.withColumn("is_best", F.col("epoch_loss") == F.col("_least")).drop("_pid", "_before", "_least", "_own", "_prev")
 
 
 def early_stop_epoch(epochs: DataFrame, patience: int = PATIENCE, min_delta: float = MIN_DELTA) -> DataFrame:

@@ -17,11 +17,10 @@ from chatloom.session import work_dir
 from chatloom.sources import files as FS
 from chatloom.sources.fs import rename_suffix
 from chatloom.sources.sinks import (
-    export_manifest,
+    export_dataset,
     export_splits_jsonl,
     read_split_export,
     select_known_fields,
-    write_manifest,
     write_windows,
 )
 from chatloom.sources.tables import read_table, resolve_text_column
@@ -200,10 +199,8 @@ SELECT 'documents' AS dataset, string_agg(lang, ',' ORDER BY lang) AS splits,
        string_agg(lang || ':' || n, ',' ORDER BY lang) AS split_counts, sum(n)::BIGINT AS total_samples, count(*)::BIGINT AS files
 FROM (SELECT lang, count(*) AS n FROM documents GROUP BY lang)""")
 def q_export_manifest(spark, d):
-    m = export_manifest(read_table(spark, d, "documents").withColumnRenamed("lang", "split"), "documents")
-    path = work_dir(spark, "manifest")
-    write_manifest(m, path)
-    back = spark.read.schema(m.schema).json(path)
+    docs = read_table(spark, d, "documents").select(F.col("lang").alias("split"), "doc_id")
+    back = export_dataset(docs, work_dir(spark, "dataset"), "documents")
     counts = F.transform("split_counts", lambda x: F.concat(x["split"], F.lit(":"), x["n"].cast("string")))
     return back.select("dataset", F.array_join("splits", ",").alias("splits"), F.array_join(counts, ",").alias("split_counts"),
                        "total_samples", "files")

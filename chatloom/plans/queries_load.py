@@ -209,6 +209,23 @@ def q_sample_preview(spark, d):
     return P.sample_preview(s)
 
 
+@register("corpus_profile", O.with_(SGPT) + """,
+docs AS (SELECT 'documents' AS file_path, doc_id AS ordinal, text AS first_content FROM documents),
+u AS (SELECT 'sharegpt' AS format, 'conversations.sharegpt.jsonl' AS source, 'sft' AS type, 'dialog' AS kind, file_path, ordinal, first_content FROM sgpt
+      UNION ALL SELECT 'table', 'documents', 'pretrain', 'text', * FROM docs),
+g AS (SELECT CASE WHEN grouping(format) = 0 THEN 'format' WHEN grouping(source) = 0 THEN 'source' WHEN grouping(type) = 0 THEN 'type' ELSE 'total' END AS "by",
+        coalesce(format, source, type) AS key, count(*) AS n_samples, count(*) FILTER (WHERE kind = 'dialog') AS n_dialogs,
+        count(*) FILTER (WHERE kind = 'text') AS n_texts, string_agg(DISTINCT kind, ',' ORDER BY kind) AS kinds,
+        arg_min(first_content, (file_path, ordinal)) AS p
+      FROM u GROUP BY GROUPING SETS ((format), (source), (type), ()))
+SELECT "by", key, n_samples, n_dialogs, n_texts, kinds,
+  CASE WHEN "by" = 'total' THEN CASE WHEN length(p) > 100 THEN left(p, 100) || '...' ELSE p END END AS preview FROM g""")
+def q_corpus_profile(spark, d):
+    """D1–D5 at once: one scan of the samples."""
+    s = union_samples(normalize_sharegpt(sharegpt_records(_conv(spark, d))).samples, doc_samples(spark, d))
+    return P.profile(s).withColumn("kinds", F.array_join("kinds", ","))
+
+
 @register("corpus_composition", UNION_SQL + """
 SELECT (count(*) FILTER (WHERE kind = 'dialog'))::BIGINT AS n_dialogs,
        (count(*) FILTER (WHERE kind = 'text'))::BIGINT AS n_texts FROM u""")

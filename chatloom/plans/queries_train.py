@@ -80,40 +80,38 @@ nll AS (
   FROM tp JOIN counts c USING (prev_id, next_id) JOIN prevc p USING (prev_id)
 )"""
 
-# a context is a window, named by its sample and number
+# every input position of every window is a context; only a last token's first 50 candidates can reach its top 40
 CTX = f""",
-ctx AS (
-  SELECT sample_id || ':' || window_no AS ctx_id,
-         max(id) FILTER (WHERE off = {O.S - 1}) AS last_id, max(id) FILTER (WHERE off = {O.S}) AS target_id
-  FROM win GROUP BY sample_id, window_no
+cand AS (
+  SELECT prev_id, next_id AS token_id, ln(n) AS raw, ln(n) / 0.75 AS logit FROM (
+    SELECT *, rank() OVER (PARTITION BY prev_id ORDER BY n DESC) AS rk FROM counts) WHERE rk <= 50
 ),
-logits AS (SELECT ctx_id, next_id AS token_id, ln(n) AS logit FROM ctx JOIN counts c ON c.prev_id = ctx.last_id),
-recent AS (
-  SELECT DISTINCT sample_id || ':' || window_no AS ctx_id, id AS token_id
-  FROM win WHERE off >= {O.S - 10} AND off < {O.S}
+lists AS (SELECT sample_id, window_no, list(id ORDER BY off) AS ids FROM win GROUP BY sample_id, window_no),
+places AS (SELECT sample_id, window_no, ids, unnest(range(0, {O.S})) AS pos FROM lists),
+ctx AS (
+  SELECT row_number() OVER () AS cid, sample_id, window_no, pos, ids[pos + 1] AS prev_id, ids[pos + 2] AS target_id,
+         list_slice(ids, greatest(pos - 8, 1), pos + 1) AS recent FROM places
 ),
-h1 AS (SELECT ctx_id, token_id, logit / 0.75 AS logit FROM logits),
 h2 AS (
-  SELECT h1.ctx_id, h1.token_id, CASE WHEN r.token_id IS NOT NULL THEN h1.logit / 1.15 ELSE h1.logit END AS logit
-  FROM h1 LEFT JOIN recent r ON r.ctx_id = h1.ctx_id AND r.token_id = h1.token_id
+  SELECT cid, token_id, logit AS before, list_contains(recent, token_id) AS hit,
+         CASE WHEN list_contains(recent, token_id) THEN logit / 1.15 ELSE logit END AS logit
+  FROM ctx JOIN cand USING (prev_id)
 ),
-h3 AS (SELECT ctx_id, token_id, logit FROM
-         (SELECT *, rank() OVER (PARTITION BY ctx_id ORDER BY logit DESC) AS rk FROM h2) WHERE rk <= 40),
-h3m AS (SELECT *, logit - max(logit) OVER (PARTITION BY ctx_id) AS z FROM h3),
-h3p AS (SELECT *, exp(z) / sum(exp(z)) OVER (PARTITION BY ctx_id) AS p FROM h3m),
-h4 AS (SELECT ctx_id, token_id, logit FROM (
-         SELECT *, coalesce(sum(p) OVER (PARTITION BY ctx_id ORDER BY logit DESC, token_id
+h3 AS (SELECT cid, token_id, logit FROM (SELECT *, rank() OVER (PARTITION BY cid ORDER BY logit DESC) AS rk FROM h2) WHERE rk <= 40),
+h3m AS (SELECT *, logit - max(logit) OVER (PARTITION BY cid) AS z FROM h3),
+h3p AS (SELECT *, exp(z) / sum(exp(z)) OVER (PARTITION BY cid) AS p FROM h3m),
+h4 AS (SELECT cid, token_id, logit FROM (
+         SELECT *, coalesce(sum(p) OVER (PARTITION BY cid ORDER BY logit DESC, token_id
                                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM h3p)
        WHERE before <= 0.9),
-h5m AS (SELECT *, logit - max(logit) OVER (PARTITION BY ctx_id) AS z FROM h4),
-h5 AS (SELECT ctx_id, token_id, logit, exp(z) / sum(exp(z)) OVER (PARTITION BY ctx_id) AS prob FROM h5m),
+h5m AS (SELECT *, logit - max(logit) OVER (PARTITION BY cid) AS z FROM h4),
+h5 AS (SELECT cid, token_id, logit, exp(z) / sum(exp(z)) OVER (PARTITION BY cid) AS prob FROM h5m),
 h6 AS (
-  SELECT ctx_id, token_id FROM (
-    SELECT *, row_number() OVER (PARTITION BY ctx_id ORDER BY prob DESC, token_id) AS rn FROM (
-      SELECT *, sum(prob) OVER (PARTITION BY ctx_id ORDER BY prob DESC, token_id
-                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
-             ('0x' || substr(md5(concat_ws(':', '0', ctx_id)), 1, 8))::BIGINT / 4294967296.0 AS u
-      FROM h5) WHERE cum > u) WHERE rn = 1
+  SELECT cid, arg_min(token_id, rn) AS token_id FROM (
+    SELECT h5.*, row_number() OVER w AS rn, sum(prob) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
+           row_number() OVER w = count(*) OVER (PARTITION BY h5.cid) AS is_last,
+           ('0x' || substr(md5(concat_ws(':', '0', sample_id, window_no, pos)), 1, 8))::BIGINT / 4294967296.0 AS u
+    FROM h5 JOIN ctx USING (cid) WINDOW w AS (PARTITION BY h5.cid ORDER BY prob DESC, token_id)) WHERE cum > u OR is_last GROUP BY cid
 )"""
 
 TL = """tl AS (
@@ -172,10 +170,14 @@ def q_bigram_fit(spark, d):
     return BG.bigram_fit(w).select("prev_id", "next_id", F.col("n").cast("long"))
 
 
+def _kept_windows(spark, d):
+    w, v = dialog_windows(spark, d)
+    return w.persist(StorageLevel.DISK_ONLY), v     # two passes over the windows, encoded once
+
+
 def _window_losses(spark, d):
     """(sample_id, window_no, nll_sum, n_masked, n_pos): one row per window, never one per token."""
-    w, v = dialog_windows(spark, d)
-    w = w.persist(StorageLevel.DISK_ONLY)     # two passes over the windows, encoded once
+    w, v = _kept_windows(spark, d)
     return BG.window_losses(w, BG.bigram_fit(w), v.count())
 
 
@@ -203,73 +205,73 @@ def q_masked_batch_loss(spark, d):
 
 
 # -- H1–H7 ------------------------------------------------------------------------------------------------
-def _contexts(spark, d):
-    """logits(ctx_id, token_id, logit=ln count), recent(ctx_id, pos, token_id), targets(ctx_id, token_id)."""
-    w, _ = dialog_windows(spark, d)
-    counts = BG.bigram_fit(w).cache()
-    ctx_id = F.concat_ws(":", "sample_id", F.col("window_no").cast("string"))
-    ctx = w.select(ctx_id.alias("ctx_id"), F.element_at("input_ids", -1).alias("last_id"),
-                   F.element_at("target_ids", -1).alias("target_id"))
-    succ = BG._maybe_broadcast(counts.select(F.col("prev_id").alias("last_id"), F.col("next_id").alias("token_id"),
-                                             F.log("n").alias("logit")))
-    logits = ctx.join(succ, "last_id").select("ctx_id", "token_id", "logit")
-    recent = w.select(ctx_id.alias("ctx_id"), F.posexplode(F.slice("input_ids", -H.RECENT_WINDOW, H.RECENT_WINDOW))
-                      .alias("pos", "token_id"))
-    targets = ctx.select("ctx_id", F.col("target_id").alias("token_id"))
-    return logits, recent, targets
-
-
-def _h(spark, d, upto: int):
-    logits, recent, _ = _contexts(spark, d)
-    x = H.apply_temperature(logits, 0.75)
-    if upto >= 2:
-        x = H.repetition_penalty(x, recent, 1.15)
-    if upto >= 3:
-        x = H.top_k_filter(x, 40)
-    if upto >= 4:
-        x = H.nucleus_filter(x, 0.9)
-    return x
-
-
-@register("apply_temperature", WIN + PAIRS + CTX + "SELECT ctx_id, token_id, round(logit, 6) AS logit FROM h1")
+def _model(spark, d):
+    """Windows and logits(prev_id, token_id, logit = ln count) of their bigrams."""
+    w, _ = _kept_windows(spark, d)
+    counts = BG.bigram_fit(w)
+    return w, counts.select("prev_id", F.col("next_id").alias("token_id"), F.log("n").alias("logit")), counts
+
+
+def _sampled(spark, d):
+    """H1–H6 at every position, one row a window."""
+    w, logits, _ = _model(spark, d)
+    return H.sample_windows(w, logits, 0.75, 1.15, 40, 0.9, SEED)
+
+
+def _r3(c):
+    return F.round(c, 3).alias(c)
+
+
+@register("apply_temperature", WIN + PAIRS + CTX + "SELECT prev_id, token_id, round(logit, 6) AS logit FROM cand")
 def q_apply_temperature(spark, d):
-    return _h(spark, d, 1).select("ctx_id", "token_id", _r6("logit").alias("logit"))
+    _, logits, _ = _model(spark, d)
+    return H.candidate_table(logits, 0.75, 40).select("prev_id", "token_id", _r6("logit").alias("logit"))
 
 
-@register("repetition_penalty", WIN + PAIRS + CTX + "SELECT ctx_id, token_id, round(logit, 6) AS logit FROM h2")
+@register("repetition_penalty", WIN + PAIRS + CTX + """
+SELECT sample_id, window_no, count(*) FILTER (WHERE hit) AS hits, round(sum(before - logit), 3) AS cut
+FROM h2 JOIN ctx USING (cid) GROUP BY sample_id, window_no""")
 def q_repetition_penalty(spark, d):
-    return _h(spark, d, 2).select("ctx_id", "token_id", _r6("logit").alias("logit"))
+    return _sampled(spark, d).select("sample_id", "window_no", "hits", _r3("cut"))
 
 
-@register("top_k_filter", WIN + PAIRS + CTX + "SELECT ctx_id, token_id, round(logit, 6) AS logit FROM h3")
+@register("top_k_filter", WIN + PAIRS + CTX + """
+SELECT sample_id, window_no, count(*) AS top_kept, round(sum(logit), 3) AS top_sum
+FROM h3 JOIN ctx USING (cid) GROUP BY sample_id, window_no""")
 def q_top_k_filter(spark, d):
-    return _h(spark, d, 3).select("ctx_id", "token_id", _r6("logit").alias("logit"))
+    return _sampled(spark, d).select("sample_id", "window_no", "top_kept", _r3("top_sum"))
 
 
-@register("nucleus_filter", WIN + PAIRS + CTX + "SELECT ctx_id, token_id, round(logit, 6) AS logit FROM h4")
+@register("nucleus_filter", WIN + PAIRS + CTX + """
+SELECT sample_id, window_no, count(*) AS nucleus_kept, round(sum(logit), 3) AS nucleus_sum
+FROM h4 JOIN ctx USING (cid) GROUP BY sample_id, window_no""")
 def q_nucleus_filter(spark, d):
-    return _h(spark, d, 4).select("ctx_id", "token_id", _r6("logit").alias("logit"))
+    return _sampled(spark, d).select("sample_id", "window_no", "nucleus_kept", _r3("nucleus_sum"))
 
 
-@register("softmax", WIN + PAIRS + CTX + "SELECT ctx_id, token_id, round(prob, 6) AS prob FROM h5")
+@register("softmax", WIN + PAIRS + CTX + """
+SELECT sample_id, window_no, round(coalesce(sum(target), 0), 3) AS target_prob, round(sum(best), 3) AS best_prob FROM (
+  SELECT cid, max(prob) AS best, max(prob) FILTER (WHERE token_id = target_id) AS target FROM h5 JOIN ctx USING (cid) GROUP BY cid)
+JOIN ctx USING (cid) GROUP BY sample_id, window_no""")
 def q_softmax(spark, d):
-    return H.softmax(_h(spark, d, 4)).select("ctx_id", "token_id", _r6("prob").alias("prob"))
+    return _sampled(spark, d).select("sample_id", "window_no", _r3("target_prob"), _r3("best_prob"))
 
 
-@register("draw_token", WIN + PAIRS + CTX + "SELECT ctx_id, token_id FROM h6")
+@register("draw_token", WIN + PAIRS + CTX + """
+SELECT sample_id, window_no, string_agg(token_id::VARCHAR, ',' ORDER BY pos) AS drawn
+FROM h6 JOIN ctx USING (cid) GROUP BY sample_id, window_no""")
 def q_draw_token(spark, d):
-    return H.draw_token(H.softmax(_h(spark, d, 4)), SEED)
+    return _sampled(spark, d).select("sample_id", "window_no", F.array_join(F.col("drawn").cast("array<string>"), ",").alias("drawn"))
 
 
-@register("cross_entropy", WIN + PAIRS + CTX + """
-SELECT c.ctx_id, c.target_id AS token_id,
-       round(ln(sum(exp(l.logit - m.mx))) + m.mx - max(l.logit) FILTER (WHERE l.token_id = c.target_id), 6) AS ce
-FROM ctx c JOIN logits l ON l.ctx_id = c.ctx_id
-JOIN (SELECT ctx_id, max(logit) AS mx FROM logits GROUP BY ctx_id) m ON m.ctx_id = c.ctx_id
-GROUP BY c.ctx_id, c.target_id, m.mx""")
+@register("cross_entropy", WIN + PAIRS + """
+SELECT sample_id, window_no, round(sum(ln(p.c_p) - ln(c.n)), 3) AS ce, count(*) AS n_pos
+FROM tp JOIN counts c USING (prev_id, next_id) JOIN prevc p USING (prev_id) GROUP BY sample_id, window_no""")
 def q_cross_entropy(spark, d):
-    logits, _, targets = _contexts(spark, d)
-    return H.cross_entropy(logits, targets).select("ctx_id", "token_id", _r6("ce").alias("ce"))
+    """H7 at every position: the log-sum-exp of a last token's ln counts is the ln of their total."""
+    w, _, counts = _model(spark, d)
+    every = w.withColumn("loss_mask", F.transform("loss_mask", lambda m: F.lit(1).cast("tinyint")))
+    return BG.window_losses(every, counts, 0, 0.0).select("sample_id", "window_no", F.round("nll_sum", 3).alias("ce"), "n_pos")
 
 
 # -- G2–G9 ------------------------------------------------------------------------------------------------------

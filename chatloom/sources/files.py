@@ -9,8 +9,7 @@ Plan shape (no driver-side loops over data, no global sort):
 * ``.json``: scan in splits cut at commas, sniffed by content — a JSON array, one object, or
   JSON lines inside a ``.json`` file (``json_split``);
 * ``.txt``: whole-file scan, one ``pretrain`` sample per file, ``\\r\\n`` → ``\\n``;
-* format detection takes the smallest ordinal per file and reads the keys of that
-  record only; every format is normalized once over all its files (one
+* format detection is a minimum per file of one number a record (ordinal and format); every format is normalized once over all its files (one
   DataFrame per format, not per file) and the results are unioned.
 """
 
@@ -190,19 +189,21 @@ def text_file_samples(files: DataFrame) -> DataFrame:
 
 # -- A2 detection -------------------------------------------------------------------------------------------
 def detect_formats(records: DataFrame) -> DataFrame:
-    """A2: (file_path, format) from the keys of each file's first valid record (registry precedence)."""
-    # the first valid record by a hash aggregate on ordinals; only that record's text is fetched
-    at = records.where("valid").groupBy("file_path").agg(F.min("ordinal").alias("ordinal"))
-    first = records.where("valid").select("file_path", "ordinal", "value").join(at, ["file_path", "ordinal"]) \
-        .select("file_path", F.json_object_keys("value").alias("_keys"))
-    fmt = None
-    for name, spec in formats().items():
-        if spec.detect is None:
-            continue
-        cond = spec.detect(F.col("_keys"))
-        fmt = F.when(cond, F.lit(name)) if fmt is None else fmt.when(cond, F.lit(name))
-    fmt = F.lit("json") if fmt is None else fmt.otherwise(F.lit("json"))
-    return first.select("file_path", fmt.alias("format"))
+    """A2: (file_path, format) from the keys of each file's first valid record (registry precedence).
+
+    One number a record, its ordinal and the place of its format in the registry: the least of each file is a hash
+    aggregate with map-side partials, and no record's text moves.
+    """
+    specs = [s for s in formats().values() if s.detect is not None]
+    if len(specs) > 254:
+        raise ValueError("at most 254 formats can be detected")
+    keys = F.json_object_keys("value")
+    place = F.lit(len(specs)).cast("long")
+    for i in range(len(specs) - 1, -1, -1):
+        place = F.when(specs[i].detect(keys), F.lit(i)).otherwise(place)
+    first = records.where("valid").groupBy("file_path").agg(F.min(F.shiftleft("ordinal", 8) + place).alias("_first"))
+    names = F.array(*[F.lit(s.name) for s in specs], F.lit("json"))
+    return first.select("file_path", F.element_at(names, (F.col("_first").bitwiseAND(255) + 1).cast("int")).alias("format"))
 
 
 def records_quarantine(records: DataFrame) -> DataFrame:

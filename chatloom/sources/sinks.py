@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chatloom.sources.fs import list_parts, move, remove_tree
+
 # fixed values: text fields an export keeps when asked for known fields only
 KNOWN_FIELDS = ["text", "content", "instruction", "output", "input", "conversation"]
 
@@ -16,10 +18,30 @@ def select_known_fields(df: DataFrame) -> DataFrame:
 
 
 def export_splits_jsonl(df: DataFrame, path: str, split_col: str = "split", columns: list[str] | None = None,
-                        mode: str = "overwrite") -> None:
-    """One JSON-lines directory per split (``split=<name>/part-*.json``), rows written in full, UTF-8."""
+                        max_records_per_file: int = 0) -> dict[str, list[str]]:
+    """One ``<split>.jsonl`` per split, rows written in full, UTF-8; returns the file names of each split.
+
+    A split that several tasks wrote, or one beyond ``max_records_per_file``, has ``<split>-00000.jsonl`` and so on.
+    Spark's committed writer makes the files below ``_staging``; only whole exports are then renamed into place, and
+    ``_staging`` goes.  A null split is named ``default``; ``/`` and other awkward characters stay percent-encoded.
+    """
+    spark = df.sparkSession
     out = df if columns is None else df.select(*columns, split_col)
-    out.write.mode(mode).option("ignoreNullFields", "false").partitionBy(split_col).json(path)
+    staging = f"{path.rstrip('/')}/_staging"
+    # the split stands in every row as well as in the name of its folder
+    out.withColumn("_split", F.col(split_col).cast("string")).write.mode("overwrite").option("ignoreNullFields", "false") \
+        .option("maxRecordsPerFile", max_records_per_file).partitionBy("_split").json(staging)
+    names: dict[str, list[str]] = {}
+    for part in list_parts(spark, staging):
+        folder = part.split("/")[0].removeprefix("_split=")
+        names.setdefault("default" if folder == "__HIVE_DEFAULT_PARTITION__" else folder, []).append(part)
+    for split, parts in names.items():
+        files = [f"{split}.jsonl"] if len(parts) == 1 else [f"{split}-{i:05d}.jsonl" for i in range(len(parts))]
+        for part, name in zip(parts, files):
+            move(spark, f"{staging}/{part}", f"{path.rstrip('/')}/{name}")
+        names[split] = files
+    remove_tree(spark, staging)
+    return names
 
 
 def export_manifest(df: DataFrame, dataset: str, split_col: str = "split", split: str | None = None) -> DataFrame:
@@ -35,13 +57,40 @@ def export_manifest(df: DataFrame, dataset: str, split_col: str = "split", split
     )
 
 
+MANIFEST = "dataset_info.json"
+
+
 def write_manifest(manifest: DataFrame, path: str) -> None:
-    """A10: the manifest as one JSON file below ``path`` (it is a single row)."""
-    manifest.coalesce(1).write.mode("overwrite").json(path)
+    """A10: the manifest as the file ``dataset_info.json`` below ``path`` (it is a single row)."""
+    spark = manifest.sparkSession
+    staging = f"{path.rstrip('/')}/_manifest"
+    manifest.coalesce(1).write.mode("overwrite").json(staging)
+    move(spark, f"{staging}/{list_parts(spark, staging)[0]}", f"{path.rstrip('/')}/{MANIFEST}")
+    remove_tree(spark, staging)
+
+
+def export_dataset(df: DataFrame, path: str, dataset: str, split_col: str = "split", columns: list[str] | None = None,
+                   max_records_per_file: int = 0) -> DataFrame:
+    """A9 + A10: the splits as JSON lines and beside them the manifest, which is returned as written.
+
+    The manifest counts what the files hold: it is taken from the exported rows, of which only the split is read.
+    """
+    spark = df.sparkSession
+    export_splits_jsonl(df, path, split_col, columns, max_records_per_file)
+    # without rows there are no files to read
+    back = spark.read.option("pathGlobFilter", "*.jsonl").schema(f"`{split_col}` string").json(path)
+    write_manifest(export_manifest(back, dataset, split_col), path)
+    return read_manifest(spark, path)
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("dataset string, splits array<string>, split_counts array<struct<split:string,n:bigint>>, "
+                             "total_samples bigint, files bigint").json(f"{path.rstrip('/')}/{MANIFEST}")
 
 
 def read_split_export(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.json(path)
+    """The rows of an export's ``*.jsonl`` files."""
+    return spark.read.option("pathGlobFilter", "*.jsonl").json(path)
 
 
 def typed_windows(windows: DataFrame) -> DataFrame:
