@@ -23,9 +23,28 @@ LONG = 1 << 20   # characters of a text whose pre-tokens are listed at once
 PIECE = 64       # a pre-token beyond this many characters isn't remembered
 
 
+# fixed values: the settings of a tokenizer file under which texts are cut as above and pieces add up
+PLAIN_CUT = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+PLAIN_MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": None}
+
+
+def cuts_like_this(path: str) -> bool:
+    """Whether the file is a byte-level BPE whose pre-tokens are those of ``_CUT`` and whose added tokens stand alone."""
+    import json
+    with open(path, encoding="utf-8") as f:
+        made = json.load(f)
+    cut, model = made.get("pre_tokenizer") or {}, made.get("model") or {}
+    same = all(cut.get(k, True if k == "use_regex" else None) == v for k, v in PLAIN_CUT.items()) \
+        and all(model.get(k, "BPE" if k == "type" else None) == v for k, v in PLAIN_MODEL.items())
+    added = made.get("added_tokens") or []
+    return same and made.get("normalizer") is None and not any(t.get(k) for t in added for k in ("single_word", "lstrip", "rstrip", "normalized"))
+
+
 class Counts:
     """Token counts of texts under one tokenizer file; lives once in each Python worker.
 
+    A file of another kind (``cuts_like_this``) is given whole texts.
+
     Texts of Latin-1 characters are cut as bytes (the same classes, written out), others with Unicode classes;
     pre-tokens are therefore ``bytes`` or ``str``.
     """
@@ -38,6 +57,7 @@ class Counts:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
+        self.whole_texts = not cuts_like_this(path)
         self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.special = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))))
         self.any = regex.compile(_CUT.format(**ANY))
@@ -81,6 +101,8 @@ class Counts:
     def count(self, text: str | None) -> int:
         if not text:
             return 0
+        if self.whole_texts:
+            return len(self.tok.encode(text, add_special_tokens=False).ids)
         total, parts = 0, [text]
         if any(a in text for a in self.added):
             total = sum(1 for _ in self.special.finditer(text))
@@ -148,6 +170,8 @@ def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text", sample_
     Only speed depends on this bounded sample: what the table lacks is encoded by the workers.
     """
     prepare(docs.sparkSession)
+    if not cuts_like_this(path):
+        return {}
     total = docs.count()
     rate = min(1.0, sample_rows / max(1, total))
     draw = F.pmod(F.xxhash64(F.col(text_col)), F.lit(1 << 20)) < F.lit(int(rate * (1 << 20)))
@@ -162,8 +186,8 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                  sample_rows: int = 2000, table_size: int = 50_000) -> DataFrame:
     """One row per input row: ``(doc_id, n_bytes, n_tokens, over_limit)``.
 
-    ``n_tokens`` is what the library gives for the whole text with the byte-level BPE file at ``path`` (on every
-    worker), without begin, end or added special tokens; the strings of the file's own added tokens inside a text
+    ``n_tokens`` is what the library gives for the whole text with the file at ``path`` (on every worker; a byte-level
+    BPE file takes the two tiers, another kind whole texts), without begin, end or added special tokens; the strings of the file's own added tokens inside a text
     are one token each, the library's default.  ``n_bytes``: UTF-8.  Null and empty texts count 0 and 0.  Repeated
     rows each get a row; extra columns are not read; an empty table gives no rows.
     """

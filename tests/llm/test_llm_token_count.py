@@ -63,3 +63,20 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     got = sorted((str(r.doc_id), r.n_bytes, r.n_tokens, r.over_limit) for r in op.count_tokens(rows, PATH).collect())
     assert got == [("1", 3, 2, False), ("1", 3, 2, False), ("None", 0, 0, False)]
     assert op.count_tokens(rows.where("false"), PATH).collect() == []
+
+
+def test_files_of_another_kind_are_given_whole_texts(spark, tmp_path):
+    import json
+
+    from tokenizers import Tokenizer
+    other = PATH.replace("byte_bpe_50k.json", "word_bpe_49k.json")
+    assert op.cuts_like_this(PATH) and not op.cuts_like_this(other)
+    made = json.load(open(PATH, encoding="utf-8"))
+    made["pre_tokenizer"]["add_prefix_space"] = True
+    prefixed = str(tmp_path / "prefixed.json")
+    json.dump(made, open(prefixed, "w", encoding="utf-8"))
+    texts = [None, "", "Hello  WORLD don't", "é日本 <|endoftext|> x", "a\n\n b\t", "word " * 500]
+    for path in (other, prefixed):
+        tok = Tokenizer.from_file(path)
+        got = {r.doc_id: r.n_tokens for r in op.count_tokens(documents(spark, texts), path).collect()}
+        assert got == {i: len(tok.encode(t or "", add_special_tokens=False).ids) for i, t in enumerate(texts)}
