@@ -100,9 +100,10 @@ def _entropy_kernel(models):
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", order: int = 4,
-        docs_per_lang: int = 1000, max_langs: int = 500, seed: int = 7) -> LanguageModels:
-    """Models of up to ``max_langs`` languages from about ``docs_per_lang`` whole documents of each.
+        docs_per_lang: int = 1000, max_langs: int = 2000, seed: int = 7) -> LanguageModels:
+    """Models of all languages, from about ``docs_per_lang`` whole documents of each.
 
+    More than ``max_langs`` labels are an error: the models are broadcast, and grow with the number of labels.
     The sample is the bounded one that a classifier may be fitted on: documents outside the held-out fold with a
     known language, drawn by a hash of the id.  One in five of them calibrates and is not counted.
     """
@@ -111,7 +112,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"),
                        F.col(text_col).alias("text")).where("lang is not null and doc_id is not null")
     rows = rows.where(~held_out())
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
+    sizes = rows.groupBy("lang").count().limit(max_langs + 1).collect()
+    if len(sizes) > max_langs:
+        raise ValueError(f"more than {max_langs} language labels")
     if not sizes:
         return LanguageModels(None)
     draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))

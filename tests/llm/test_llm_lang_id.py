@@ -114,3 +114,12 @@ def test_hash_array_and_symbols():
     assert (a.find(keys + np.uint64(1)) == np.where(np.isin(keys + np.uint64(1), keys), 0, -1)).all()
     assert (HashArray(np.empty(0, dtype=np.uint64)).find(keys) == -1).all()
     assert bytes(letter_symbols("Ab,, 12 É!").astype(np.uint8)) == b"ab \xe9 " and len(letter_symbols("1 2")) == 0
+
+
+def test_too_many_labels_are_an_error(spark):
+    import pytest
+
+    from chatloom.llm import lang_id as op
+    docs = spark.range(60).selectExpr("id doc_id", "concat('text ', id) text", "concat('l', id) lang")
+    with pytest.raises(ValueError):
+        op.fit(docs, max_langs=20)
