@@ -90,9 +90,14 @@ def read_jsonl(spark: SparkSession, paths, strict: bool = False, glob: str | Non
     raw = _text(spark, paths, glob).select(
         "value", F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block"))
+    return line_records(raw, strict)
+
+
+def line_records(raw: DataFrame, strict: bool = False) -> DataFrame:
+    """A3 + A7 records of lines ``(file_path, block, value)``, each split read in order by one task (also a stream's micro-batch)."""
     # numbering within a split: monotonically_increasing_id is contiguous per partition and a split is read in
     # order by one task; both passes see the same splits, as they scan the same files under the same settings
-    raw = raw.withColumn("value", py_strip("value")).withColumn("_all", F.monotonically_increasing_id())
+    raw = raw.select("file_path", "block", py_strip("value").alias("value")).withColumn("_all", F.monotonically_increasing_id())
     nb = raw.where(F.col("value") != "").withColumn("_nb", F.monotonically_increasing_id())
     splits = raw.groupBy("file_path", "block").agg(
         F.min("_all").alias("all0"), F.count(F.lit(1)).alias("n_all"), F.count_if(F.col("value") != "").alias("n_nb"))

@@ -2,29 +2,26 @@
 
 Newly arrived files under ``input_dir`` are normalized and appended to a samples
 table, with the number of added samples per trigger.  Files are routed by suffix, like
-the batch loader does; stateless streams share one normalization (per-record dialect
-detection by keys, in registry precedence):
+the batch loader does, and a file arrives whole in one micro-batch, so the batch
+loader's rules apply unchanged in each of the three stateless streams:
 
 * ``lines`` — ``*.jsonl`` files, read line by line (splittable);
 * ``documents`` — ``*.json`` files read whole (``wholetext``), then sniffed like the
-  batch reader: an array gives its items, an object one record, JSON lines in a
-  ``.json`` file their lines.  A file arrives whole in one micro-batch, so the
-  batch loader's rules apply unchanged — dialect detected per file from its first
-  valid record, exact ordinals and ids (one file = one task, as in batch); records
-  of a file with no detected dialect are quarantined as ``unknown_format``;
+  batch reader: an array gives its items, an object one record, else JSON lines;
 * ``texts`` — ``*.txt`` files read whole, one ``pretrain`` sample each.
 
-Files with any other suffix are not loaded; ``skipped_files`` lists them.
+The dialect is detected per file from its first valid record; ordinals, line numbers
+and ids are the batch loader's.  Records of a file with no detected dialect are
+quarantined as ``unknown_format``.  Files with any other suffix are not loaded;
+``skipped_files`` lists them.
 
 Each stream uses ``foreachBatch``: every micro-batch is written to
 ``…/stream=<name>/batch_id=<n>`` with overwrite, so a re-run of a batch after a
 failure replaces rather than duplicates its output (exactly-once together with
 the checkpoint).  The number of added samples is observed while they are written.
 
-Difference from the batch loader for ``lines``: a record's ``sample_id`` hashes
-its file path and line content and ``ordinal`` is NULL (per-file ranks need the
-whole file); two identical lines of one file therefore share an id, both rows are
-kept.
+``update_totals`` keeps the running totals per format: a stateful aggregation over the
+samples table as a stream, which reads one column of what was appended since its last run.
 """
 
 from __future__ import annotations
@@ -34,34 +31,21 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from chatloom.functions.text import py_strip
 from chatloom.operators.normalize import formats, load_format
-from chatloom.schema import QUARANTINE
+from chatloom.schema import QUARANTINE, SAMPLES
 
 
-def _detect_each(records: DataFrame) -> DataFrame:
-    keys = F.json_object_keys("value")
-    fmt = None
-    for name, spec in formats().items():
-        if spec.detect is None or spec.normalize is None:
-            continue
-        cond = spec.detect(keys)
-        fmt = F.when(cond, F.lit(name)) if fmt is None else fmt.when(cond, F.lit(name))
-    return records.withColumn("format", fmt.otherwise(F.lit("json")) if fmt is not None else F.lit("json"))
-
-
-def _normalize(tagged: DataFrame, exact_ordinals: bool):
+def _normalize(tagged: DataFrame):
     """(samples, quarantine) of records ``(file_path, ordinal, value, _v, format)``."""
-    keep = (lambda c: c) if exact_ordinals else (lambda c: F.lit(None).cast("long"))
     parts, quar = [], []
     for name, spec in formats().items():
         if spec.normalize is None:
             continue
         n = load_format(tagged.where(F.col("format") == name).select("file_path", "ordinal", "value", "_v"), name)
-        parts.append(n.samples.withColumn("ordinal", keep(F.col("ordinal"))))
-        quar.append(n.quarantine.withColumn("ordinal", keep(F.col("ordinal"))))
+        parts.append(n.samples)
+        quar.append(n.quarantine)
     other = tagged.where(F.col("format") == "json").select(
-        "file_path", keep(F.col("ordinal")).alias("ordinal"), F.col("value").alias("raw"),
+        "file_path", "ordinal", F.col("value").alias("raw"),
         F.when(F.json_object_keys("value").isNull(), F.lit("bad_json")).otherwise(F.lit("unknown_format"))
         .alias("reason"))
     samples = parts[0]
@@ -76,23 +60,17 @@ def _normalize(tagged: DataFrame, exact_ordinals: bool):
 def process_batch(batch: DataFrame, batch_id: int, output_dir: str, stream: str = "lines") -> None:
     """Normalize one micro-batch and write samples / quarantine / stats for it (idempotent)."""
     spark, recs = batch.sparkSession, None
-    if stream == "documents":
+    if stream == "texts":
+        from chatloom.sources.files import text_file_samples
+        samples, q = text_file_samples(batch.select("file_path", "value")), None
+    else:
         # whole files: the batch loader's rules (per-file detection from the first valid record)
-        from chatloom.sources.files import detect_formats, json_documents, records_quarantine
-        recs = json_documents(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        from chatloom.sources.files import detect_formats, json_documents, line_records, records_quarantine
+        recs = (line_records(batch) if stream == "lines" else json_documents(batch)).persist(StorageLevel.MEMORY_AND_DISK)
         tagged = recs.where("valid").select("file_path", "ordinal", "value", "_v") \
             .join(detect_formats(recs), "file_path")
-        samples, q = _normalize(tagged, exact_ordinals=True)
+        samples, q = _normalize(tagged)
         q = records_quarantine(recs).select(*QUARANTINE.names).unionByName(q)
-    elif stream == "texts":
-        from chatloom.sources.files import text_file_samples
-        samples, q = text_file_samples(batch), None
-    else:
-        lines = batch.select("file_path", py_strip("value").alias("value")).where(F.col("value") != "")
-        # stand-in ordinal so that ids differ per line: the hash of the line (NULLed after)
-        recs = _detect_each(lines.withColumn("ordinal", F.xxhash64("value"))) \
-            .withColumn("_v", F.try_parse_json("value")).persist(StorageLevel.MEMORY_AND_DISK)   # one parse
-        samples, q = _normalize(recs, exact_ordinals=False)
     part = f"stream={stream}/batch_id={batch_id}"
     seen = Observation()
     samples.observe(seen, F.count(F.lit(1)).alias("added")).write.mode("overwrite").parquet(f"{output_dir}/samples/{part}")
@@ -130,7 +108,8 @@ def incremental_load(spark: SparkSession, input_dir: str, output_dir: str, check
             reader = reader.option("wholetext", "true")
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-        src = reader.load(input_dir).select(F.col("_metadata.file_path").alias("file_path"), "value")
+        src = reader.load(input_dir).select(F.col("_metadata.file_path").alias("file_path"),
+                                            F.col("_metadata.file_block_start").alias("block"), "value")
         w = src.writeStream.foreachBatch(lambda df, bid: process_batch(df, bid, output_dir, stream)) \
             .option("checkpointLocation", ckpt)
         w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
@@ -159,4 +138,27 @@ def read_stats(spark: SparkSession, output_dir: str) -> DataFrame:
     return s.withColumn("total", F.sum("added").over(w))
 
 
-__all__ = ["IncrementalLoad", "incremental_load", "process_batch", "read_samples", "read_stats", "skipped_files"]
+def update_totals(spark: SparkSession, output_dir: str, checkpoint_location: str) -> StreamingQuery:
+    """Bring the totals per format up to date with the samples appended so far, and stop.
+
+    A streaming aggregation whose state holds one count per format; each run reads only samples files that it has not
+    seen.  Start it after ``IncrementalLoad.awaitTermination``: a batch that is being re-run replaces its files.
+    """
+    src = spark.readStream.schema(SAMPLES).option("recursiveFileLookup", "true").parquet(f"{output_dir}/samples")
+    counts = src.groupBy(F.coalesce("format", F.lit("unknown")).alias("format")).agg(F.count(F.lit(1)).alias("total"))
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        df.select("format", "total").coalesce(1).write.mode("overwrite").parquet(f"{output_dir}/totals/batch_id={batch_id}")
+
+    return counts.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint_location) \
+        .trigger(availableNow=True).start()
+
+
+def read_totals(spark: SparkSession, output_dir: str) -> DataFrame:
+    """(format, total) as of the last ``update_totals``: what ``load_stats`` counts over all samples."""
+    t = spark.read.parquet(f"{output_dir}/totals")
+    last = t.agg(F.max("batch_id").alias("_last"))
+    return t.join(F.broadcast(last), F.col("batch_id") == F.col("_last")).select("format", "total")
+
+
+__all__ = ["IncrementalLoad", "incremental_load", "process_batch", "read_samples", "read_stats", "read_totals", "skipped_files", "update_totals"]

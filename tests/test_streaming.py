@@ -3,7 +3,7 @@
 import json
 import os
 
-from chatloom.streaming.incremental import incremental_load, read_samples, read_stats
+from chatloom.streaming.incremental import incremental_load, read_samples, read_stats, read_totals, update_totals
 
 
 def test_incremental_load_two_waves(spark, tmpdir_fresh):
@@ -15,6 +15,7 @@ def test_incremental_load_two_waves(spark, tmpdir_fresh):
     incremental_load(spark, inp, out, ck).awaitTermination()
     with open(f"{inp}/b.jsonl", "w") as f:
         f.write(json.dumps({"instruction": "i", "output": "o"}) + "\n")
+    with open(f"{inp}/c.jsonl", "w") as f:
         f.write(json.dumps({"conversation": {"turn_1": {"Human": "h", "MOSS": "m"}}}) + "\n")
     incremental_load(spark, inp, out, ck).awaitTermination()
     incremental_load(spark, inp, out, ck).awaitTermination()      # nothing new: no new batch
@@ -26,8 +27,7 @@ def test_incremental_load_two_waves(spark, tmpdir_fresh):
     assert [r.reason for r in q] == ["bad_json"]
 
 
-def test_stream_equals_batch_except_ids(spark, tmpdir_fresh):
-    from pyspark.sql import functions as F
+def test_stream_of_lines_equals_batch_with_ids(spark, tmpdir_fresh):
     from chatloom.sources.files import scan_directory
     inp, out, ck = f"{tmpdir_fresh}/in", f"{tmpdir_fresh}/out", f"{tmpdir_fresh}/ck"
     os.makedirs(inp)
@@ -36,16 +36,38 @@ def test_stream_equals_batch_except_ids(spark, tmpdir_fresh):
     with open(f"{inp}/a.jsonl", "w") as f:
         f.write("\n".join(json.dumps(r) for r in recs[:5]) + "\n")
     with open(f"{inp}/b.jsonl", "w") as f:
-        f.write("\n".join(json.dumps(r) for r in recs[5:]) + "\n")
+        f.write("\n\n{broken\n".join(json.dumps(r) for r in recs[5:]) + "\n")
+    with open(f"{inp}/same.jsonl", "w") as f:  # equal lines, another dialect than the first record's, and a large file
+        f.write("\n".join([json.dumps(recs[5])] * 3000 + [json.dumps(recs[0])] + [json.dumps(recs[6])] * 2000))
     incremental_load(spark, inp, out, ck).awaitTermination()
-    cols = ["kind", "text", "dialog", "file_path", "type", "turns", "category", "metadata", "format"]
-
-    def norm(df):
+    def norm(df, cols):
         return sorted(tuple(str(r[c]) for c in cols) for r in df.select(*cols).collect())
-    batch = scan_directory(spark, inp).samples
-    stream = read_samples(spark, out).drop("batch_id")
-    assert norm(stream) == norm(batch)
-    assert stream.where(F.col("ordinal").isNotNull()).count() == 0
+    res = scan_directory(spark, inp)
+    stream = read_samples(spark, out)
+    assert norm(stream, res.samples.columns) == norm(res.samples, res.samples.columns)
+    assert stream.select("sample_id").distinct().count() == stream.count() == 5 + 4 + 5000
+    quar = ["file_path", "ordinal", "raw", "reason"]
+    assert norm(spark.read.parquet(f"{out}/quarantine"), quar) == norm(res.quarantine, quar)
+    res.release()
+
+
+def test_totals_after_every_trigger(spark, tmpdir_fresh):
+    from chatloom.operators.profile import load_stats
+    from chatloom.sources.files import scan_directory
+    inp, out, ck = f"{tmpdir_fresh}/in", f"{tmpdir_fresh}/out", f"{tmpdir_fresh}/ck"
+    os.makedirs(inp)
+    for wave in range(3):
+        with open(f"{inp}/w{wave}.jsonl", "w") as f:
+            f.write((json.dumps({"instruction": "i", "output": "o"}) + "\n") * (wave + 2))
+        with open(f"{inp}/w{wave}.txt", "w") as f:
+            f.write("text")
+        incremental_load(spark, inp, out, ck).awaitTermination()
+        update_totals(spark, out, f"{ck}-totals").awaitTermination()
+        res = scan_directory(spark, inp)
+        assert {r.format: r.total for r in read_totals(spark, out).collect()} == {r.format: r.n_samples for r in load_stats(res.samples).collect()}
+        res.release()
+    update_totals(spark, out, f"{ck}-totals").awaitTermination()  # nothing new
+    assert {r.format: r.total for r in read_totals(spark, out).collect()} == {"alpaca": 9, "txt": 3}
 
 
 def test_stream_json_documents_equal_batch(spark, tmpdir_fresh):
