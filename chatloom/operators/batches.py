@@ -63,82 +63,30 @@ def batch_windows(windows: DataFrame, seed: int = 0, epochs: int = 1,
     return pos.withColumn("batch_id", (F.col("pos") / F.lit(batch_size)).cast("long"))
 
 
-def _running_sum_kernel(group_col: str, value_cols: list[str]):
-    """mapInArrow body: inclusive running sums of ``value_cols`` per contiguous ``group_col`` run.
-
-    The partition arrives sorted by (group, order); the carry crosses batch borders.
-    """
-    def run(batches):
-        import numpy as np
-        import pandas as pd
-        import pyarrow as pa
-        last_key, carry = None, None
-        for b in batches:
-            n = b.num_rows
-            names = list(b.schema.names)
-            if n == 0:
-                yield pa.RecordBatch.from_arrays(
-                    list(b.columns) + [pa.array(np.empty(0)) for _ in value_cols],
-                    names=names + [f"_run_{c}" for c in value_cols])
-                continue
-            keys = b.column(names.index(group_col)).to_pandas()
-            codes = pd.factorize(keys, sort=False)[0]
-            new_run = np.ones(n, dtype=bool)
-            new_run[1:] = codes[1:] != codes[:-1]
-            starts = np.flatnonzero(new_run)
-            lengths = np.diff(np.append(starts, n))
-            first_end = starts[1] if len(starts) > 1 else n
-            cont = keys.iloc[0] == last_key
-            outs = []
-            for j, c in enumerate(value_cols):
-                col = b.column(names.index(c))
-                floating = pa.types.is_floating(col.type)
-                vals = np.nan_to_num(col.to_numpy(zero_copy_only=False).astype(np.float64 if floating else np.int64))
-                cs = np.cumsum(vals)
-                out = cs - np.repeat(cs[starts] - vals[starts], lengths)
-                if cont:
-                    out[:first_end] += carry[j]
-                outs.append(out)
-            last_key, carry = keys.iloc[-1], [o[-1] for o in outs]
-            yield pa.RecordBatch.from_arrays(list(b.columns) + [pa.array(o) for o in outs],
-                                             names=names + [f"_run_{c}" for c in value_cols])
-    return run
-
-
 def prefix_sum(df: DataFrame, group_col: str, order_cols: list[str], value_cols, out_cols,
                partitions: int | None = None) -> DataFrame:
     """Exclusive prefix sums of ``value_cols`` within ``group_col`` in ``order_cols`` order, distributed.
 
-    Same shape as ``dense_positions``: range partitions (a hot group spans many of
-    them), a frozen checkpoint, per-(partition, group) totals turned into offsets,
-    and running sums inside each partition (Arrow kernel, no extra shuffle).
+    Give it narrow rows (keys and numbers): they are range-partitioned, so a hot group spans many partitions, and
+    frozen by a checkpoint.  Sums run in Spark's window inside each (partition, group); a group that began in an earlier
+    partition adds what it had there.  Ranges are contiguous, so at most one group a partition did: the offset
+    table has no more rows than there are partitions.
     """
-    from pyspark.sql import types as T
-
-    from chatloom.plans.runtime import ensure_package
     if isinstance(value_cols, str):
         value_cols, out_cols = [value_cols], [out_cols]
     spark = df.sparkSession
     checkpoint_dir(spark)
-    ensure_package(spark)
     keys = [group_col, *order_cols]
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("_pid", F.spark_partition_id())
-    frozen = ranged.checkpoint(eager=True)
-    fields = list(frozen.schema.fields)
-    for c in value_cols:
-        vt = frozen.schema[c].dataType
-        fields.append(T.StructField(f"_run_{c}", T.DoubleType() if isinstance(vt, (T.DoubleType, T.FloatType))
-                                    else T.LongType()))
-    ran = frozen.mapInArrow(_running_sum_kernel(group_col, list(value_cols)), T.StructType(fields))
-    totals = frozen.groupBy("_pid", group_col).agg(*[F.sum(c).alias(f"_s_{c}") for c in value_cols])
-    w = Window.partitionBy(group_col).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_pid", group_col, *[F.coalesce(F.sum(f"_s_{c}").over(w), F.lit(0)).alias(f"_off_{c}")
-                                                 for c in value_cols])
-    if offsets.count() <= BROADCAST_ROWS:
-        offsets = F.broadcast(offsets)
-    out = ran.join(offsets, ["_pid", group_col])
-    for c, o in zip(value_cols, out_cols):
-        out = out.withColumn(o, F.col(f"_off_{c}") + F.col(f"_run_{c}") - F.col(c))
-    drop = ["_pid"] + [f"_run_{c}" for c in value_cols] + [f"_off_{c}" for c in value_cols]
-    return out.drop(*drop)
+    frozen = df.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+    before = Window.partitionBy("_pid", group_col).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    ran = frozen.select("*", *[F.sum(c).over(before).alias(f"_run_{c}") for c in value_cols])
+    parts = Window.partitionBy(group_col).orderBy("_pid")
+    earlier = parts.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = frozen.groupBy("_pid", group_col).agg(*[F.sum(c).alias(f"_s_{c}") for c in value_cols]).select(
+        F.col("_pid").alias("_opid"), F.col(group_col).alias("_ogroup"), F.row_number().over(parts).alias("_nth"),
+        *[F.sum(f"_s_{c}").over(earlier).alias(f"_off_{c}") for c in value_cols]).where("_nth > 1")
+    out = ran.join(F.broadcast(offsets), (F.col("_pid") == F.col("_opid")) & F.col(group_col).eqNullSafe(F.col("_ogroup")), "left")
+    sums = {o: F.coalesce(F.col(f"_run_{c}"), F.lit(0)) + F.coalesce(F.col(f"_off_{c}"), F.lit(0))
+            for c, o in zip(value_cols, out_cols)}
+    return out.select(*df.columns, *[e.alias(o) for o, e in sums.items()])

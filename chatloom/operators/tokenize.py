@@ -109,13 +109,11 @@ def encode_turns(turns: DataFrame, vocab, id_col: str = "conv_id", order_col: st
     ``<eos>`` row per dialog (``turn`` NULL): ``(sample_id, turn, pos0, n_tokens,
     token_ids)``, where ``pos0`` is the position of the row's first token in the
     dialog's sequence — the same ids ``encode_samples`` gives an assembled dialog,
-    cut at turn borders.  Positions are exclusive prefix sums over range partitions,
-    so a dialog holding most rows is spread over many tasks.
+    cut at turn borders.  Positions are exclusive prefix sums of token counts over range
+    partitions, so a dialog holding most rows is spread over many tasks.
     """
-    from chatloom.operators.batches import prefix_sum
-    from chatloom.operators.windows import _encode_turns_kernel, _kind
+    from chatloom.operators.windows import placed_turns
     from chatloom.sources.tables import dialog_key
-    from chatloom.schema import EOS_ID
     spark = turns.sparkSession
     ensure_package(spark)
     bc = broadcast_value(spark, _lookup(vocab))
@@ -123,17 +121,11 @@ def encode_turns(turns: DataFrame, vocab, id_col: str = "conv_id", order_col: st
                      F.col(role_col).alias("_role"), F.col(text_col).alias("_text"))
     # B6 per dialog by a partial aggregate (map-side combine, one small row per dialog)
     dlg = t.groupBy("_id").agg(F.count_if(F.col("_role") == "assistant").alias("_na"),
-                               F.max("_ord").alias("_last")).where("_na > 0")
-    kept = t.join(dlg.select("_id"), "_id", "left_semi")
-    enc = kept.mapInArrow(_encode_turns_kernel(bc, escape_specials), f"_id {_kind(kept, '_id')}, _ord long, ids array<int>")
-    eos = dlg.select("_id", (F.col("_last") + 1).alias("_ord"), F.array(F.lit(EOS_ID)).alias("ids"),
-                     F.lit(True).alias("_eos"))
-    toks = enc.withColumn("_eos", F.lit(False)).unionByName(eos).withColumn("n", F.size("ids").cast("long")) \
-        .where(F.col("n") > 0)
-    pre = prefix_sum(toks, "_id", ["_ord"], "n", "pos0")
+                               F.max("_ord").alias("_last")).where("_na > 0 and _id is not null")
+    pre = placed_turns(t.join(dlg.select("_id"), "_id", "left_semi"), dlg, bc, escape_specials)
     return pre.select(F.concat(F.lit(source_name + ":"), F.col("_id").cast("string")).alias("sample_id"),
-                      F.when(F.col("_eos"), F.lit(None)).otherwise(F.col("_ord")).alias(order_col),
-                      F.col("pos0").cast("long"), F.col("n").alias("n_tokens"), F.col("ids").alias("token_ids"))
+                      F.col("_ord").alias(order_col), F.col("g0").alias("pos0"), F.col("n").alias("n_tokens"),
+                      F.col("ids").alias("token_ids"))
 
 
 def unknown_stats(tokens: DataFrame, ids_col: str = "token_ids") -> DataFrame:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chatloom.functions.kernels import CharLookup, distinct_code_points
 from chatloom.functions.text import role_marker
 from chatloom.plans.runtime import ensure_package
-from chatloom.schema import SPECIAL_TOKENS, VOCAB
+from chatloom.schema import ROLE_MARKERS, SPECIAL_TOKENS, VOCAB
 
 # A vocabulary is a set of distinct code points: it can never exceed this.
 MAX_VOCAB_ROWS = 0x110000 + len(SPECIAL_TOKENS)
@@ -61,37 +62,62 @@ def number_tokens(distinct: DataFrame) -> DataFrame:
     return specials.unionByName(numbered)
 
 
+class _SureChars:
+    """What one task knows of the vocabulary: characters of dialogs that are certainly kept.
+
+    A dialog with an assistant turn in the batch is kept, so its characters count at once, whatever dialog they came
+    from.  Characters of the others are only worth a (dialog, character) pair if they aren't sure already.  The set
+    has at most one entry per code point.
+    """
+
+    def __init__(self):
+        self.seen = np.empty(0, dtype=np.uint32)
+
+    def rows(self, ids, roles, texts):
+        """``(dialog or None, character)`` of a batch: newly sure ones, then pairs of undecided dialogs."""
+        strs, kept = {}, set()
+        for i, r, t in zip(ids, roles, texts):
+            strs.setdefault(i, []).extend([t, ROLE_MARKERS.get(r)])
+            if r == "assistant":
+                kept.add(i)
+        sure = np.setdiff1d(distinct_code_points(s for i in kept if i is not None for s in strs[i]), self.seen)
+        self.seen = np.union1d(self.seen, sure)
+        out_i, out_t = [None] * len(sure), [chr(c) for c in sure.tolist()]
+        for i, own in strs.items():
+            if i is not None and i not in kept:
+                new = np.setdiff1d(distinct_code_points(own), self.seen)
+                out_i += [i] * len(new)
+                out_t += [chr(c) for c in new.tolist()]
+        return out_i, out_t
+
+
+def kept_chars(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """Characters of ``rows(_id, token)``: the sure ones (no id) and those of kept dialogs."""
+    known = kept.select("_id", F.lit(True).alias("_kept"))
+    chars = rows.distinct().join(known, "_id", "left").where("_id is null or _kept").select("token")
+    tail = kept.limit(1).select(F.explode(F.array(*[F.lit(c) for c in "<eos>\n"])).alias("token"))
+    return chars.unionByName(tail).distinct()
+
+
 def dialog_chars(turns: DataFrame, kept: DataFrame) -> DataFrame:
     """Distinct corpus characters of the kept dialogs of a turn table ``(_id, _role, _text)``.
 
-    The kernel emits distinct (dialog, character) pairs per batch — contents plus the
-    role marker's characters — so the shuffle carries pairs, not text; a semi join
-    keeps the pairs of kept dialogs (AQE splits a skewed dialog).
+    A task sends each character of dialogs that it sees to be kept once, and (dialog, character) pairs only for
+    characters that it hasn't sent and dialogs whose assistant turn it hasn't seen: neither text nor a dialog's
+    characters are shuffled, however the turns lie in the table.
     """
     spark = turns.sparkSession
     ensure_package(spark)
 
     def run(batches):
         import pyarrow as pa
-        from chatloom.schema import ROLE_MARKERS
+        sure = _SureChars()
         for b in batches:
-            ids, roles, texts = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()
-            by_id: dict = {}
-            for i, r, t in zip(ids, roles, texts):
-                by_id.setdefault(i, []).extend([t, ROLE_MARKERS.get(r)])
-            out_i, out_t = [], []
-            for i, strs in by_id.items():
-                for c in distinct_code_points(strs).tolist():
-                    out_i.append(i)
-                    out_t.append(chr(c))
-            yield pa.RecordBatch.from_arrays([pa.array(out_i, b.column(0).type), pa.array(out_t, pa.string())],
-                                             names=["_id", "token"])
+            i, t = sure.rows(*(b.column(k).to_pylist() for k in range(3)))
+            yield pa.RecordBatch.from_arrays([pa.array(i, b.column(0).type), pa.array(t, pa.string())], names=["_id", "token"])
 
     kind = turns.schema["_id"].dataType.simpleString()
-    pairs = turns.select("_id", "_role", "_text").mapInArrow(run, f"_id {kind}, token string").distinct()
-    chars = pairs.join(kept.select("_id"), "_id", "left_semi").select("token")
-    tail = kept.limit(1).select(F.explode(F.array(*[F.lit(c) for c in "<eos>\n"])).alias("token"))
-    return chars.unionByName(tail).distinct()
+    return kept_chars(turns.select("_id", "_role", "_text").mapInArrow(run, f"_id {kind}, token string"), kept)
 
 
 def turn_table_vocab(turns: DataFrame, id_col: str = "conv_id", role_col: str = "role",
@@ -105,42 +131,34 @@ def turn_table_vocab(turns: DataFrame, id_col: str = "conv_id", role_col: str =
 
 
 def dialog_profile(turns: DataFrame) -> DataFrame:
-    """One scan of a turn table ``(_id, _ord, _role, _text)`` → per-batch rows of two kinds:
+    """One scan of a turn table ``(_id, _ord, _role, _text)`` → rows of two kinds:
 
-    * ``(_id, token)`` — distinct corpus characters of the dialog in that batch (content and
-      role-marker characters);
+    * ``(_id, token)`` — characters as in ``dialog_chars``: without an id those that are surely in the vocabulary,
+      with one those that depend on the dialog;
     * ``(_id, token=NULL, _n, _na, _last, _chars)`` — partial dialog stats (turns, assistant
       turns, last turn key, characters).
 
-    Callers aggregate the stats by dialog and dedup the pairs; the text is read once for both.
+    Callers aggregate the stats by dialog and dedup the characters; the text is read once for both.
     """
     spark = turns.sparkSession
     ensure_package(spark)
 
     def run(batches):
         import pyarrow as pa
-        from chatloom.schema import ROLE_MARKERS
+        sure = _SureChars()
         for b in batches:
-            ids, ords = b.column(0).to_pylist(), b.column(1).to_pylist()
-            roles, texts = b.column(2).to_pylist(), b.column(3).to_pylist()
-            strs: dict = {}
+            ids, ords, roles, texts = (b.column(k).to_pylist() for k in range(4))
+            out_i, out_t = sure.rows(ids, roles, texts)
             st: dict = {}
             for i, o, r, t in zip(ids, ords, roles, texts):
-                strs.setdefault(i, []).extend([t, ROLE_MARKERS.get(r)])
                 n, na, last, chars = st.get(i, (0, 0, None, 0))
                 st[i] = (n + 1, na + (r == "assistant"), o if last is None or (o is not None and o > last) else last,
                          chars + (len(t) if t else 0))
-            out_i, out_t, out_n, out_na, out_last, out_c = [], [], [], [], [], []
-            for i, ss in strs.items():
-                for c in distinct_code_points(ss).tolist():
-                    out_i.append(i); out_t.append(chr(c))
-                    out_n.append(None); out_na.append(None); out_last.append(None); out_c.append(None)
-                n, na, last, chars = st[i]
-                out_i.append(i); out_t.append(None)
-                out_n.append(n); out_na.append(na); out_last.append(last); out_c.append(chars)
+            blank = [None] * len(out_i)
+            stats = [blank + list(c) for c in zip(*st.values())] if st else [blank] * 4
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out_i, b.column(0).type), pa.array(out_t, pa.string()), pa.array(out_n, pa.int64()),
-                 pa.array(out_na, pa.int64()), pa.array(out_last, pa.int64()), pa.array(out_c, pa.int64())],
+                [pa.array(out_i + list(st), b.column(0).type), pa.array(out_t + [None] * len(st), pa.string()),
+                 *(pa.array(c, pa.int64()) for c in stats)],
                 names=["_id", "token", "_n", "_na", "_last", "_chars"])
 
     kind = turns.schema["_id"].dataType.simpleString()

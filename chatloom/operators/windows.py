@@ -11,7 +11,7 @@ Two plans:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatloom.functions.kernels import WindowBuilder, iter_sample_chunks
@@ -142,28 +142,82 @@ def _kind(df: DataFrame, col: str) -> str:
 
 
 # -- turn tables: collect-free windows for dialogs of any size ---------------------------------------------------
+def _turn_tokens(lookup, role, text, escape_specials: bool):
+    import numpy as np
+    from chatloom.functions.kernels import ROLE_TOKEN
+    t = lookup.encode(text, escape_specials)
+    m = ROLE_TOKEN.get(role)
+    return t if m is None else np.concatenate([np.array([m], np.int32), t])
+
+
+def _count_turns_kernel(bc, escape_specials: bool):
+    """Numbers of a turn's tokens: how many, whether a control token is among them, and the state after the last one."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        for b in batches:
+            n, last = [], []
+            for role, text in zip(b.column(4), b.column(5)):
+                t = _turn_tokens(bc.value, role.as_py(), text.as_py(), escape_specials)
+                ctl = t[np.isin(t, (ASSISTANT_ID, USER_ID, EOS_ID))]
+                n.append(len(t))
+                last.append(int(ctl[-1] == ASSISTANT_ID) if len(ctl) else -1)
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(n, pa.int64()), pa.array([int(x >= 0) for x in last], pa.int64()),
+                                              pa.array(last, pa.int64())], names=["_id", "_at", "_by", "_tie", "n", "_has", "_ls"])
+    return run
+
+
 def _encode_turns_kernel(bc, escape_specials: bool):
     def run(batches):
         import numpy as np
         import pyarrow as pa
-        from chatloom.functions.kernels import ROLE_TOKEN
-        lookup = bc.value
+        eos_ids = np.array([EOS_ID], np.int32)
         for b in batches:
-            roles, texts = b.column(2).to_pylist(), b.column(3).to_pylist()
             offs, vals = [0], []
-            for role, text in zip(roles, texts):
-                t = lookup.encode(text, escape_specials)
-                m = ROLE_TOKEN.get(role)
-                if m is not None:
-                    t = np.concatenate([np.array([m], np.int32), t])
+            for eos, role, text in zip(b.column("_eos").to_pylist(), b.column("_role"), b.column("_text")):
+                t = eos_ids if eos else _turn_tokens(bc.value, role.as_py(), text.as_py(), escape_specials)
                 vals.append(t)
                 offs.append(offs[-1] + len(t))
             flat = np.concatenate(vals) if vals else np.empty(0, np.int32)
-            arr = pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(flat, pa.int32()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), arr], names=["_id", "_ord", "ids"])
+            ids = pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(flat, pa.int32()))
+            names = ["_id", "_ord", "_eos", "g0", "n", "_c", "_has", "_ls"]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), ids], names=[*names, "ids"])
     return run
 
 
+def placed_turns(turns: DataFrame, dialogs: DataFrame, bc, escape_specials: bool = False) -> DataFrame:
+    """Tokens of ``turns(_id, _ord, _role, _text)`` with their place in the dialog, without a dialog row.
+
+    ``(_id, _ord, _eos, g0, n, _c, _has, _ls, ids)``: a row for each turn with tokens and one ``<eos>`` row for each of
+    ``dialogs(_id, _last)``.  ``g0`` / ``_c``: tokens and turns with a control token before it.  Only counts go through
+    the prefix sums; text is shuffled once, to meet its place, and encoded there, so token arrays are never
+    frozen.  Turns of one number are ordered by role and a hash of role and text; equal rows each get their own place.
+    """
+    low = F.lit(-(1 << 63)).cast("long")
+    src = turns.select("_id", F.coalesce("_ord", low).alias("_at"), F.coalesce("_role", F.lit("")).alias("_by"),
+                       F.xxhash64("_role", "_text").alias("_tie"), "_role", "_text", "_ord")
+    keys = ["_id", "_at", "_by", "_tie"]
+    kind = _kind(src, "_id")
+    counts = src.select(*keys, "_role", "_text").mapInArrow(
+        _count_turns_kernel(bc, escape_specials), f"_id {kind}, _at long, _by string, _tie long, n long, _has long, _ls long")
+    rows = counts.where("n > 0").groupBy(*keys, "n", "_has", "_ls").agg(F.count(F.lit(1)).alias("_m")) \
+        .withColumn("_eos", F.lit(False))
+    eos = dialogs.select("_id", (F.coalesce("_last", low) + 1).alias("_at"), F.lit("").alias("_by"), F.lit(None).cast("long").alias("_tie"),
+                         F.lit(1).cast("long").alias("n"), F.lit(1).cast("long").alias("_has"), F.lit(0).cast("long").alias("_ls"),
+                         F.lit(1).cast("long").alias("_m"), F.lit(True).alias("_eos"))
+    both = rows.unionByName(eos).withColumn("_nm", F.col("n") * F.col("_m")).withColumn("_hm", F.col("_has") * F.col("_m"))
+    from chatloom.operators.batches import prefix_sum
+    pre = prefix_sum(both, "_id", ["_at", "_by", "_tie"], ["_nm", "_hm"], ["_g", "_h"])
+    x = pre.join(src, keys, "left")  # the <eos> rows meet no text
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("_at")) - 1
+    x = x.select("_id", "_ord", "_eos", "n", "_has", "_ls", "_role", "_text", F.when(F.col("_m") > 1, nth).otherwise(0).cast("long").alias("_k"),
+                 "_g", "_h")
+    x = x.select("_id", "_ord", "_eos", (F.col("_g") + F.col("_k") * F.col("n")).alias("g0"), "n",
+                 (F.col("_h") + F.col("_k") * F.col("_has")).alias("_c"), "_has", "_ls", "_role", "_text")
+    return x.mapInArrow(_encode_turns_kernel(bc, escape_specials),
+                        f"_id {kind}, _ord long, _eos boolean, g0 long, n long, _c long, _has long, _ls long, ids array<int>")
+
+
 def _mask_kernel(seq_len: int):
     def run(batches):
         import numpy as np
@@ -232,8 +286,8 @@ def windows_from_turns(turns: DataFrame, dialogs: DataFrame, lookup, source_name
     """F7 without assembling dialogs: ``turns(_id, _ord, _role, _text)`` of kept dialogs,
     ``dialogs(_id, _last)`` with the last turn key per dialog.
 
-    Tokens per turn → exclusive prefix sums of token counts (range-partitioned, so one
-    huge dialog spans many tasks) → each turn emits the slices it contributes to each
+    Token counts per turn → exclusive prefix sums (range-partitioned, so one huge dialog
+    spans many tasks) → tokens at their places (``placed_turns``) → each turn emits the slices it contributes to each
     overlapping window → ``groupBy(dialog, window)`` (≤ seq_len+1 tokens per group) →
     mask kernel.  Same output as ``build_windows`` (``keep_tail`` and both mask scopes).
 
@@ -242,24 +296,13 @@ def windows_from_turns(turns: DataFrame, dialogs: DataFrame, lookup, source_name
     (count of such turns) and an equi-join; a small kernel then gives the state just
     before every window start inside the turn.
     """
-    from chatloom.operators.batches import prefix_sum
     stride = stride or seq_len // 2
     spark = turns.sparkSession
     ensure_package(spark)
     bc = broadcast_value(spark, lookup)
-    enc = turns.select("_id", "_ord", "_role", "_text").mapInArrow(
-        _encode_turns_kernel(bc, escape_specials), f"_id {_kind(turns, '_id')}, _ord long, ids array<int>")
-    eos = dialogs.select("_id", (F.col("_last") + 1).cast("long").alias("_ord"), F.array(F.lit(EOS_ID)).alias("ids"))
-    toks = enc.unionByName(eos).withColumn("n", F.size("ids").cast("long")).where(F.col("n") > 0)
     sample_scope = mask_scope == "sample"
-    if sample_scope:
-        fold = F.aggregate("ids", F.lit(-1), lambda acc, t: F.when(t == ASSISTANT_ID, F.lit(1))
-                           .when(t.isin(USER_ID, EOS_ID), F.lit(0)).otherwise(acc))
-        toks = toks.withColumn("_ls", fold).withColumn("_has", (F.col("_ls") >= 0).cast("long"))
-        pre = prefix_sum(toks, "_id", ["_ord"], ["n", "_has"], ["g0", "_c"])
-    else:
-        pre = prefix_sum(toks, "_id", ["_ord"], "n", "g0")
-    lens = toks.groupBy("_id").agg(F.sum("n").alias("L"))
+    pre = placed_turns(turns, dialogs, bc, escape_specials)
+    lens = pre.where("_eos").select("_id", (F.col("g0") + 1).alias("L"))  # <eos> is a dialog's last token
     x = pre.join(lens, "_id")
     S = seq_len
     n_win = F.when(F.col("L") <= S + 1, F.lit(1)).otherwise(F.ceil((F.col("L") - S) / F.lit(stride)))
@@ -309,8 +352,8 @@ def turn_table_windows(turns: DataFrame, id_col: str = "conv_id", order_col: str
     """B7 → B6 → E1/E2 → F7 for a turn-per-row table, safe for dialogs of any size.
 
     Returns ``(windows, vocab)``.  One scan of the text yields both the vocabulary's
-    (dialog, character) pairs and per-dialog stats (turns, assistant turns, characters);
-    the small stats table is persisted.  Dialogs within ``max_turns`` and ``max_chars``
+    characters and per-dialog stats (turns, assistant turns, characters); the small stats
+    table is persisted.  Dialogs within ``max_turns`` and ``max_chars``
     are assembled and cut by the fused kernel (one row per dialog); larger ones go
     through ``windows_from_turns`` (no per-dialog row); both routes support every option and
     order turns that share a key by role and text.  Hot dialogs leave by a map-side anti-join
@@ -318,7 +361,7 @@ def turn_table_windows(turns: DataFrame, id_col: str = "conv_id", order_col: str
     """
     from pyspark import StorageLevel
 
-    from chatloom.operators.vocab import collect_lookup, dialog_profile, number_tokens
+    from chatloom.operators.vocab import collect_lookup, dialog_profile, kept_chars, number_tokens
     from chatloom.operators.batches import dense_positions
     from chatloom.sources.tables import assemble_dialogs, dialog_key
     spark = turns.sparkSession
@@ -330,10 +373,7 @@ def turn_table_windows(turns: DataFrame, id_col: str = "conv_id", order_col: str
         F.sum("_n").alias("_n"), F.sum("_na").alias("_na"), F.max("_last").alias("_last"),
         F.sum("_chars").alias("_chars")).persist(StorageLevel.MEMORY_AND_DISK)
     kept = dlg.where(F.col("_na") > 0)
-    pairs = prof.where(F.col("token").isNotNull()).select("_id", "token").distinct()
-    chars = pairs.join(kept.select("_id"), "_id", "left_semi").select("token")
-    tail = kept.limit(1).select(F.explode(F.array(*[F.lit(c) for c in "<eos>\n"])).alias("token"))
-    vocab = number_tokens(chars.unionByName(tail).distinct()).cache()
+    vocab = number_tokens(kept_chars(prof.where(F.col("token").isNotNull()).select("_id", "token"), kept)).cache()
     lookup = collect_lookup(vocab)
     prof.unpersist()
     is_hot = (F.col("_n") > max_turns) | (F.col("_chars") > max_chars)

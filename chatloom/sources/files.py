@@ -96,7 +96,7 @@ def read_jsonl(spark: SparkSession, paths, strict: bool = False, glob: str | Non
 def line_records(raw: DataFrame, strict: bool = False) -> DataFrame:
     """A3 + A7 records of lines ``(file_path, block, value)``, each split read in order by one task (also a stream's micro-batch)."""
     # numbering within a split: monotonically_increasing_id is contiguous per partition and a split is read in
-    # order by one task; both passes see the same splits, as they scan the same files under the same settings
+    # order by one task; both passes see the same splits, as they scan the same files under the same settings (checked below)
     raw = raw.select("file_path", "block", py_strip("value").alias("value")).withColumn("_all", F.monotonically_increasing_id())
     nb = raw.where(F.col("value") != "").withColumn("_nb", F.monotonically_increasing_id())
     splits = raw.groupBy("file_path", "block").agg(
@@ -106,14 +106,18 @@ def line_records(raw: DataFrame, strict: bool = False) -> DataFrame:
     in_task = Window.partitionBy(F.shiftright("all0", 33)).orderBy("all0").rowsBetween(*before)
     zero = F.lit(0)
     offs = splits.select(
-        "file_path", "block", "all0",
+        "file_path", "block", "all0", "n_all",
         (F.shiftleft(F.shiftright("all0", 33), 33) + F.coalesce(F.sum("n_nb").over(in_task), zero)).alias("nb0"),
         F.coalesce(F.sum("n_all").over(in_file), zero).alias("all_before"),
         F.coalesce(F.sum("n_nb").over(in_file), zero).alias("nb_before"))
-    rec = nb.join(offs, ["file_path", "block"]).select(
+    # both passes must cut the files alike: a line that lies outside the split it was counted in is an error, no wrong number
+    place = F.col("_all") - F.col("all0")
+    alike = (place >= 0) & (place < F.col("n_all"))
+    wrong = F.raise_error(F.lit("a file was split otherwise when its lines were counted; read it again")).cast("long")
+    rec = nb.join(offs, ["file_path", "block"], "left").select(
         "file_path",
-        (F.col("_nb") - F.col("nb0") + F.col("nb_before")).alias("ordinal"),
-        (F.col("_all") - F.col("all0") + F.col("all_before") + 1).alias("line"),
+        F.when(alike, F.col("_nb") - F.col("nb0") + F.col("nb_before")).otherwise(wrong).alias("ordinal"),
+        (place + F.col("all_before") + 1).alias("line"),
         "value")
     return _with_validity(rec, strict)
 
