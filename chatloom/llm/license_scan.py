@@ -15,24 +15,36 @@ from chatloom.llm.license_texts import DIGESTS, LICENSES, NOTICES, TITLES
 SPELLINGS = [("licence", "license"), ("acknowledgement", "acknowledgment"), ("authoris", "authoriz"), ("organis", "organiz"),
              ("recognis", "recogniz"), ("favour", "favor"), ("behaviour", "behavior"), ("judgement", "judgment"),
              ("whilst", "while"), ("non-infringement", "noninfringement"), ("per cent", "percent")]
+# fixed values: dashes, quotes, blanks and signs beyond ASCII that stand for ASCII punctuation
+FOLDED = "\u00a0\u00ab\u00ad\u00b7\u00bb\u2002\u2003\u2009\u2010\u2011\u2012\u2013\u2014\u2015\u2018\u2019\u201a\u201b\u201c\u201d\u201e\u201f\u2022\u2026\u202f\u2039\u203a\u2212\u3000\ufeff"
 COPYRIGHT_LINE = r"^[^0-9a-z©]*(copyright (\(c\)|[^a-z])*[0-9]|copyright ©|©|\(c\)|all rights reserved)"
+HEAD = 10  # lines in which a holder's line needs no year (behind them stand terms, and examples of how to apply them)
+HOLDER_LINE = r"^[^0-9A-Za-z©]*([Cc]opyright|COPYRIGHT):? *(\([Cc]\)|[<\[]|[Bb]y |[A-Z])"
+TERMS_LINE = r"^[^0-9A-Za-z©]*(Copyright|COPYRIGHT) (Notice|Holder|Owner|Licen|Law|Act|And|Or|In|NOTICE|HOLDER|OWNER|LICEN|LAW|ACT|AND|OR|IN)"
 MAX_KNOWN = 100_000  # known digests that are broadcast
-_COPYRIGHT = re.compile(COPYRIGHT_LINE)
+_COPYRIGHT, _HOLDER, _TERMS = re.compile(COPYRIGHT_LINE), re.compile(HOLDER_LINE), re.compile(TERMS_LINE)
+_FOLD = re.compile("[" + FOLDED + "]")
 _MARKS = (b"copyright", b"\xc2\xa9", b"(c)", b"all rights")
 _BLANK = bytes(c if 0x80 <= c or chr(c).isalnum() else 0x20 for c in range(256))
 
 
 def canonical_lines(text: str | None) -> list[bytes]:
-    """The lines in canonical form: A-Z lower-cased, equal spellings, ASCII punctuation and blanks as single blanks.
+    """The lines in canonical form: A-Z lower-cased, equal spellings, punctuation and blanks as single blanks.
 
-    Copyright lines and lines without a word are left out.
+    Dashes, quotation marks and blanks beyond ASCII (``FOLDED``) count as punctuation.  Copyright lines, in the first
+    ``HEAD`` lines also those without a year, and lines without a word are left out.
     """
-    low = (text or "").encode("utf-8").lower().replace(b"\r", b"\n")
+    text = (text or "").replace("\r", "\n")
+    if not text.isascii():
+        text = _FOLD.sub(" ", text)
+    head = text.split("\n", HEAD)[:HEAD]
+    holders = {i for i, line in enumerate(head) if _HOLDER.match(line) and not _TERMS.match(line)}
+    low = text.encode("utf-8").lower()
     for a, b in SPELLINGS:
         low = low.replace(a.encode(), b.encode())
     out = []
-    for line in low.split(b"\n"):
-        if any(mark in line for mark in _MARKS) and _COPYRIGHT.match(line.decode("utf-8")):
+    for i, line in enumerate(low.split(b"\n")):
+        if i in holders or (any(mark in line for mark in _MARKS) and _COPYRIGHT.match(line.decode("utf-8"))):
             continue
         words = line.translate(_BLANK).split()
         if words:
@@ -111,11 +123,13 @@ def scan(docs: DataFrame, known: list[tuple[str, str]] | None = None, id_col: st
 
 ORACLE_SQL = """
 WITH known(digest, license_id) AS (VALUES {known}),
-low AS (SELECT doc_id, replace({spelled}, chr(13), chr(10)) AS t FROM
-  (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents)),
+raw AS (SELECT doc_id, string_split(replace(regexp_replace(coalesce(text, ''), '[{folded}]', ' ', 'g'), chr(13), chr(10)), chr(10)) AS r
+  FROM documents),
+left_in AS (SELECT doc_id, [x FOR x IN r[1:{head}] IF NOT regexp_matches(x, '{holder}') OR regexp_matches(x, '{terms}')] || r[{head} + 1:] AS r FROM raw),
+low AS (SELECT doc_id, [{spelled} FOR y IN r] AS r FROM left_in),
 lines AS (SELECT doc_id, [l FOR l IN [
-    trim(regexp_replace(r, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', ' ', 'g')) FOR r IN string_split(t, chr(10))
-      IF NOT regexp_matches(r, '{copyright}')] IF l <> ''] AS ls FROM low),
+    trim(regexp_replace(x, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', ' ', 'g')) FOR x IN r
+      IF NOT regexp_matches(x, '{copyright}')] IF l <> ''] AS ls FROM low),
 found AS (
   SELECT doc_id, true AS whole, md5(array_to_string(ls, ' ')) AS digest FROM lines WHERE len(ls) > 0
   UNION ALL
@@ -128,8 +142,9 @@ SELECT d.doc_id, n.license_text, n.license_notices FROM documents d LEFT JOIN na
 
 
 def oracle_sql() -> str:
-    spelled = "x"
+    spelled = "translate(y, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     for a, b in SPELLINGS:
         spelled = f"replace({spelled}, '{a}', '{b}')"
     known = ", ".join(f"('{d}', '{i}')" for d, i in default_digests())
-    return ORACLE_SQL.format(known=known, spelled=spelled, copyright=COPYRIGHT_LINE)
+    return ORACLE_SQL.format(known=known, spelled=spelled, folded=FOLDED, head=HEAD, holder=HOLDER_LINE, terms=TERMS_LINE,
+                             copyright=COPYRIGHT_LINE)

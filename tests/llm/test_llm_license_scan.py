@@ -59,3 +59,17 @@ def test_long_texts_and_further_digests(spark):
     got = {r.doc_id: (r.license_text, r.license_notices)
            for r in op.scan(documents(spark, [own.upper(), "x\nSunday License applies", LICENSES["MIT"]]), further=further).collect()}
     assert got == {0: ("Sunday-1.0", None), 1: (None, "Sunday-1.0"), 2: ("MIT", None)}
+
+
+def test_typographic_punctuation_and_holders_without_a_year(spark):
+    mit, gpl = LICENSES["MIT"], "Copyright Notice\n"
+    texts = [mit.replace('"AS IS"', "“AS IS”").replace(", ", " — "), "Copyright (c) <year> <copyright holders>\n\n" + mit,
+             "MIT License\n\nCopyright Jane Doe\n" + mit, "COPYRIGHT: Jane Doe\ncopyright by jane doe\n" + mit, gpl + mit,
+             "x\n" * 12 + "Copyright Jane Doe", mit + "\nCopyright Jane Doe"]
+    got = {r.doc_id: r.license_text for r in op.scan(documents(spark, texts)).collect()}
+    assert got == {0: "MIT", 1: "MIT", 2: "MIT", 3: "MIT", 4: None, 5: None, 6: None}
+    import duckdb
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate([*texts, None, ""])))
+    assert {r[0]: r[1] for r in con.execute(op.oracle_sql()).fetchall()} == {**got, 7: None, 8: None}
