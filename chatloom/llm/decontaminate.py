@@ -1,9 +1,10 @@
 """Benchmark decontamination: CGK embedding, bit-sampling LSH over item-sized windows, exact edit check.
 
 Texts are words (A-Z lower-cased runs of letters, digits and non-ASCII bytes).  The CGK random walk copies
-the current word to each of ``3 * L`` output places and moves on or stays by a random bit of (place, word), so
-that few word edits become few differing places; sampled places of the walk are the LSH key, repeated with
-new walks until the recall target is met on mutated items.  Windows have the item's size and stand where a
+the current word to output places and moves on or stays by a random bit of (place, word), so
+that few word edits become few differing places; sampled ones of the first ``2 * L`` places are the LSH key, repeated with
+new walks until the recall target is met on mutated items of each length.  Lengths that ``MAX_WALKS`` walks don't bring there
+do without keys: all their windows are verified.  Windows have the item's size and stand where a
 shared word run puts them; an item with d edits in L words still shares ``L - q + 1 - q * d`` runs of q words, so
 the windows left out can't match.  What collides is verified by exact edit distance.
 The benchmark is the query set: it is read in blocks of bounded size, each broadcast to one pass over the texts.
@@ -20,7 +21,8 @@ from chatloom.llm.common import prepare
 BLOCK_CHARS = 8_000_000  # benchmark characters that are broadcast at a time
 PIECE = 1 << 16          # bytes of a text whose words are hashed at a time
 SAMPLED = 2              # output places of the walk that make a key
-MAX_WALKS = 96
+MAX_WALKS = 96           # walks of a length; beyond, every window is verified
+MUTATED = 100            # mutated items of each length, at least, that the number of walks is fitted on
 _M = (1 << 64) - 1
 
 
@@ -106,7 +108,7 @@ def cgk_keys(windows, walk: int):
     """LSH keys of equally long windows (rows of word hashes) under one random walk."""
     import numpy as np
     n, size = windows.shape
-    sampled = sorted(int(x) for x in np.random.RandomState(1000 + walk).choice(3 * size, min(SAMPLED, 3 * size), replace=False))
+    sampled = sorted(int(x) for x in np.random.RandomState(1000 + walk).choice(2 * size, min(SAMPLED, 2 * size), replace=False))
     at, rows, key = np.zeros(n, dtype=np.int64), np.arange(n), np.full(n, np.uint64(size))
     with np.errstate(over="ignore"):
         for j in range(sampled[-1] + 1):
@@ -142,7 +144,7 @@ def run_size(size: int, edits: int) -> int:
 
 
 class Block:
-    """A block of items: run postings, LSH keys and the number of walks that reaches the recall target."""
+    """A block of items: run postings, LSH keys and, by length, as many walks as reach the recall target."""
 
     def __init__(self, items, similarity: float, recall: float):
         import numpy as np
@@ -161,40 +163,39 @@ class Block:
             order = np.argsort(h, kind="stable")
             keys, first, count = np.unique(h[order], return_index=True, return_counts=True)
             self.runs[k] = (HashArray(keys), first, count, item[order], off[order])
-        self.walks = self._walks(recall)
-        self.keys = {}
+        self.keys = {}  # by length: a table a walk, or None where every window is verified
         for n in sorted(set(self.size.tolist())):
             own = np.flatnonzero(self.size == n)
             rows = np.array([self.items[i][1] for i in own])
-            self.keys[n] = [dict() for _ in range(self.walks)]
-            for walk in range(self.walks):
+            walks = self._walks(rows, int(self.edits[own[0]]), recall)
+            self.keys[n] = None if walks is None else [dict() for _ in range(walks)]
+            for walk in range(walks or 0):
                 for i, k in zip(own.tolist(), cgk_keys(rows, walk).tolist()):
                     self.keys[n][walk].setdefault(k, set()).add(i)
 
-    def _walks(self, recall: float) -> int:
-        """Fewest walks that find ``recall`` of items with as many random word edits as are allowed."""
+    @staticmethod
+    def _walks(rows, d: int, recall: float) -> int | None:
+        """Fewest walks that find ``recall`` of equally long items with ``d`` random word edits; None if too many."""
         import numpy as np
-        rng = np.random.RandomState(5)
-        pairs: dict[int, list] = {}
-        for i in rng.permutation(len(self.items))[:100]:
-            word, d = self.items[i][1], int(self.edits[i])
-            for _ in range(4 if d else 0):
-                made = list(word)
-                for _ in range(d):
-                    kind, at = rng.randint(3), rng.randint(max(1, len(made)))
-                    new = np.uint64(rng.randint(1, 1 << 62))
-                    made[at:at + (kind != 1)] = [] if kind == 0 else [new]
-                made = (made + [np.uint64(rng.randint(1, 1 << 62)) for _ in range(len(word))])[:len(word)]
-                pairs.setdefault(len(word), []).append((word, np.array(made, dtype=np.uint64)))
-        if not pairs:
+        if not d:
             return 1
-        met = {n: np.zeros(len(p), dtype=bool) for n, p in pairs.items()}
+        rng = np.random.RandomState(5)
+        n = rows.shape[1]
+        kept = np.repeat(rows, -(-MUTATED // len(rows)), axis=0)
+        made = np.empty_like(kept)
+        for r, word in enumerate(kept):
+            new = list(word)
+            for _ in range(d):
+                kind, at = rng.randint(3), rng.randint(max(1, len(new)))
+                new[at:at + (kind != 1)] = [] if kind == 0 else [np.uint64(rng.randint(1, 1 << 62))]
+            made[r] = (new + [np.uint64(rng.randint(1, 1 << 62)) for _ in range(n)])[:n]
+        open_ = np.arange(len(kept))
         for walk in range(MAX_WALKS):
-            for n, p in pairs.items():
-                met[n] |= cgk_keys(np.array([x for x, _ in p]), walk) == cgk_keys(np.array([y for _, y in p]), walk)
-            if np.concatenate(list(met.values())).mean() >= recall:
+            keys = cgk_keys(np.concatenate([kept[open_], made[open_]]), walk)
+            open_ = open_[keys[:len(open_)] != keys[len(open_):]]
+            if len(open_) <= (1 - recall) * len(kept) + 1e-9:
                 return walk + 1
-        return MAX_WALKS
+        return None
 
     def matches(self, words, docs):
         """``words``: hashes of several texts in a row; ``docs``: where each text begins, and the end.
@@ -261,11 +262,13 @@ class Block:
         where = start[mine][:, None] + np.arange(size)
         inside = (where >= lo[:, None]) & (where < hi[:, None])
         rows = np.where(inside, words[np.clip(where, 0, len(words) - 1)], np.uint64(0))
-        for walk in range(self.walks):
+        if self.keys[size] is None:
+            hit[group[mine]] = True
+            return
+        for walk, table in enumerate(self.keys[size]):
             live = np.flatnonzero(~hit[group[mine]])
             if not len(live):
                 break
-            table = self.keys[size][walk]
             for i, k in zip(mine[live].tolist(), cgk_keys(rows[live], walk).tolist()):
                 if int(item[i]) in table.get(k, ()):
                     hit[group[i]] = True
@@ -312,19 +315,29 @@ def _keep_kernel(shared, at: int):
     return run
 
 
+def _build(similarity: float, recall: float):
+    def build(key, rows):
+        import pickle
+        import numpy as np
+        import pyarrow as pa
+        own = sorted(zip(rows.column("item_id").to_pylist(), rows.column("text").to_pylist()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+        block = Block([(i, word_hashes(np.frombuffer(t.encode("utf-8"), dtype=np.uint8))) for i, t in own], similarity, recall)
+        return pa.table({"block": pa.array([pickle.dumps(block)] if block.items else [], pa.binary())})
+    return build
+
+
 def _blocks(items: DataFrame, item_col: str, item_text_col: str, similarity: float, recall: float):
-    """Yield broadcast blocks of the items, of at most about ``BLOCK_CHARS`` bytes each."""
-    import numpy as np
+    """Yield broadcast blocks of the items, of about ``BLOCK_CHARS`` bytes each; a task builds each of them."""
+    import pickle
     spark = items.sparkSession
     query = items.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text")).where("text is not null")
     chars = query.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-int(chars) // BLOCK_CHARS)
-    for i in range(n):
-        rows = query.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i).distinct().collect()
-        words = [(r["item_id"], word_hashes(np.frombuffer(r["text"].encode("utf-8"), dtype=np.uint8))) for r in rows]
-        block = Block(words, similarity, recall)
-        if block.items:
-            yield spark.sparkContext.broadcast(block)
+    if n:
+        built = query.distinct().groupBy(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)).alias("_block")) \
+            .applyInArrow(_build(similarity, recall), "block binary")
+        for row in built.toLocalIterator():  # one at a time passes the driver
+            yield spark.sparkContext.broadcast(pickle.loads(row["block"]))
 
 
 def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",

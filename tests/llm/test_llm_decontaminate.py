@@ -91,3 +91,38 @@ def test_walks_reach_the_recall_target(edits):
         got = block.matches(made, np.array([0, 40]))
         hit += got.get((0, i), (99,))[0] == edits
     assert hit >= 48
+
+
+def test_lengths_that_no_number_of_walks_serves_are_verified_in_full(spark, monkeypatch):
+    items, texts = fixture(7)
+    want = held_items(list(enumerate(texts)), items)
+    monkeypatch.setattr(op, "MAX_WALKS", 0)  # no length with edits reaches the target
+    block = op.Block([(i, words_of(t)) for i, t in items if t], 0.8, 0.99)
+    assert {n for n, k in block.keys.items() if k is None} == {n for n in block.keys if op.allowed_edits(n, 0.8)}
+    found = {}
+    for doc, text in enumerate(texts):
+        w = words_of(text or "")
+        found |= {(doc, block.items[i][0]): p[0] for (_, i), p in block.matches(w, np.array([0, len(w)])).items()}
+    assert found == want
+
+
+def test_each_length_reaches_the_target(spark):
+    rng = random.Random(9)
+    items = [(n, words_of(" ".join(rng.choices(VOCAB, k=n)))) for n in (5, 9, 24, 60, 400)]
+    block = op.Block(items, 0.8, 0.99)
+    for n, w in items:
+        d, hit = op.allowed_edits(n, 0.8), 0
+        for _ in range(60):
+            made = w.copy()
+            made[rng.sample(range(n), d)] = np.array([rng.randrange(1, 1 << 62) for _ in range(d)], dtype=np.uint64)
+            hit += any(block.items[i][0] == n for _, i in block.matches(made, np.array([0, n])))
+        assert hit >= 57, (n, hit, len(block.keys[n] or ()))
+
+
+def test_several_blocks_find_what_one_finds(spark, monkeypatch):
+    items, texts = fixture(8)
+    docs, bench = documents(spark, texts), spark.createDataFrame([*items, (None, items[3][1])], ITEMS)
+    one = sorted(map(str, op.find_items(docs, bench).collect()))
+    monkeypatch.setattr(op, "BLOCK_CHARS", 2000)
+    many = sorted(map(str, op.find_items(docs, bench).collect()))
+    assert len(one) > 50 and abs(len(many) - len(one)) <= 2  # a block fits its own numbers of walks
