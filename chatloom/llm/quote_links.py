@@ -15,48 +15,73 @@ from pyspark.sql import functions as F
 
 from chatloom.llm.common import cut, prepare
 from chatloom.operators.batches import dense_positions
+from chatloom.session import work_dir
 
 _MARK = re.compile(r"[ \t]*((?:>[ \t]?)+)")
 _SAYS = re.compile(r"\S.*\b(?:wrote|writes|said)[ \t]*:[ \t]*$", re.I)
 _WORD = re.compile(r"[^\W_]+")
+_BLANK = {i: " " for i in range(128) if not chr(i).isalnum()}
 _STOP = re.compile(r"[.!?]+[\"')\]]*\s+|[。！？]\s*")
+PARSED = ("conv_id long, turn long, role string, body string, said array<long>, n_quotes long, parts array<long>, "
+          "asked array<struct<level:int,no:int,words:int,hash:long>>")
+SAID_ROWS = 1_000_000  # up to so many different quoted hashes are sent to the messages; beyond, the messages' hashes are shuffled
 LINE_WORDS = 8  # a single line counts as a part from so many words; shorter ones do as sentences and in twos
 
 
-def passage_hash(text: str) -> int | None:
-    """Hash of a passage's words (case, punctuation and line breaks aside); null without a word."""
+def _words(folded: str) -> list[str]:
+    return folded.translate(_BLANK).split() if folded.isascii() else _WORD.findall(folded)
+
+
+def _digest(words: list[str]) -> int | None:
     import xxhash
-    words = _WORD.findall(text.casefold())
     if not words:
         return None
     h = xxhash.xxh64_intdigest(" ".join(words), 5)
     return h - (1 << 64) if h >> 63 else h
 
 
-def _paragraphs(lines: list[str]) -> list[str]:
+def passage_hash(text: str) -> int | None:
+    """Hash of a passage's words (case, punctuation and line breaks aside); null without a word."""
+    return _digest(_words(text.casefold()))
+
+
+def _paragraphs(lines: list[str]) -> list[list[str]]:
     out: list[list[str]] = [[]]
     for line in lines:
         if line.strip():
             out[-1].append(line)
         elif out[-1]:
             out.append([])
-    return ["\n".join(p) for p in out if p]
-
+    return [p for p in out if p]
 
-def _passages(lines: list[str]) -> list[int]:
-    """Hashes of the whole run of lines and of its paragraphs, in order, each once."""
-    paras = _paragraphs(lines)
-    found = [passage_hash(x) for x in (["\n".join(paras)] if len(paras) > 1 else []) + paras]
-    return list(dict.fromkeys(h for h in found if h is not None))
 
+def _read(lines: list[str]) -> tuple[list[str], int | None, list[tuple[int, int]]]:
+    """Words and hash of a paragraph, and ``(words, hash)`` of what a trimmed quote may keep of it.
 
-def _parts(paragraph: str) -> list[tuple[int, int]]:
-    """``(words, hash)`` of what a trimmed quote may keep of a paragraph: its sentences, long lines and pairs of lines."""
-    lines = paragraph.split("\n")
-    pieces = _STOP.split(paragraph) + [x for x in lines if len(_WORD.findall(x)) >= LINE_WORDS]
-    pieces += [f"{a}\n{b}" for a, b in zip(lines, lines[1:])]
-    found = ((len(_WORD.findall(x.casefold())), passage_hash(x)) for x in pieces)
-    return list(dict.fromkeys((n, h) for n, h in found if h is not None))
+    These are its sentences, lines of ``LINE_WORDS`` words and pairs of lines.  No word reaches over a full stop
+    or a line's end, so every word is looked for once.
+    """
+    sentences = [_words(x) for x in _STOP.split("\n".join(lines).casefold())]
+    words = sentences[0] if len(sentences) == 1 else [w for x in sentences for w in x]
+    h = _digest(words)
+    pieces = sentences if len(sentences) > 1 else []
+    if len(lines) > 1:
+        by_line = [_words(x.casefold()) for x in lines]
+        pieces = pieces + [x for x in by_line if len(x) >= LINE_WORDS] + [x + y for x, y in zip(by_line, by_line[1:])]
+    found = [(len(x), _digest(x)) for x in pieces]
+    if len(sentences) == 1 or (len(lines) == 1 and len(words) >= LINE_WORDS):
+        found.append((len(words), h))
+    return words, h, list(dict.fromkeys((n, x) for n, x in found if x is not None))
+
+
+def _passages(paras: list) -> list[tuple[int, int]]:
+    """``(words, hash)`` of the whole run of paragraphs that ``_read`` gave and of each of them, in order, each hash once."""
+    every = [w for words, _, _ in paras for w in words] if len(paras) > 1 else []
+    found: dict = {}
+    for n, h in [(len(every), _digest(every)), *[(len(words), h) for words, h, _ in paras]]:
+        if h is not None:
+            found.setdefault(h, n)
+    return [(n, h) for h, n in found.items()]
 
 
 def parse(text: str | None) -> tuple[str, list[int], list[dict]]:
@@ -70,8 +95,31 @@ def parse(text: str | None) -> tuple[str, list[int], list[dict]]:
 
 def parse_parts(text: str | None) -> tuple[str, list[int], list[dict], list[int], list[dict]]:
     """What ``parse`` gives, the hashes of the body's parts, and ``{level, no, words, hash}`` of each quoted passage and its parts."""
+    text = text or ""
+    if ">" not in text:
+        blocks = [(0, text.split("\n"))]
+    else:
+        blocks = _blocks(text)
+    own = [line for level, lines in blocks if not level for line in lines]
+    body = text if len(blocks) == 1 and not blocks[0][0] else "\n".join(own).strip("\n")
+    quotes, asked = [], []
+    for level, lines in blocks:
+        if level:
+            paras = [_read(x) for x in _paragraphs(lines)]
+            parts = {h: found for _, h, found in paras}
+            for n, h in _passages(paras):
+                no = len(quotes)
+                quotes.append({"level": level, "no": no, "hash": h})
+                asked += [{"level": level, "no": no, "words": k, "hash": x} for k, x in dict.fromkeys([(n, h), *parts.get(h, [])])]
+    paras = [_read(x) for x in _paragraphs(own)]
+    own_parts = list(dict.fromkeys(h for _, _, found in paras for _, h in found))
+    return body, [h for _, h in _passages(paras)], quotes, own_parts, asked
+
+
+def _blocks(text: str) -> list[tuple[int, list[str]]]:
+    """Runs of lines of one quote level; a line that announces a deeper run is left out."""
     blocks: list[tuple[int, list[str]]] = []
-    for line in (text or "").split("\n"):
+    for line in text.split("\n"):
         m = _MARK.match(line)
         level, rest = (m.group(1).count(">"), line[m.end():]) if m else (0, line)
         if not blocks or blocks[-1][0] != level:
@@ -82,28 +130,7 @@ def parse_parts(text: str | None) -> tuple[str, list[int], list[dict], list[int]
                     del above[last:]
             blocks.append((level, []))
         blocks[-1][1].append(rest)
-    own = [line for level, lines in blocks if not level for line in lines]
-    if len(blocks) == 1 and not blocks[0][0]:
-        body = text or ""
-    else:
-        body = "\n".join(own).strip("\n")
-    quotes, asked = [], []
-    for level, lines in blocks:
-        if level:
-            hashes, paras = _passages(lines), _paragraphs(lines)
-            parts = {h: [] for h in hashes}
-            whole = {passage_hash("\n".join(paras)): len(_WORD.findall("\n".join(paras).casefold()))}
-            for x in paras:
-                h = passage_hash(x)
-                if h is not None:
-                    whole.setdefault(h, len(_WORD.findall(x.casefold())))
-                    parts[h] = _parts(x)
-            for h in hashes:
-                no = len(quotes)
-                quotes.append({"level": level, "no": no, "hash": h})
-                asked += [{"level": level, "no": no, "words": n, "hash": x} for n, x in dict.fromkeys([(whole[h], h), *parts[h]])]
-    own_parts = list(dict.fromkeys(h for x in _paragraphs(own) for _, h in _parts(x)))
-    return body, _passages(own), quotes, own_parts, asked
+    return blocks
 
 
 def _kernel(batches):
@@ -155,19 +182,22 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
     prepare(spark)
     parsed = messages.select(F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).cast("long").alias("turn"),
                              F.col(role_col).cast("string").alias("role"), F.col(text_col).alias("text")) \
-        .mapInArrow(_kernel, "conv_id long, turn long, role string, body string, said array<long>, n_quotes long, parts array<long>, "
-                             "asked array<struct<level:int,no:int,words:int,hash:long>>")
-    # ids are taken on the frozen partitions
-    frozen = cut(parsed)
-    rows = frozen.withColumn("uid", F.monotonically_increasing_id())
+        .mapInArrow(_kernel, PARSED)
+    # frozen with its ids as a table: what follows reads the columns it needs, and the bodies only at the end
+    path = f"{work_dir(spark, 'messages')}/parsed"
+    parsed.withColumn("uid", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.schema(f"{PARSED}, uid long").parquet(path)
     named = rows.where("conv_id is not null and turn is not null")
     place = F.struct("conv_id", "turn", "uid").alias("at")
+    asked = named.select("uid", "conv_id", F.struct("conv_id", "turn", "uid").alias("own"), F.inline("asked"))
     said = named.select(F.explode("said").alias("hash"), place, F.lit(True).alias("whole")) \
         .union(named.select(F.explode("parts").alias("hash"), place, F.lit(False).alias("whole")))
+    wanted = cut(asked.select("hash").distinct())
+    if wanted.count() <= SAID_ROWS:  # only what somebody quotes is shuffled
+        said = said.join(F.broadcast(wanted), "hash", "left_semi")
     same = said.groupBy("hash", F.col("at.conv_id").alias("conv_id")).agg(
         F.min(F.when(F.col("whole"), F.col("at"))).alias("same_at"), F.min("at").alias("same_part"))
     anywhere = same.groupBy("hash").agg(F.min("same_at").alias("any_at"), F.min("same_part").alias("any_part"))
-    asked = named.select("uid", "conv_id", F.struct("conv_id", "turn", "uid").alias("own"), F.inline("asked"))
     target = reduce(lambda so_far, c: so_far.when(F.col(c) < F.col("own"), F.col(c)), ("same_part", "any_at", "any_part"),
                     F.when(F.col("same_at") < F.col("own"), F.col("same_at")))
     hits = asked.join(same, ["hash", "conv_id"], "left").join(anywhere, "hash", "left") \

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from llm_cases import clashing
 
 from chatloom.llm import quote_links as op
@@ -64,7 +65,9 @@ def corpus(seed=1):
     return rows
 
 
-def test_matches_brute_force(spark):
+@pytest.mark.parametrize("sent", [op.SAID_ROWS, -1])  # -1: more quoted hashes than are sent to the messages
+def test_matches_brute_force(spark, monkeypatch, sent):
+    monkeypatch.setattr(op, "SAID_ROWS", sent)
     rows = corpus()
     rng = random.Random(2)
     df = clashing(spark.createDataFrame(rng.sample(rows, len(rows)), SCHEMA), "uid", "hash", "parent", "position", "depth")
@@ -99,6 +102,17 @@ def test_nulls_repeats_long_texts_and_empty_table(spark):
     assert op.link_quotes(rows.where("false")).collect() == []
 
 
+def test_words_are_looked_for_once():
+    text = "One two. Three four five!\nSix, seven eight nine ten eleven twelve thirteen\nfourteen.\n\nŒuvre Straße été"
+    body, said, _, parts, _ = op.parse_parts(text)
+    h = op.passage_hash
+    first, second = text.split("\n\n")
+    assert body == text and said == [h(text), h(first), h(second)]
+    lines = first.split("\n")
+    want = ["one two", "three four five", "six seven eight nine ten eleven twelve thirteen fourteen", lines[1], "\n".join(lines[:2]), "\n".join(lines[1:]), second]
+    assert sorted(set(parts)) == sorted({h(x) for x in want}) and h("STRASSE") == h("straße")
+
+
 def test_trimmed_quotes_find_their_message(spark):
     long = "We met in the old hall. The committee will vote on the new bridge next Monday!\nBring a pen. Thanks."
     wrapped = "the first line of a paragraph that was wrapped in\nthe second line which goes on without any stop and\nends here"
