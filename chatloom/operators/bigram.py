@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# counts tables up to this many rows are broadcast; larger ones are joined by shuffle
+# counts tables up to this many rows are sent to a kernel; larger ones are joined
 BROADCAST_ROWS = 2_000_000
 
 
@@ -62,16 +62,10 @@ def bigram_fit(windows: DataFrame, mask_only: bool = False) -> DataFrame:
     return part.groupBy("prev_id", "next_id").agg(F.sum("n").alias("n"))
 
 
-def _maybe_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast only behind a checked row count; otherwise let the planner shuffle."""
-    return F.broadcast(df) if df.count() <= limit else df
-
-
 def bigram_nll(pairs: DataFrame, counts: DataFrame, vocab_size: int, alpha: float = 1.0) -> DataFrame:
     """nll = −ln((c(prev,next)+α) / (c(prev)+α·V)) for every pair row."""
-    counts = counts.cache()
-    pair_c = _maybe_broadcast(counts.select("prev_id", "next_id", F.col("n").alias("c_pn")))
-    prev_c = _maybe_broadcast(counts.groupBy("prev_id").agg(F.sum("n").alias("c_p")))
+    pair_c = counts.select("prev_id", "next_id", F.col("n").alias("c_pn"))  # joined as their sizes at run time ask for
+    prev_c = counts.groupBy("prev_id").agg(F.sum("n").alias("c_p"))
     j = pairs.join(pair_c, ["prev_id", "next_id"], "left").join(prev_c, "prev_id", "left")
     nll = -F.log((F.coalesce("c_pn", F.lit(0)) + F.lit(alpha)) /
                  (F.coalesce("c_p", F.lit(0)) + F.lit(alpha * vocab_size)))

@@ -119,8 +119,7 @@ def q_build_vocab(spark, d):
 SELECT sample_id, count(*)::BIGINT AS n_tokens, string_agg(id::VARCHAR, ',' ORDER BY pos) AS token_ids
 FROM ids GROUP BY sample_id""")
 def q_encode_dialog(spark, d):
-    s = kept_dialogs(spark, d).cache()
-    t = tok.encode_samples(s, vocab_from_samples(s))
+    t = _dialog_tokens(spark, d)
     return t.select("sample_id", F.size("token_ids").cast("long").alias("n_tokens"), ids_str("token_ids").alias("token_ids"))
 
 
@@ -154,7 +153,7 @@ SELECT sample_id, count(*)::BIGINT AS n_tokens, md5(string_agg(id::VARCHAR, ','
        sum(id)::BIGINT AS ids_sum
 FROM tids GROUP BY sample_id""")
 def q_encode_text(spark, d):
-    s = doc_samples(spark, d).cache()
+    s = doc_samples(spark, d)
     t = tok.encode_text_column(s, "text", vocab_from_samples(s), append_eos=False)
     return t.select("sample_id", F.size("token_ids").cast("long").alias("n_tokens"),
                     F.md5(ids_str("token_ids")).alias("ids_md5"), arr_sum("token_ids").alias("ids_sum"))
@@ -165,9 +164,8 @@ SELECT i.sample_id, md5(string_agg(v.token, '' ORDER BY i.pos)) AS decoded_md5,
        sum(length(v.token))::BIGINT AS n_chars
 FROM ids i JOIN vocab v ON v.id = i.id GROUP BY i.sample_id""")
 def q_decode_tokens(spark, d):
-    s = kept_dialogs(spark, d).cache()
-    v = vocab_from_samples(s).cache()
-    t = tok.decode_column(tok.encode_samples(s, v), "token_ids", v, out_col="decoded")
+    v = turn_table_vocab(read_table(spark, d, "conversations")).cache()  # at most one row a code point
+    t = tok.decode_column(tok.encode_samples(kept_dialogs(spark, d), v), "token_ids", v, out_col="decoded")
     return t.select("sample_id", F.md5("decoded").alias("decoded_md5"), F.char_length("decoded").cast("long").alias("n_chars"))
 
 
@@ -217,13 +215,13 @@ def q_extract_response(spark, d):
 
 # -- F1–F7 ----------------------------------------------------------------------------------------------
 def _doc_tokens(spark, d):
-    s = doc_samples(spark, d).cache()
+    s = doc_samples(spark, d)
     return tok.encode_samples(s, vocab_from_samples(s))
 
 
 def _dialog_tokens(spark, d):
-    s = kept_dialogs(spark, d).cache()
-    return tok.encode_samples(s, vocab_from_samples(s))
+    # the vocabulary comes from the turns, so dialogs are put together once and never held
+    return tok.encode_samples(kept_dialogs(spark, d), turn_table_vocab(read_table(spark, d, "conversations")))
 
 
 @register("append_eos", O.with_(O.doc_texts(), O.text_vocab(), O.text_ids()) + """
@@ -302,7 +300,7 @@ SELECT sample_id, window_no,
        sum(mask)::BIGINT AS mask_sum
 FROM win GROUP BY sample_id, window_no""")
 def q_build_windows_text(spark, d):
-    s = doc_samples(spark, d).cache()
+    s = doc_samples(spark, d)
     w = win.build_windows(s, vocab_from_samples(s))
     return w.select("sample_id", "window_no", F.md5(ids_str("input_ids")).alias("input_md5"),
                     F.md5(ids_str("target_ids")).alias("target_md5"), arr_sum("loss_mask").alias("mask_sum"))

@@ -8,7 +8,6 @@ loss = value / 100, grad_norm = value / 10, mask_mean = props.k / 100.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from chatloom.operators import bigram as BG
@@ -170,14 +169,12 @@ def q_bigram_fit(spark, d):
     return BG.bigram_fit(w).select("prev_id", "next_id", F.col("n").cast("long"))
 
 
-def _kept_windows(spark, d):
-    w, v = dialog_windows(spark, d)
-    return w.persist(StorageLevel.DISK_ONLY), v     # two passes over the windows, encoded once
-
-
 def _window_losses(spark, d):
-    """(sample_id, window_no, nll_sum, n_masked, n_pos): one row per window, never one per token."""
-    w, v = _kept_windows(spark, d)
+    """(sample_id, window_no, nll_sum, n_masked, n_pos): one row per window, never one per token.
+
+    Windows take about 18 bytes a token, the text they come from one: they are cut anew to be scored, not kept.
+    """
+    w, v = dialog_windows(spark, d)
     return BG.window_losses(w, BG.bigram_fit(w), v.count())
 
 
@@ -207,7 +204,7 @@ def q_masked_batch_loss(spark, d):
 # -- H1–H7 ------------------------------------------------------------------------------------------------
 def _model(spark, d):
     """Windows and logits(prev_id, token_id, logit = ln count) of their bigrams."""
-    w, _ = _kept_windows(spark, d)
+    w, _ = dialog_windows(spark, d)
     counts = BG.bigram_fit(w)
     return w, counts.select("prev_id", F.col("next_id").alias("token_id"), F.log("n").alias("logit")), counts
 
