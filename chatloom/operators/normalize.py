@@ -114,10 +114,11 @@ def normalize_moss(records: DataFrame, turn_order: str = "numeric") -> Normalize
     conv = F.col("_conv")
     names = F.filter(F.map_keys(conv), lambda k: k.startswith("turn_"))
     if turn_order == "numeric":
-        digits = lambda k: F.regexp_extract(k, r"^turn_(\d{1,18})$", 1)
+        # numbers of any length: the one with fewer digits is less, equally long ones compare as strings
+        digits = lambda k: F.regexp_extract(k, r"^turn_0*(\d+)$", 1)
         keyed = F.transform(names, lambda k: F.struct(
             F.when(digits(k) == "", 1).otherwise(0).alias("nonnum"),
-            F.when(digits(k) != "", digits(k).cast("long")).alias("n"), k.alias("k")))
+            F.char_length(digits(k)).alias("length"), digits(k).alias("n"), k.alias("k")))
     elif turn_order == "lexical":
         keyed = F.transform(names, lambda k: F.struct(k.alias("k")))
     else:

@@ -143,3 +143,17 @@ def test_load_that_runs_twice_counts_once(spark, tmpdir_fresh):
     for n in (0, 1, 1):
         report = accumulate_load(s, path, n)
     assert sorted((r.load_no, r.added, r.total) for r in report.collect()) == [(0, 2, 2), (1, 2, 4)]
+
+
+def test_moss_turns_sort_by_numbers_of_any_length(spark):
+    import json
+
+    from chatloom.operators.normalize import normalize_moss
+    big = "9" * 25
+    names = ["turn_x", f"turn_1{big}", "turn_10", "turn_0", "turn_007", f"turn_{big}", "turn_2", "turn_00"]
+    conv = {k: {"Human": k, "MOSS": "a"} for k in names}
+    rec = spark.createDataFrame([("f", 0, json.dumps({"conversation": conv}))], "file_path string, ordinal long, value string")
+    rec = rec.selectExpr("*", "try_parse_json(value) AS _v")
+    dialog = normalize_moss(rec).samples.first().dialog
+    want = ["turn_0", "turn_00", "turn_2", "turn_007", "turn_10", f"turn_{big}", f"turn_1{big}", "turn_x"]
+    assert [t.content for t in dialog if t.role == "user"] == sorted(want[:2]) + want[2:]
