@@ -94,3 +94,16 @@ def test_large_labels_are_drawn_by_hash_alike_on_reruns(spark):
         n = {r["label"]: r["count"] for r in got}
         assert 600 < n["true"] < 1000 and 200 < n["false"] < 280  # one in five is held out
     assert sorted(map(tuple, kept[0])) == sorted(map(tuple, kept[1])) and pairs[0].threshold == pairs[1].threshold
+
+
+def test_every_labelled_url_is_learnt_unless_a_draw_is_asked_for(spark):
+    df = spark.range(300_000).selectExpr("concat('a', id, '.example/x') url_text", "id % 300 < 299 accepted")
+    kept = []
+    held, op.count_ngrams = op.count_ngrams, lambda sample, order: kept.append(sample.count()) or held(sample, order)
+    drawn = []
+    scored, op.score_urls = op.score_urls, lambda urls, *more: drawn.append(urls.count()) or scored(urls, *more)
+    try:
+        op.fit(df, order=2)
+    finally:
+        op.count_ngrams, op.score_urls = held, scored
+    assert kept[0] + drawn[0] == 300_000
