@@ -13,11 +13,16 @@ from pyspark.sql import functions as F
 KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
-def _grouped(conv: DataFrame) -> DataFrame:
+def grouped_dialogs(conv: DataFrame) -> DataFrame:
+    """(conv_id, t): the turns of each dialog in order.  The builders take this in place of the turn table."""
     return conv.groupBy("conv_id").agg(
         F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("t"))
 
 
+def _grouped(conv: DataFrame) -> DataFrame:
+    return conv if conv.columns == ["conv_id", "t"] else grouped_dialogs(conv)
+
+
 def _texts(role: str):
     return F.filter("t", lambda x: x["role"] == role)
 

@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from chatloom.operators.batches import dense_positions
 from chatloom.plans import oracle as O
 from chatloom.plans.catalog import arr_sum, dialog_windows, register
-from chatloom.plans.dialects import KEEP_NULLS, alpaca_items, moss_items, sharegpt_items
+from chatloom.plans.dialects import KEEP_NULLS, alpaca_items, grouped_dialogs, moss_items, sharegpt_items
 from chatloom.session import work_dir
 from chatloom.sources import files as FS
-from chatloom.sources.fs import rename_suffix
+from chatloom.sources.fs import remove_tree, rename_suffix
 from chatloom.sources.sinks import (
     export_dataset,
     export_splits_jsonl,
@@ -29,31 +29,58 @@ CHUNK = 64          # records per JSON-array file / documents per text file
 _TREES: dict = {}
 
 
-def build_tree(spark, d: str) -> str:
-    """sgpt/*.jsonl, moss/*.json (JSON lines), alpaca/chunk=*/…json (arrays), docs/chunk=*/…txt, misc/*.csv."""
-    key = (spark.sparkContext.applicationId, d)
-    if key in _TREES:
-        return _TREES[key]
-    root = work_dir(spark, "tree")
-    conv = read_table(spark, d, "conversations")
-    docs = read_table(spark, d, "documents")
+def _sgpt(spark, dialogs, docs, path):
     # JSON lines, each file ordered by dialog id
-    sharegpt_items(conv).sortWithinPartitions("ordinal").select(F.to_json("item").alias("value")) \
-        .write.mode("overwrite").text(f"{root}/sgpt")
-    rename_suffix(spark, f"{root}/sgpt", ".txt", ".jsonl")
+    sharegpt_items(dialogs).sortWithinPartitions("ordinal").select(F.to_json("item").alias("value")).write.mode("overwrite").text(path)
+    rename_suffix(spark, path, ".txt", ".jsonl")
+
+
+def _moss(spark, dialogs, docs, path):
     # JSON writer: .json files whose content is JSON lines
-    moss_items(conv).select("item.*").write.mode("overwrite").json(f"{root}/moss")
-    # one JSON array per file: the exchanges of CHUNK dialogs
-    arrays = alpaca_items(conv).groupBy((F.col("ordinal") / CHUNK).cast("long").alias("chunk")).agg(
+    moss_items(dialogs).select("item.*").write.mode("overwrite").json(path)
+
+
+def _alpaca(spark, dialogs, docs, path):
+    # one JSON array per file: the exchanges of CHUNK dialogs; a chunk is one row of one task already
+    arrays = alpaca_items(dialogs).groupBy((F.col("ordinal") / CHUNK).cast("long").alias("chunk")).agg(
         F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "e", "item"))), lambda x: x["item"]),
                   KEEP_NULLS).alias("value"))
-    arrays.repartition("chunk").write.mode("overwrite").partitionBy("chunk").text(f"{root}/alpaca")
-    rename_suffix(spark, f"{root}/alpaca", ".txt", ".json")
+    arrays.write.mode("overwrite").partitionBy("chunk").text(path)
+    rename_suffix(spark, path, ".txt", ".json")
+
+
+def _docs(spark, dialogs, docs, path):
     # one text file per chunk of documents
     docs.select((F.col("doc_id") / CHUNK).cast("long").alias("chunk"), F.col("text").alias("value")) \
-        .repartition("chunk").write.mode("overwrite").partitionBy("chunk").text(f"{root}/docs")
-    docs.select("doc_id", "lang").write.mode("overwrite").option("header", True).csv(f"{root}/misc")
-    _TREES[key] = root
+        .repartition("chunk").write.mode("overwrite").partitionBy("chunk").text(path)
+
+
+def _misc(spark, dialogs, docs, path):
+    docs.select("doc_id", "lang").write.mode("overwrite").option("header", True).csv(path)
+
+
+DIALECTS = {"sgpt": _sgpt, "moss": _moss, "alpaca": _alpaca}
+PARTS = {**DIALECTS, "docs": _docs, "misc": _misc}
+
+
+def build_tree(spark, d: str, *parts: str) -> str:
+    """sgpt/*.jsonl, moss/*.json (JSON lines), alpaca/chunk=*/…json (arrays), docs/chunk=*/…txt, misc/*.csv.
+
+    The named ``parts`` (all by default) that aren't there yet are written.  Where that is several dialects, dialogs are
+    put together by one shuffle of the turns, into a table that goes when the dialects are written.
+    """
+    root, made = _TREES.setdefault((spark.sparkContext.applicationId, d), (work_dir(spark, "tree"), set()))
+    new = [p for p in parts or PARTS if p not in made]
+    dialogs, docs, held = read_table(spark, d, "conversations"), read_table(spark, d, "documents"), None
+    if sum(p in DIALECTS for p in new) > 1:
+        held = work_dir(spark, "dialogs") + "/dialogs"
+        grouped_dialogs(dialogs).write.parquet(held)
+        dialogs = spark.read.parquet(held)
+    for p in new:
+        PARTS[p](spark, dialogs, docs, f"{root}/{p}")
+        made.add(p)
+    if held:
+        remove_tree(spark, held)
     return root
 
 
@@ -111,7 +138,7 @@ SELECT conv_id AS conv_id, (count(*) FILTER (WHERE role <> 'system'))::BIGINT AS
        (count(*) FILTER (WHERE role = 'system') > 0) AS has_system, true AS ordinal_ok
 FROM conversations GROUP BY conv_id""")
 def q_read_jsonl(spark, d):
-    root = build_tree(spark, d)
+    root = build_tree(spark, d, "sgpt")
     r = FS.read_jsonl(spark, f"{root}/sgpt")
     item = F.from_json("value", "struct<id:long, system:string, conversations:array<struct<from:string,value:string>>>")
     r = r.select("file_path", "ordinal", item["id"].alias("conv_id"),
@@ -133,7 +160,7 @@ FROM (SELECT *, unnest(range(1, greatest(coalesce(len(u), 0), coalesce(len(a), 0
          list(text ORDER BY turn) FILTER (WHERE role = 'user') AS u,
          list(text ORDER BY turn) FILTER (WHERE role = 'assistant') AS a FROM conversations GROUP BY conv_id))""")
 def q_read_json_document(spark, d):
-    root = build_tree(spark, d)
+    root = build_tree(spark, d, "alpaca")
     r = FS.read_json_document(spark, f"{root}/alpaca")
     chunk = F.regexp_extract("file_path", r"chunk=(\d+)", 1).cast("long")
     part = lambda k: F.md5(F.coalesce(F.get_json_object("value", f"$.{k}"), F.lit("-"))).alias(f"{k}_md5")
@@ -144,7 +171,7 @@ def q_read_json_document(spark, d):
 @register("read_records", """
 SELECT conv_id::VARCHAR AS conversation_id, count(*)::BIGINT AS n_turn_keys FROM conversations GROUP BY conv_id""")
 def q_read_records(spark, d):
-    root = build_tree(spark, d)
+    root = build_tree(spark, d, "moss")
     r = FS.read_records(spark, f"{root}/moss/*.json")
     return r.where("valid").select(
         F.get_json_object("value", "$.conversation_id").alias("conversation_id"),
@@ -156,7 +183,7 @@ def q_read_records(spark, d):
 SELECT doc_id // 64 AS chunk, sum(length(text) + 1)::BIGINT AS n_chars, 'pretrain' AS type
 FROM documents GROUP BY 1""")
 def q_read_text_files(spark, d):
-    root = build_tree(spark, d)
+    root = build_tree(spark, d, "docs")
     t = FS.read_text_files(spark, f"{root}/docs")
     return t.select(F.regexp_extract("file_path", r"chunk=(\d+)", 1).cast("long").alias("chunk"),
                     F.char_length("text").cast("long").alias("n_chars"), "type")
@@ -231,7 +258,7 @@ def q_write_windows(spark, d):
 SELECT conv_id, true AS ordinal_ok, true AS line_ok FROM (SELECT DISTINCT conv_id FROM conversations)""")
 def q_record_ordinal(spark, d):
     """Ordinals and physical line numbers of the JSONL tree: files were written ordered by dialog id."""
-    root = build_tree(spark, d)
+    root = build_tree(spark, d, "sgpt")
     r = FS.read_jsonl(spark, f"{root}/sgpt").select(
         "file_path", "ordinal", "line", F.get_json_object("value", "$.id").cast("long").alias("conv_id"))
     r = dense_positions(r, ["file_path"], ["conv_id"], out_col="rank")

@@ -38,7 +38,7 @@ class ScanResult(NamedTuple):
     samples: DataFrame
     quarantine: DataFrame
     files: DataFrame          # (file_path, format, status)
-    records: DataFrame | None = None   # the persisted parsed records; ``release()`` frees them
+    records: DataFrame | None = None   # the persisted records; ``release()`` frees them
 
     def release(self) -> None:
         if self.records is not None:
@@ -227,13 +227,14 @@ def scan_directory(spark: SparkSession, path: str, strict: bool = False) -> Scan
     registered format is normalized once over all of its files.
     """
     files = list_files(spark, path)            # raises on a missing path; also feeds the report
-    # the input is read and parsed once: detection, every format's normalizer and the quarantine
-    # all consume these persisted records (spilled to disk when large; recomputed if an executor is lost)
-    records = read_jsonl(spark, path, strict, GLOBS["jsonl"]).unionByName(
-        read_json_document(spark, path, strict, GLOBS["json"])).persist(StorageLevel.MEMORY_AND_DISK)
-    detected = detect_formats(records)
+    # the input is read once: every format's normalizer and the quarantine consume these persisted records (spilled
+    # to disk when large; recomputed if an executor is lost).  Their parse is not held: it is as large as the text and
+    # made again for the one format that a record has
+    raw = read_jsonl(spark, path, strict, GLOBS["jsonl"]).unionByName(read_json_document(spark, path, strict, GLOBS["json"]))
+    records = raw.drop("_v").persist(StorageLevel.MEMORY_AND_DISK)
     # per-file format attached by a join (AQE broadcasts the file table when it is small)
-    tagged = records.where("valid").select("file_path", "ordinal", "value", "_v").join(detected, "file_path")
+    tagged = records.where("valid").select("file_path", "ordinal", "value").join(detect_formats(records), "file_path") \
+        .withColumn("_v", F.try_parse_json("value"))
     samples, quar = [], [records_quarantine(records)]
     for name, spec in formats().items():
         if spec.normalize is None:
@@ -252,7 +253,8 @@ def scan_directory(spark: SparkSession, path: str, strict: bool = False) -> Scan
     fmt_col = F.when(F.col("suffix") == ".txt", F.lit("txt")) \
         .when(F.col("suffix").isin(".json", ".jsonl"), F.coalesce("format", F.lit("unknown"))) \
         .otherwise(F.lit("unknown"))
-    report = files.join(detected, "file_path", "left").select("file_path", fmt_col.alias("format")).select(
+    # the report reads the input for itself: whoever wants formats alone has no record held
+    report = files.join(detect_formats(raw), "file_path", "left").select("file_path", fmt_col.alias("format")).select(
         "file_path", "format",
         F.when(F.col("format").isin(*loadable), F.lit("loaded")).otherwise(F.lit("skipped")).alias("status"))
     return ScanResult(out_s, out_q, report, records)
