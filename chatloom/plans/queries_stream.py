@@ -26,9 +26,10 @@ def q_incremental_load(spark, d):
     # wave 1: ShareGPT JSON lines (.jsonl) and text files; one availableNow trigger loads them
     sharegpt_items(conv).select(F.to_json("item").alias("value")).write.text(f"{root}/in/wave1")
     rename_suffix(spark, f"{root}/in/wave1", ".txt", ".jsonl")
-    docs.select((F.col("doc_id") / CHUNK).cast("long").alias("chunk"), "doc_id", F.col("text").alias("value")) \
-        .repartition("chunk").sortWithinPartitions("chunk", "doc_id").drop("doc_id") \
-        .write.partitionBy("chunk").text(f"{root}/in/texts")
+    # a file is a row here: all of them lie in one folder, as each folder would send its listing to the driver at every trigger
+    lines = F.transform(F.array_sort(F.collect_list(F.struct("doc_id", F.coalesce("text", F.lit("")).alias("text")))), lambda x: x["text"])
+    docs.groupBy((F.col("doc_id") / CHUNK).cast("long").alias("chunk")).agg(F.array_join(lines, "\n").alias("value")) \
+        .select("value").write.option("maxRecordsPerFile", 1).text(f"{root}/in/texts")
     incremental_load(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt").awaitTermination()
     # wave 2 arrives later: MOSS items (.json); the same checkpoints pick up only the new files
     moss_items(conv).select("item.*").write.json(f"{root}/in/wave2")
